@@ -10,8 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from cupola.operators import quality as Q
 from cupola.operators.normalise import discount_band_report, normalise_coupons
-from cupola.sources.tables import coupon_view
+from cupola.sources.tables import coupon_view, events_with_gaps, events_with_repeats, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +40,54 @@ def q_coupon_normalise(spark, sf_dir):
 @register("discount_bands")
 def q_discount_bands(spark, sf_dir):
     return discount_band_report(normalise_coupons(coupon_view(spark, sf_dir), date_col=None))
+
+
+# --- data quality (A3, B3, B4, B5) -------------------------------------------------------
+
+QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
+                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+
+
+@register("quasi_constant")
+def q_quasi_constant(spark, sf_dir):
+    view = coupon_view(spark, sf_dir, extra_columns=("l_returnflag", "l_linestatus", "l_quantity",
+                                                     "l_discount", "l_tax", "l_shipdate"))
+    return Q.quasi_constant_report(normalise_coupons(view, with_day=False), QUASI_FEATURES, 0.95)
+
+
+@register("missing_report")
+def q_missing_report(spark, sf_dir):
+    return Q.missing_report(events_with_gaps(spark, sf_dir))
+
+
+@register("missing_fill")
+def q_missing_fill(spark, sf_dir):
+    ev = events_with_gaps(spark, sf_dir)
+    return Q.fill_missing(ev, {"event_type": "unknown", "value": "mean"}, add_indicator=True) \
+        .select("event_id", "event_type", "value", "event_type_missing", "value_missing")
+
+
+@register("dedup_exact")
+def q_dedup_exact(spark, sf_dir):
+    return Q.dedup_exact(events_with_repeats(spark, sf_dir))
+
+
+@register("dedup_keyed")
+def q_dedup_keyed(spark, sf_dir):
+    return Q.dedup_keyed(events_with_repeats(spark, sf_dir), ["user_id", "event_type"], ["ts", "event_id"]) \
+        .select("user_id", "event_type", "event_id", "ts", "value")
+
+
+@register("duplicate_report")
+def q_duplicate_report(spark, sf_dir):
+    return Q.duplicate_report(events_with_repeats(spark, sf_dir), ["event_id"])
+
+
+OUTLIER_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("outlier_iqr")
+def q_outlier_iqr(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"] + OUTLIER_COLS)
+    bounds = Q.outlier_bounds(li, OUTLIER_COLS, method="iqr", k=1.5)
+    return Q.outlier_clip(Q.outlier_flag(li, bounds), bounds)

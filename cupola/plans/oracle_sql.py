@@ -23,8 +23,12 @@ def clean(e: str) -> str:
     return f"(case when lower(trim({e})) not in ('', 'null', 'nan') then {e} end)"
 
 
-NORMALISED_SQL = f"""
-with v as ({COUPON_VIEW_SQL}),
+def normalised_sql(extra: tuple[str, ...] = ()) -> str:
+    """The normalised coupon view; ``extra`` lineitem columns are carried through."""
+    view = COUPON_VIEW_SQL.replace("\nfrom lineitem", "".join(f", {c}" for c in extra) + "\nfrom lineitem")
+    more = "".join(f", {c}" for c in extra)
+    return f"""
+with v as ({view}),
 c as (select *, {clean('rate_raw')} as r, {clean('date_raw')} as d from v),
 p as (select *,
         regexp_extract(r, '{LAST_COLON_PATTERN}', 1) as head,
@@ -37,10 +41,13 @@ select l_orderkey, l_linenumber, l_partkey, rate_raw, date_raw, label,
   case when instr(r, ':') > 0 then {num('head')}
        when instr(r, '.') > 0 then cast(0 as double)
        else {num('r')} end as min_spend,
-  case when instr(d, '-') > 0 then {inum('dstrip')} else {inum('d')} end as date_int
+  case when instr(d, '-') > 0 then {inum('dstrip')} else {inum('d')} end as date_int{more}
 from p
 """
 
+
+NORMALISED_SQL = normalised_sql()
+
 SQL: dict[str, str] = {}
 
 SQL["coupon_normalise"] = NORMALISED_SQL
@@ -52,3 +59,83 @@ select cast(floor(discount_rate * 10) as bigint) as band,
        cast(sum(label) as bigint) / count(*) as redeem_rate
 from ({NORMALISED_SQL}) group by 1
 """
+
+
+# --- data quality ---------------------------------------------------------------------
+
+QUASI_VIEW = normalised_sql(("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"))
+
+
+def _quasi_part(col: str) -> str:
+    return f"""select '{col}' as feature, max(n) as top_count, cast(sum(n) as bigint) as non_missing
+      from (select {col}, count(*) as n from q where {col} is not null group by {col})"""
+
+
+QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
+                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+
+SQL["quasi_constant"] = f"""
+with q as ({QUASI_VIEW}),
+t as ({" union all ".join(_quasi_part(c) for c in QUASI_FEATURES)})
+select feature, top_count, coalesce(non_missing, 0) as non_missing,
+       case when non_missing > 0 then top_count / non_missing end as ratio,
+       coalesce(top_count / non_missing > 0.95, false) as flagged
+from t
+"""
+
+EVENTS_GAPS = """
+select event_id, ts, user_id,
+       case when event_type <> 'error' then event_type end as event_type,
+       case when event_type <> 'error' then value end as value, props
+from events
+"""
+
+EVENTS_REPEATS = "select * from events union all select * from events where event_type = 'click'"
+
+
+def _missing_part(col: str) -> str:
+    return f"""select '{col}' as feature, count(*) as n_rows, cast(count_if({col} is null) as bigint) as n_missing,
+      count_if({col} is null) / count(*) as missing_ratio from g"""
+
+
+SQL["missing_report"] = f"""
+with g as ({EVENTS_GAPS})
+{" union all ".join(_missing_part(c) for c in ["event_id", "ts", "user_id", "event_type", "value", "props"])}
+"""
+
+SQL["missing_fill"] = f"""
+with g as ({EVENTS_GAPS})
+select event_id, coalesce(event_type, 'unknown') as event_type,
+       coalesce(value, (select avg(value) from g)) as value,
+       cast(event_type is null as integer) as event_type_missing,
+       cast(value is null as integer) as value_missing
+from g
+"""
+
+SQL["dedup_exact"] = f"select distinct * from ({EVENTS_REPEATS})"
+
+SQL["dedup_keyed"] = f"""
+select user_id, event_type, event_id, ts, value from (
+  select *, row_number() over (partition by user_id, event_type order by ts, event_id) as rn
+  from ({EVENTS_REPEATS})) where rn = 1
+"""
+
+SQL["duplicate_report"] = f"""
+select event_id, count(*) as n_rows from ({EVENTS_REPEATS}) group by event_id having count(*) > 1
+"""
+
+
+def _bounds(col: str) -> str:
+    return f"""quantile_disc({col}, 0.25) - 1.5 * (quantile_disc({col}, 0.75) - quantile_disc({col}, 0.25)) as lo_{col},
+      quantile_disc({col}, 0.75) + 1.5 * (quantile_disc({col}, 0.75) - quantile_disc({col}, 0.25)) as hi_{col}"""
+
+
+OUTLIER_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+SQL["outlier_iqr"] = f"""
+with b as (select {", ".join(_bounds(c) for c in OUTLIER_COLS)} from lineitem)
+select l_orderkey, l_linenumber,
+  {", ".join(f"least(greatest({c}, lo_{c}), hi_{c}) as {c}" for c in OUTLIER_COLS)},
+  {", ".join(f"cast(coalesce({c} < lo_{c} or {c} > hi_{c}, false) as integer) as {c}_outlier" for c in OUTLIER_COLS)}
+from lineitem, b
+"""

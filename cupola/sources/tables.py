@@ -44,17 +44,18 @@ def read_coupons(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Str
     return reader.format(fmt).load(path)
 
 
-def coupon_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coupon_view(spark: SparkSession, sf_dir: str, extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """Raw coupon records derived from ``lineitem`` (FIXTURES.md F4).
 
     Every line item becomes one issued coupon whose discount text cycles through
     the three formats (``a:b``, ``0.xx``, plain integer) plus the ``'null'`` token,
     whose date text alternates ``yyyyMMdd`` / ``yyyy-MM-dd``, and whose label is
     "returned" as a stand-in for "redeemed". Text is built from integers only.
+    ``extra_columns`` carries further ``lineitem`` columns through unchanged.
     """
-    li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax",
-                     "l_shipdate", "l_returnflag"])
+    base = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax",
+            "l_shipdate", "l_returnflag"]
+    li = read_table(spark, sf_dir, "lineitem", base + [c for c in extra_columns if c not in base])
     q = F.col("l_quantity").cast("bigint")
     ln4 = F.col("l_linenumber") % 4
     rate_raw = (
@@ -69,7 +70,7 @@ def coupon_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
     label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
     return li.select("l_orderkey", "l_linenumber", "l_partkey", rate_raw.alias("rate_raw"),
-                     date_raw.alias("date_raw"), label.alias("label"))
+                     date_raw.alias("date_raw"), label.alias("label"), *extra_columns)
 
 
 # DuckDB text of the same view, for oracle queries.
@@ -85,3 +86,19 @@ select l_orderkey, l_linenumber, l_partkey,
   case when l_returnflag='R' then 1 else 0 end as label
 from lineitem
 """
+
+
+def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with missing values where the event carries none (FIXTURES.md F5):
+    error events have no type and no value."""
+    ev = read_table(spark, sf_dir, "events")
+    is_error = F.col("event_type") == "error"
+    return ev.select("event_id", "ts", "user_id",
+                     F.when(~is_error, F.col("event_type")).alias("event_type"),
+                     F.when(~is_error, F.col("value")).alias("value"), "props")
+
+
+def events_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` plus a second copy of every click (duplicate records, FIXTURES.md F5)."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.unionByName(ev.where(F.col("event_type") == "click"))
