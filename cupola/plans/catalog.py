@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cupola.operators import quality as Q
+from cupola.operators import timeline as TL
 from cupola.operators.normalise import discount_band_report, normalise_coupons
 from cupola.sources.tables import coupon_view, events_with_gaps, events_with_repeats, read_table
 
@@ -91,3 +92,46 @@ def q_outlier_iqr(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"] + OUTLIER_COLS)
     bounds = Q.outlier_bounds(li, OUTLIER_COLS, method="iqr", k=1.5)
     return Q.outlier_clip(Q.outlier_flag(li, bounds), bounds)
+
+
+# --- time split, label, behaviour features (B2, B18, B6) --------------------------------
+
+SPLIT_CUTS = ("2024-01-15", "2024-01-23")
+HISTORY_END = "2024-01-20"
+EVENT_TYPES = ("view", "signup", "purchase", "error", "click")
+
+
+@register("time_split")
+def q_time_split(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    return TL.time_split(ev, "ts", SPLIT_CUTS)
+
+
+def _clicks_and_purchases(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type"])
+    return ev.where(F.col("event_type") == "click"), ev.where(F.col("event_type") == "purchase")
+
+
+@register("redemption_label")
+def q_redemption_label(spark, sf_dir):
+    clicks, purchases = _clicks_and_purchases(spark, sf_dir)
+    out = TL.redemption_label(clicks, purchases, ["user_id"], "ts", horizon=86400)
+    return out.select("event_id", "user_id", "ts", "label")
+
+
+@register("entity_features")
+def q_entity_features(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return TL.entity_features(ev, ["user_id"], "ts", HISTORY_END, category_col="event_type",
+                              categories=EVENT_TYPES, amount_cols=("value",), distinct_cols=("event_type",))
+
+
+@register("prior_features")
+def q_prior_features(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "value"])
+    out = TL.prior_features(ev, ["user_id"], "ts", "event_id", {
+        "events": F.lit(1),
+        "purchases": (F.col("event_type") == "purchase").cast("int"),
+        "value_units": F.round(F.col("value") * 100).cast("bigint"),
+    })
+    return out.select("event_id", "user_id", "ts", "prior_events", "prior_purchases", "prior_value_units")

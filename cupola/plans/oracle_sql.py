@@ -139,3 +139,52 @@ select l_orderkey, l_linenumber,
   {", ".join(f"cast(coalesce({c} < lo_{c} or {c} > hi_{c}, false) as integer) as {c}_outlier" for c in OUTLIER_COLS)}
 from lineitem, b
 """
+
+
+# --- time split, label, behaviour features ---------------------------------------------
+
+SQL["time_split"] = """
+select event_id, ts,
+  case when ts is null then null
+       when ts < timestamp '2024-01-15 00:00:00' then 'train'
+       when ts < timestamp '2024-01-23 00:00:00' then 'valid'
+       else 'test' end as split
+from events
+"""
+
+SQL["redemption_label"] = """
+select c.event_id, c.user_id, c.ts,
+  case when exists (select 1 from events p
+                    where p.event_type = 'purchase' and p.user_id = c.user_id
+                      and p.ts >= c.ts and p.ts <= c.ts + interval 1 day) then 1 else 0 end as label
+from events c where c.event_type = 'click'
+"""
+
+_TYPES = ("view", "signup", "purchase", "error", "click")
+
+SQL["entity_features"] = f"""
+with a as (
+  select user_id, count(*) as n_events,
+    {", ".join(f"cast(count_if(event_type = '{t}') as bigint) as n_{t}" for t in _TYPES)},
+    count(distinct cast(ts as date)) as n_active_days,
+    cast(sum(cast(round(value * 100) as bigint)) as bigint) as value_units,
+    count(value) as value_n, min(value) as value_min, max(value) as value_max,
+    count(distinct event_type) as n_distinct_event_type,
+    max(ts) as last_ts
+  from events where ts < timestamp '2024-01-20 00:00:00' group by user_id)
+select user_id, n_events, {", ".join(f"n_{t}" for t in _TYPES)}, n_active_days, value_units,
+  value_min, value_max, n_distinct_event_type, last_ts,
+  {", ".join(f"n_{t} / n_events as {t}_rate" for t in _TYPES)},
+  value_units / value_n / 100 as value_avg,
+  cast(date_diff('day', cast(last_ts as date), date '2024-01-20') as integer) as days_since_last
+from a
+"""
+
+SQL["prior_features"] = """
+select event_id, user_id, ts,
+  cast(coalesce(count(*) over w, 0) as bigint) as prior_events,
+  cast(coalesce(sum(case when event_type = 'purchase' then 1 else 0 end) over w, 0) as bigint) as prior_purchases,
+  cast(coalesce(sum(cast(round(value * 100) as bigint)) over w, 0) as bigint) as prior_value_units
+from events
+window w as (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding)
+"""
