@@ -13,9 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cupola.operators import quality as Q
+from cupola.operators import metrics as M
 from cupola.operators import timeline as TL
 from cupola.operators.normalise import discount_band_report, normalise_coupons
-from cupola.sources.tables import coupon_view, events_with_gaps, events_with_repeats, read_table
+from cupola.sources.tables import (
+    coupon_view,
+    events_with_gaps,
+    events_with_repeats,
+    lineitem_scores,
+    read_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +142,15 @@ def q_prior_features(spark, sf_dir):
         "value_units": F.round(F.col("value") * 100).cast("bigint"),
     })
     return out.select("event_id", "user_id", "ts", "prior_events", "prior_purchases", "prior_value_units")
+
+
+# --- ROC / AUC (B15, B16) ----------------------------------------------------------------
+
+@register("auc")
+def q_auc(spark, sf_dir):
+    return M.auc(lineitem_scores(spark, sf_dir))
+
+
+@register("roc_points")
+def q_roc_points(spark, sf_dir):
+    return M.roc_points(lineitem_scores(spark, sf_dir))

@@ -188,3 +188,41 @@ select event_id, user_id, ts,
 from events
 window w as (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding)
 """
+
+
+# --- ROC / AUC ----------------------------------------------------------------------------
+
+LINEITEM_SCORES = """
+select 'discount' as model, l_orderkey as id, l_discount as score, case when l_returnflag = 'R' then 1 else 0 end as label from lineitem
+union all
+select 'tax', l_orderkey, l_tax, case when l_returnflag = 'R' then 1 else 0 end from lineitem
+union all
+select 'quantity', l_orderkey, l_quantity, case when l_returnflag = 'R' then 1 else 0 end from lineitem
+"""
+
+SCORE_COUNTS = f"""
+select model, score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg
+from ({LINEITEM_SCORES}) where score is not null and label is not null group by model, score
+"""
+
+SQL["auc"] = f"""
+with c as ({SCORE_COUNTS}),
+r as (select *, coalesce(sum(neg) over (partition by model order by score
+                  rows between unbounded preceding and 1 preceding), 0) as neg_below from c)
+select model, cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg,
+  case when sum(pos) * sum(neg) > 0 then
+    sum(cast(pos as double) * (2.0 * cast(neg_below as double) + cast(neg as double)))
+      / (2.0 * cast(sum(pos) as double) * cast(sum(neg) as double)) end as auc
+from r group by model
+"""
+
+SQL["roc_points"] = f"""
+with c as ({SCORE_COUNTS}),
+r as (select model, score,
+        cast(sum(pos) over w as bigint) as tp, cast(sum(neg) over w as bigint) as fp,
+        sum(pos) over (partition by model) as n_pos, sum(neg) over (partition by model) as n_neg
+      from c window w as (partition by model order by score desc rows between unbounded preceding and current row))
+select model, score as threshold, tp, fp,
+  case when n_pos > 0 then tp / n_pos end as tpr, case when n_neg > 0 then fp / n_neg end as fpr
+from r
+"""

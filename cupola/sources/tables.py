@@ -102,3 +102,22 @@ def events_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` plus a second copy of every click (duplicate records, FIXTURES.md F5)."""
     ev = read_table(spark, sf_dir, "events")
     return ev.unionByName(ev.where(F.col("event_type") == "click"))
+
+
+# Scores read off lineitem columns, one "model" per column (FIXTURES.md F7 schema).
+LINEITEM_SCORE_COLUMNS = {"discount": "l_discount", "tax": "l_tax", "quantity": "l_quantity"}
+
+
+def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long score table ``model, id, score, label`` with label = returned item.
+
+    Discrete columns give heavy ties, the hard case for ROC and AUC."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *LINEITEM_SCORE_COLUMNS.values(), "l_returnflag"])
+    label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    parts = [li.select(F.lit(m).alias("model"), F.col("l_orderkey").alias("id"),
+                       F.col(c).cast("double").alias("score"), label.alias("label"))
+             for m, c in LINEITEM_SCORE_COLUMNS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
