@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cupola.operators import quality as Q
 from cupola.operators import metrics as M
+from cupola.operators import select as S
 from cupola.operators import timeline as TL
 from cupola.operators.normalise import discount_band_report, normalise_coupons
 from cupola.sources.tables import (
@@ -154,3 +155,33 @@ def q_auc(spark, sf_dir):
 @register("roc_points")
 def q_roc_points(spark, sf_dir):
     return M.roc_points(lineitem_scores(spark, sf_dir))
+
+
+# --- feature screening (B7, B8, B9) -------------------------------------------------------
+
+CHI_FEATURES = ["l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+CORR_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "label"]
+VIF_FEATURES = ["l_quantity", "l_extendedprice"]
+
+
+def _lineitem_labelled(spark, sf_dir, cols):
+    li = read_table(spark, sf_dir, "lineitem", [c for c in cols if c != "label"] + ["l_returnflag"])
+    return li.withColumn("label", F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
+
+
+@register("chi_square")
+def q_chi_square(spark, sf_dir):
+    out = S.chi_square(_lineitem_labelled(spark, sf_dir, CHI_FEATURES), CHI_FEATURES, "label", with_p_value=False)
+    return out.withColumn("statistic", F.round("statistic", 6))
+
+
+@register("corr_pairs")
+def q_corr_pairs(spark, sf_dir):
+    out = S.corr_pairs(_lineitem_labelled(spark, sf_dir, CORR_FEATURES), CORR_FEATURES)
+    return out.withColumn("corr", F.round("corr", 9))
+
+
+@register("vif_pair")
+def q_vif_pair(spark, sf_dir):
+    out = S.vif(_lineitem_labelled(spark, sf_dir, VIF_FEATURES), VIF_FEATURES)
+    return out.withColumn("vif", F.round("vif", 6))

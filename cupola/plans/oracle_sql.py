@@ -226,3 +226,41 @@ select model, score as threshold, tp, fp,
   case when n_pos > 0 then tp / n_pos end as tpr, case when n_neg > 0 then fp / n_neg end as fpr
 from r
 """
+
+
+# --- feature screening ----------------------------------------------------------------------
+
+_CHI = ["l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+
+SQL["chi_square"] = f"""
+with base as (select cast(case when l_returnflag = 'R' then 1 else 0 end as varchar) as y, {", ".join(_CHI)} from lineitem),
+long as ({" union all ".join(f"select '{c}' as feature, cast({c} as varchar) as x, y from base" for c in _CHI)}),
+cells as (select feature, x, y, count(*) as o from long where x is not null and y is not null group by feature, x, y),
+r as (select feature, x, sum(o) as r from cells group by feature, x),
+c as (select feature, y, sum(o) as c from cells group by feature, y),
+pf as (select feature, cast(sum(r) as bigint) as n, count(*) as n_values from r group by feature),
+pl as (select feature, count(*) as n_labels from c group by feature),
+t as (select cells.feature, sum(cast(o as double) * cast(o as double) / (cast(r as double) * cast(c as double))) as s
+      from cells join r on cells.feature = r.feature and cells.x = r.x
+                 join c on cells.feature = c.feature and cells.y = c.y
+      group by cells.feature)
+select pf.feature, n, n_values, n_labels, (n_values - 1) * (n_labels - 1) as dof,
+       round(cast(n as double) * (s - 1.0), 6) as statistic
+from pf join pl on pf.feature = pl.feature join t on pf.feature = t.feature
+"""
+
+_CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "label"]
+_LABELLED = "select *, case when l_returnflag = 'R' then 1 else 0 end as label from lineitem"
+
+SQL["corr_pairs"] = f"""
+with b as ({_LABELLED})
+{" union all ".join(f"select '{a}' as feature_a, '{b}' as feature_b, round(corr(cast({a} as double), cast({b} as double)), 9) as corr from b"
+                    for i, a in enumerate(_CORR) for b in _CORR[i + 1:])}
+"""
+
+SQL["vif_pair"] = f"""
+with b as ({_LABELLED}), r as (select corr(l_quantity, l_extendedprice) as r from b)
+select 'l_quantity' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
+union all
+select 'l_extendedprice' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
+"""
