@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cupola.operators import quality as Q
 from cupola.operators import metrics as M
+from cupola.operators import models as ML
 from cupola.operators import select as S
 from cupola.operators import timeline as TL
 from cupola.operators.normalise import discount_band_report, normalise_coupons
@@ -21,6 +22,8 @@ from cupola.sources.tables import (
     coupon_view,
     events_with_gaps,
     events_with_repeats,
+    DOC_FEATURES,
+    labelled_documents,
     lineitem_scores,
     read_table,
 )
@@ -185,3 +188,73 @@ def q_corr_pairs(spark, sf_dir):
 def q_vif_pair(spark, sf_dir):
     out = S.vif(_lineitem_labelled(spark, sf_dir, VIF_FEATURES), VIF_FEATURES)
     return out.withColumn("vif", F.round("vif", 6))
+
+
+# --- models (B10-B14, B17) ------------------------------------------------------------------
+
+KNN_K = 5
+
+
+@register("knn_exact")
+def q_knn_exact(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings")
+    nb = ML.knn_neighbours(emb, emb, KNN_K, id_col="vec_id", vec_col="embedding", exclude_self=True)
+    return (ML.knn_vote(nb).join(emb.select(F.col("vec_id").alias("qid"), "label"), "qid")
+            .select(F.col("qid").alias("vec_id"), "label", "pred_label"))
+
+
+@register("adaboost_stump")
+def q_adaboost_stump(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_discount", "l_returnflag"])
+    li = li.select("l_quantity", F.round(F.col("l_discount") * 100).alias("discount_pct"),
+                   F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+    return ML.stump_search(li, ["l_quantity", "discount_pct"], "label")
+
+
+def _docs(spark, sf_dir):
+    return labelled_documents(spark, sf_dir)
+
+
+@register("lr_score")
+def q_lr_score(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return ML.score(ML.fit_logistic(docs, DOC_FEATURES, "label"), docs, "lr", "doc_id", "label")
+
+
+@register("rf_score")
+def q_rf_score(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=20), docs, "rf", "doc_id", "label")
+
+
+@register("adaboost_score")
+def q_adaboost_score(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=8)
+    return ML.adaboost_scores(model, docs, "adaboost", "doc_id", "label")
+
+
+@register("knn_score")
+def q_knn_score(spark, sf_dir):
+    docs = ML.features_to_vector(_docs(spark, sf_dir), DOC_FEATURES)
+    nb = ML.knn_neighbours(docs, docs, 15, id_col="doc_id", vec_col="vec", exclude_self=True)
+    return (ML.knn_score(nb).join(docs.select(F.col("doc_id").alias("qid"), "label"), "qid")
+            .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", "label"))
+
+
+@register("model_compare")
+def q_model_compare(spark, sf_dir):
+    scores = None
+    for key in ("lr_score", "rf_score", "adaboost_score", "knn_score"):
+        part = QUERIES[key](spark, sf_dir)
+        scores = part if scores is None else scores.unionByName(part)
+    return M.compare_models(scores)
+
+
+@register("score_sink")
+def q_score_sink(spark, sf_dir):
+    from cupola.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-lr"
+    ML.write_scores(QUERIES["lr_score"](spark, sf_dir), path)
+    return spark.read.parquet(path)

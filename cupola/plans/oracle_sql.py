@@ -264,3 +264,37 @@ select 'l_quantity' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
 union all
 select 'l_extendedprice' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
 """
+
+
+# --- models ---------------------------------------------------------------------------------
+
+_D2 = ("list_reduce(list_transform(list_zip(q.embedding, t.embedding), "
+       "lambda z: (cast(z[1] as double) - cast(z[2] as double)) * (cast(z[1] as double) - cast(z[2] as double))), "
+       "lambda acc, v: acc + v)")
+
+SQL["knn_exact"] = f"""
+with p as (select q.vec_id as qid, q.label as qlabel, t.vec_id as tid, t.label as tlabel, {_D2} as d2
+           from embeddings q join embeddings t on q.vec_id <> t.vec_id),
+r as (select *, row_number() over (partition by qid order by d2, tid) as rn from p),
+v as (select qid, qlabel, tlabel, count(*) as n from r where rn <= 5 group by qid, qlabel, tlabel),
+w as (select *, row_number() over (partition by qid order by n desc, tlabel) as rn from v)
+select qid as vec_id, qlabel as label, tlabel as pred_label from w where rn = 1
+"""
+
+SQL["adaboost_stump"] = """
+with b as (select case when l_returnflag = 'R' then 1 else 0 end as y, l_quantity as f1,
+                  round(l_discount * 100) as f2 from lineitem),
+long as (select 'l_quantity' as feature, f1 as x, y from b union all select 'discount_pct', f2, y from b),
+tot as (select feature, sum(cast(y as double)) as P, sum(cast(1 - y as double)) as N from long group by feature),
+g as (select feature, x, sum(cast(y as double)) as gp, sum(cast(1 - y as double)) as gn
+      from long where x is not null group by feature, x),
+c as (select feature, x,
+        sum(gp) over (partition by feature order by x rows between unbounded preceding and current row) as pos_le,
+        sum(gn) over (partition by feature order by x rows between unbounded preceding and current row) as neg_le
+      from g),
+e as (select c.feature, x as threshold, 1 as polarity, (neg_le + (P - pos_le)) / (P + N) as error
+      from c join tot on c.feature = tot.feature
+      union all
+      select c.feature, x, -1, (pos_le + (N - neg_le)) / (P + N) from c join tot on c.feature = tot.feature)
+select feature, threshold, polarity, error from e order by error, feature, threshold, polarity desc limit 1
+"""

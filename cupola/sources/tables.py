@@ -121,3 +121,28 @@ def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def document_features(docs: DataFrame) -> DataFrame:
+    """Length features of whole texts: characters, words, distinct words, lines."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.split(F.trim(text), r"\s+")
+    empty = F.trim(text) == ""
+    return docs.select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.when(empty, F.lit(0)).otherwise(F.size(words)).cast("double").alias("n_words"),
+        F.when(empty, F.lit(0)).otherwise(F.size(F.array_distinct(F.split(F.lower(F.trim(text)), r"\s+"))))
+        .cast("double").alias("n_distinct_words"),
+        F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
+    )
+
+
+DOC_FEATURES = ["n_chars", "n_words", "n_distinct_words", "n_lines"]
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
+    """``labels`` joined to the length features of their documents (FIXTURES.md F6)."""
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", target])
+    docs = document_features(read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]))
+    return labels.join(docs, "doc_id").withColumnRenamed(target, "label")
