@@ -45,6 +45,27 @@ def _totals(counts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     return counts.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
+def _ranked(scores: DataFrame, group_cols: list[str], score_col: str, label_col: str, n_buckets: int) -> DataFrame:
+    """Per (group, distinct score): ``pos, neg`` and the running ``tp, fp`` over scores at or
+    above it, plus the group totals ``n_pos, n_neg``."""
+    counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
+    run = running_totals(counts, group_cols, [F.col("score").desc()], -F.col("_sb"),
+                         {"tp": F.col("pos"), "fp": F.col("neg")}, inclusive=True)
+    return run.join(_totals(counts, group_cols), group_cols, "inner")
+
+
+def _auc_ap(ranked: DataFrame, group_cols: list[str]) -> DataFrame:
+    # rows strictly below a score: neg_below = n_neg - fp (fp includes the score itself)
+    neg_below = F.col("n_neg").cast("double") - F.col("fp").cast("double")
+    term = F.col("pos").cast("double") * (F.lit(2.0) * neg_below + F.col("neg").cast("double"))
+    agg = ranked.groupBy(*group_cols).agg(
+        F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"), F.sum(term).alias("_u"),
+        F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("_ap"))
+    denom = F.lit(2.0) * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    return agg.select(*group_cols, "n_pos", "n_neg", F.when(denom > 0, F.col("_u") / denom).alias("auc"),
+                      F.try_divide(F.col("_ap"), F.col("n_pos")).alias("average_precision"))
+
+
 def auc(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
         label_col: str = "label", n_buckets: int = 64) -> DataFrame:
     """Exact ROC AUC per group, ties counted one half (Mann-Whitney).
@@ -54,15 +75,8 @@ def auc(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: st
     exact up to 2^53 and accurate beyond.
     """
     group_cols = list(group_cols)
-    counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
-    run = running_totals(counts, group_cols, [F.col("score")], F.col("_sb"),
-                         {"neg_below": F.col("neg").cast("double")}, inclusive=False)
-    term = F.col("pos").cast("double") * (F.lit(2.0) * F.col("neg_below") + F.col("neg").cast("double"))
-    agg = run.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-                                       F.sum(term).alias("_u"))
-    denom = F.lit(2.0) * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return agg.select(*group_cols, "n_pos", "n_neg",
-                      F.when(denom > 0, F.col("_u") / denom).alias("auc"))
+    return _auc_ap(_ranked(scores, group_cols, score_col, label_col, n_buckets), group_cols) \
+        .drop("average_precision")
 
 
 def roc_points(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
@@ -70,35 +84,35 @@ def roc_points(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_
     """One ROC point per (group, distinct score) taken as threshold (predict 1 when
     ``score >= threshold``): ``tp, fp, tpr, fpr``. The origin (0, 0) is implied."""
     group_cols = list(group_cols)
-    counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
-    run = running_totals(counts, group_cols, [F.col("score").desc()], -F.col("_sb"),
-                         {"tp": F.col("pos"), "fp": F.col("neg")}, inclusive=True)
-    tot = _totals(counts, group_cols)
-    return (
-        run.join(tot, group_cols, "inner")
-        .select(*group_cols, F.col("score").alias("threshold"), "tp", "fp",
-                F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"),
-                F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"))
-    )
+    return _ranked(scores, group_cols, score_col, label_col, n_buckets).select(
+        *group_cols, F.col("score").alias("threshold"), "tp", "fp",
+        F.try_divide(F.col("tp"), F.col("n_pos")).alias("tpr"),
+        F.try_divide(F.col("fp"), F.col("n_neg")).alias("fpr"))
 
 
 def average_precision(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
                       label_col: str = "label", n_buckets: int = 64) -> DataFrame:
     """Area under the precision-recall steps: ``sum_s pos_s * precision_s / P``."""
     group_cols = list(group_cols)
-    counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
-    run = running_totals(counts, group_cols, [F.col("score").desc()], -F.col("_sb"),
-                         {"tp": F.col("pos"), "fp": F.col("neg")}, inclusive=True)
-    return run.groupBy(*group_cols).agg(
-        F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("pos"))
-        .alias("average_precision"))
+    return _auc_ap(_ranked(scores, group_cols, score_col, label_col, n_buckets), group_cols) \
+        .select(*group_cols, "average_precision")
 
 
 def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
-                   label_col: str = "label", threshold: float = 0.5, eps: float = 1e-15) -> DataFrame:
+                   label_col: str = "label", threshold: float = 0.5, eps: float = 1e-15,
+                   materialise: bool = True) -> DataFrame:
     """Per model: rows, class counts, AUC, average precision, accuracy at ``threshold``,
-    log-loss (scores read as probabilities, clipped to [eps, 1-eps]); ranked by AUC."""
+    log-loss (scores read as probabilities, clipped to [eps, 1-eps]); ranked by AUC.
+
+    The score table is read by two aggregates; ``materialise`` writes it once to the
+    checkpoint folder first, so the models behind it are not evaluated twice.
+    """
     group_cols = list(group_cols)
+    if materialise:
+        from cupola.session import checkpoint_dir
+
+        checkpoint_dir(scores.sparkSession)
+        scores = scores.checkpoint(eager=True)
     y = F.col(label_col).cast("double")
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     pred = (F.col(score_col) >= F.lit(threshold)).cast("double")
@@ -107,8 +121,8 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
         F.avg((pred == y).cast("double")).alias("accuracy"),
         F.avg(-(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))).alias("log_loss"),
     )
-    out = (basic.join(auc(scores, group_cols, score_col, label_col), group_cols)
-           .join(average_precision(scores, group_cols, score_col, label_col), group_cols))
+    ranked = _auc_ap(_ranked(scores, group_cols, score_col, label_col, 64), group_cols)
+    out = basic.join(ranked, group_cols)
     # one row per model here, so the unpartitioned ranking window is small
     rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last("auc")))
     return out.withColumn("auc_rank", rank).withColumn("best", F.col("auc_rank") == 1)

@@ -12,6 +12,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -86,6 +89,47 @@ def _array_lit(v) -> Column:
     return F.array(*[F.lit(float(x)) for x in v])
 
 
+def _cell_topk(k: int, exclude_self: bool, chunk_cells: int = 4_000_000):
+    """Per (cell, sub-cell, query part) group: exact squared distances of its queries
+    to its training rows, summed left to right over dimensions in doubles (as the SQL
+    ``aggregate`` does), and the ``k`` nearest per query by ``(dist2, tid)``. Emits
+    at most ``k`` rows per query instead of every pair."""
+
+    def fn(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
+        if qdf.empty or tdf.empty:
+            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "tid": pd.Series(dtype="int64"),
+                                 "tlabel": pd.Series(dtype="int64"), "dist2": pd.Series(dtype="float64")})
+        order = np.argsort(tdf["tid"].to_numpy(), kind="stable")
+        tid = tdf["tid"].to_numpy()[order]
+        tlab = tdf["tlabel"].to_numpy()[order]
+        tv = np.stack(tdf["_v"].to_numpy())[order].astype(np.float64)
+        qid_all = qdf["qid"].to_numpy()
+        qv_all = np.stack(qdf["_qv"].to_numpy()).astype(np.float64)
+        nt, dim = tv.shape
+        step = max(1, chunk_cells // nt)
+        parts = []
+        for s0 in range(0, len(qid_all), step):
+            qv, qid = qv_all[s0:s0 + step], qid_all[s0:s0 + step]
+            acc = np.zeros((len(qv), nt))
+            for j in range(dim):
+                d = qv[:, j, None] - tv[None, :, j]
+                acc += d * d
+            if exclude_self:
+                acc[qid[:, None] == tid[None, :]] = np.inf
+            kk = min(k, nt)
+            kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
+            r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
+            o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (columns are id-sorted)
+            r, c = r[o], c[o]
+            first = np.searchsorted(r, r, side="left")
+            keep = (np.arange(len(r)) - first) < kk
+            r, c = r[keep], c[keep]
+            parts.append(pd.DataFrame({"qid": qid[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c]}))
+        return pd.concat(parts, ignore_index=True)
+
+    return fn
+
+
 def knn_neighbours(
     train: DataFrame,
     query: DataFrame,
@@ -95,86 +139,103 @@ def knn_neighbours(
     label_col: str = "label",
     exclude_self: bool = False,
     n_pivots: int = 32,
-    max_cell_rows: int = 200_000,
+    max_cell_rows: int = 50_000,
+    max_group_queries: int = 50_000,
     seed: int = 17,
     checkpoint: bool = True,
 ) -> DataFrame:
     """The exact ``k`` nearest training rows of every query row:
-    ``qid, tid, dist2, tlabel, rank`` (ties broken by training id).
+    ``qid, tid, tlabel, dist2, rank`` (ties broken by training id).
 
     Pivot-based pruning instead of all pairs:
 
     1. ``n_pivots`` training rows (smallest id hash) become pivots; every training
        row goes to the cell of its nearest pivot; cell radius = farthest member.
     2. For each cell, its ``k`` rows nearest the pivot are anchors; a query's
-       distance to the ``k`` anchors of its own cell bounds its k-th neighbour
+       distance to the anchors of its own cell bounds its k-th neighbour
        distance from above (``U``).
     3. By the triangle inequality a cell ``j`` can hold a row within ``U`` only if
-       ``d(q, pivot_j) - radius_j <= U``; only such (query, cell) pairs are joined
-       with the cell's rows (equi-join on cell id).
-    4. ``row_number() <= k`` per query (partial top-k before the shuffle).
-
-    A cell with more than ``max_cell_rows`` rows is split into sub-cells by a hash
-    of the id, and its queries are replicated to each sub-cell, so a dense region
-    does not land in one task. Only the pivots and per-cell radii/counts (bounded
-    by ``n_pivots``) reach the driver.
+       ``d(q, pivot_j) - radius_j <= U``; only such (query, cell) pairs meet.
+    4. Each (cell, part) group computes its distance block with numpy and keeps
+       ``k`` rows per query (cogrouped ``applyInPandas``); ``row_number() <= k``
+       per query over those candidates gives the answer.
+
+    Group sizes are bounded: a cell with more than ``max_cell_rows`` training rows
+    is split into sub-cells by id hash (its queries are sent to each), and more
+    than ``max_group_queries`` candidate queries are split into parts by query
+    hash (the cell's rows are sent to each part). Only pivots and per-cell
+    radii/counts (bounded by ``n_pivots``) reach the driver.
     """
+    from cupola.session import checkpoint_dir
+
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
     pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
     m = len(pivots)
+    schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
+             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
     if m == 0:
-        return q.select("qid").withColumns({"tid": F.lit(None).cast("long"), "dist2": F.lit(None).cast("double"),
-                                            "tlabel": F.lit(None), "rank": F.lit(None).cast("int")}).limit(0)
+        return q.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
     plits = [_array_lit(p) for p in pivots]
 
     def pivot_dists(v: Column) -> Column:
         return F.array(*[F.sqrt(_sq_dist(v, p)) for p in plits])
 
     tp = t.withColumn("_pd", pivot_dists(F.col("_v")))
-    tp = tp.withColumn("_dc", F.array_min("_pd")).withColumn("cell", F.array_position("_pd", F.col("_dc")) - 1)
+    tp = tp.withColumn("_dc", F.array_min("_pd")).withColumn("cell", F.array_position("_pd", F.col("_dc")) - 1) \
+        .drop("_pd")
     if checkpoint:
-        # read three times below: compute the pivot distances once, into the shared checkpoint folder
-        from cupola.session import checkpoint_dir
-
+        # read several times below: compute the pivot distances once, into the shared checkpoint folder
         checkpoint_dir(tp.sparkSession)
         tp = tp.checkpoint(eager=True)
     stats = {r["cell"]: (r["radius"], r["n"]) for r in
              tp.groupBy("cell").agg(F.max("_dc").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = [stats.get(j, (None, 0))[0] for j in range(m)]
+    radius = [stats.get(j, (0.0, 0))[0] for j in range(m)]
     splits = [max(1, math.ceil(stats.get(j, (0, 0))[1] / max_cell_rows)) for j in range(m)]
-    tp = tp.withColumn("sub", F.pmod(F.xxhash64("tid"), F.element_at(F.array(*[F.lit(s) for s in splits]),
-                                                                    (F.col("cell") + 1).cast("int"))).cast("int"))
 
     qp = q.withColumn("_pd", pivot_dists(F.col("_qv")))
     qp = qp.withColumn("_own", F.array_position("_pd", F.array_min("_pd")) - 1)
+    if checkpoint:
+        # materialise the pivot distances: later filters would otherwise inline (and repeat) them
+        qp = qp.checkpoint(eager=True)
     # anchors: k rows nearest each pivot (one more when a query may meet itself; partial top-k)
     n_anchor = k + (1 if exclude_self else 0)
     anchors = (tp.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("_dc", "tid")))
                .where(F.col("_r") <= n_anchor).select(F.col("cell").alias("_own"), F.col("tid").alias("_aid"),
-                                               F.col("_v").alias("_av")))
+                                                        F.col("_v").alias("_av")))
     bound = qp.join(anchors, "_own")
     if exclude_self:
         bound = bound.where(F.col("_aid") != F.col("qid"))
-    bound = bound.groupBy("qid").agg(F.count(F.lit(1)).alias("_na"), F.max(_sq_dist(F.col("_qv"), F.col("_av")))
-                                     .alias("_u2"))
+    bound = bound.groupBy("qid").agg(F.count(F.lit(1)).alias("_na"),
+                                     F.max(_sq_dist(F.col("_qv"), F.col("_av"))).alias("_u2"))
     big = F.lit(float("inf"))
     u = F.when(F.col("_na") >= k, F.sqrt(F.col("_u2"))).otherwise(big)
     qb = qp.join(bound, "qid", "left").withColumn("_u", F.coalesce(u, big))
     # candidate cells: lower bound d(q, pivot) - radius within U (small slack for rounding)
-    cells = F.array(*[F.struct(F.lit(j).alias("cell"), F.lit(radius[j] if radius[j] is not None else 0.0)
-                               .alias("_rad"), F.lit(splits[j]).alias("_ns")) for j in range(m) if stats.get(j)])
+    cells = F.array(*[F.struct(F.lit(j).alias("cell"), F.lit(float(radius[j])).alias("_rad"))
+                      for j in range(m) if stats.get(j)])
     cand = (qb.select("qid", "_qv", "_pd", "_u", F.explode(cells).alias("_c"))
-            .select("qid", "_qv", "_u", F.col("_c.cell").alias("cell"), F.col("_c._ns").alias("_ns"),
+            .select("qid", "_qv", "_u", F.col("_c.cell").alias("cell"),
                     (F.element_at("_pd", (F.col("_c.cell") + 1).cast("int")) - F.col("_c._rad")).alias("_lb"))
             .where(F.col("_lb") <= F.col("_u") * F.lit(1 + 1e-9) + F.lit(1e-12))
-            .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)))
-            .drop("_ns", "_lb"))
-    pairs = cand.join(tp.select("cell", "sub", "tid", "_v", "tlabel"), ["cell", "sub"])
-    if exclude_self:
-        pairs = pairs.where(F.col("tid") != F.col("qid"))
-    pairs = pairs.select("qid", "tid", "tlabel", _sq_dist(F.col("_qv"), F.col("_v")).alias("dist2"))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist2", "tid")))
+            .select("qid", "_qv", "cell"))
+    if checkpoint:
+        cand = cand.checkpoint(eager=True)
+    qcount = {r["cell"]: r["n"] for r in cand.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    qsplits = [max(1, math.ceil(qcount.get(j, 0) / max_group_queries)) for j in range(m)]
+
+    def per_cell(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("cell") + 1).cast("int"))
+
+    qside = (cand.withColumn("sub", F.explode(F.sequence(F.lit(0), per_cell(splits) - 1)))
+             .withColumn("part", F.pmod(F.xxhash64("qid"), per_cell(qsplits)).cast("int")))
+    tside = (tp.select("cell", "tid", "_v", "tlabel")
+             .withColumn("sub", F.pmod(F.xxhash64("tid"), per_cell(splits)).cast("int"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), per_cell(qsplits) - 1))))
+    near = (qside.groupBy("cell", "sub", "part")
+            .cogroup(tside.groupBy("cell", "sub", "part"))
+            .applyInPandas(_cell_topk(k, exclude_self), schema))
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist2", "tid")))
     return ranked.where(F.col("rank") <= k)
 
 
