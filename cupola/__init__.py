@@ -10,3 +10,11 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions that run inside Python workers (pandas UDFs, cogroup functions) are
+# shipped by value, so executors need no installed copy of this package.
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -258,3 +258,12 @@ def q_score_sink(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/scores-lr"
     ML.write_scores(QUERIES["lr_score"](spark, sf_dir), path)
     return spark.read.parquet(path)
+
+
+# --- end to end (E4) --------------------------------------------------------------------------
+
+@register("redemption_forecast")
+def q_redemption_forecast(spark, sf_dir):
+    from cupola.plans.forecast import redemption_forecast
+
+    return redemption_forecast(spark, sf_dir).comparison
