@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cupola.operators.quantile import exact_quantiles
+
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -165,29 +167,30 @@ def _mode_value(df: DataFrame, c: str):
     return row[0][c] if row else None
 
 
-def fill_values(df: DataFrame, strategies: dict, exact: bool = False, accuracy: int = 10000) -> dict:
+def fill_values(df: DataFrame, strategies: dict, exact: bool = True, accuracy: int = 10000) -> dict:
     """Replacement value per column: ``'mean'``, ``'median'``, ``'mode'`` or a constant.
 
-    Means and medians come from one aggregate over all listed columns; medians use
-    ``percentile_approx`` unless ``exact`` (exact percentiles hold every distinct value).
+    Means come from one aggregate over all listed columns. Medians are exact order
+    statistics (``exact_quantiles``: sketch brackets, then only the rows inside them)
+    or, with ``exact=False``, ``percentile_approx`` values.
     """
-    stats = []
-    for c, how in strategies.items():
-        if how == "mean":
-            stats.append(F.avg(_value(df, c)).alias(c))
-        elif how == "median":
-            med = F.percentile(_value(df, c), 0.5) if exact else F.percentile_approx(_value(df, c), 0.5, accuracy)
-            stats.append(med.alias(c))
-    values = df.select(*stats).first().asDict() if stats else {}
+    means = [F.avg(_value(df, c)).alias(c) for c, how in strategies.items() if how == "mean"]
+    values = df.select(*means).first().asDict() if means else {}
+    approx = [c for c, how in strategies.items() if how == "median" and not exact]
+    if approx:
+        row = df.select(*[F.percentile_approx(_value(df, c), 0.5, accuracy).alias(c) for c in approx]).first()
+        values.update(row.asDict())
     for c, how in strategies.items():
-        if how == "mode":
+        if how == "median" and exact:
+            values[c] = exact_quantiles(df, c, [0.5])[0]
+        elif how == "mode":
             values[c] = _mode_value(df, c)
         elif how not in ("mean", "median"):
             values[c] = how
     return values
 
 
-def fill_missing(df: DataFrame, strategies: dict, add_indicator: bool = False, exact: bool = False) -> DataFrame:
+def fill_missing(df: DataFrame, strategies: dict, add_indicator: bool = False, exact: bool = True) -> DataFrame:
     """Replace missing values (NULL, NaN) per column; optional ``<c>_missing`` 0/1 flags."""
     values = fill_values(df, strategies, exact=exact)
     cols = {}
@@ -243,30 +246,32 @@ def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], method: str = "iqr", k: float = 1.5,
-                   exact: bool = False, accuracy: int = 10000) -> dict[str, tuple[float, float]]:
-    """(low, high) per column from one aggregate.
+                   exact: bool = True, accuracy: int = 10000) -> dict[str, tuple[float, float]]:
+    """(low, high) per column.
 
-    ``iqr``: [q1 - k*IQR, q3 + k*IQR] with quartiles from ``percentile_approx``
-    (or exact ``percentile``, which holds every distinct value); ``sigma``:
-    mean -/+ k * sample standard deviation.
+    ``iqr``: [q1 - k*IQR, q3 + k*IQR] with linearly interpolated quartiles, exact
+    (``exact_quantiles``) or from ``percentile_approx``; ``sigma``: mean -/+ k *
+    sample standard deviation from one aggregate.
     """
-    aggs = []
-    for i, c in enumerate(cols):
-        v = _value(df, c)
-        if method == "iqr":
-            if exact:
-                aggs += [F.percentile(v, 0.25).alias(f"_a{i}"), F.percentile(v, 0.75).alias(f"_b{i}")]
-            else:
+    if method not in ("iqr", "sigma"):
+        raise ValueError("method must be 'iqr' or 'sigma'")
+    stats = {}
+    if method == "iqr" and exact:
+        stats = {c: tuple(exact_quantiles(df, c, [0.25, 0.75])) for c in cols}
+    else:
+        aggs = []
+        for i, c in enumerate(cols):
+            v = _value(df, c)
+            if method == "iqr":
                 q = F.percentile_approx(v, [0.25, 0.75], accuracy)
                 aggs += [q[0].alias(f"_a{i}"), q[1].alias(f"_b{i}")]
-        elif method == "sigma":
-            aggs += [F.avg(v).alias(f"_a{i}"), F.stddev_samp(v).alias(f"_b{i}")]
-        else:
-            raise ValueError("method must be 'iqr' or 'sigma'")
-    row = df.select(*aggs).first()
+            else:
+                aggs += [F.avg(v).alias(f"_a{i}"), F.stddev_samp(v).alias(f"_b{i}")]
+        row = df.select(*aggs).first()
+        stats = {c: (row[f"_a{i}"], row[f"_b{i}"]) for i, c in enumerate(cols)}
     bounds = {}
-    for i, c in enumerate(cols):
-        a, b = row[f"_a{i}"], row[f"_b{i}"]
+    for c in cols:
+        a, b = stats[c]
         if a is None or b is None:
             bounds[c] = (None, None)
         elif method == "iqr":

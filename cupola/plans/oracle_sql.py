@@ -106,7 +106,7 @@ with g as ({EVENTS_GAPS})
 SQL["missing_fill"] = f"""
 with g as ({EVENTS_GAPS})
 select event_id, coalesce(event_type, 'unknown') as event_type,
-       coalesce(value, (select avg(value) from g)) as value,
+       coalesce(value, (select quantile_cont(value, 0.5) from g)) as value,
        cast(event_type is null as integer) as event_type_missing,
        cast(value is null as integer) as value_missing
 from g
@@ -126,8 +126,8 @@ select event_id, count(*) as n_rows from ({EVENTS_REPEATS}) group by event_id ha
 
 
 def _bounds(col: str) -> str:
-    return f"""quantile_disc({col}, 0.25) - 1.5 * (quantile_disc({col}, 0.75) - quantile_disc({col}, 0.25)) as lo_{col},
-      quantile_disc({col}, 0.75) + 1.5 * (quantile_disc({col}, 0.75) - quantile_disc({col}, 0.25)) as hi_{col}"""
+    return f"""quantile_cont({col}, 0.25) - 1.5 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) as lo_{col},
+      quantile_cont({col}, 0.75) + 1.5 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) as hi_{col}"""
 
 
 OUTLIER_COLS = ["l_quantity", "l_discount", "l_tax"]
