@@ -182,8 +182,8 @@ def knn_neighbours(
         return F.array(*[F.sqrt(_sq_dist(v, p)) for p in plits])
 
     tp = t.withColumn("_pd", pivot_dists(F.col("_v")))
-    tp = tp.withColumn("_dc", F.array_min("_pd")).withColumn("cell", F.array_position("_pd", F.col("_dc")) - 1) \
-        .drop("_pd")
+    tp = tp.withColumn("_dc", F.array_min("_pd")) \
+        .withColumn("cell", (F.array_position("_pd", F.col("_dc")) - 1).cast("int")).drop("_pd")
     if checkpoint:
         # read several times below: compute the pivot distances once, into the shared checkpoint folder
         checkpoint_dir(tp.sparkSession)
@@ -194,7 +194,7 @@ def knn_neighbours(
     splits = [max(1, math.ceil(stats.get(j, (0, 0))[1] / max_cell_rows)) for j in range(m)]
 
     qp = q.withColumn("_pd", pivot_dists(F.col("_qv")))
-    qp = qp.withColumn("_own", F.array_position("_pd", F.array_min("_pd")) - 1)
+    qp = qp.withColumn("_own", (F.array_position("_pd", F.array_min("_pd")) - 1).cast("int"))
     if checkpoint:
         # materialise the pivot distances: later filters would otherwise inline (and repeat) them
         qp = qp.checkpoint(eager=True)
@@ -215,7 +215,7 @@ def knn_neighbours(
     cells = F.array(*[F.struct(F.lit(j).alias("cell"), F.lit(float(radius[j])).alias("_rad"))
                       for j in range(m) if stats.get(j)])
     cand = (qb.select("qid", "_qv", "_pd", "_u", F.explode(cells).alias("_c"))
-            .select("qid", "_qv", "_u", F.col("_c.cell").alias("cell"),
+            .select("qid", "_qv", "_u", F.col("_c.cell").cast("int").alias("cell"),
                     (F.element_at("_pd", (F.col("_c.cell") + 1).cast("int")) - F.col("_c._rad")).alias("_lb"))
             .where(F.col("_lb") <= F.col("_u") * F.lit(1 + 1e-9) + F.lit(1e-12))
             .select("qid", "_qv", "cell"))
@@ -232,6 +232,7 @@ def knn_neighbours(
     tside = (tp.select("cell", "tid", "_v", "tlabel")
              .withColumn("sub", F.pmod(F.xxhash64("tid"), per_cell(splits)).cast("int"))
              .withColumn("part", F.explode(F.sequence(F.lit(0), per_cell(qsplits) - 1))))
+    # both sides group on (int, int, int): equal key types hash to the same partition
     near = (qside.groupBy("cell", "sub", "part")
             .cogroup(tside.groupBy("cell", "sub", "part"))
             .applyInPandas(_cell_topk(k, exclude_self), schema))

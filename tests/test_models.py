@@ -126,3 +126,22 @@ def test_read_coupons_csv(spark, tmp_path):
     df = read_coupons(spark, str(p))
     assert df.count() == 2 and dict(df.dtypes)["rate_raw"] == "string"
     assert np.isclose([r.rate_raw for r in df.collect()].count("0.9"), 1)
+
+
+def test_knn_exact_on_embeddings_many_partitions(spark):
+    """2,000 x 64 embeddings: groups spread over all shuffle partitions."""
+    emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    nb = ML.knn_neighbours(emb, emb, 5, id_col="vec_id", vec_col="embedding", exclude_self=True)
+    got = {}
+    for r in nb.orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append(r.tid)
+    pdf = emb.toPandas()
+    ids = pdf.vec_id.to_numpy()
+    v = np.stack(pdf.embedding.to_numpy()).astype(np.float64)
+    for i in range(len(ids)):
+        acc = np.zeros(len(ids))
+        for j in range(v.shape[1]):
+            d = v[i, j] - v[:, j]
+            acc += d * d
+        acc[i] = np.inf
+        assert got[int(ids[i])] == [int(x) for x in ids[np.lexsort((ids, acc))[:5]]]
