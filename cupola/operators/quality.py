@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupola.operators.quantile import exact_quantiles
+from cupola.operators.quantile import exact_quantiles_many
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -180,10 +180,11 @@ def fill_values(df: DataFrame, strategies: dict, exact: bool = True, accuracy: i
     if approx:
         row = df.select(*[F.percentile_approx(_value(df, c), 0.5, accuracy).alias(c) for c in approx]).first()
         values.update(row.asDict())
+    medians = [c for c, how in strategies.items() if how == "median" and exact]
+    if medians:
+        values.update({c: q[0] for c, q in exact_quantiles_many(df, {c: [0.5] for c in medians}).items()})
     for c, how in strategies.items():
-        if how == "median" and exact:
-            values[c] = exact_quantiles(df, c, [0.5])[0]
-        elif how == "mode":
+        if how == "mode":
             values[c] = _mode_value(df, c)
         elif how not in ("mean", "median"):
             values[c] = how
@@ -257,7 +258,7 @@ def outlier_bounds(df: DataFrame, cols: Sequence[str], method: str = "iqr", k: f
         raise ValueError("method must be 'iqr' or 'sigma'")
     stats = {}
     if method == "iqr" and exact:
-        stats = {c: tuple(exact_quantiles(df, c, [0.25, 0.75])) for c in cols}
+        stats = {c: tuple(q) for c, q in exact_quantiles_many(df, {c: [0.25, 0.75] for c in cols}).items()}
     else:
         aggs = []
         for i, c in enumerate(cols):

@@ -2,11 +2,12 @@
 
 Spark's exact ``percentile`` keeps a count per distinct value and merges them in
 a single task for a global aggregate; ``percentile_approx`` is cheap but can be
-off by a few ranks. Here a sketch pass brackets each wanted rank (GK rank error
+off by a few ranks. Here one sketch pass brackets each wanted rank (GK rank error
 is at most n/accuracy), one aggregate counts the rows below each bracket, and
 only the rows inside the brackets are grouped by value and brought back, a
 bounded number (``collect_limit``); a bracket that is still too wide is narrowed
-again on its own rows. Results equal the exact order statistics.
+again on its own rows. Results equal the exact order statistics. Several
+columns share the same three passes.
 """
 
 from __future__ import annotations
@@ -18,86 +19,130 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _values(df: DataFrame) -> DataFrame:
-    x = F.col("_x")
-    return df.where(x.isNotNull() & ~F.isnan(x))
+def _clean(c: str):
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
-def _resolve_in(band: DataFrame, lo, hi, ranks: list[int]) -> dict[int, float]:
-    """Values at ``ranks`` (0-based, counted within ``band``) by grouping the band by value."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("_x") >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (F.col("_x") <= F.lit(hi))
-    rows = sorted((r["_x"], r["n"]) for r in band.where(cond).groupBy("_x").agg(F.count(F.lit(1)).alias("n"))
-                  .collect())
+def _pick(sorted_counts: list[tuple[float, int]], ranks: list[int]) -> dict[int, float]:
     out, seen, i = {}, 0, 0
     for r in sorted(set(ranks)):
-        while seen + rows[i][1] <= r:
-            seen += rows[i][1]
+        while seen + sorted_counts[i][1] <= r:
+            seen += sorted_counts[i][1]
             i += 1
-        out[r] = rows[i][0]
+        out[r] = sorted_counts[i][0]
     return out
 
 
-def _ranks_exact(base: DataFrame, n: int, ranks: list[int], accuracy: int, collect_limit: int,
-                 depth: int = 0) -> dict[int, float]:
-    if n <= collect_limit or depth > 6:
-        return _resolve_in(base, None, None, ranks)
-    slack = 2 * n / accuracy + 2
-    fracs = []
-    for r in ranks:
-        fracs += [max(0.0, (r - slack) / n), min(1.0, (r + 1 + slack) / n)]
-    q = base.select(F.percentile_approx("_x", fracs, accuracy).alias("q")).first()["q"]
-    brackets = {r: (q[2 * i], q[2 * i + 1]) for i, r in enumerate(ranks)}
-    counts = base.select(*[F.count_if(F.col("_x") < F.lit(a)).alias(f"lt{i}") for i, (a, _) in
-                           enumerate(brackets.values())],
-                         *[F.count_if(F.col("_x") <= F.lit(b)).alias(f"le{i}") for i, (_, b) in
-                           enumerate(brackets.values())]).first()
-    out = {}
-    small: dict[tuple, list[int]] = {}
-    for i, r in enumerate(ranks):
-        a, b = brackets[r]
-        lt, le = counts[f"lt{i}"], counts[f"le{i}"]
-        if not (lt <= r < le):  # sketch guarantee missed: search the whole input again, wider
-            out.update(_ranks_exact(base, n, [r], max(accuracy // 4, 100), collect_limit, depth + 1))
-            continue
-        band_n = le - lt
-        if band_n <= collect_limit:
-            small.setdefault((a, b, lt), []).append(r)
+def _band_counts(df: DataFrame, bands: list[tuple[int, str, float | None, float | None]]) -> dict[int, list]:
+    """For each band ``(key, column, lo, hi)``: sorted (value, count) of the column's
+    values in [lo, hi], all bands in one grouped aggregate."""
+    structs = []
+    for key, c, lo, hi in bands:
+        x = _clean(c)
+        cond = x.isNotNull()
+        if lo is not None:
+            cond = cond & (x >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (x <= F.lit(hi))
+        structs.append(F.struct(F.lit(key).alias("k"), x.alias("x"), cond.alias("keep")))
+    rows = (df.select(F.inline(F.array(*structs))).where(F.col("keep"))
+            .groupBy("k", "x").agg(F.count(F.lit(1)).alias("n")).collect())
+    out: dict[int, list] = {key: [] for key, *_ in bands}
+    for r in rows:
+        out[r["k"]].append((r["x"], r["n"]))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def _ranks_exact(df: DataFrame, wanted: dict[str, tuple[int, list[int]]], accuracy: int, collect_limit: int,
+                 depth: int = 0) -> dict[str, dict[int, float]]:
+    """``wanted``: column -> (n, ranks within the column's non-missing values)."""
+    out: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    small = {c: v for c, v in wanted.items() if v[0] <= collect_limit or depth > 6}
+    big = {c: v for c, v in wanted.items() if c not in small}
+    if small:
+        keyed = list(small)
+        got = _band_counts(df, [(i, c, None, None) for i, c in enumerate(keyed)])
+        for i, c in enumerate(keyed):
+            out[c].update(_pick(got[i], small[c][1]))
+    if not big:
+        return out
+    # pass 1: brackets from the sketch (one sketch per column, all its fractions at once)
+    fr: dict[str, list[float]] = {}
+    targets = []
+    for c, (n, ranks) in big.items():
+        slack = 2 * n / accuracy + 2
+        for r in ranks:
+            targets.append((c, r, len(fr.setdefault(c, []))))
+            fr[c] += [max(0.0, (r - slack) / n), min(1.0, (r + 1 + slack) / n)]
+    keyed = list(fr)
+    sketch = df.select(*[F.percentile_approx(_clean(c), fr[c], accuracy).alias(f"q{i}")
+                         for i, c in enumerate(keyed)]).first()
+    brackets = [(sketch[f"q{keyed.index(c)}"][j], sketch[f"q{keyed.index(c)}"][j + 1]) for c, _, j in targets]
+    targets = [(c, r) for c, r, _ in targets]
+    # pass 2: rows below / within each bracket
+    cnt = df.select(*[F.count_if(_clean(c) < F.lit(a)).alias(f"lt{i}") for i, ((c, _), (a, _b))
+                      in enumerate(zip(targets, brackets))],
+                    *[F.count_if(_clean(c) <= F.lit(b)).alias(f"le{i}") for i, ((c, _), (_a, b))
+                      in enumerate(zip(targets, brackets))]).first()
+    bands, redo = [], {}
+    for i, ((c, r), (a, b)) in enumerate(zip(targets, brackets)):
+        lt, le = cnt[f"lt{i}"], cnt[f"le{i}"]
+        if not (lt <= r < le):
+            # the sketch missed (should not happen): look again with a finer sketch
+            redo.setdefault(c, (big[c][0], []))[1].append(r)
+        elif le - lt <= collect_limit:
+            bands.append((len(bands), c, a, b, r, lt))
         else:
-            band = base.where((F.col("_x") >= F.lit(a)) & (F.col("_x") <= F.lit(b)))
-            sub = _ranks_exact(band, band_n, [r - lt], accuracy, collect_limit, depth + 1)
-            out[r] = sub[r - lt]
-    for (a, b, lt), rs in small.items():
-        got = _resolve_in(base, a, b, [r - lt for r in rs])
-        out.update({r: got[r - lt] for r in rs})
+            band = df.where((_clean(c) >= F.lit(a)) & (_clean(c) <= F.lit(b))).select(F.col(c))
+            sub = _ranks_exact(band, {c: (le - lt, [r - lt])}, accuracy, collect_limit, depth + 1)
+            out[c][r] = sub[c][r - lt]
+    # pass 3: the rows inside the brackets, grouped by value
+    if bands:
+        got = _band_counts(df, [(k, c, a, b) for k, c, a, b, _, _ in bands])
+        for k, c, a, b, r, lt in bands:
+            out[c][r] = _pick(got[k], [r - lt])[r - lt]
+    for c, (n, ranks) in redo.items():
+        sub = _ranks_exact(df, {c: (n, ranks)}, max(accuracy * 4, 100), collect_limit, depth + 1)
+        out[c].update(sub[c])
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], interpolation: str = "linear",
-                    accuracy: int = 10000, collect_limit: int = 100_000) -> list[float | None]:
-    """Exact quantiles of a numeric column (NULL and NaN left out).
+def exact_quantiles_many(df: DataFrame, probs: dict[str, Sequence[float]], interpolation: str = "linear",
+                         accuracy: int = 10000, collect_limit: int = 100_000) -> dict[str, list[float | None]]:
+    """Exact quantiles of several numeric columns (NULL and NaN left out), sharing passes.
 
     ``interpolation="linear"``: at position ``(n-1)*p``, ``lo + (pos - floor(pos)) * (hi - lo)``;
     ``"lower"``: the value at rank ``floor((n-1)*p)``. ``None`` for an empty column.
     """
-    base = _values(df.select(F.col(col).cast("double").alias("_x")))
-    n = base.count()
-    if n == 0:
-        return [None for _ in probs]
-    wanted = []
-    for p in probs:
-        pos = (n - 1) * p
-        wanted += [math.floor(pos), math.ceil(pos)]
-    vals = _ranks_exact(base, n, sorted(set(wanted)), accuracy, collect_limit)
-    out = []
-    for p in probs:
-        pos = (n - 1) * p
-        lo, hi = vals[math.floor(pos)], vals[math.ceil(pos)]
-        if interpolation == "lower" or lo == hi:
-            out.append(lo)
-        else:
-            out.append(lo + (pos - math.floor(pos)) * (hi - lo))
+    cols = list(probs)
+    counts = df.select(*[F.count(_clean(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    wanted = {}
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        if n:
+            ranks = set()
+            for p in probs[c]:
+                pos = (n - 1) * p
+                ranks |= {math.floor(pos), math.ceil(pos)}
+            wanted[c] = (n, sorted(ranks))
+    vals = _ranks_exact(df, wanted, accuracy, collect_limit) if wanted else {}
+    out = {}
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        res = []
+        for p in probs[c]:
+            if not n:
+                res.append(None)
+                continue
+            pos = (n - 1) * p
+            lo, hi = vals[c][math.floor(pos)], vals[c][math.ceil(pos)]
+            res.append(lo if interpolation == "lower" or lo == hi else lo + (pos - math.floor(pos)) * (hi - lo))
+        out[c] = res
     return out
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], interpolation: str = "linear",
+                    accuracy: int = 10000, collect_limit: int = 100_000) -> list[float | None]:
+    """Exact quantiles of one numeric column; see ``exact_quantiles_many``."""
+    return exact_quantiles_many(df, {col: probs}, interpolation, accuracy, collect_limit)[col]
