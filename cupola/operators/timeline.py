@@ -127,11 +127,13 @@ def entity_features(
     amount_cols: Sequence[str] = (),
     amount_scale: int = 100,
     distinct_cols: Sequence[str] = (),
+    flag_cols: Sequence[str] = (),
     prefix: str = "",
 ) -> DataFrame:
     """One row per entity (``keys``) from its rows in ``[history_start, history_end)``.
 
-    Features: ``n_events``; per category ``n_<c>`` and ``<c>_rate``;
+    Features: ``n_events``; per category ``n_<c>`` and ``<c>_rate``; per 0/1 flag
+    column ``n_<f>`` and ``<f>_rate``;
     ``n_active_days``; per amount column ``<a>_units`` (exact sum, in units of
     1/amount_scale), ``<a>_avg``, ``<a>_min``, ``<a>_max``; per distinct column
     ``n_distinct_<d>``; ``last_ts`` and ``days_since_last`` (to the history end).
@@ -143,6 +145,8 @@ def entity_features(
     aggs = [n.alias("n_events")]
     for c in categories:
         aggs.append(F.count_if(F.col(category_col) == F.lit(c)).alias(f"n_{c}"))
+    for f in flag_cols:
+        aggs.append(F.sum(F.col(f).cast("bigint")).alias(f"n_{f}"))
     aggs.append(F.count_distinct(F.to_date(F.col(ts_col))).alias("n_active_days"))
     for a in amount_cols:
         units = F.round(F.col(a) * F.lit(amount_scale)).cast("bigint")
@@ -153,7 +157,7 @@ def entity_features(
     aggs.append(F.max(ts_col).alias("last_ts"))
     out = hist.groupBy(*keys).agg(*aggs)
     derived = {}
-    for c in categories:
+    for c in [*categories, *flag_cols]:
         derived[f"{c}_rate"] = F.col(f"n_{c}") / F.col("n_events")
     for a in amount_cols:
         derived[f"{a}_avg"] = F.try_divide(F.col(f"{a}_units"), F.col(f"_{a}_n")) / F.lit(amount_scale)
@@ -192,3 +196,19 @@ def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], f
     """
     out = target.join(features, list(keys), "left")
     return out.fillna(fill) if fill else out
+
+
+def coupon_features(coupons: DataFrame, key_sets: dict[str, Sequence[str]], ts_col: str, history_end,
+                    history_start=None, label_col: str = "label", amount_cols: Sequence[str] = ("min_spend",),
+                    distinct_cols: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+    """The feature family per entity kind (for example ``{"user": [...], "merchant": [...],
+    "coupon": [...], "user_merchant": [...]}``): coupon counts, redemptions and their rate,
+    amount statistics, distinct partners, activity days and recency, each from the
+    history window only, with columns prefixed by the kind."""
+    distinct_cols = distinct_cols or {}
+    return {
+        kind: entity_features(coupons, keys, ts_col, history_end, history_start, amount_cols=amount_cols,
+                              distinct_cols=distinct_cols.get(kind, ()), flag_cols=(label_col,),
+                              prefix=f"{kind}_")
+        for kind, keys in key_sets.items()
+    }

@@ -268,3 +268,27 @@ def q_redemption_forecast(spark, sf_dir):
     from cupola.plans.forecast import redemption_forecast
 
     return redemption_forecast(spark, sf_dir).comparison
+
+
+# --- coupon feature family per merchant and per user x merchant (B6) ----------------------
+
+COUPON_HISTORY_END = "1997-01-01"
+
+
+def _coupons_with_parties(spark, sf_dir):
+    view = normalise_coupons(coupon_view(spark, sf_dir, extra_columns=("l_suppkey", "l_shipdate")), with_day=False)
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    return view.join(orders, view.l_orderkey == orders.o_orderkey, "inner").drop("o_orderkey")
+
+
+@register("merchant_features")
+def q_merchant_features(spark, sf_dir):
+    view = normalise_coupons(coupon_view(spark, sf_dir, extra_columns=("l_suppkey", "l_shipdate")), with_day=False)
+    return TL.coupon_features(view, {"merchant": ["l_suppkey"]}, "l_shipdate", COUPON_HISTORY_END,
+                              distinct_cols={"merchant": ["l_partkey"]})["merchant"]
+
+
+@register("user_merchant_features")
+def q_user_merchant_features(spark, sf_dir):
+    return TL.coupon_features(_coupons_with_parties(spark, sf_dir), {"um": ["o_custkey", "l_suppkey"]},
+                              "l_shipdate", COUPON_HISTORY_END)["um"]

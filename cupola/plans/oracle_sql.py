@@ -298,3 +298,38 @@ e as (select c.feature, x as threshold, 1 as polarity, (neg_le + (P - pos_le)) /
       select c.feature, x, -1, (pos_le + (N - neg_le)) / (P + N) from c join tot on c.feature = tot.feature)
 select feature, threshold, polarity, error from e order by error, feature, threshold, polarity desc limit 1
 """
+
+
+# --- coupon feature family ------------------------------------------------------------------
+
+
+def _coupon_family(keys: list[str], prefix: str, source: str, distinct: list[str]) -> str:
+    k = ", ".join(keys)
+    dist = "".join(f", count(distinct {d}) as n_distinct_{d}" for d in distinct)
+    dist_out = "".join(f", n_distinct_{d} as {prefix}n_distinct_{d}" for d in distinct)
+    return f"""
+with s as ({source}),
+a as (
+  select {k}, count(*) as n_events, cast(sum(label) as bigint) as n_label,
+    count(distinct cast(l_shipdate as date)) as n_active_days,
+    cast(sum(cast(round(min_spend * 100) as bigint)) as bigint) as min_spend_units,
+    count(min_spend) as ms_n, min(min_spend) as min_spend_min, max(min_spend) as min_spend_max{dist},
+    max(l_shipdate) as last_ts
+  from s where l_shipdate < timestamp '1997-01-01 00:00:00' group by {k})
+select {k}, n_events as {prefix}n_events, n_label as {prefix}n_label, n_active_days as {prefix}n_active_days,
+  min_spend_units as {prefix}min_spend_units, min_spend_min as {prefix}min_spend_min,
+  min_spend_max as {prefix}min_spend_max{dist_out}, last_ts as {prefix}last_ts,
+  n_label / n_events as {prefix}label_rate,
+  case when ms_n > 0 then min_spend_units / ms_n end / 100 as {prefix}min_spend_avg,
+  cast(date_diff('day', cast(last_ts as date), date '1997-01-01') as integer) as {prefix}days_since_last
+from a
+"""
+
+
+SQL["merchant_features"] = _coupon_family(["l_suppkey"], "merchant_", normalised_sql(("l_suppkey", "l_shipdate")),
+                                          ["l_partkey"])
+
+SQL["user_merchant_features"] = _coupon_family(
+    ["o_custkey", "l_suppkey"], "um_",
+    f"select n.*, o.o_custkey from ({normalised_sql(('l_suppkey', 'l_shipdate'))}) n "
+    "join orders o on n.l_orderkey = o.o_orderkey", [])
