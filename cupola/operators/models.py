@@ -8,6 +8,7 @@ Every model emits the same long score table ``model, id, score, label`` that
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -85,8 +86,9 @@ def _sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _array_lit(v) -> Column:
-    return F.array(*[F.lit(float(x)) for x in v])
+def _const(value, ddl: str) -> Column:
+    """A constant of any shape as one JSON literal; doubles round-trip exactly."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
 
 
 def _cell_topk(k: int, exclude_self: bool, chunk_cells: int = 4_000_000):
@@ -176,10 +178,11 @@ def knn_neighbours(
              f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
     if m == 0:
         return q.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
-    plits = [_array_lit(p) for p in pivots]
+    # all pivots as one constant (folded once by the optimizer): expression size does not grow with m
+    plit = _const(pivots, "array<array<double>>")
 
     def pivot_dists(v: Column) -> Column:
-        return F.array(*[F.sqrt(_sq_dist(v, p)) for p in plits])
+        return F.transform(plit, lambda p: F.sqrt(_sq_dist(v, p)))
 
     tp = t.withColumn("_pd", pivot_dists(F.col("_v")))
     tp = tp.withColumn("_dc", F.array_min("_pd")) \
@@ -212,8 +215,8 @@ def knn_neighbours(
     u = F.when(F.col("_na") >= k, F.sqrt(F.col("_u2"))).otherwise(big)
     qb = qp.join(bound, "qid", "left").withColumn("_u", F.coalesce(u, big))
     # candidate cells: lower bound d(q, pivot) - radius within U (small slack for rounding)
-    cells = F.array(*[F.struct(F.lit(j).alias("cell"), F.lit(float(radius[j])).alias("_rad"))
-                      for j in range(m) if stats.get(j)])
+    cells = _const([{"cell": j, "_rad": float(radius[j])} for j in range(m) if stats.get(j)],
+                   "array<struct<cell:int,_rad:double>>")
     cand = (qb.select("qid", "_qv", "_pd", "_u", F.explode(cells).alias("_c"))
             .select("qid", "_qv", "_u", F.col("_c.cell").cast("int").alias("cell"),
                     (F.element_at("_pd", (F.col("_c.cell") + 1).cast("int")) - F.col("_c._rad")).alias("_lb"))
@@ -225,7 +228,7 @@ def knn_neighbours(
     qsplits = [max(1, math.ceil(qcount.get(j, 0) / max_group_queries)) for j in range(m)]
 
     def per_cell(values: list[int]) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("cell") + 1).cast("int"))
+        return F.element_at(_const(values, "array<int>"), (F.col("cell") + 1).cast("int"))
 
     qside = (cand.withColumn("sub", F.explode(F.sequence(F.lit(0), per_cell(splits) - 1)))
              .withColumn("part", F.pmod(F.xxhash64("qid"), per_cell(qsplits)).cast("int")))
@@ -302,6 +305,45 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     return cands.orderBy("error", "feature", "threshold", F.desc("polarity")).limit(1)
 
 
+def _weighted_histogram(df: DataFrame, features: Sequence[str], label: str, weight: Column) -> list:
+    """(feature, value, positive weight, negative weight) per binned value, NULL value
+    included: one grouped aggregate, at most features x (bins + 1) rows back."""
+    y = F.col(label).cast("int")
+    base = df.select(weight.cast("double").alias("_w"), y.alias("_y"), F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_x")) for f in features])))
+    return base.groupBy("feature", "_x").agg(
+        F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(F.lit(0.0))).alias("wp"),
+        F.sum(F.when(F.col("_y") == 1, F.lit(0.0)).otherwise(F.col("_w"))).alias("wn")).collect()
+
+
+def _best_stump(hist: list, features: Sequence[str]) -> dict | None:
+    """The stump ``stump_search`` would pick, searched on the small histogram."""
+    best = None
+    for f in sorted(features):
+        rows = [r for r in hist if r["feature"] == f]
+        if not rows:
+            continue
+        vals = sorted((r["_x"], r["wp"], r["wn"]) for r in rows if r["_x"] is not None)
+        p_tot = sum(r["wp"] for r in rows)
+        n_tot = sum(r["wn"] for r in rows)
+        if not vals or p_tot + n_tot <= 0:
+            continue
+        x = np.array([v[0] for v in vals])
+        pos_le = np.cumsum([v[1] for v in vals])
+        neg_le = np.cumsum([v[2] for v in vals])
+        total = p_tot + n_tot
+        err_plus = (neg_le + (p_tot - pos_le)) / total
+        err_minus = (pos_le + (n_tot - neg_le)) / total
+        for errs, pol in ((err_plus, 1), (err_minus, -1)):
+            i = int(np.argmin(errs))  # first minimum = smallest threshold
+            cand = (float(errs[i]), f, float(x[i]), -pol)
+            if best is None or cand < best:
+                best = cand
+    if best is None:
+        return None
+    return {"error": best[0], "feature": best[1], "threshold": best[2], "polarity": -best[3]}
+
+
 @dataclass
 class AdaBoostModel:
     features: list[str]
@@ -362,7 +404,7 @@ def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int
     y = F.col(label).cast("double") * F.lit(2.0) - F.lit(1.0)
     for _ in range(rounds):
         w = F.exp(F.lit(-0.5) * y * model.margin())
-        best = stump_search(base, feats, label, w).first()
+        best = _best_stump(_weighted_histogram(base, feats, label, w), feats)
         if best is None:
             break
         e = float(best["error"])

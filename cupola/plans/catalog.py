@@ -18,6 +18,7 @@ from cupola.operators import models as ML
 from cupola.operators import select as S
 from cupola.operators import timeline as TL
 from cupola.operators.normalise import discount_band_report, normalise_coupons
+from cupola.session import materialise
 from cupola.sources.tables import (
     coupon_view,
     events_with_gaps,
@@ -213,7 +214,8 @@ def q_adaboost_stump(spark, sf_dir):
 
 
 def _docs(spark, sf_dir):
-    return labelled_documents(spark, sf_dir)
+    # the narrow feature table is read by every pass of the model fits: tokenise the texts once
+    return materialise(labelled_documents(spark, sf_dir))
 
 
 @register("lr_score")

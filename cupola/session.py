@@ -48,3 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before running")
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialise(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there:
+    cuts the lineage (reliably, unlike ``localCheckpoint``) so that a table read by
+    several jobs is computed once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

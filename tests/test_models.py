@@ -145,3 +145,14 @@ def test_knn_exact_on_embeddings_many_partitions(spark):
             acc += d * d
         acc[i] = np.inf
         assert got[int(ids[i])] == [int(x) for x in ids[np.lexsort((ids, acc))[:5]]]
+
+
+def test_adaboost_round_search_equals_stump_search(spark):
+    rnd = random.Random(8)
+    rows = [(float(rnd.randint(0, 9)), float(rnd.randint(0, 4)), rnd.random() * 3, rnd.randint(0, 1))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, w double, y int")
+    want = ML.stump_search(df, ["a", "b"], "y", F.col("w")).first()
+    got = ML._best_stump(ML._weighted_histogram(df, ["a", "b"], "y", F.col("w")), ["a", "b"])
+    assert (got["feature"], got["threshold"], got["polarity"]) == (want.feature, want.threshold, want.polarity)
+    assert got["error"] == pytest.approx(want.error, rel=1e-12)
