@@ -218,39 +218,50 @@ def _docs(spark, sf_dir):
     return materialise(labelled_documents(spark, sf_dir))
 
 
+def _lr(docs):
+    return ML.score(ML.fit_logistic(docs, DOC_FEATURES, "label"), docs, "lr", "doc_id", "label")
+
+
+def _rf(docs):
+    return ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=20), docs, "rf", "doc_id", "label")
+
+
+def _ada(docs):
+    model = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=8)
+    return ML.adaboost_scores(model, docs, "adaboost", "doc_id", "label")
+
+
+def _knn(docs):
+    vec = ML.features_to_vector(docs, DOC_FEATURES)
+    nb = ML.knn_neighbours(vec, vec, 15, id_col="doc_id", vec_col="vec", exclude_self=True)
+    return (ML.knn_score(nb).join(docs.select(F.col("doc_id").alias("qid"), "label"), "qid")
+            .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", "label"))
+
+
 @register("lr_score")
 def q_lr_score(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return ML.score(ML.fit_logistic(docs, DOC_FEATURES, "label"), docs, "lr", "doc_id", "label")
+    return _lr(_docs(spark, sf_dir))
 
 
 @register("rf_score")
 def q_rf_score(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=20), docs, "rf", "doc_id", "label")
+    return _rf(_docs(spark, sf_dir))
 
 
 @register("adaboost_score")
 def q_adaboost_score(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    model = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=8)
-    return ML.adaboost_scores(model, docs, "adaboost", "doc_id", "label")
+    return _ada(_docs(spark, sf_dir))
 
 
 @register("knn_score")
 def q_knn_score(spark, sf_dir):
-    docs = ML.features_to_vector(_docs(spark, sf_dir), DOC_FEATURES)
-    nb = ML.knn_neighbours(docs, docs, 15, id_col="doc_id", vec_col="vec", exclude_self=True)
-    return (ML.knn_score(nb).join(docs.select(F.col("doc_id").alias("qid"), "label"), "qid")
-            .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", "label"))
+    return _knn(_docs(spark, sf_dir))
 
 
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
-    scores = None
-    for key in ("lr_score", "rf_score", "adaboost_score", "knn_score"):
-        part = QUERIES[key](spark, sf_dir)
-        scores = part if scores is None else scores.unionByName(part)
+    docs = _docs(spark, sf_dir)
+    scores = _lr(docs).unionByName(_rf(docs)).unionByName(_ada(docs)).unionByName(_knn(docs))
     return M.compare_models(scores)
 
 
