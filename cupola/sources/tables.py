@@ -32,15 +32,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 
 
 def read_coupons(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = COUPON_SCHEMA,
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, null_value: str | None = None) -> DataFrame:
     """Raw coupon records with an explicit schema (no inference pass over the data).
 
-    Text such as ``'null'`` stays text here; ``normalise_coupons`` turns the missing
-    tokens into NULL while it parses.
+    By default text such as ``'null'`` stays text and ``normalise_coupons`` turns the
+    missing tokens into NULL while it parses; ``null_value`` makes the CSV reader do
+    it for every column. A field that does not fit a typed column becomes NULL.
     """
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", header).option("mode", "PERMISSIVE").csv(path)
+        reader = reader.option("header", header).option("mode", "PERMISSIVE").option("nanValue", "NaN")
+        if null_value is not None:
+            reader = reader.option("nullValue", null_value)
+        return reader.csv(path)
     return reader.format(fmt).load(path)
 
 

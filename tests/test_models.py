@@ -156,3 +156,11 @@ def test_adaboost_round_search_equals_stump_search(spark):
     got = ML._best_stump(ML._weighted_histogram(df, ["a", "b"], "y", F.col("w")), ["a", "b"])
     assert (got["feature"], got["threshold"], got["polarity"]) == (want.feature, want.threshold, want.polarity)
     assert got["error"] == pytest.approx(want.error, rel=1e-12)
+
+
+def test_read_coupons_null_token(spark, tmp_path):
+    p = tmp_path / "c.csv"
+    p.write_text("user_id,merchant_id,coupon_id,rate_raw,distance,date_received,date\n"
+                 "1,2,c1,200:20,1,20160115,null\nnull,4,c2,0.9,null,2016-01-16,20160120\n")
+    rows = read_coupons(spark, str(p), null_value="null").orderBy("coupon_id").collect()
+    assert rows[0].date is None and rows[1].user_id is None and rows[1].distance is None
