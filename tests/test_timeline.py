@@ -83,3 +83,20 @@ def test_prior_features_strictly_before(spark, events):
     first = out.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     assert first.where("r = 1 and prior_n <> 0").count() == 0
     assert first.where("prior_n <> r - 1").count() == 0
+
+
+def test_redemption_label_hot_user(spark):
+    """One user holds a third of all rows: still exact, and split over time buckets."""
+    rnd = random.Random(21)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(6000):
+        user = 0 if i % 3 == 0 else rnd.randint(1, 200)
+        kind = "click" if rnd.random() < 0.5 else "purchase"
+        rows.append((i, user, kind, t0 + dt.timedelta(seconds=rnd.randint(0, 20 * 86400))))
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp_ntz")
+    clicks = ev.where("event_type = 'click'").select("event_id", "user_id", "ts")
+    purchases = ev.where("event_type = 'purchase'").select("user_id", "ts")
+    got = {r.event_id: r.label for r in TL.redemption_label(clicks, purchases, ["user_id"], "ts", 7200).collect()}
+    want = _brute_label(clicks.toPandas(), purchases.toPandas(), pd.Timedelta(seconds=7200))
+    assert got == want
