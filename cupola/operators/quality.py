@@ -127,6 +127,13 @@ def quasi_constant_report(df: DataFrame, cols: Sequence[str] | None = None, thre
     )
 
 
+def quasi_constant_messages(report: DataFrame) -> DataFrame:
+    """One line of text per flagged feature: its name and the top share to 4 decimals."""
+    return report.where("flagged").select(
+        F.format_string("dropped feature %s: most frequent value holds %.4f of non-missing values",
+                        F.col("feature"), F.col("ratio")).alias("message"))
+
+
 def quasi_constant_filter(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = 0.95,
                           method: str = "exact", report_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """Drop quasi-constant features. Returns ``(pruned_df, report)``.

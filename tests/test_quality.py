@@ -79,3 +79,11 @@ def test_outliers(spark):
     assert hi < 100
     assert Q.outlier_drop(df, b).count() == 8
     assert max(r.v for r in Q.outlier_clip(df, b).collect()) == hi
+
+
+def test_quasi_constant_messages(f3):
+    report = Q.quasi_constant_report(f3, None, 0.95)
+    lines = sorted(r.message for r in Q.quasi_constant_messages(report).collect())
+    assert lines == ["dropped feature c1: most frequent value holds 0.9600 of non-missing values",
+                     "dropped feature c3: most frequent value holds 1.0000 of non-missing values",
+                     "dropped feature c5: most frequent value holds 1.0000 of non-missing values"]
