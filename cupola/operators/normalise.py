@@ -38,6 +38,11 @@ def normalise_coupons(
     and ``on_error="fail"`` stops the job at the first such value. When an
     ``Observation`` is passed, the counts of unparsable (not missing) values are
     collected in the same pass as ``bad_<column>`` metrics.
+
+    Note (Spark 4.1): once a session has used an ``Observation``, jobs whose closures
+    capture that session (MLlib ``transform`` does) fail with "Task not serializable:
+    ObservationManager". Observe in a ``spark.newSession()`` when the same session
+    also scores MLlib models.
     """
     if on_error not in ("null", "fail"):
         raise ValueError("on_error must be 'null' or 'fail'")

@@ -61,6 +61,9 @@ def test_date_int(spark):
 
 
 def test_bad_value_counts_are_observed(spark):
+    # Own session: once a session has used an Observation, Spark 4.1 cannot serialise
+    # closures that capture that session (MLlib transforms do), see normalise_coupons.
+    spark = spark.newSession()
     df = spark.createDataFrame([(r,) for r, _, _ in F1], "rate_raw string")
     obs = Observation("bad")
     normalise_coupons(df, date_col=None, observation=obs).count()
