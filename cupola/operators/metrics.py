@@ -3,8 +3,9 @@
 ROC and AUC need the scores in global order. Instead of a window over the whole
 table (one task), the table is first reduced to one row per distinct score
 (positive and negative counts, partial aggregation), then running counts come
-from the two-level prefix sum with score-quantile buckets. Results are exact;
-the buckets only split the work.
+from the two-level prefix sum over score ranges (one range per shuffle partition by
+default, cut where Spark's range partitioner cuts). Results are exact; the buckets
+only split the work.
 """
 
 from __future__ import annotations
@@ -29,12 +30,25 @@ def score_counts(scores: DataFrame, group_cols: Sequence[str] = ("model",), scor
     )
 
 
-def _score_buckets(counts: DataFrame, n_buckets: int, accuracy: int = 10000) -> DataFrame:
-    """Bucket index, non-decreasing in score: cut points are approximate quantiles of the
-    distinct scores (at most ``n_buckets`` numbers reach the driver)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = counts.select(F.percentile_approx("score", probs, accuracy).alias("q")).first()["q"] or []
-    splits = [float("-inf")] + sorted({float(c) for c in cuts}) + [float("inf")]
+def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
+    """Default bucket count: the session's shuffle partition count (sized to the data on
+    a cluster), at least 64."""
+    if n_buckets:
+        return int(n_buckets)
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _score_buckets(counts: DataFrame, n_buckets: int | None) -> DataFrame:
+    """Bucket index, non-decreasing in score, about 1/n_buckets of the distinct scores
+    each whatever their distribution. Cut points are the lowest score of each range of
+    Spark's range partitioning of the distinct scores: the partitioner samples a
+    bounded number of scores, and one number per range reaches the driver."""
+    n = _n_buckets(counts, n_buckets)
+    s = F.col("score").cast("double")
+    lows = (counts.select(s.alias("_s")).where(~F.isnan("_s")).repartitionByRange(n, "_s")
+            .groupBy(F.spark_partition_id().alias("_p")).agg(F.min("_s").alias("_lo")).collect())
+    cuts = [r["_lo"] for r in lows if r["_lo"] is not None]
+    splits = [float("-inf")] + sorted({float(c) for c in cuts} - {float("-inf")}) + [float("inf")]
     if len(splits) < 3:
         return counts.withColumn("_sb", F.lit(0.0))
     b = Bucketizer(splits=splits, inputCol="score", outputCol="_sb", handleInvalid="keep")
@@ -45,7 +59,8 @@ def _totals(counts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     return counts.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
-def _ranked(scores: DataFrame, group_cols: list[str], score_col: str, label_col: str, n_buckets: int) -> DataFrame:
+def _ranked(scores: DataFrame, group_cols: list[str], score_col: str, label_col: str,
+            n_buckets: int | None) -> DataFrame:
     """Per (group, distinct score): ``pos, neg`` and the running ``tp, fp`` over scores at or
     above it, plus the group totals ``n_pos, n_neg``."""
     counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
@@ -67,7 +82,7 @@ def _auc_ap(ranked: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def auc(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
-        label_col: str = "label", n_buckets: int = 64) -> DataFrame:
+        label_col: str = "label", n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC per group, ties counted one half (Mann-Whitney).
 
     ``auc = sum_s pos_s * (2 * neg_below_s + neg_s) / (2 * P * N)``; NULL when a
@@ -80,7 +95,7 @@ def auc(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: st
 
 
 def roc_points(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
-               label_col: str = "label", n_buckets: int = 64) -> DataFrame:
+               label_col: str = "label", n_buckets: int | None = None) -> DataFrame:
     """One ROC point per (group, distinct score) taken as threshold (predict 1 when
     ``score >= threshold``): ``tp, fp, tpr, fpr``. The origin (0, 0) is implied."""
     group_cols = list(group_cols)
@@ -91,7 +106,7 @@ def roc_points(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_
 
 
 def average_precision(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
-                      label_col: str = "label", n_buckets: int = 64) -> DataFrame:
+                      label_col: str = "label", n_buckets: int | None = None) -> DataFrame:
     """Area under the precision-recall steps: ``sum_s pos_s * precision_s / P``."""
     group_cols = list(group_cols)
     return _auc_ap(_ranked(scores, group_cols, score_col, label_col, n_buckets), group_cols) \
@@ -100,7 +115,7 @@ def average_precision(scores: DataFrame, group_cols: Sequence[str] = ("model",),
 
 def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
                    label_col: str = "label", threshold: float = 0.5, eps: float = 1e-15,
-                   materialise: bool = True) -> DataFrame:
+                   materialise: bool = True, n_buckets: int | None = None) -> DataFrame:
     """Per model: rows, class counts, AUC, average precision, accuracy at ``threshold``,
     log-loss (scores read as probabilities, clipped to [eps, 1-eps]); ranked by AUC.
 
@@ -121,7 +136,7 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
         F.avg((pred == y).cast("double")).alias("accuracy"),
         F.avg(-(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))).alias("log_loss"),
     )
-    ranked = _auc_ap(_ranked(scores, group_cols, score_col, label_col, 64), group_cols)
+    ranked = _auc_ap(_ranked(scores, group_cols, score_col, label_col, n_buckets), group_cols)
     out = basic.join(ranked, group_cols)
     # one row per model here, so the unpartitioned ranking window is small
     rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last("auc")))

@@ -63,3 +63,14 @@ def test_compare_models_ranks_by_auc(spark):
     assert out["good"].best and out["good"].auc == 1.0 and out["good"].accuracy == 1.0
     assert not out["coin"].best and out["coin"].auc == 0.5
     assert out["good"].average_precision == 1.0
+
+
+def test_auc_many_range_buckets_two_models_match_brute_force(spark):
+    # more buckets than distinct scores of one model, continuous and tied scores mixed
+    rnd = random.Random(11)
+    rows = [("cont", i, rnd.random(), rnd.randint(0, 1)) for i in range(3000)]
+    rows += [("ties", i, float(rnd.randint(0, 4)), rnd.randint(0, 1)) for i in range(3000)]
+    got = {r.model: r.auc for r in M.auc(_scores(spark, rows).repartition(7), n_buckets=300).collect()}
+    for m in ("cont", "ties"):
+        want = _brute_auc([(s, y) for mm, _, s, y in rows if mm == m])
+        assert got[m] == pytest.approx(want, abs=1e-12), m
