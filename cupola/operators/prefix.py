@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cupola.session import materialise
+
 
 def running_totals(
     df: DataFrame,
@@ -45,3 +47,44 @@ def running_totals(
     return joined.withColumns({
         n: F.col(f"_off_{n}") + F.coalesce(F.sum(v).over(w_in), F.lit(0)) for n, v in values.items()
     }).drop("_bucket", *[f"_off_{n}" for n in values])
+
+
+def with_hot_split(
+    df: DataFrame,
+    keys: Sequence[str],
+    bucket: Column,
+    position: Column,
+    max_bucket_rows: int = 1_000_000,
+    broadcast_rows: int = 100_000,
+    col: str = "_bucket",
+) -> DataFrame:
+    """``df`` plus a bucket column ``col`` for ``running_totals`` in which no (key, bucket)
+    group is much larger than ``max_bucket_rows`` when rows spread evenly in ``position``.
+
+    ``bucket`` must be an integer non-decreasing along the order; ``position`` a
+    number non-decreasing along the order inside a bucket (for example microseconds
+    of the timestamp the order starts with). Groups over ``max_bucket_rows`` rows
+    are found by one partial aggregate and cut into slices of ``position`` of width
+    ``(max - min + 1) * max_bucket_rows / rows``; the new bucket is
+    ``bucket * 2^40 + slice`` (slice 0 for the others), so it stays non-decreasing
+    along the order. The hot groups number at most rows / max_bucket_rows; they are
+    broadcast only when counted at or under ``broadcast_rows``, else joined by a
+    shuffle. The running totals stay exact whatever the slices.
+    """
+    keys = list(keys)
+    b = df.withColumns({"_hb": bucket.cast("bigint"), "_hp": position.cast("bigint")})
+    hot = (b.groupBy(*keys, "_hb")
+           .agg(F.count(F.lit(1)).alias("_hn"), F.min("_hp").alias("_hlo"), F.max("_hp").alias("_hhi"))
+           .where(F.col("_hn") > F.lit(max_bucket_rows))
+           .select(*keys, "_hb", "_hlo",
+                   F.greatest(F.lit(1), F.ceil((F.col("_hhi") - F.col("_hlo") + F.lit(1)).cast("double")
+                                               * F.lit(float(max_bucket_rows)) / F.col("_hn"))).alias("_hw")))
+    hot = materialise(hot)  # a small table, read by the count and by the join
+    n_hot = hot.count()
+    slice_ = F.lit(0).cast("bigint")
+    if n_hot:
+        side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+        b = b.join(side, [*keys, "_hb"], "left")
+        slice_ = F.coalesce(F.floor((F.col("_hp") - F.col("_hlo")) / F.col("_hw")), slice_)
+    out = b.withColumn(col, F.col("_hb") * F.lit(1 << 40) + slice_)
+    return out.drop("_hb", "_hp", *(["_hlo", "_hw"] if n_hot else []))

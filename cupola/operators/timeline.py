@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cupola.operators.prefix import running_totals
+from cupola.operators.prefix import running_totals, with_hot_split
 
 
 def _lit_ts(v) -> Column:
@@ -175,16 +175,25 @@ def prior_features(
     id_col: str,
     counts: dict[str, Column],
     bucket: Column | None = None,
+    max_bucket_rows: int | None = 1_000_000,
 ) -> DataFrame:
     """Per row, running totals over the same entity's earlier rows (strictly before,
     in ``(ts, id)`` order): ``prior_<name>`` for each name -> 0/1 or numeric column.
 
     Uses the two-level prefix sum with day buckets by default, so no task holds
-    all rows of one entity.
+    all rows of one entity; an (entity, day) with more than ``max_bucket_rows`` rows
+    is cut further into slices of time (``with_hot_split``; ``None`` turns that off).
     """
-    bucket = bucket if bucket is not None else F.to_date(F.col(ts_col))
     vals = {f"prior_{k}": v for k, v in counts.items()}
-    return running_totals(df, key, [F.col(ts_col), F.col(id_col)], bucket, vals, inclusive=False)
+    if bucket is not None:
+        return running_totals(df, key, [F.col(ts_col), F.col(id_col)], bucket, vals, inclusive=False)
+    us = _micros(F.col(ts_col))
+    day = F.floor(us / F.lit(86_400_000_000))
+    if max_bucket_rows is None:
+        return running_totals(df, key, [F.col(ts_col), F.col(id_col)], day, vals, inclusive=False)
+    split = with_hot_split(df, key, day, us, max_bucket_rows, col="_day_slice")
+    return running_totals(split, key, [F.col(ts_col), F.col(id_col)], F.col("_day_slice"), vals,
+                          inclusive=False).drop("_day_slice")
 
 
 def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], fill: dict | None = None) -> DataFrame:

@@ -100,3 +100,35 @@ def test_redemption_label_hot_user(spark):
     got = {r.event_id: r.label for r in TL.redemption_label(clicks, purchases, ["user_id"], "ts", 7200).collect()}
     want = _brute_label(clicks.toPandas(), purchases.toPandas(), pd.Timedelta(seconds=7200))
     assert got == want
+
+
+def test_prior_features_hot_user_day_is_sliced_and_exact(spark):
+    """A third of all rows is one user on one day (with repeated timestamps): the day
+    is cut into time slices, and the running counts equal a plain window's."""
+    from cupola.operators.prefix import with_hot_split
+
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 3)
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append((i, 0, "purchase" if i % 2 else "click", t0 + dt.timedelta(seconds=rnd.randint(0, 3000))))
+        else:
+            rows.append((i, rnd.randint(1, 50), "click", t0 + dt.timedelta(days=rnd.randint(-3, 3),
+                                                                             seconds=rnd.randint(0, 86399))))
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp_ntz")
+    counts = {"n": F.lit(1), "buys": (F.col("event_type") == "purchase").cast("int")}
+    got = TL.prior_features(ev, ["user_id"], "ts", "event_id", counts, max_bucket_rows=50)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    want = ev.select("event_id", F.coalesce(F.count(F.lit(1)).over(w), F.lit(0)).alias("prior_n"),
+                     F.coalesce(F.sum((F.col("event_type") == "purchase").cast("int")).over(w), F.lit(0))
+                     .alias("prior_buys"))
+    got = got.select("event_id", "prior_n", "prior_buys")
+    assert got.count() == 3000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    day = F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                   F.col("ts")) / F.lit(86_400_000_000))
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    sliced = with_hot_split(ev, ["user_id"], day, us, 50, col="b")
+    per_slice = sliced.where("user_id = 0").groupBy("b").count()
+    assert per_slice.count() >= 10
