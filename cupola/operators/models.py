@@ -142,7 +142,7 @@ def knn_neighbours(
     vec_col: str = "vec",
     label_col: str = "label",
     exclude_self: bool = False,
-    n_pivots: int = 32,
+    n_pivots: int | None = None,
     max_cell_rows: int = 50_000,
     max_group_queries: int = 50_000,
     seed: int = 17,
@@ -169,11 +169,17 @@ def knn_neighbours(
     than ``max_group_queries`` candidate queries are split into parts by query
     hash (the cell's rows are sent to each part). Only pivots and per-cell
     radii/counts (bounded by ``n_pivots``) reach the driver.
+
+    ``n_pivots`` defaults to one per ``max_cell_rows`` training rows, between 32 and
+    256: more cells prune more pairs as the table grows, while the per-row array of
+    pivot distances stays small.
     """
     from cupola.session import checkpoint_dir
 
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
+    if n_pivots is None:
+        n_pivots = min(256, max(32, math.ceil(t.count() / max_cell_rows)))
     pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
     m = len(pivots)
     schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
