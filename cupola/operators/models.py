@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cupola.operators.prefix import running_totals
+from cupola.session import materialise
 
 # ---------------------------------------------------------------------------------------
 # helpers
@@ -282,15 +283,16 @@ def features_to_vector(df: DataFrame, features: Sequence[str], col: str = "vec",
 # ---------------------------------------------------------------------------------------
 
 def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Column | None = None,
-                 n_buckets: int = 64) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """Best decision stump over the distinct values of each feature.
 
     A stump ``(feature, threshold, polarity)`` predicts ``polarity`` when
     ``x <= threshold`` and ``-polarity`` otherwise (also for missing ``x``).
     Weighted error = misclassified weight / total weight. Weighted class sums per
     (feature, value) come from one grouped aggregate; the running sums over the
-    values of a feature use the two-level prefix sum with value-quantile buckets,
-    so a feature with many distinct values is not ordered in one task. The winner
+    values of a feature use the two-level prefix sum over value ranges (one per
+    shuffle partition by default), so a feature with many distinct values is not
+    ordered in one task. The winner
     is the smallest error, then feature name, threshold and polarity +1 first.
     Returns one row: ``feature, threshold, polarity, error``.
     """
@@ -303,15 +305,13 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     tot = base.groupBy("feature").agg(F.sum("_wp").alias("_P"), F.sum("_wn").alias("_N"))
     g = base.where(F.col("_x").isNotNull()).groupBy("feature", "_x").agg(F.sum("_wp").alias("_gp"),
                                                                           F.sum("_wn").alias("_gn"))
-    # value-quantile cut points per feature (at most features x n_buckets numbers to the driver)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = {r["feature"]: sorted(set(r["q"] or [])) for r in
-            g.groupBy("feature").agg(F.percentile_approx("_x", probs, 10000).alias("q")).collect()}
-    cut_map = F.from_json(F.lit(json.dumps(cuts)), "map<string,array<double>>")
-    bucket = F.size(F.filter(F.coalesce(F.element_at(cut_map, F.col("feature")), F.array().cast("array<double>")),
-                             lambda c: c < F.col("_x")))
-    c = running_totals(g, ["feature"], [F.col("_x")], bucket,
-                       {"_pos_le": F.col("_gp"), "_neg_le": F.col("_gn")}, inclusive=True)
+    # value ranges: Spark's range partitioning of (feature, value) cuts the distinct values
+    # into n pieces of about equal size; the range index is written once (checkpoint) so
+    # that every later read sees the same buckets
+    n = n_buckets or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    g = materialise(g.repartitionByRange(n, "feature", "_x").withColumn("_vb", F.spark_partition_id()))
+    c = running_totals(g, ["feature"], [F.col("_x")], F.col("_vb"),
+                       {"_pos_le": F.col("_gp"), "_neg_le": F.col("_gn")}, inclusive=True).drop("_vb")
     c = c.join(tot, "feature")
     total = F.col("_P") + F.col("_N")
     err_plus = (F.col("_neg_le") + (F.col("_P") - F.col("_pos_le"))) / total

@@ -102,6 +102,23 @@ def test_stump_search_matches_brute_force(spark):
     assert math.isclose(best.error, err)
 
 
+@pytest.mark.parametrize("n_buckets", [1, 5, 97])
+def test_stump_search_continuous_any_bucket_count(spark, n_buckets):
+    rnd = random.Random(9)
+    rows = [(rnd.random(), float(rnd.randint(0, 3)), rnd.randint(0, 1)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, y int").repartition(5)
+    best = ML.stump_search(df, ["a", "b"], "y", n_buckets=n_buckets).first()
+    cands = []
+    for fi, f in enumerate(["a", "b"]):
+        for thr in sorted({r[fi] for r in rows}):
+            for pol in (1, -1):
+                err = sum((pol if r[fi] <= thr else -pol) != (2 * r[2] - 1) for r in rows) / len(rows)
+                cands.append((round(err, 12), f, float(thr), -pol))
+    err, f, thr, negpol = min(cands)
+    assert (best.feature, best.threshold, best.polarity) == (f, thr, -negpol)
+    assert math.isclose(best.error, err)
+
+
 def test_models_are_deterministic(spark, docs):
     a = ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=10), docs, "rf", "doc_id", "label")
     b = ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=10), docs, "rf", "doc_id", "label")
