@@ -107,6 +107,21 @@ def q_outlier_iqr(spark, sf_dir):
     return Q.outlier_clip(Q.outlier_flag(li, bounds), bounds)
 
 
+SIGMA_COLS = ["l_extendedprice", "l_quantity"]
+
+
+@register("outlier_sigma")
+def q_outlier_sigma(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"] + SIGMA_COLS)
+    return Q.outlier_drop(li, Q.outlier_bounds(li, SIGMA_COLS, method="sigma", k=1.5))
+
+
+@register("missing_drop")
+def q_missing_drop(spark, sf_dir):
+    return Q.drop_missing(events_with_gaps(spark, sf_dir), ["event_type", "value"]) \
+        .select("event_id", "user_id", "event_type", "value")
+
+
 # --- time split, label, behaviour features (B2, B18, B6) --------------------------------
 
 SPLIT_CUTS = ("2024-01-15", "2024-01-23")

@@ -140,6 +140,22 @@ select l_orderkey, l_linenumber,
 from lineitem, b
 """
 
+SIGMA_COLS = ["l_extendedprice", "l_quantity"]
+
+SQL["outlier_sigma"] = f"""
+with b as (select {", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}" for c in SIGMA_COLS)} from lineitem)
+select l_orderkey, l_linenumber, {", ".join(SIGMA_COLS)}
+from lineitem, b
+where not ({" or ".join(f"coalesce({c} < m_{c} - 1.5 * s_{c} or {c} > m_{c} + 1.5 * s_{c}, false)"
+                        for c in SIGMA_COLS)})
+"""
+
+SQL["missing_drop"] = f"""
+with g as ({EVENTS_GAPS})
+select event_id, user_id, event_type, value from g
+where event_type is not null and value is not null and not isnan(value)
+"""
+
 
 # --- time split, label, behaviour features ---------------------------------------------
 
