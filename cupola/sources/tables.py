@@ -127,13 +127,14 @@ def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def document_features(docs: DataFrame) -> DataFrame:
-    """Length features of whole texts: characters, words, distinct words, lines."""
+def document_features(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Length features of whole texts: characters, words, distinct words, lines
+    (``keep`` columns are carried through)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.split(F.trim(text), r"\s+")
     empty = F.trim(text) == ""
     return docs.select(
-        "doc_id",
+        "doc_id", *keep,
         F.col("n_chars").cast("double").alias("n_chars"),
         F.when(empty, F.lit(0)).otherwise(F.size(words)).cast("double").alias("n_words"),
         F.when(empty, F.lit(0)).otherwise(F.size(F.array_distinct(F.split(F.lower(F.trim(text)), r"\s+"))))
@@ -146,7 +147,9 @@ DOC_FEATURES = ["n_chars", "n_words", "n_distinct_words", "n_lines"]
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
-    """``labels`` joined to the length features of their documents (FIXTURES.md F6)."""
-    labels = read_table(spark, sf_dir, "labels", ["doc_id", target])
-    docs = document_features(read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]))
-    return labels.join(docs, "doc_id").withColumnRenamed(target, "label")
+    """``labels`` joined to the length features of their documents (FIXTURES.md F6).
+
+    The join comes first, so only labelled texts are split into words."""
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", F.col(target).alias("label")])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    return document_features(labels.join(docs, "doc_id"), keep=("label",))
