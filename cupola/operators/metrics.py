@@ -124,10 +124,9 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
     """
     group_cols = list(group_cols)
     if materialise:
-        from cupola.session import checkpoint_dir
+        from cupola.session import materialise as write_once
 
-        checkpoint_dir(scores.sparkSession)
-        scores = scores.checkpoint(eager=True)
+        scores = write_once(scores)
     y = F.col(label_col).cast("double")
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     pred = (F.col(score_col) >= F.lit(threshold)).cast("double")

@@ -175,8 +175,6 @@ def knn_neighbours(
     256: more cells prune more pairs as the table grows, while the per-row array of
     pivot distances stays small.
     """
-    from cupola.session import checkpoint_dir
-
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
     if n_pivots is None:
@@ -198,8 +196,7 @@ def knn_neighbours(
         .withColumn("cell", (F.array_position("_pd", F.col("_dc")) - 1).cast("int")).drop("_pd")
     if checkpoint:
         # read several times below: compute the pivot distances once, into the shared checkpoint folder
-        checkpoint_dir(tp.sparkSession)
-        tp = tp.checkpoint(eager=True)
+        tp = materialise(tp)
     stats = {r["cell"]: (r["radius"], r["n"]) for r in
              tp.groupBy("cell").agg(F.max("_dc").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
     radius = [stats.get(j, (0.0, 0))[0] for j in range(m)]
@@ -209,7 +206,7 @@ def knn_neighbours(
     qp = qp.withColumn("_own", (F.array_position("_pd", F.array_min("_pd")) - 1).cast("int"))
     if checkpoint:
         # materialise the pivot distances: later filters would otherwise inline (and repeat) them
-        qp = qp.checkpoint(eager=True)
+        qp = materialise(qp)
     # anchors: k rows nearest each pivot (one more when a query may meet itself; partial top-k)
     n_anchor = k + (1 if exclude_self else 0)
     anchors = (tp.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("_dc", "tid")))
@@ -232,7 +229,7 @@ def knn_neighbours(
             .where(F.col("_lb") <= F.col("_u") * F.lit(1 + 1e-9) + F.lit(1e-12))
             .select("qid", "_qv", "cell"))
     if checkpoint:
-        cand = cand.checkpoint(eager=True)
+        cand = materialise(cand)
     qcount = {r["cell"]: r["n"] for r in cand.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     qsplits = [max(1, math.ceil(qcount.get(j, 0) / max_group_queries)) for j in range(m)]
 
@@ -413,10 +410,7 @@ def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int
     feats = list(features)
     base = quantile_bins(df.select(*feats, label), feats, n_bins)
     if checkpoint:
-        from cupola.session import checkpoint_dir
-
-        checkpoint_dir(base.sparkSession)
-        base = base.checkpoint(eager=True)
+        base = materialise(base)
     model = AdaBoostModel(feats)
     y = F.col(label).cast("double") * F.lit(2.0) - F.lit(1.0)
     for _ in range(rounds):

@@ -21,7 +21,7 @@ from cupola.operators import models as ML
 from cupola.operators import quality as Q
 from cupola.operators import select as S
 from cupola.operators import timeline as TL
-from cupola.session import checkpoint_dir
+from cupola.session import checkpoint_dir, materialise
 from cupola.sources.tables import read_table
 
 EVENT_TYPES = ("view", "signup", "purchase", "error", "click")
@@ -91,7 +91,7 @@ def redemption_forecast(
     # missing values: entities without history have no features -> 0, recency -> window length + 1
     fill = {c: 0.0 for c in candidates}
     fill["u_days_since_last"] = float(history_days + 1)
-    table = table.fillna(fill).checkpoint(eager=True)
+    table = materialise(table.fillna(fill))
     train = table.where(F.col("split") == "train")
 
     # outliers: bounds from the training period, applied to both
@@ -125,8 +125,8 @@ def redemption_forecast(
                            id_col="event_id", vec_col="vec", label_col="label")
     knn = (ML.knn_score(nb).join(test.select(F.col("event_id").alias("qid"), "label"), "qid")
            .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", F.col("label").cast("int")))
-    scores = (ML.score(lr, test, "lr", "event_id", "label")
+    scores = materialise(ML.score(lr, test, "lr", "event_id", "label")
               .unionByName(ML.score(rf, test, "rf", "event_id", "label"))
               .unionByName(ML.adaboost_scores(ada, test, "adaboost", "event_id", "label"))
-              .unionByName(knn)).checkpoint(eager=True)
+              .unionByName(knn))
     return ForecastResult(M.compare_models(scores, materialise=False), scores, feats, screening)

@@ -53,6 +53,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialise(df):
     """Write ``df`` once to the shared checkpoint folder and read it from there:
     cuts the lineage (reliably, unlike ``localCheckpoint``) so that a table read by
-    several jobs is computed once."""
+    several jobs is computed once.
+
+    A reliable checkpoint writes its files in a second job after the one that
+    computes the rows; the rows are kept in the executors' cache between the two
+    (memory, spilling to disk) so they are not computed twice, and the cache is
+    dropped once the files are written.
+    """
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
