@@ -58,14 +58,28 @@ def q_discount_bands(spark, sf_dir):
 # --- data quality (A3, B3, B4, B5) -------------------------------------------------------
 
 QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
-                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate",
+                  "qty_le_48"]
 
 
-@register("quasi_constant")
-def q_quasi_constant(spark, sf_dir):
+def _quasi_view(spark, sf_dir):
     view = coupon_view(spark, sf_dir, extra_columns=("l_returnflag", "l_linestatus", "l_quantity",
                                                      "l_discount", "l_tax", "l_shipdate"))
-    return Q.quasi_constant_report(normalise_coupons(view, with_day=False), QUASI_FEATURES, 0.95)
+    # a feature just over the threshold: about 48 of 50 quantities
+    return normalise_coupons(view, with_day=False) \
+        .withColumn("qty_le_48", (F.col("l_quantity") <= F.lit(48)).cast("int"))
+
+
+@register("quasi_constant")
+def q_quasi_constant(spark, sf_dir):
+    return Q.quasi_constant_report(_quasi_view(spark, sf_dir), QUASI_FEATURES, 0.95)
+
+
+@register("quasi_constant_sketch")
+def q_quasi_constant_sketch(spark, sf_dir):
+    # two scans, no shuffle by value; flags are exact for a threshold of 0.5 or more
+    rep = Q.quasi_constant_report(_quasi_view(spark, sf_dir), QUASI_FEATURES, 0.95, method="sketch")
+    return rep.select("feature", "non_missing", "flagged")
 
 
 @register("missing_report")

@@ -63,7 +63,8 @@ from ({NORMALISED_SQL}) group by 1
 
 # --- data quality ---------------------------------------------------------------------
 
-QUASI_VIEW = normalised_sql(("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"))
+QUASI_VIEW = f"""select *, cast(l_quantity <= 48 as integer) as qty_le_48 from (
+{normalised_sql(("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"))})"""
 
 
 def _quasi_part(col: str) -> str:
@@ -72,7 +73,8 @@ def _quasi_part(col: str) -> str:
 
 
 QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
-                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+                  "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_shipdate",
+                  "qty_le_48"]
 
 SQL["quasi_constant"] = f"""
 with q as ({QUASI_VIEW}),
@@ -83,6 +85,14 @@ select feature, top_count, coalesce(non_missing, 0) as non_missing,
 from t
 """
 
+SQL["quasi_constant_sketch"] = f"""
+with q as ({QUASI_VIEW}),
+t as ({" union all ".join(_quasi_part(c) for c in QUASI_FEATURES)})
+select feature, coalesce(non_missing, 0) as non_missing,
+       coalesce(top_count / non_missing > 0.95, false) as flagged
+from t
+"""
+
 EVENTS_GAPS = """
 select event_id, ts, user_id,
        case when event_type <> 'error' then event_type end as event_type,
