@@ -132,3 +132,17 @@ def test_prior_features_hot_user_day_is_sliced_and_exact(spark):
     sliced = with_hot_split(ev, ["user_id"], day, us, 50, col="b")
     per_slice = sliced.where("user_id = 0").groupBy("b").count()
     assert per_slice.count() >= 10
+
+
+def test_hot_split_shuffle_join_path_gives_same_buckets(spark):
+    """Over the broadcast bound the hot groups are joined by a shuffle: same buckets."""
+    from cupola.operators.prefix import with_hot_split
+
+    rows = [(i, i % 2, i * 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k long, p long")
+    day = F.lit(0)
+    a = with_hot_split(df, ["k"], day, F.col("p"), 20, broadcast_rows=100).select("id", "_bucket")
+    b = with_hot_split(df, ["k"], day, F.col("p"), 20, broadcast_rows=0).select("id", "_bucket")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    sizes = [r["count"] for r in a.groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 2 * 20
