@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cupola.operators.prefix import running_totals
+from cupola.session import materialise
 
 
 def score_counts(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
@@ -63,7 +64,10 @@ def _ranked(scores: DataFrame, group_cols: list[str], score_col: str, label_col:
             n_buckets: int | None) -> DataFrame:
     """Per (group, distinct score): ``pos, neg`` and the running ``tp, fp`` over scores at or
     above it, plus the group totals ``n_pos, n_neg``."""
-    counts = _score_buckets(score_counts(scores, group_cols, score_col, label_col), n_buckets)
+    # the distinct-score table is read by the cut-point jobs and by the query itself:
+    # aggregate the scores once
+    counts = materialise(score_counts(scores, group_cols, score_col, label_col))
+    counts = _score_buckets(counts, n_buckets)
     run = running_totals(counts, group_cols, [F.col("score").desc()], -F.col("_sb"),
                          {"tp": F.col("pos"), "fp": F.col("neg")}, inclusive=True)
     return run.join(_totals(counts, group_cols), group_cols, "inner")
@@ -115,18 +119,16 @@ def average_precision(scores: DataFrame, group_cols: Sequence[str] = ("model",),
 
 def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
                    label_col: str = "label", threshold: float = 0.5, eps: float = 1e-15,
-                   materialise: bool = True, n_buckets: int | None = None) -> DataFrame:
+                   write_once: bool = True, n_buckets: int | None = None) -> DataFrame:
     """Per model: rows, class counts, AUC, average precision, accuracy at ``threshold``,
     log-loss (scores read as probabilities, clipped to [eps, 1-eps]); ranked by AUC.
 
-    The score table is read by two aggregates; ``materialise`` writes it once to the
+    The score table is read by two aggregates; ``write_once`` writes it to the
     checkpoint folder first, so the models behind it are not evaluated twice.
     """
     group_cols = list(group_cols)
-    if materialise:
-        from cupola.session import materialise as write_once
-
-        scores = write_once(scores)
+    if write_once:
+        scores = materialise(scores)
     y = F.col(label_col).cast("double")
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     pred = (F.col(score_col) >= F.lit(threshold)).cast("double")

@@ -129,4 +129,4 @@ def redemption_forecast(
               .unionByName(ML.score(rf, test, "rf", "event_id", "label"))
               .unionByName(ML.adaboost_scores(ada, test, "adaboost", "event_id", "label"))
               .unionByName(knn))
-    return ForecastResult(M.compare_models(scores, materialise=False), scores, feats, screening)
+    return ForecastResult(M.compare_models(scores, write_once=False), scores, feats, screening)

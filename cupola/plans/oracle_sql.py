@@ -224,6 +224,8 @@ union all
 select 'tax', l_orderkey, l_tax, case when l_returnflag = 'R' then 1 else 0 end from lineitem
 union all
 select 'quantity', l_orderkey, l_quantity, case when l_returnflag = 'R' then 1 else 0 end from lineitem
+union all
+select 'price', l_orderkey, l_extendedprice, case when l_returnflag = 'R' then 1 else 0 end from lineitem
 """
 
 SCORE_COUNTS = f"""

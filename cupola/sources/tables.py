@@ -109,13 +109,15 @@ def events_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Scores read off lineitem columns, one "model" per column (FIXTURES.md F7 schema).
-LINEITEM_SCORE_COLUMNS = {"discount": "l_discount", "tax": "l_tax", "quantity": "l_quantity"}
+LINEITEM_SCORE_COLUMNS = {"discount": "l_discount", "tax": "l_tax", "quantity": "l_quantity",
+                          "price": "l_extendedprice"}
 
 
 def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long score table ``model, id, score, label`` with label = returned item.
 
-    Discrete columns give heavy ties, the hard case for ROC and AUC."""
+    Discrete columns give heavy ties, the hard case for ROC and AUC; the price is
+    nearly continuous, so its distinct scores spread over many score ranges."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *LINEITEM_SCORE_COLUMNS.values(), "l_returnflag"])
     label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
     parts = [li.select(F.lit(m).alias("model"), F.col("l_orderkey").alias("id"),
