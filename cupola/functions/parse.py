@@ -1,7 +1,7 @@
 """Column expressions for coupon text: discount rate, minimum spend, date.
 
 Every function takes and returns a ``Column`` and compiles to plain Catalyst
-expressions (regex match, substring, guarded ``try_cast``), so a projection that
+expressions (substring, pattern guard, guarded ``try_cast``), so a projection that
 uses them stays inside whole-stage codegen and needs no Python worker.
 
 Text-to-number casts always go through a pattern guard: Spark's cast accepts
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 # Fixed values (define what counts as a number and as a missing token).
 DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-LAST_COLON_PATTERN = r"(?s)^(.*):([^:]*)$"
 MISSING_TOKENS = ("", "null", "nan")
 
 
@@ -51,8 +50,8 @@ def _has(c: Column, ch: str) -> Column:
 
 
 def _head(c: Column) -> Column:
-    # everything before the last colon
-    return F.regexp_extract(c, LAST_COLON_PATTERN, 1)
+    # everything before the last colon ("" without one): the text minus its tail and colon
+    return F.left(c, F.length(c) - F.length(_tail(c)) - F.lit(1))
 
 
 def _tail(c: Column) -> Column:

@@ -92,3 +92,28 @@ def test_plan_is_one_projection(spark):
     df = spark.createDataFrame([("200:20", "2016-01-15")], "rate_raw string, date_raw string")
     plan = normalise_coupons(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_last_colon_split_matches_python(spark):
+    """Head and tail around the last colon, as Python's rfind gives them, on random text
+    with colons, newlines and characters outside ASCII."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import functions as F
+
+    from cupola.functions.parse import _head, _tail
+
+    texts = []
+
+    @settings(max_examples=300, database=None, suppress_health_check=list(HealthCheck))
+    @given(st.text(alphabet=st.sampled_from(list("ab1.: \né中")), max_size=12))
+    def collect(t):
+        texts.append(t)
+
+    collect()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r.i: (r.h, r.t) for r in df.select("i", _head(F.col("s")).alias("h"), _tail(F.col("s")).alias("t")).collect()}
+    for i, t in enumerate(texts):
+        k = t.rfind(":")
+        want = (t[:k], t[k + 1:]) if k >= 0 else ("", t)
+        assert got[i] == want, repr(t)
