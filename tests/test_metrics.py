@@ -74,3 +74,25 @@ def test_auc_many_range_buckets_two_models_match_brute_force(spark):
     for m in ("cont", "ties"):
         want = _brute_auc([(s, y) for mm, _, s, y in rows if mm == m])
         assert got[m] == pytest.approx(want, abs=1e-12), m
+
+
+def _brute_ap(pairs):
+    # step-wise area under precision-recall, thresholds at each distinct score (ties together)
+    n_pos = sum(y for _, y in pairs)
+    if n_pos == 0:
+        return None
+    total = 0.0
+    for s in sorted({s for s, _ in pairs}, reverse=True):
+        tp = sum(1 for t, y in pairs if t >= s and y == 1)
+        fp = sum(1 for t, y in pairs if t >= s and y == 0)
+        pos_here = sum(1 for t, y in pairs if t == s and y == 1)
+        total += pos_here * tp / (tp + fp)
+    return total / n_pos
+
+
+@pytest.mark.parametrize("n_buckets", [1, 3, 50])
+def test_average_precision_matches_brute_force(spark, n_buckets):
+    rnd = random.Random(13)
+    rows = [("m", i, float(rnd.randint(0, 30)) / 3.0, rnd.randint(0, 1)) for i in range(600)]
+    got = M.average_precision(_scores(spark, rows).repartition(4), n_buckets=n_buckets).first().average_precision
+    assert got == pytest.approx(_brute_ap([(s, y) for _, _, s, y in rows]), abs=1e-12)

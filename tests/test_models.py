@@ -181,3 +181,14 @@ def test_read_coupons_null_token(spark, tmp_path):
                  "1,2,c1,200:20,1,20160115,null\nnull,4,c2,0.9,null,2016-01-16,20160120\n")
     rows = read_coupons(spark, str(p), null_value="null").orderBy("coupon_id").collect()
     assert rows[0].date is None and rows[1].user_id is None and rows[1].distance is None
+
+
+def test_score_sink_round_trip_and_model_pruning(spark, tmp_path):
+    rows = [("lr", i, i / 10.0, i % 2) for i in range(10)] + [("rf", i, 1 - i / 10.0, i % 2) for i in range(10)]
+    scores = spark.createDataFrame(rows, "model string, id bigint, score double, label int")
+    path = str(tmp_path / "scores")
+    ML.write_scores(scores, path)
+    back = spark.read.parquet(path)
+    assert back.select(*scores.columns).exceptAll(scores).count() == 0 and back.count() == 20
+    plan = back.where(F.col("model") == "rf")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(model" in plan
