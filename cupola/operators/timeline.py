@@ -116,6 +116,36 @@ def redemption_label(
 # Behaviour features
 # ---------------------------------------------------------------------------------------
 
+def _entity_aggs(ts_col: str, category_col: str | None, categories: Sequence[str], amount_cols: Sequence[str],
+                 amount_scale: int, distinct_cols: Sequence[str], flag_cols: Sequence[str]) -> list[Column]:
+    n = F.count(F.lit(1))
+    aggs = [n.alias("n_events")]
+    for c in categories:
+        aggs.append(F.count_if(F.col(category_col) == F.lit(c)).alias(f"n_{c}"))
+    for f in flag_cols:
+        aggs.append(F.sum(F.col(f).cast("bigint")).alias(f"n_{f}"))
+    aggs.append(F.count_distinct(F.to_date(F.col(ts_col))).alias("n_active_days"))
+    for a in amount_cols:
+        units = F.round(F.col(a) * F.lit(amount_scale)).cast("bigint")
+        aggs += [F.sum(units).alias(f"{a}_units"), F.count(F.col(a)).alias(f"_{a}_n"),
+                 F.min(a).alias(f"{a}_min"), F.max(a).alias(f"{a}_max")]
+    for d in distinct_cols:
+        aggs.append(F.count_distinct(F.col(d)).alias(f"n_distinct_{d}"))
+    aggs.append(F.max(ts_col).alias("last_ts"))
+    return aggs
+
+
+def _entity_derive(out: DataFrame, history_end, categories: Sequence[str], flag_cols: Sequence[str],
+                   amount_cols: Sequence[str], amount_scale: int) -> DataFrame:
+    derived = {}
+    for c in [*categories, *flag_cols]:
+        derived[f"{c}_rate"] = F.col(f"n_{c}") / F.col("n_events")
+    for a in amount_cols:
+        derived[f"{a}_avg"] = F.try_divide(F.col(f"{a}_units"), F.col(f"_{a}_n")) / F.lit(amount_scale)
+    derived["days_since_last"] = F.datediff(F.to_date(_lit_ts(history_end)), F.to_date(F.col("last_ts")))
+    return out.withColumns(derived).drop(*[f"_{a}_n" for a in amount_cols])
+
+
 def entity_features(
     df: DataFrame,
     keys: Sequence[str],
@@ -141,28 +171,9 @@ def entity_features(
     two-step distinct aggregation.
     """
     hist = split_filter(df, ts_col, history_start, history_end)
-    n = F.count(F.lit(1))
-    aggs = [n.alias("n_events")]
-    for c in categories:
-        aggs.append(F.count_if(F.col(category_col) == F.lit(c)).alias(f"n_{c}"))
-    for f in flag_cols:
-        aggs.append(F.sum(F.col(f).cast("bigint")).alias(f"n_{f}"))
-    aggs.append(F.count_distinct(F.to_date(F.col(ts_col))).alias("n_active_days"))
-    for a in amount_cols:
-        units = F.round(F.col(a) * F.lit(amount_scale)).cast("bigint")
-        aggs += [F.sum(units).alias(f"{a}_units"), F.count(F.col(a)).alias(f"_{a}_n"),
-                 F.min(a).alias(f"{a}_min"), F.max(a).alias(f"{a}_max")]
-    for d in distinct_cols:
-        aggs.append(F.count_distinct(F.col(d)).alias(f"n_distinct_{d}"))
-    aggs.append(F.max(ts_col).alias("last_ts"))
-    out = hist.groupBy(*keys).agg(*aggs)
-    derived = {}
-    for c in [*categories, *flag_cols]:
-        derived[f"{c}_rate"] = F.col(f"n_{c}") / F.col("n_events")
-    for a in amount_cols:
-        derived[f"{a}_avg"] = F.try_divide(F.col(f"{a}_units"), F.col(f"_{a}_n")) / F.lit(amount_scale)
-    derived["days_since_last"] = F.datediff(F.to_date(_lit_ts(history_end)), F.to_date(F.col("last_ts")))
-    out = out.withColumns(derived).drop(*[f"_{a}_n" for a in amount_cols])
+    aggs = _entity_aggs(ts_col, category_col, categories, amount_cols, amount_scale, distinct_cols, flag_cols)
+    out = _entity_derive(hist.groupBy(*keys).agg(*aggs), history_end, categories, flag_cols, amount_cols,
+                         amount_scale)
     if prefix:
         out = out.select(*keys, *[F.col(c).alias(prefix + c) for c in out.columns if c not in keys])
     return out
@@ -207,17 +218,64 @@ def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], f
     return out.fillna(fill) if fill else out
 
 
+def coupon_feature_table(coupons: DataFrame, key_sets: dict[str, Sequence[str]], ts_col: str, history_end,
+                         history_start=None, label_col: str = "label", amount_cols: Sequence[str] = ("min_spend",),
+                         distinct_cols: Sequence[str] = (), amount_scale: int = 100) -> DataFrame:
+    """The feature family of every entity kind from one scan: one row per (kind, entity).
+
+    ``key_sets`` maps a kind to its key columns (for example ``{"user": [...],
+    "merchant": [...], "user_merchant": [...]}``). One grouping-sets aggregate over
+    the history window computes the features of ``entity_features`` (coupon counts,
+    redemptions and their rate, amount statistics, distinct counts, activity days,
+    recency) for all kinds at once, so the coupon table is read once, not once per
+    kind. Columns: ``kind``, every key column (NULL where the kind does not use it),
+    then the features. A NULL key value of a kind stays a group of its own.
+    """
+    kinds = list(key_sets)
+    sets = [tuple(key_sets[k]) for k in kinds]
+    if len(set(sets)) != len(sets):
+        raise ValueError("two kinds have the same key columns")
+    all_keys = list(dict.fromkeys(c for keys in sets for c in keys))
+    hist = split_filter(coupons, ts_col, history_start, history_end)
+    aggs = _entity_aggs(ts_col, None, (), amount_cols, amount_scale, distinct_cols, (label_col,))
+    table = hist.groupingSets([[F.col(c) for c in keys] for keys in sets], *all_keys) \
+        .agg(*aggs, F.grouping_id().alias("_gid"))
+    n = len(all_keys)
+    # grouping_id has the bit of a column set when the column is rolled up (not a key of the set)
+    kind = F.lit(None).cast("string")
+    for name, keys in zip(kinds, sets):
+        gid = sum(1 << (n - 1 - i) for i, c in enumerate(all_keys) if c not in keys)
+        kind = F.when(F.col("_gid") == F.lit(gid), F.lit(name)).otherwise(kind)
+    table = table.withColumn("kind", kind).drop("_gid")
+    table = _entity_derive(table, history_end, (), (label_col,), amount_cols, amount_scale)
+    return table.select("kind", *all_keys, *[c for c in table.columns if c not in ("kind", *all_keys)])
+
+
 def coupon_features(coupons: DataFrame, key_sets: dict[str, Sequence[str]], ts_col: str, history_end,
                     history_start=None, label_col: str = "label", amount_cols: Sequence[str] = ("min_spend",),
                     distinct_cols: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
-    """The feature family per entity kind (for example ``{"user": [...], "merchant": [...],
-    "coupon": [...], "user_merchant": [...]}``): coupon counts, redemptions and their rate,
-    amount statistics, distinct partners, activity days and recency, each from the
-    history window only, with columns prefixed by the kind."""
+    """The feature family per entity kind, with columns prefixed by the kind.
+
+    One kind is one aggregate. Several kinds share one scan: the long table of
+    ``coupon_feature_table`` is written once (reliable checkpoint, it holds one row
+    per entity, not per coupon) and split by kind.
+    """
+    from cupola.session import materialise
+
     distinct_cols = distinct_cols or {}
-    return {
-        kind: entity_features(coupons, keys, ts_col, history_end, history_start, amount_cols=amount_cols,
-                              distinct_cols=distinct_cols.get(kind, ()), flag_cols=(label_col,),
-                              prefix=f"{kind}_")
-        for kind, keys in key_sets.items()
-    }
+    if len(key_sets) == 1:
+        (kind, keys), = key_sets.items()
+        return {kind: entity_features(coupons, keys, ts_col, history_end, history_start, amount_cols=amount_cols,
+                                      distinct_cols=distinct_cols.get(kind, ()), flag_cols=(label_col,),
+                                      prefix=f"{kind}_")}
+    every_distinct = list(dict.fromkeys(d for ds in distinct_cols.values() for d in ds))
+    table = materialise(coupon_feature_table(coupons, key_sets, ts_col, history_end, history_start, label_col,
+                                             amount_cols, every_distinct))
+    all_keys = [c for c in table.columns[1:] if any(c in ks for ks in key_sets.values())]
+    out = {}
+    for kind, keys in key_sets.items():
+        unused = [f"n_distinct_{d}" for d in every_distinct if d not in distinct_cols.get(kind, ())]
+        feats = [c for c in table.columns if c not in ("kind", *all_keys, *unused)]
+        out[kind] = table.where(F.col("kind") == F.lit(kind)).select(
+            *keys, *[F.col(c).alias(f"{kind}_{c}") for c in feats])
+    return out

@@ -334,3 +334,14 @@ def q_merchant_features(spark, sf_dir):
 def q_user_merchant_features(spark, sf_dir):
     return TL.coupon_features(_coupons_with_parties(spark, sf_dir), {"um": ["o_custkey", "l_suppkey"]},
                               "l_shipdate", COUPON_HISTORY_END)["um"]
+
+
+FAMILY_KINDS = {"customer": ["o_custkey"], "merchant": ["l_suppkey"], "part": ["l_partkey"],
+                "customer_merchant": ["o_custkey", "l_suppkey"]}
+
+
+@register("coupon_feature_family")
+def q_coupon_feature_family(spark, sf_dir):
+    # every kind from one scan of the coupons: one row per (kind, entity)
+    return TL.coupon_feature_table(_coupons_with_parties(spark, sf_dir), FAMILY_KINDS, "l_shipdate",
+                                   COUPON_HISTORY_END, distinct_cols=("l_partkey",))

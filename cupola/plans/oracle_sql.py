@@ -365,3 +365,21 @@ SQL["user_merchant_features"] = _coupon_family(
     ["o_custkey", "l_suppkey"], "um_",
     f"select n.*, o.o_custkey from ({normalised_sql(('l_suppkey', 'l_shipdate'))}) n "
     "join orders o on n.l_orderkey = o.o_orderkey", [])
+
+
+FAMILY_KINDS = {"customer": ["o_custkey"], "merchant": ["l_suppkey"], "part": ["l_partkey"],
+                "customer_merchant": ["o_custkey", "l_suppkey"]}
+_FAMILY_KEYS = ["o_custkey", "l_suppkey", "l_partkey"]
+_FAMILY_FEATURES = ["n_events", "n_label", "n_active_days", "min_spend_units", "min_spend_min", "min_spend_max",
+                    "n_distinct_l_partkey", "last_ts", "label_rate", "min_spend_avg", "days_since_last"]
+_PARTIES = (f"select n.*, o.o_custkey from ({normalised_sql(('l_suppkey', 'l_shipdate'))}) n "
+            "join orders o on n.l_orderkey = o.o_orderkey")
+
+
+def _family_part(kind: str, keys: list[str]) -> str:
+    cols = [c if c in keys else f"cast(null as bigint) as {c}" for c in _FAMILY_KEYS]
+    return (f"select '{kind}' as kind, {', '.join(cols)}, {', '.join(_FAMILY_FEATURES)} "
+            f"from ({_coupon_family(keys, '', _PARTIES, ['l_partkey'])})")
+
+
+SQL["coupon_feature_family"] = " union all ".join(_family_part(k, v) for k, v in FAMILY_KINDS.items())

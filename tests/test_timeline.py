@@ -146,3 +146,32 @@ def test_hot_split_shuffle_join_path_gives_same_buckets(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     sizes = [r["count"] for r in a.groupBy("_bucket").count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 2 * 20
+
+
+def test_coupon_features_one_scan_equals_per_kind(spark):
+    """Several kinds from one grouping-sets scan give what one aggregate per kind gives,
+    NULL keys included."""
+    rnd = random.Random(17)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.choice([None, 1, 2, 3]), rnd.randint(1, 4), rnd.randint(0, 1), rnd.choice([None, 10.0, 25.5]),
+             t0 + dt.timedelta(hours=rnd.randint(0, 24 * 20))) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, user_id long, merchant_id long, label int, min_spend double, "
+                                     "ts timestamp_ntz")
+    kinds = {"user": ["user_id"], "merchant": ["merchant_id"], "pair": ["user_id", "merchant_id"]}
+    distinct = {"merchant": ["user_id"]}
+    together = TL.coupon_features(df, kinds, "ts", "2024-01-15", distinct_cols=distinct)
+    for kind, keys in kinds.items():
+        alone = TL.entity_features(df, keys, "ts", "2024-01-15", amount_cols=["min_spend"],
+                                   distinct_cols=distinct.get(kind, ()), flag_cols=["label"], prefix=f"{kind}_")
+        got = together[kind]
+        assert sorted(got.columns) == sorted(alone.columns), kind
+        assert got.exceptAll(alone.select(*got.columns)).count() == 0, kind
+        assert alone.select(*got.columns).exceptAll(got).count() == 0, kind
+
+
+def test_feature_family_reads_the_coupons_once(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+
+    plan = E.queries()["coupon_feature_family"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and "Expand" in plan
