@@ -148,6 +148,7 @@ def knn_neighbours(
     max_group_queries: int = 50_000,
     seed: int = 17,
     checkpoint: bool = True,
+    group_bytes: int = 256 << 20,
 ) -> DataFrame:
     """The exact ``k`` nearest training rows of every query row:
     ``qid, tid, tlabel, dist2, rank`` (ties broken by training id).
@@ -173,7 +174,9 @@ def knn_neighbours(
 
     ``n_pivots`` defaults to one per ``max_cell_rows`` training rows, between 32 and
     256: more cells prune more pairs as the table grows, while the per-row array of
-    pivot distances stays small.
+    pivot distances stays small. For wide vectors ``max_cell_rows`` and
+    ``max_group_queries`` are lowered so that a group's training vectors and its query
+    vectors (as float64) each stay within ``group_bytes``.
     """
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
@@ -181,6 +184,10 @@ def knn_neighbours(
         n_pivots = min(256, max(32, math.ceil(t.count() / max_cell_rows)))
     pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
     m = len(pivots)
+    if m:
+        dim = max(1, len(pivots[0]))
+        max_cell_rows = min(max_cell_rows, max(1_000, group_bytes // (8 * dim)))
+        max_group_queries = min(max_group_queries, max(1_000, group_bytes // (8 * dim)))
     schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
              f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
     if m == 0:
