@@ -405,23 +405,32 @@ def quantile_bins(df: DataFrame, features: Sequence[str], n_bins: int = 32, accu
 
 
 def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int = 20, n_bins: int = 32,
-                 checkpoint: bool = True) -> AdaBoostModel:
+                 checkpoint: bool = True, fold_every: int = 50) -> AdaBoostModel:
     """Discrete AdaBoost with stumps; each round is one Spark aggregation.
 
     The binned training table is cut from its lineage once (reliable checkpoint);
     no column is added per round: the weight of a row is a closed form of the
     ensemble so far, ``exp(-0.5 * y * margin)`` with ``alpha = ln((1-e)/e)``, so
-    each round is a projection of the same table plus ``stump_search``. Stops
-    early when the best stump is no better than chance or perfect.
+    each round is a projection of the same table plus ``stump_search``. Every
+    ``fold_every`` rounds the margin so far is written into the table (one
+    checkpoint), so the weight expression never holds more than ``fold_every``
+    stumps. Stops early when the best stump is no better than chance or perfect.
     """
     feats = list(features)
-    base = quantile_bins(df.select(*feats, label), feats, n_bins)
+    base = quantile_bins(df.select(*feats, label), feats, n_bins).withColumn("_m0", F.lit(0.0))
     if checkpoint:
         base = materialise(base)
     model = AdaBoostModel(feats)
     y = F.col(label).cast("double") * F.lit(2.0) - F.lit(1.0)
+    folded = 0  # stumps already summed into _m0
     for _ in range(rounds):
-        w = F.exp(F.lit(-0.5) * y * model.margin())
+        if fold_every and len(model.stumps) - folded >= fold_every:
+            recent = AdaBoostModel(feats, model.stumps[folded:])
+            base = base.withColumn("_m0", F.col("_m0") + recent.margin())
+            base = materialise(base) if checkpoint else base
+            folded = len(model.stumps)
+        margin = F.col("_m0") + AdaBoostModel(feats, model.stumps[folded:]).margin()
+        w = F.exp(F.lit(-0.5) * y * margin)
         best = _best_stump(_weighted_histogram(base, feats, label, w), feats)
         if best is None:
             break

@@ -192,3 +192,12 @@ def test_score_sink_round_trip_and_model_pruning(spark, tmp_path):
     assert back.select(*scores.columns).exceptAll(scores).count() == 0 and back.count() == 20
     plan = back.where(F.col("model") == "rf")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(model" in plan
+
+
+def test_adaboost_folded_margin_gives_the_same_stumps(spark, docs):
+    plain = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=6, fold_every=0)
+    folded = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=6, fold_every=2)
+    assert len(plain.stumps) == len(folded.stumps) >= 1
+    for a, b in zip(plain.stumps, folded.stumps):
+        assert (a["feature"], a["threshold"], a["polarity"]) == (b["feature"], b["threshold"], b["polarity"])
+        assert a["alpha"] == pytest.approx(b["alpha"], rel=1e-9)
