@@ -124,7 +124,7 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
     log-loss (scores read as probabilities, clipped to [eps, 1-eps]); ranked by AUC.
 
     The score table is read by two aggregates; ``write_once`` writes it to the
-    checkpoint folder first, so the models behind it are not evaluated twice.
+    checkpoint folder first (``materialise``), so the models behind it are not evaluated twice.
     """
     group_cols = list(group_cols)
     if write_once:

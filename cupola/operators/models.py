@@ -310,7 +310,7 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     g = base.where(F.col("_x").isNotNull()).groupBy("feature", "_x").agg(F.sum("_wp").alias("_gp"),
                                                                           F.sum("_wn").alias("_gn"))
     # value ranges: Spark's range partitioning of (feature, value) cuts the distinct values
-    # into n pieces of about equal size; the range index is written once (checkpoint) so
+    # into n pieces of about equal size; the range index is written once (a table) so
     # that every later read sees the same buckets
     n = n_buckets or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     g = materialise(g.repartitionByRange(n, "feature", "_x").withColumn("_vb", F.spark_partition_id()))
@@ -408,12 +408,12 @@ def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int
                  checkpoint: bool = True, fold_every: int = 50) -> AdaBoostModel:
     """Discrete AdaBoost with stumps; each round is one Spark aggregation.
 
-    The binned training table is cut from its lineage once (reliable checkpoint);
+    The binned training table is cut from its lineage once (``materialise``);
     no column is added per round: the weight of a row is a closed form of the
     ensemble so far, ``exp(-0.5 * y * margin)`` with ``alpha = ln((1-e)/e)``, so
     each round is a projection of the same table plus ``stump_search``. Every
     ``fold_every`` rounds the margin so far is written into the table (one
-    checkpoint), so the weight expression never holds more than ``fold_every``
+    ``materialise``), so the weight expression never holds more than ``fold_every``
     stumps. Stops early when the best stump is no better than chance or perfect.
     """
     feats = list(features)

@@ -257,7 +257,7 @@ def coupon_features(coupons: DataFrame, key_sets: dict[str, Sequence[str]], ts_c
     """The feature family per entity kind, with columns prefixed by the kind.
 
     One kind is one aggregate. Several kinds share one scan: the long table of
-    ``coupon_feature_table`` is written once (reliable checkpoint, it holds one row
+    ``coupon_feature_table`` is written once (``materialise``; it holds one row
     per entity, not per coupon) and split by kind.
     """
     from cupola.session import materialise

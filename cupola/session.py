@@ -51,20 +51,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there:
-    cuts the lineage (reliably, unlike ``localCheckpoint``) so that a table read by
-    several jobs is computed once.
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and
+    read it back: cuts the lineage (reliably, unlike ``localCheckpoint``) so that a
+    table read by several jobs is computed once.
 
-    A reliable checkpoint writes its files in a second job after the one that
-    computes the rows; the rows are kept in the executors' cache between the two
-    (memory, spilling to disk) so they are not computed twice, and the cache is
-    dropped once the files are written.
+    A table rather than ``checkpoint()``: the rows are computed by one job (a
+    reliable checkpoint computes them a second time to write its files unless they
+    are cached, and a cached plan keeps every shuffle partition, since adaptive
+    execution may not coalesce it), and the read-back is an ordinary scan with
+    column pruning, pushed filters and measured size. Written files are committed
+    per task, so a retried task leaves no partial output.
     """
-    from pyspark import StorageLevel
+    import uuid
 
-    checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
