@@ -29,7 +29,8 @@ def main() -> None:
     checkpoint_dir(spark)
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `scripts/plan_report.py` at `{sf_dir}` (local[8], AQE on; counts are for the plan")
-    print("before adaptive re-planning). `Scan ExistingRDD` is a reliable checkpoint being read back.\n")
+    print("before adaptive re-planning). Scans of `tables/<id>` folders under the checkpoint folder are "
+          "intermediate tables written once by `materialise` and read back.\n")
     print("| query | shuffles | joins | aggregates | windows | python | scans: pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in E.queries().items():
