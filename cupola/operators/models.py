@@ -172,7 +172,9 @@ def knn_neighbours(
     hash (the cell's rows are sent to each part). Only pivots and per-cell
     radii/counts (bounded by ``n_pivots``) reach the driver.
 
-    ``n_pivots`` defaults to one per ``max_cell_rows`` training rows, between 32 and
+    A training table of at most ``max_cell_rows`` rows is one cell: no pivots, each
+    query part meets all of it. ``n_pivots`` defaults to one per ``max_cell_rows``
+    training rows, between 32 and
     256: more cells prune more pairs as the table grows, while the per-row array of
     pivot distances stays small. For wide vectors ``max_cell_rows`` and
     ``max_group_queries`` are lowered so that a group's training vectors and its query
@@ -180,18 +182,28 @@ def knn_neighbours(
     """
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
-    if n_pivots is None:
-        n_pivots = min(256, max(32, math.ceil(t.count() / max_cell_rows)))
-    pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
-    m = len(pivots)
-    if m:
-        dim = max(1, len(pivots[0]))
-        max_cell_rows = min(max_cell_rows, max(1_000, group_bytes // (8 * dim)))
-        max_group_queries = min(max_group_queries, max(1_000, group_bytes // (8 * dim)))
     schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
              f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
-    if m == 0:
+    n_train = t.count()
+    first = t.select(F.size("_v").alias("d")).where(F.col("d") >= 0).limit(1).collect()
+    if n_train == 0 or not first:
         return q.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
+    dim = max(1, first[0]["d"])
+    max_cell_rows = min(max_cell_rows, max(1_000, group_bytes // (8 * dim)))
+    max_group_queries = min(max_group_queries, max(1_000, group_bytes // (8 * dim)))
+    if n_train <= max_cell_rows:
+        # every training row fits in one cell, where pivots would prune nothing: each part
+        # of at most max_group_queries queries meets the whole training table
+        parts = max(1, math.ceil(q.count() / max_group_queries))
+        qside = q.select("qid", "_qv", F.lit(0).alias("cell"), F.lit(0).alias("sub"),
+                         F.pmod(F.xxhash64("qid"), F.lit(parts)).cast("int").alias("part"))
+        tside = t.select(F.lit(0).alias("cell"), "tid", "_v", "tlabel", F.lit(0).alias("sub"),
+                         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        return _nearest(qside, tside, k, exclude_self, schema)
+    if n_pivots is None:
+        n_pivots = min(256, max(32, math.ceil(n_train / max_cell_rows)))
+    pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
+    m = len(pivots)
     # all pivots as one constant (folded once by the optimizer): expression size does not grow with m
     plit = _const(pivots, "array<array<double>>")
 
@@ -248,6 +260,12 @@ def knn_neighbours(
     tside = (tp.select("cell", "tid", "_v", "tlabel")
              .withColumn("sub", F.pmod(F.xxhash64("tid"), per_cell(splits)).cast("int"))
              .withColumn("part", F.explode(F.sequence(F.lit(0), per_cell(qsplits) - 1))))
+    return _nearest(qside, tside, k, exclude_self, schema)
+
+
+def _nearest(qside: DataFrame, tside: DataFrame, k: int, exclude_self: bool, schema: str) -> DataFrame:
+    """Cogroup queries and training rows on (cell, sub, part), k nearest per group with
+    numpy, then the k nearest per query over its groups."""
     # both sides group on (int, int, int): equal key types hash to the same partition
     near = (qside.groupBy("cell", "sub", "part")
             .cogroup(tside.groupBy("cell", "sub", "part"))

@@ -48,14 +48,15 @@ def test_knn_exact_matches_brute_force(spark, cell_rows, group_queries):
     assert got == _brute_knn(ids, vecs, ids, vecs, 4, True)
 
 
-def test_knn_separate_query_set(spark):
+@pytest.mark.parametrize("cell_rows", [50_000, 20])
+def test_knn_separate_query_set(spark, cell_rows):
     rnd = random.Random(2)
     train = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(5)], i % 2) for i in range(150)],
                                   "id long, vec array<double>, label int")
     query = spark.createDataFrame([(1000 + i, [rnd.gauss(0, 1) for _ in range(5)]) for i in range(40)],
                                   "id long, vec array<double>")
     got = {}
-    for r in ML.knn_neighbours(train, query, 3, n_pivots=8).orderBy("qid", "rank").collect():
+    for r in ML.knn_neighbours(train, query, 3, n_pivots=8, max_cell_rows=cell_rows).orderBy("qid", "rank").collect():
         got.setdefault(r.qid, []).append(r.tid)
     t = train.collect()
     q = query.collect()
@@ -145,10 +146,12 @@ def test_read_coupons_csv(spark, tmp_path):
     assert np.isclose([r.rate_raw for r in df.collect()].count("0.9"), 1)
 
 
-def test_knn_exact_on_embeddings_many_partitions(spark):
-    """2,000 x 64 embeddings: groups spread over all shuffle partitions."""
+@pytest.mark.parametrize("cell_rows", [50_000, 300])
+def test_knn_exact_on_embeddings_many_partitions(spark, cell_rows):
+    """2,000 x 64 embeddings: one cell, or pivot cells spread over all shuffle partitions."""
     emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    nb = ML.knn_neighbours(emb, emb, 5, id_col="vec_id", vec_col="embedding", exclude_self=True)
+    nb = ML.knn_neighbours(emb, emb, 5, id_col="vec_id", vec_col="embedding", exclude_self=True,
+                           max_cell_rows=cell_rows)
     got = {}
     for r in nb.orderBy("qid", "rank").collect():
         got.setdefault(r.qid, []).append(r.tid)
