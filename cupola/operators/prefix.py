@@ -67,8 +67,8 @@ def with_hot_split(
     are found by one partial aggregate and cut into slices of ``position`` of width
     ``(max - min + 1) * max_bucket_rows / rows``; the new bucket is
     ``bucket * 2^40 + slice`` (slice 0 for the others), so it stays non-decreasing
-    along the order; this needs ``position`` to span less than 2^40 inside a bucket
-    and ``bucket`` below 2^23 (day numbers and microseconds within a day qualify). The hot groups number at most rows / max_bucket_rows; they are
+    along the order. A group gets at most about rows / ``max_bucket_rows`` slices,
+    far below 2^40; ``bucket`` must stay below 2^23 (day numbers do). The hot groups number at most rows / max_bucket_rows; they are
     broadcast only when counted at or under ``broadcast_rows``, else joined by a
     shuffle. The running totals stay exact whatever the slices.
     """
