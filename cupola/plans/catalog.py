@@ -221,6 +221,16 @@ def q_vif_pair(spark, sf_dir):
     return out.withColumn("vif", F.round("vif", 6))
 
 
+VIF3_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@register("vif_three")
+def q_vif_three(spark, sf_dir):
+    # diagonal of the inverse 3 x 3 correlation matrix (one aggregate for the matrix)
+    out = S.vif(_lineitem_labelled(spark, sf_dir, VIF3_FEATURES), VIF3_FEATURES)
+    return out.withColumn("vif", F.round("vif", 6))
+
+
 # --- models (B10-B14, B17) ------------------------------------------------------------------
 
 KNN_K = 5

@@ -298,6 +298,24 @@ select 'l_extendedprice' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
 """
 
 
+def _vif3(name: str, a: str, b: str, c: str) -> str:
+    # R^2 of the feature on the other two from pairwise correlations, then 1 / (1 - R^2)
+    r2 = f"({a} * {a} + {b} * {b} - 2.0 * {a} * {b} * {c}) / (1.0 - {c} * {c})"
+    return f"select '{name}' as feature, round(1.0 / (1.0 - {r2}), 6) as vif from r"
+
+
+SQL["vif_three"] = f"""
+with b as ({_LABELLED}),
+r as (select corr(cast(l_quantity as double), cast(l_extendedprice as double)) as r12,
+             corr(cast(l_quantity as double), cast(l_discount as double)) as r13,
+             corr(cast(l_extendedprice as double), cast(l_discount as double)) as r23 from b)
+{_vif3('l_quantity', 'r12', 'r13', 'r23')}
+union all
+{_vif3('l_extendedprice', 'r12', 'r23', 'r13')}
+union all
+{_vif3('l_discount', 'r13', 'r23', 'r12')}
+"""
+
 # --- models ---------------------------------------------------------------------------------
 
 _D2 = ("list_reduce(list_transform(list_zip(q.embedding, t.embedding), "
