@@ -305,15 +305,15 @@ def _vif3(name: str, a: str, b: str, c: str) -> str:
 
 
 SQL["vif_three"] = f"""
-with b as ({_LABELLED}),
-r as (select corr(cast(l_quantity as double), cast(l_extendedprice as double)) as r12,
-             corr(cast(l_quantity as double), cast(l_discount as double)) as r13,
-             corr(cast(l_extendedprice as double), cast(l_discount as double)) as r23 from b)
+with b as (select *, l_discount + l_tax as disc_plus_tax from lineitem),
+r as (select corr(cast(l_quantity as double), cast(l_discount as double)) as r12,
+             corr(cast(l_quantity as double), cast(disc_plus_tax as double)) as r13,
+             corr(cast(l_discount as double), cast(disc_plus_tax as double)) as r23 from b)
 {_vif3('l_quantity', 'r12', 'r13', 'r23')}
 union all
-{_vif3('l_extendedprice', 'r12', 'r23', 'r13')}
+{_vif3('l_discount', 'r12', 'r23', 'r13')}
 union all
-{_vif3('l_discount', 'r13', 'r23', 'r12')}
+{_vif3('disc_plus_tax', 'r13', 'r23', 'r12')}
 """
 
 # --- models ---------------------------------------------------------------------------------
