@@ -289,8 +289,8 @@ def outlier_bounds(df: DataFrame, cols: Sequence[str], method: str = "iqr", k: f
     return bounds
 
 
-def _outside(c: str, lo, hi) -> Column:
-    col = F.col(c)
+def _outside(df: DataFrame, c: str, lo, hi) -> Column:
+    col = _value(df, c)  # missing (NULL, NaN) is never an outlier; Spark orders NaN above all numbers
     if lo is None:
         return F.lit(False)
     return F.coalesce((col < F.lit(lo)) | (col > F.lit(hi)), F.lit(False))
@@ -298,12 +298,14 @@ def _outside(c: str, lo, hi) -> Column:
 
 def outlier_flag(df: DataFrame, bounds: dict) -> DataFrame:
     """Add ``<c>_outlier`` (0/1) per column."""
-    return df.withColumns({f"{c}_outlier": _outside(c, lo, hi).cast("int") for c, (lo, hi) in bounds.items()})
+    return df.withColumns({f"{c}_outlier": _outside(df, c, lo, hi).cast("int") for c, (lo, hi) in bounds.items()})
 
 
 def outlier_clip(df: DataFrame, bounds: dict) -> DataFrame:
-    """Clip each column into its bounds (winsorise)."""
-    return df.withColumns({c: F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi))
+    """Clip each column into its bounds (winsorise); missing values (NULL, NaN) stay
+    as they are (``least``/``greatest`` alone would skip a NULL and return a bound)."""
+    return df.withColumns({c: F.when(_is_missing(df, c), F.col(c))
+                           .otherwise(F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)))
                            for c, (lo, hi) in bounds.items() if lo is not None})
 
 
@@ -311,5 +313,5 @@ def outlier_drop(df: DataFrame, bounds: dict) -> DataFrame:
     """Drop rows outside the bounds of any column."""
     cond = F.lit(False)
     for c, (lo, hi) in bounds.items():
-        cond = cond | _outside(c, lo, hi)
+        cond = cond | _outside(df, c, lo, hi)
     return df.where(~cond)

@@ -154,6 +154,15 @@ select l_orderkey, l_linenumber,
 from lineitem, b
 """
 
+SQL["outlier_events"] = f"""
+with g as ({EVENTS_GAPS}),
+b as (select {_bounds("value")} from g)
+select event_id,
+  case when value is null then null else least(greatest(value, lo_value), hi_value) end as value,
+  cast(coalesce(value < lo_value or value > hi_value, false) as integer) as value_outlier
+from g, b
+"""
+
 SIGMA_COLS = ["l_extendedprice", "l_quantity"]
 
 SQL["outlier_sigma"] = f"""

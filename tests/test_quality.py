@@ -87,3 +87,16 @@ def test_quasi_constant_messages(f3):
     assert lines == ["dropped feature c1: most frequent value holds 0.9600 of non-missing values",
                      "dropped feature c3: most frequent value holds 1.0000 of non-missing values",
                      "dropped feature c5: most frequent value holds 1.0000 of non-missing values"]
+
+
+def test_outliers_leave_missing_values_alone(spark):
+    rows = [(float(x),) for x in [1, 2, 3, 4, 5, 6, 7, 8, 100]] + [(None,), (float("nan"),)]
+    df = spark.createDataFrame(rows, "v double")
+    b = Q.outlier_bounds(df, ["v"], exact=True)
+    lo, hi = b["v"]
+    clipped = [r.v for r in Q.outlier_clip(df, b).collect()]
+    assert clipped.count(None) == 1 and sum(1 for v in clipped if v is not None and math.isnan(v)) == 1
+    assert max(v for v in clipped if v is not None and not math.isnan(v)) == hi
+    flags = [r.v_outlier for r in Q.outlier_flag(df, b).collect()]
+    assert sum(flags) == 1  # only 100
+    assert Q.outlier_drop(df, b).count() == 10
