@@ -30,15 +30,6 @@ from cupola.session import materialise
 # helpers
 # ---------------------------------------------------------------------------------------
 
-
-def hash_split(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = 7,
-               col: str = "is_test") -> DataFrame:
-    """Deterministic train/test assignment from a hash of the id: the same row lands
-    on the same side in every run and after any task retry."""
-    u = F.xxhash64(F.col(id_col), F.lit(seed)).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
-    return df.withColumn(col, u < F.lit(test_fraction))
-
-
 def _assemble(features: Sequence[str], scale: bool) -> list:
     stages = [VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="keep")]
     if scale:

@@ -129,14 +129,6 @@ def test_models_are_deterministic(spark, docs):
     assert all(0.0 <= x <= 1.0 for x in s) and len(s) == docs.count()
 
 
-def test_hash_split_is_stable(spark):
-    df = spark.range(2000).withColumnRenamed("id", "k")
-    a = ML.hash_split(df, "k", 0.25).where("is_test").select("k")
-    b = ML.hash_split(df.repartition(7), "k", 0.25).where("is_test").select("k")
-    n = a.count()
-    assert 350 < n < 650 and a.exceptAll(b).count() == 0
-
-
 def test_read_coupons_csv(spark, tmp_path):
     p = tmp_path / "c.csv"
     p.write_text("user_id,merchant_id,coupon_id,rate_raw,distance,date_received,date\n"
