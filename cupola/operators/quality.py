@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cupola.operators.quantile import exact_quantiles_many
+from cupola.session import materialise
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -141,7 +142,8 @@ def quasi_constant_filter(df: DataFrame, cols: Sequence[str] | None = None, thre
     The flagged names (at most one per feature) are the only values brought to
     the driver. ``report_only=True`` leaves ``df`` unchanged.
     """
-    report = quasi_constant_report(df, cols, threshold, method).cache()
+    # one row per feature, written once: the flags and the caller read the same report
+    report = materialise(quasi_constant_report(df, cols, threshold, method))
     if report_only:
         return df, report
     flagged = [r["feature"] for r in report.where("flagged").select("feature").collect()]
