@@ -79,22 +79,35 @@ def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = 10000
     A value held by more than half of the non-missing rows is the median of the
     value hashes, so ``percentile_approx(hash, 0.5)`` names it (rank error
     1/accuracy); a second aggregate counts it. The hash keeps 52 bits so that the
-    sketch, which works in doubles, holds it exactly. ``top_count`` is exact
-    whenever the top share exceeds 0.5 + 1/accuracy (up to a 52-bit hash
-    collision); below that it is the count of one frequent value, a lower bound.
+    sketch, which works in doubles, holds it exactly. The second aggregate also takes
+    the smallest and largest value with that hash: if they differ, distinct values
+    share the hash, and that column is counted exactly by grouping instead. So
+    ``top_count`` is exact whenever the top share exceeds 0.5 + 1/accuracy; below
+    that it is the count of one frequent value, a lower bound.
     """
     hashes = [F.when(_value(df, c).isNotNull(), F.shiftrightunsigned(F.xxhash64(_value(df, c)), 12))
               for c in cols]
     cand = df.select(*[F.percentile_approx(h, 0.5, accuracy).alias(f"_h{i}") for i, h in enumerate(hashes)]).first()
     aggs = []
-    for i, h in enumerate(hashes):
+    for i, (c, h) in enumerate(zip(cols, hashes)):
         target = cand[f"_h{i}"]
         hit = F.lit(False) if target is None else (h == F.lit(target))
-        aggs += [F.count_if(hit).alias(f"_t{i}"), F.count(h).alias(f"_m{i}")]
-    wide = df.select(*aggs)
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("idx"), F.when(F.col(f"_m{i}") > 0, F.col(f"_t{i}")).alias("top_count"),
-                 F.col(f"_m{i}").alias("non_missing")) for i in range(len(cols))])))
+        v = F.when(hit, _value(df, c))
+        aggs += [F.count_if(hit).alias(f"_t{i}"), F.count(h).alias(f"_m{i}"),
+                 F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
+    row = df.select(*aggs).first()
+    rows, collided = [], []
+    for i, c in enumerate(cols):
+        if row[f"_lo{i}"] is not None and row[f"_lo{i}"] != row[f"_hi{i}"]:
+            collided.append(i)
+            continue
+        rows.append((i, row[f"_t{i}"] if row[f"_m{i}"] > 0 else None, row[f"_m{i}"]))
+    out = df.sparkSession.createDataFrame(rows, "idx int, top_count bigint, non_missing bigint")
+    if collided:
+        exact = _top_counts_exact(df, [cols[i] for i in collided])
+        remap = F.element_at(F.array(*[F.lit(i) for i in collided]), F.col("idx") + 1)
+        out = out.unionByName(exact.select(remap.alias("idx"), "top_count", "non_missing"))
+    return out
 
 
 def quasi_constant_report(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = 0.95,

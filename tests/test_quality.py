@@ -100,3 +100,17 @@ def test_outliers_leave_missing_values_alone(spark):
     flags = [r.v_outlier for r in Q.outlier_flag(df, b).collect()]
     assert sum(flags) == 1  # only 100
     assert Q.outlier_drop(df, b).count() == 10
+
+
+def test_sketch_falls_back_to_exact_counts_on_hash_collisions(spark, f3, monkeypatch):
+    """With every value hashing alike, each column with two or more distinct values
+    collides and is counted by grouping: the report equals the exact one."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(Q.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
+    sketch = {r.feature: (r.top_count, r.non_missing, r.flagged)
+              for r in Q.quasi_constant_report(f3, None, 0.95, method="sketch").collect()}
+    monkeypatch.undo()
+    exact = {r.feature: (r.top_count, r.non_missing, r.flagged)
+             for r in Q.quasi_constant_report(f3, None, 0.95, method="exact").collect()}
+    assert sketch == exact
