@@ -27,4 +27,10 @@ def test_stream_matches_batch(spark, tmp_path):
     bands.stop()
     total = spark.sql("select sum(n_coupons) as n from bands").first().n
     assert total == want.count()
+    # every band's running counts equal the batch report's
+    from cupola.operators.normalise import discount_band_report
+
+    batch = discount_band_report(normalise_coupons(view, date_col=None)).select("band", "n_coupons", "n_redeemed")
+    got_bands = spark.sql("select band, n_coupons, n_redeemed from bands")
+    assert got_bands.exceptAll(batch).count() == 0 and batch.exceptAll(got_bands).count() == 0
     assert os.path.isdir(str(tmp_path / "ck"))
