@@ -26,3 +26,16 @@ def test_time_filters_reach_the_scan(spark):
 def test_normalise_reads_only_needed_columns(spark):
     plan = E.queries()["discount_bands"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "l_suppkey" not in plan
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_wide_table_scans_are_pruned(spark, key):
+    """No query needs every column of lineitem or orders: each such scan reads fewer."""
+    import re
+
+    width = {t: len(spark.read.parquet(f"{SF001}/{t}.parquet").columns) for t in ("lineitem", "orders")}
+    plan = E.queries()[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        scan = re.search(r"FileScan parquet \[([^\]]*)\].*/(\w+)\.parquet\]", line)
+        if scan and scan.group(2) in width:
+            assert len(scan.group(1).split(",")) < width[scan.group(2)], (key, scan.group(2))
