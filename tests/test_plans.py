@@ -39,3 +39,11 @@ def test_wide_table_scans_are_pruned(spark, key):
         scan = re.search(r"FileScan parquet \[([^\]]*)\].*/(\w+)\.parquet\]", line)
         if scan and scan.group(2) in width:
             assert len(scan.group(1).split(",")) < width[scan.group(2)], (key, scan.group(2))
+
+
+def test_flagship_shapes(spark):
+    """Parsing is one projection over the scan; the band report adds one aggregate shuffle."""
+    plan = E.queries()["coupon_normalise"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    plan = E.queries()["discount_bands"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" in plan
