@@ -46,8 +46,15 @@ def main():
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type"])
     li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice", "l_returnflag"]) \
         .withColumn("label", (F.col("l_returnflag") == "R").cast("int")).drop("l_returnflag")
+    emb = read_table(spark, sf_dir, "embeddings")
     counts = {"n": F.lit(1), "buys": (F.col("event_type") == "purchase").cast("int")}
     out = {}
+    knn = {"knn": lambda m: ML.knn_neighbours(m, m, 3, id_col="vec_id", vec_col="embedding",
+                                              exclude_self=True, max_cell_rows=40)}
+    for name, fn in knn.items():
+        clean = rows(fn(emb))
+        retried = rows(fn(flaky(emb)))
+        out[name] = {"rows": len(clean), "same": clean == retried}
     for name, fn in {
         "auc": lambda s, e, l: M.auc(s, n_buckets=16),
         "roc_points": lambda s, e, l: M.roc_points(s, n_buckets=16),

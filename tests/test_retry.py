@@ -16,6 +16,6 @@ def test_results_survive_task_retries(tmp_path):
     out = subprocess.run([sys.executable, HELPER, SF001, str(tmp_path / "ck")], capture_output=True, text=True,
                          timeout=900, check=True).stdout.strip().splitlines()[-1]
     res = json.loads(out)
-    assert set(res) == {"auc", "roc_points", "prior_features", "stump_search"}
+    assert set(res) == {"auc", "roc_points", "prior_features", "stump_search", "knn"}
     for name, r in res.items():
         assert r["rows"] > 0 and r["same"], name
