@@ -1,3 +1,18 @@
 """DuckDB text of the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')"
+_FIVE = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+
+SQL: dict[str, str] = {
+    "op7_decontaminate": f"""
+WITH i AS (SELECT item_id, {_FIVE} AS s FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+si AS (SELECT item_id, len(s) AS n_item, unnest(s) AS s FROM i),
+d AS (SELECT doc_id, text, {_FIVE} AS s FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents)),
+sd AS (SELECT doc_id, text, unnest(s) AS s FROM d)
+SELECT doc_id, item_id, CAST(n_item AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_shared,
+       count(*) / n_item AS containment
+FROM sd JOIN si USING (s)
+GROUP BY doc_id, text, item_id, n_item
+HAVING count(*) >= 0.75 * n_item
+""",
+}

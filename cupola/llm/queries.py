@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, secrets, shards
+from . import bpe, decontaminate, quality, secrets, shards
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
@@ -32,5 +37,6 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op4_bpe": op4_bpe,
     "op6_secrets": op6_secrets,
+    "op7_decontaminate": op7_decontaminate,
     "op9_shards": op9_shards,
 }
