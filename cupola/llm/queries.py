@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, secrets, shards
+from . import bpe, decontaminate, jaccard, quality, secrets, shards
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digests(jaccard.link(table(spark, sf_dir, "documents")))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
@@ -38,5 +42,6 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_secrets": op6_secrets,
     "op7_decontaminate": op7_decontaminate,
+    "op8_jaccard": op8_jaccard,
     "op9_shards": op9_shards,
 }
