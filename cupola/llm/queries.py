@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, quality, secrets, shards
+from . import bpe, decontaminate, jaccard, quality, repeats, secrets, shards
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op4_bpe": op4_bpe,
@@ -44,4 +48,5 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard": op8_jaccard,
     "op9_shards": op9_shards,
+    "op10_repeats": op10_repeats,
 }
