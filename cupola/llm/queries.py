@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, jaccard, quality, repeats, secrets, shards
+from . import bpe, decontaminate, html_text, jaccard, lines, quality, repeats, secrets, shards
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lines.report(docs, lines.find(docs))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_html": op3_html,
     "op4_bpe": op4_bpe,
+    "op5_lines": op5_lines,
     "op6_secrets": op6_secrets,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard": op8_jaccard,
