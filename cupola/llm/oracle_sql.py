@@ -4,6 +4,19 @@ _WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGH
 _FIVE = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
 
 SQL: dict[str, str] = {
+    "op2_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+""",
     "op7_decontaminate": f"""
 WITH i AS (SELECT item_id, {_FIVE} AS s FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
 si AS (SELECT item_id, len(s) AS n_item, unnest(s) AS s FROM i),
