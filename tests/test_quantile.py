@@ -5,23 +5,34 @@ import random
 import numpy as np
 import pytest
 
-from cupola.operators.quantile import exact_quantiles
+from cupola.operators.quantile import exact_quantiles, exact_quantiles_many
 
 
-@pytest.mark.parametrize("limit", [50, 100_000])
-def test_exact_quantiles_match_numpy(spark, limit):
+@pytest.mark.parametrize("accuracy", [10, 200, 10_000])
+def test_exact_quantiles_match_numpy(spark, accuracy):
     rnd = random.Random(9)
     vals = [float(rnd.randint(0, 300)) for _ in range(3000)] + [rnd.gauss(0, 50) for _ in range(3000)]
     rows = [(v,) for v in vals] + [(None,), (float("nan"),)]
     df = spark.createDataFrame(rows, "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = exact_quantiles(df, "x", probs, collect_limit=limit, accuracy=200)
+    got = exact_quantiles(df, "x", probs, accuracy=accuracy)
     want = np.quantile(np.array(vals), probs, method="linear")
     assert got == pytest.approx(list(want), rel=1e-12, abs=1e-12)
-    low = exact_quantiles(df, "x", probs, interpolation="lower", collect_limit=limit, accuracy=200)
+    low = exact_quantiles(df, "x", probs, interpolation="lower", accuracy=accuracy)
     assert low == list(np.quantile(np.array(vals), probs, method="lower"))
 
 
 def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
+
+
+def test_few_jobs_on_tied_columns(spark):
+    df = spark.range(60_000).selectExpr("cast(id % 50 as double) as a", "cast(id % 9 as double) / 100 as b", "cast(1 as double) as c")
+    group = "quantile-jobs"
+    spark.sparkContext.setJobGroup(group, "count the jobs")
+    got = exact_quantiles_many(df, {c: [0.25, 0.5, 0.75] for c in "abc"}, accuracy=1000)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert got["c"] == [1.0, 1.0, 1.0] and got["a"][1] == 24.5
+    assert jobs <= 10
