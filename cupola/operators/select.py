@@ -7,68 +7,23 @@ algebra on that p x p matrix is done there with numpy.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# ---------------------------------------------------------------------------------------
-# chi-square survival function (regularised upper incomplete gamma), numerically as in
-# the standard series / continued-fraction pair
-# ---------------------------------------------------------------------------------------
-
-
-def _gamma_q(a: float, x: float) -> float:
-    if x < 0 or a <= 0:
-        return float("nan")
-    if x == 0:
-        return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1.0:
-        # series for P(a, x)
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(10000):
-            ap += 1.0
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    # continued fraction for Q(a, x) (modified Lentz)
-    tiny = 1e-300
-    b = x + 1.0 - a
-    c = 1.0 / tiny
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
-
-
-def chi2_sf(stat: float, dof: float) -> float:
-    """P(X >= stat) for X ~ chi-square(dof)."""
+def chi2_sf(spark: SparkSession, stat: float | None, dof: float | None) -> float | None:
+    """P(X >= stat) for X ~ chi-square(dof), from the JVM's math library (the one Spark ships)."""
     if stat is None or dof is None or dof <= 0 or stat != stat:
-        return float("nan")
-    return _gamma_q(dof / 2.0, stat / 2.0)
-
-
-@F.pandas_udf(T.DoubleType())
-def _chi2_sf_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(s, d) for s, d in zip(stat, dof)], dtype="float64")
+        return None
+    if stat <= 0:
+        return 1.0
+    return float(spark._jvm.org.apache.commons.math3.special.Gamma.regularizedGammaQ(
+        float(dof) / 2.0, float(stat) / 2.0, 1e-14, 2**31 - 1))
 
 
 # ---------------------------------------------------------------------------------------
@@ -90,29 +45,32 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str, with_p_value:
     ``statistic = N * (sum over observed cells of o^2 / (r * c) - 1)``, which
     needs no rows for empty cells. Columns: ``feature, n, n_values, n_labels, dof,
     statistic`` and ``p_value``. Rows with a missing value or label are left out
-    of that feature's table. One grouped count over (feature, value, label), then
-    joins of its small margin tables.
+    of that feature's table. Four shuffles: counts per (feature, value, label), the
+    value totals beside them, sums per (feature, label), sums per feature. With
+    ``with_p_value`` the result (one row per feature) is computed at once, for the
+    JVM's chi-square tail is evaluated on the driver.
     """
     long = df.select(F.col(label).cast("string").alias("_y"), F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"), _as_category(df, f).alias("_x")) for f in features])))
     cells = (long.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
              .groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("_o")))
-    rows = cells.groupBy("feature", "_x").agg(F.sum("_o").alias("_r"))
-    cols = cells.groupBy("feature", "_y").agg(F.sum("_o").alias("_c"))
-    per_feature = (rows.groupBy("feature").agg(F.sum("_r").alias("n"), F.count(F.lit(1)).alias("n_values"))
-                   .join(cols.groupBy("feature").agg(F.count(F.lit(1)).alias("n_labels")), "feature"))
+    of_value = Window.partitionBy("feature", "_x")
     o = F.col("_o").cast("double")
-    terms = (cells.join(rows, ["feature", "_x"]).join(cols, ["feature", "_y"])
-             .groupBy("feature").agg(F.sum(o * o / (F.col("_r").cast("double") * F.col("_c").cast("double")))
-                                     .alias("_s")))
-    out = per_feature.join(terms, "feature").select(
-        "feature", "n", "n_values", "n_labels",
-        ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).alias("dof"),
-        (F.col("n").cast("double") * (F.col("_s") - F.lit(1.0))).alias("statistic"),
-    )
-    if with_p_value:
-        out = out.withColumn("p_value", _chi2_sf_udf(F.col("statistic"), F.col("dof").cast("double")))
-    return out
+    by_label = (cells.withColumn("_r", F.sum("_o").over(of_value))
+                .withColumn("_first", (F.row_number().over(of_value.orderBy("_y")) == 1).cast("int"))
+                .groupBy("feature", "_y")
+                .agg(F.sum(o * o / F.col("_r").cast("double")).alias("_s"), F.sum("_o").alias("_c"), F.sum("_first").alias("_v")))
+    out = (by_label.groupBy("feature")
+           .agg(F.sum("_c").alias("n"), F.sum("_v").alias("n_values"), F.count(F.lit(1)).alias("n_labels"),
+                F.sum(F.col("_s") / F.col("_c").cast("double")).alias("_s"))
+           .select("feature", "n", "n_values", "n_labels",
+                   ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).alias("dof"),
+                   (F.col("n").cast("double") * (F.col("_s") - F.lit(1.0))).alias("statistic")))
+    if not with_p_value:
+        return out
+    spark = df.sparkSession
+    rows = [(*r, chi2_sf(spark, r["statistic"], r["dof"])) for r in out.collect()]  # one row per feature
+    return spark.createDataFrame(rows, out.schema.add("p_value", "double"))
 
 
 def chi_square_select(df: DataFrame, features: Sequence[str], label: str, alpha: float = 0.05) -> list[str]:
@@ -127,29 +85,36 @@ def chi_square_select(df: DataFrame, features: Sequence[str], label: str, alpha:
 # ---------------------------------------------------------------------------------------
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
-    """Pearson correlation of every feature pair from one global aggregate
-    (pairwise-complete rows), as a p x p numpy matrix on the driver."""
+    """Pearson correlation of every feature pair as a p x p numpy matrix on the driver.
+
+    One pass over the rows where no feature is missing (NULL or NaN), so the matrix is
+    positive semi-definite; MLlib sums the p x p moments in partial aggregates. A feature
+    without variance (or a table without complete rows) has NaN with every other.
+    """
     feats = list(features)
     p = len(feats)
-    aggs = [F.corr(F.col(feats[i]).cast("double"), F.col(feats[j]).cast("double")).alias(f"_c{i}_{j}")
-            for i in range(p) for j in range(i + 1, p)]
-    row = df.select(*aggs).first() if aggs else None
-    m = np.eye(p)
+    x = [F.col(f).cast("double") for f in feats]
+    rows = df.select(*[F.when(~F.isnan(c), c).alias(f"x{i}") for i, c in enumerate(x)]).dropna()
+    names = [f"x{i}" for i in range(p)]
+    spread = rows.agg(F.count(F.lit(1)).alias("n"), *[(F.max(c) > F.min(c)).alias(c) for c in names]).first()
+    m = np.full((p, p), np.nan)
+    varies = [i for i in range(p) if spread["n"] and spread[names[i]]]
+    if len(varies) > 1:
+        vec = VectorAssembler(inputCols=[names[i] for i in varies], outputCol="v").transform(rows).select("v")
+        m[np.ix_(varies, varies)] = Correlation.corr(vec, "v").first()[0].toArray()
     for i in range(p):
-        for j in range(i + 1, p):
-            v = row[f"_c{i}_{j}"]
-            m[i, j] = m[j, i] = np.nan if v is None else v
+        m[i, i] = 1.0
     return m
 
 
 def corr_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long table ``feature_a, feature_b, corr`` for each pair (a before b in ``features``),
-    from one aggregate; no p x p matrix is needed."""
+    """Long table ``feature_a, feature_b, corr`` for each pair (a before b in ``features``);
+    ``corr`` is NULL when one of the two has no variance. p (p - 1) / 2 rows."""
     feats = list(features)
-    structs = [F.struct(F.lit(feats[i]).alias("feature_a"), F.lit(feats[j]).alias("feature_b"),
-                        F.corr(F.col(feats[i]).cast("double"), F.col(feats[j]).cast("double")).alias("corr"))
-               for i in range(len(feats)) for j in range(i + 1, len(feats))]
-    return df.select(F.array(*structs).alias("_p")).select(F.inline("_p"))
+    m = correlation_matrix(df, feats)
+    rows = [(feats[i], feats[j], None if np.isnan(m[i, j]) else float(m[i, j]))
+            for i in range(len(feats)) for j in range(i + 1, len(feats))]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def corr_filter(df: DataFrame, features: Sequence[str], label: str | None = None,
@@ -174,16 +139,26 @@ def corr_filter(df: DataFrame, features: Sequence[str], label: str | None = None
     return kept, dropped
 
 
-def _vif_from_corr(m: np.ndarray) -> np.ndarray:
-    try:
-        inv = np.linalg.inv(m)
-        return np.diag(inv).copy()
-    except np.linalg.LinAlgError:
-        return np.full(m.shape[0], np.inf)
+def _vif_from_corr(m: np.ndarray, tol: float = 1e-10) -> np.ndarray:
+    """Variance inflation from a correlation matrix: infinite for exactly the features that
+    the others determine (those that take part in the null space), NaN for features without
+    variance, else the diagonal of the (pseudo-)inverse."""
+    p = m.shape[0]
+    out = np.full(p, np.nan)
+    use = [i for i in range(p) if p == 1 or not np.isnan(np.delete(m[i], i)).all()]
+    if not use:
+        return out
+    w, v = np.linalg.eigh(m[np.ix_(use, use)])
+    null = w <= tol * max(1.0, w[-1])
+    values = (v[:, ~null] ** 2 / w[~null]).sum(1)
+    values[(v[:, null] ** 2).sum(1) > 1e-9] = np.inf
+    out[use] = values
+    return out
 
 
 def vif_values(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Variance inflation factor of each feature: diagonal of the inverse correlation matrix."""
+    """Variance inflation factor of each feature: infinite where the other features
+    determine it, NaN for a feature without variance."""
     feats = list(features)
     v = _vif_from_corr(correlation_matrix(df, feats))
     return {f: float(x) for f, x in zip(feats, v)}
@@ -191,21 +166,26 @@ def vif_values(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``feature, vif`` as a DataFrame (p rows)."""
-    vals = vif_values(df, features)
+    vals = {f: None if v != v else v for f, v in vif_values(df, features).items()}
     return df.sparkSession.createDataFrame(list(vals.items()), "feature string, vif double")
 
 
 def vif_select(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -> tuple[list[str], list]:
-    """Stepwise removal: drop the feature with the largest VIF while it exceeds
-    ``threshold``. One Spark aggregate; every step reuses the same matrix."""
+    """Stepwise removal: features without variance first, then the feature with the largest
+    VIF (the later one of equals) while it exceeds ``threshold``. One pass over the table;
+    every step reuses the same matrix."""
     feats = list(features)
     m = correlation_matrix(df, feats)
     idx = list(range(len(feats)))
     removed = []
+    for i in range(len(feats)):
+        if len(feats) > 1 and np.isnan(np.delete(m[i], i)).all():
+            removed.append((feats[i], float("nan")))
+            idx.remove(i)
     while len(idx) > 1:
         v = _vif_from_corr(m[np.ix_(idx, idx)])
-        k = int(np.nanargmax(np.where(np.isnan(v), np.inf, v)))
-        if not (v[k] > threshold or np.isnan(v[k])):
+        k = len(v) - 1 - int(np.argmax(v[::-1]))
+        if not v[k] > threshold:
             break
         removed.append((feats[idx[k]], float(v[k])))
         idx.pop(k)

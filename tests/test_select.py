@@ -28,10 +28,13 @@ def test_chi_square_matches_mllib(li):
         assert ours[f].p_value == pytest.approx(ref.pValues[i], rel=1e-6, abs=1e-12)
 
 
-def test_chi2_sf_known_values():
-    assert S.chi2_sf(3.841458820694124, 1) == pytest.approx(0.05, rel=1e-9)
-    assert S.chi2_sf(0.0, 3) == 1.0
-    assert S.chi2_sf(18.307038053275146, 10) == pytest.approx(0.05, rel=1e-9)
+def test_chi2_sf_known_values(spark):
+    assert S.chi2_sf(spark, 3.841458820694124, 1) == pytest.approx(0.05, rel=1e-9)
+    assert S.chi2_sf(spark, 0.0, 3) == 1.0
+    assert S.chi2_sf(spark, 18.307038053275146, 10) == pytest.approx(0.05, rel=1e-9)
+    for dof in (1e6, 1e8):
+        assert S.chi2_sf(spark, dof, dof) == pytest.approx(0.5, abs=1e-3)
+    assert S.chi2_sf(spark, None, 1) is None and S.chi2_sf(spark, 1.0, 0) is None
 
 
 def test_vif_matches_numpy(li):
@@ -55,3 +58,34 @@ def test_corr_filter_keeps_stronger_with_label(spark):
                                      "cast(id > 200 as int) as y")
     kept, dropped = S.corr_filter(df, ["a", "b"], "y", threshold=0.9)
     assert len(kept) == 1 and len(dropped) == 1
+
+
+def test_collinear_features_in_any_order(spark):
+    import itertools
+
+    df = spark.range(500).selectExpr("cast(id as double) as a", "cast(id * 2 + 1 as double) as b",
+                                     "cast((id * 7919) % 101 as double) as c", "cast((id * 104729) % 97 as double) as d",
+                                     "cast(3 as double) as k")
+    for order in itertools.permutations(["a", "b", "c", "d"]):
+        v = S.vif_values(df, order)
+        assert v["a"] == v["b"] == float("inf") and v["c"] < 1.1 and v["d"] < 1.1
+    kept, removed = S.vif_select(df, ["c", "k", "a", "d", "b"], threshold=10)
+    assert kept == ["c", "a", "d"] and [f for f, _ in removed] == ["k", "b"]
+
+
+def test_constant_and_missing_values(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (3.0, 7.0, 5.0), (float("nan"), 1.0, 5.0), (9.0, None, 5.0)], "a double, b double, k double")
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in S.corr_pairs(df, ["a", "k", "b"]).collect()}
+    assert got["a", "k"] is None and got["k", "b"] is None
+    assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 3], [2, 1, 7])[0, 1])
+    kept, _ = S.corr_filter(df, ["a", "k", "b"], threshold=0.99)
+    assert kept == ["a", "k", "b"]
+    assert S.corr_pairs(df.limit(0), ["a", "b"]).first()["corr"] is None
+
+
+def test_many_features_in_one_pass(spark):
+    df = spark.range(20_000).selectExpr(*[f"cast(pmod(xxhash64(id, {i}), 1000) as double) as f{i}" for i in range(56)])
+    feats = [f"f{i}" for i in range(56)]
+    m = S.correlation_matrix(df, feats)
+    x = np.array(df.collect())
+    assert np.allclose(m, np.corrcoef(x, rowvar=False), atol=1e-9)
