@@ -20,12 +20,24 @@ from cupola.operators.prefix import running_totals
 from cupola.session import materialise
 
 
+def _usable(score_col: str, label_col: str):
+    """Rows with a score and a label: NaN is missing, like NULL."""
+    return F.col(score_col).isNotNull() & ~F.isnan(F.col(score_col).cast("double")) & F.col(label_col).isNotNull()
+
+
+def left_out(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
+             label_col: str = "label") -> DataFrame:
+    """Rows per group that the metrics leave out: ``n, n_left_out``."""
+    return scores.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"),
+                                           F.count_if(~_usable(score_col, label_col)).alias("n_left_out"))
+
+
 def score_counts(scores: DataFrame, group_cols: Sequence[str] = ("model",), score_col: str = "score",
                  label_col: str = "label") -> DataFrame:
-    """One row per (group, distinct score): ``pos``, ``neg`` (rows with a NULL score or label are left out)."""
+    """One row per (group, distinct score): ``pos``, ``neg`` (rows with a missing score or label are left out)."""
     lab = F.col(label_col).cast("bigint")
     return (
-        scores.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+        scores.where(_usable(score_col, label_col))
         .groupBy(*group_cols, F.col(score_col).alias("score"))
         .agg(F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg"))
     )
@@ -132,7 +144,7 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
     y = F.col(label_col).cast("double")
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1 - eps))
     pred = (F.col(score_col) >= F.lit(threshold)).cast("double")
-    basic = scores.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(*group_cols).agg(
+    basic = scores.where(_usable(score_col, label_col)).groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg((pred == y).cast("double")).alias("accuracy"),
         F.avg(-(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))).alias("log_loss"),
