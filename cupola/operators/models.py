@@ -8,7 +8,6 @@ Every model emits the same long score table ``model, id, score, label`` that
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -41,20 +40,38 @@ def _assemble(features: Sequence[str], scale: bool) -> list:
 # MLlib models
 # ---------------------------------------------------------------------------------------
 
+def complete_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows where no feature is missing (NULL or NaN)."""
+    sound = F.lit(True)
+    for f in features:
+        sound = sound & _number(f).isNotNull()
+    return df.where(sound)
+
+
+def _checked(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``train`` with a double label; a missing feature value is an error that names its column."""
+    bad = train.select(*[F.count_if(_number(f).isNull()).alias(f"_m{i}") for i, f in enumerate(features)]).first()
+    missing = {f: bad[f"_m{i}"] for i, f in enumerate(features) if bad[f"_m{i}"]}
+    if missing:
+        raise ValueError(f"missing feature values (fill them, or use complete_rows): {missing}")
+    return train.withColumn(label, F.col(label).cast("double"))
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, reg_param: float = 0.0,
                  elastic_net: float = 0.0, max_iter: int = 100) -> PipelineModel:
     """Standardised features + ``LogisticRegression`` (distributed L-BFGS)."""
     lr = LogisticRegression(featuresCol="_features", labelCol=label, regParam=reg_param,
                             elasticNetParam=elastic_net, maxIter=max_iter)
-    return Pipeline(stages=[*_assemble(features, True), lr]).fit(train.withColumn(label, F.col(label).cast("double")))
+    return Pipeline(stages=[*_assemble(features, True), lr]).fit(_checked(train, features, label))
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 50, max_depth: int = 5,
                seed: int = 42, subsampling_rate: float = 1.0) -> PipelineModel:
-    """``RandomForestClassifier`` with a fixed seed (same forest on every run)."""
+    """``RandomForestClassifier`` with a fixed seed: the same forest on every run over the same
+    input partitions (bagging draws per partition)."""
     rf = RandomForestClassifier(featuresCol="_raw", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                 seed=seed, subsamplingRate=subsampling_rate)
-    return Pipeline(stages=[*_assemble(features, False), rf]).fit(train.withColumn(label, F.col(label).cast("double")))
+    return Pipeline(stages=[*_assemble(features, False), rf]).fit(_checked(train, features, label))
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, id_col: str, label_col: str | None = None) -> DataFrame:
@@ -74,56 +91,15 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
 # Exact k-nearest neighbours
 # ---------------------------------------------------------------------------------------
 
-def _sq_dist(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two numeric arrays, summed left to right in doubles."""
-    diffs = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def _const(value, ddl: str) -> Column:
-    """A constant of any shape as one JSON literal; doubles round-trip exactly."""
-    return F.from_json(F.lit(json.dumps(value)), ddl)
-
-
-def _cell_topk(k: int, exclude_self: bool, chunk_cells: int = 4_000_000):
-    """Per (cell, sub-cell, query part) group: exact squared distances of its queries
-    to its training rows, summed left to right over dimensions in doubles (as the SQL
-    ``aggregate`` does), and the ``k`` nearest per query by ``(dist2, tid)``. Emits
-    at most ``k`` rows per query instead of every pair."""
-
-    def fn(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or tdf.empty:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "tid": pd.Series(dtype="int64"),
-                                 "tlabel": pd.Series(dtype="int64"), "dist2": pd.Series(dtype="float64")})
-        order = np.argsort(tdf["tid"].to_numpy(), kind="stable")
-        tid = tdf["tid"].to_numpy()[order]
-        tlab = tdf["tlabel"].to_numpy()[order]
-        tv = np.stack(tdf["_v"].to_numpy())[order].astype(np.float64)
-        qid_all = qdf["qid"].to_numpy()
-        qv_all = np.stack(qdf["_qv"].to_numpy()).astype(np.float64)
-        nt, dim = tv.shape
-        step = max(1, chunk_cells // nt)
-        parts = []
-        for s0 in range(0, len(qid_all), step):
-            qv, qid = qv_all[s0:s0 + step], qid_all[s0:s0 + step]
-            acc = np.zeros((len(qv), nt))
-            for j in range(dim):
-                d = qv[:, j, None] - tv[None, :, j]
-                acc += d * d
-            if exclude_self:
-                acc[qid[:, None] == tid[None, :]] = np.inf
-            kk = min(k, nt)
-            kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
-            r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
-            o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (columns are id-sorted)
-            r, c = r[o], c[o]
-            first = np.searchsorted(r, r, side="left")
-            keep = (np.arange(len(r)) - first) < kk
-            r, c = r[keep], c[keep]
-            parts.append(pd.DataFrame({"qid": qid[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c]}))
-        return pd.concat(parts, ignore_index=True)
-
-    return fn
+def _sound(v: Column) -> Column:
+    """The vector is there and every component is a number."""
+    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")))
+
+
+def knn_left_out(df: DataFrame, vec_col: str = "vec") -> int:
+    """Rows that ``knn_neighbours`` leaves out on either side: the vector is NULL or holds a
+    NULL or NaN."""
+    return df.where(~_sound(F.col(vec_col))).count()
 
 
 def knn_neighbours(
@@ -134,135 +110,61 @@ def knn_neighbours(
     vec_col: str = "vec",
     label_col: str = "label",
     exclude_self: bool = False,
-    n_pivots: int | None = None,
-    max_cell_rows: int = 50_000,
-    max_group_queries: int = 50_000,
-    seed: int = 17,
-    checkpoint: bool = True,
-    group_bytes: int = 256 << 20,
+    max_train_rows: int = 200_000,
+    block_cells: int = 4_000_000,
 ) -> DataFrame:
     """The exact ``k`` nearest training rows of every query row:
     ``qid, tid, tlabel, dist2, rank`` (ties broken by training id).
 
-    Pivot-based pruning instead of all pairs:
-
-    1. ``n_pivots`` training rows (smallest id hash) become pivots; every training
-       row goes to the cell of its nearest pivot; cell radius = farthest member.
-    2. For each cell, its ``k`` rows nearest the pivot are anchors; a query's
-       distance to the anchors of its own cell bounds its k-th neighbour
-       distance from above (``U``).
-    3. By the triangle inequality a cell ``j`` can hold a row within ``U`` only if
-       ``d(q, pivot_j) - radius_j <= U``; only such (query, cell) pairs meet.
-    4. Each (cell, part) group computes its distance block with numpy and keeps
-       ``k`` rows per query (cogrouped ``applyInPandas``); ``row_number() <= k``
-       per query over those candidates gives the answer.
-
-    Group sizes are bounded: a cell with more than ``max_cell_rows`` training rows
-    is split into sub-cells by id hash (its queries are sent to each), and more
-    than ``max_group_queries`` candidate queries are split into parts by query
-    hash (the cell's rows are sent to each part). Only pivots and per-cell
-    radii/counts (bounded by ``n_pivots``) reach the driver.
-
-    A training table of at most ``max_cell_rows`` rows is one cell: no pivots, each
-    query part meets all of it. ``n_pivots`` defaults to one per ``max_cell_rows``
-    training rows, between 32 and
-    256: more cells prune more pairs as the table grows, while the per-row array of
-    pivot distances stays small. For wide vectors ``max_cell_rows`` and
-    ``max_group_queries`` are lowered so that a group's training vectors and its query
-    vectors (as float64) each stay within ``group_bytes``.
+    One path for every size, linear in the queries. The labelled training rows are bounded
+    by ``max_train_rows``: they are counted, and a larger table is an error (sample it
+    explicitly, nothing is dropped here). They are shipped once per executor; the queries are
+    dealt over the session's shuffle partitions and stream through in Arrow batches, each
+    task keeping ``k`` rows per query, so no pair and no query vector is shuffled again.
+    Distances are sums of squares in doubles, left to right over the components.
+    Rows whose vector is missing or holds a NULL or NaN take no part (``knn_left_out``).
     """
-    t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel"))
-    q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv"))
+    t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel")).where(_sound(F.col("_v")))
+    q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv")).where(_sound(F.col("_qv")))
+    spark = q.sparkSession
     schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
-             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
-    n_train = t.count()
-    first = t.select(F.size("_v").alias("d")).where(F.col("d") >= 0).limit(1).collect()
-    if n_train == 0 or not first:
-        return q.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
-    dim = max(1, first[0]["d"])
-    max_cell_rows = min(max_cell_rows, max(1_000, group_bytes // (8 * dim)))
-    max_group_queries = min(max_group_queries, max(1_000, group_bytes // (8 * dim)))
-    if n_train <= max_cell_rows:
-        # every training row fits in one cell, where pivots would prune nothing: each part
-        # of at most max_group_queries queries meets the whole training table
-        parts = max(1, math.ceil(q.count() / max_group_queries))
-        qside = q.select("qid", "_qv", F.lit(0).alias("cell"), F.lit(0).alias("sub"),
-                         F.pmod(F.xxhash64("qid"), F.lit(parts)).cast("int").alias("part"))
-        tside = t.select(F.lit(0).alias("cell"), "tid", "_v", "tlabel", F.lit(0).alias("sub"),
-                         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        return _nearest(qside, tside, k, exclude_self, schema)
-    if n_pivots is None:
-        n_pivots = min(256, max(32, math.ceil(n_train / max_cell_rows)))
-    pivots = [r["_v"] for r in t.orderBy(F.xxhash64("tid", F.lit(seed)), "tid").limit(n_pivots).select("_v").collect()]
-    m = len(pivots)
-    # all pivots as one constant (folded once by the optimizer): expression size does not grow with m
-    plit = _const(pivots, "array<array<double>>")
-
-    def pivot_dists(v: Column) -> Column:
-        return F.transform(plit, lambda p: F.sqrt(_sq_dist(v, p)))
-
-    tp = t.withColumn("_pd", pivot_dists(F.col("_v")))
-    tp = tp.withColumn("_dc", F.array_min("_pd")) \
-        .withColumn("cell", (F.array_position("_pd", F.col("_dc")) - 1).cast("int")).drop("_pd")
-    if checkpoint:
-        # read several times below: compute the pivot distances once, into the shared checkpoint folder
-        tp = materialise(tp)
-    stats = {r["cell"]: (r["radius"], r["n"]) for r in
-             tp.groupBy("cell").agg(F.max("_dc").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-    radius = [stats.get(j, (0.0, 0))[0] for j in range(m)]
-    splits = [max(1, math.ceil(stats.get(j, (0, 0))[1] / max_cell_rows)) for j in range(m)]
-
-    qp = q.withColumn("_pd", pivot_dists(F.col("_qv")))
-    qp = qp.withColumn("_own", (F.array_position("_pd", F.array_min("_pd")) - 1).cast("int"))
-    if checkpoint:
-        # materialise the pivot distances: later filters would otherwise inline (and repeat) them
-        qp = materialise(qp)
-    # anchors: k rows nearest each pivot (one more when a query may meet itself; partial top-k)
-    n_anchor = k + (1 if exclude_self else 0)
-    anchors = (tp.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("_dc", "tid")))
-               .where(F.col("_r") <= n_anchor).select(F.col("cell").alias("_own"), F.col("tid").alias("_aid"),
-                                                        F.col("_v").alias("_av")))
-    bound = qp.join(anchors, "_own")
-    if exclude_self:
-        bound = bound.where(F.col("_aid") != F.col("qid"))
-    bound = bound.groupBy("qid").agg(F.count(F.lit(1)).alias("_na"),
-                                     F.max(_sq_dist(F.col("_qv"), F.col("_av"))).alias("_u2"))
-    big = F.lit(float("inf"))
-    u = F.when(F.col("_na") >= k, F.sqrt(F.col("_u2"))).otherwise(big)
-    qb = qp.join(bound, "qid", "left").withColumn("_u", F.coalesce(u, big))
-    # candidate cells: lower bound d(q, pivot) - radius within U (small slack for rounding)
-    cells = _const([{"cell": j, "_rad": float(radius[j])} for j in range(m) if stats.get(j)],
-                   "array<struct<cell:int,_rad:double>>")
-    cand = (qb.select("qid", "_qv", "_pd", "_u", F.explode(cells).alias("_c"))
-            .select("qid", "_qv", "_u", F.col("_c.cell").cast("int").alias("cell"),
-                    (F.element_at("_pd", (F.col("_c.cell") + 1).cast("int")) - F.col("_c._rad")).alias("_lb"))
-            .where(F.col("_lb") <= F.col("_u") * F.lit(1 + 1e-9) + F.lit(1e-12))
-            .select("qid", "_qv", "cell"))
-    if checkpoint:
-        cand = materialise(cand)
-    qcount = {r["cell"]: r["n"] for r in cand.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    qsplits = [max(1, math.ceil(qcount.get(j, 0) / max_group_queries)) for j in range(m)]
-
-    def per_cell(values: list[int]) -> Column:
-        return F.element_at(_const(values, "array<int>"), (F.col("cell") + 1).cast("int"))
-
-    qside = (cand.withColumn("sub", F.explode(F.sequence(F.lit(0), per_cell(splits) - 1)))
-             .withColumn("part", F.pmod(F.xxhash64("qid"), per_cell(qsplits)).cast("int")))
-    tside = (tp.select("cell", "tid", "_v", "tlabel")
-             .withColumn("sub", F.pmod(F.xxhash64("tid"), per_cell(splits)).cast("int"))
-             .withColumn("part", F.explode(F.sequence(F.lit(0), per_cell(qsplits) - 1))))
-    return _nearest(qside, tside, k, exclude_self, schema)
-
-
-def _nearest(qside: DataFrame, tside: DataFrame, k: int, exclude_self: bool, schema: str) -> DataFrame:
-    """Cogroup queries and training rows on (cell, sub, part), k nearest per group with
-    numpy, then the k nearest per query over its groups."""
-    # both sides group on (int, int, int): equal key types hash to the same partition
-    near = (qside.groupBy("cell", "sub", "part")
-            .cogroup(tside.groupBy("cell", "sub", "part"))
-            .applyInPandas(_cell_topk(k, exclude_self), schema))
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist2", "tid")))
-    return ranked.where(F.col("rank") <= k)
+             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double, rank int"
+    n_train = t.limit(max_train_rows + 1).count()
+    if n_train > max_train_rows:
+        raise ValueError(f"more than max_train_rows={max_train_rows} labelled training rows: sample them first")
+    if n_train == 0:
+        return spark.createDataFrame([], schema)
+    rows = sorted(t.collect(), key=lambda r: r["tid"])
+    held = spark.sparkContext.broadcast((
+        np.array([r["tid"] for r in rows]), np.array([r["tlabel"] for r in rows]),
+        np.array([r["_v"] for r in rows], dtype=np.float64)))
+
+    def nearest(batches):
+        tid, tlab, tv = held.value
+        nt, dim = tv.shape
+        step = max(1, block_cells // nt)
+        for pdf in batches:
+            for s0 in range(0, len(pdf), step):
+                qid = pdf["qid"].to_numpy()[s0:s0 + step]
+                qv = np.stack(pdf["_qv"].to_numpy()[s0:s0 + step]).astype(np.float64)
+                acc = np.zeros((len(qv), nt))
+                for j in range(dim):
+                    d = qv[:, j, None] - tv[None, :, j]
+                    acc += d * d
+                if exclude_self:
+                    acc[qid[:, None] == tid[None, :]] = np.inf
+                kk = min(k, nt)
+                kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
+                r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
+                o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (rows are id-sorted)
+                r, c = r[o], c[o]
+                rank = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+                keep = rank < kk
+                r, c, rank = r[keep], c[keep], rank[keep]
+                yield pd.DataFrame({"qid": qid[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c], "rank": (rank + 1).astype("int32")})
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return q.repartition(tasks, "qid").mapInPandas(nearest, schema)
 
 
 def knn_vote(neighbours: DataFrame) -> DataFrame:
@@ -307,17 +209,23 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     shuffle partition by default), so a feature with many distinct values is not
     ordered in one task. The winner
     is the smallest error, then feature name, threshold and polarity +1 first.
+    ``n_buckets=0`` says that every feature has few distinct values (a binned table): they
+    are ordered in one window per feature, without range pieces. Missing is NULL or NaN.
     Returns one row: ``feature, threshold, polarity, error``.
     """
     w = (weight if weight is not None else F.lit(1.0)).cast("double")
     y = F.col(label).cast("int")
     base = df.select(w.alias("_w"), y.alias("_y"), F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_x")) for f in features])))
+        F.struct(F.lit(f).alias("feature"), _number(f).alias("_x")) for f in features])))
     base = base.withColumns({"_wp": F.when(F.col("_y") == 1, F.col("_w")).otherwise(F.lit(0.0)),
                              "_wn": F.when(F.col("_y") == 1, F.lit(0.0)).otherwise(F.col("_w"))})
     tot = base.groupBy("feature").agg(F.sum("_wp").alias("_P"), F.sum("_wn").alias("_N"))
     g = base.where(F.col("_x").isNotNull()).groupBy("feature", "_x").agg(F.sum("_wp").alias("_gp"),
                                                                           F.sum("_wn").alias("_gn"))
+    if n_buckets == 0:
+        upto = Window.partitionBy("feature").orderBy("_x")
+        c = g.select("feature", "_x", F.sum("_gp").over(upto).alias("_pos_le"), F.sum("_gn").over(upto).alias("_neg_le"))
+        return _least_error(c, tot)
     # value ranges: Spark's range partitioning of (feature, value) cuts the distinct values
     # into n pieces of about equal size; the range index is written once (a table) so
     # that every later read sees the same buckets
@@ -325,7 +233,17 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     g = materialise(g.repartitionByRange(n, "feature", "_x").withColumn("_vb", F.spark_partition_id()))
     c = running_totals(g, ["feature"], [F.col("_x")], F.col("_vb"),
                        {"_pos_le": F.col("_gp"), "_neg_le": F.col("_gn")}, inclusive=True).drop("_vb")
-    c = c.join(tot, "feature")
+    return _least_error(c, tot)
+
+
+def _number(c: str) -> Column:
+    """The column as a double, NaN as NULL."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _least_error(c: DataFrame, tot: DataFrame) -> DataFrame:
+    c = c.join(F.broadcast(tot), "feature")  # one row per feature
     total = F.col("_P") + F.col("_N")
     err_plus = (F.col("_neg_le") + (F.col("_P") - F.col("_pos_le"))) / total
     err_minus = (F.col("_pos_le") + (F.col("_N") - F.col("_neg_le"))) / total
@@ -335,45 +253,6 @@ def stump_search(df: DataFrame, features: Sequence[str], label: str, weight: Col
     return cands.orderBy("error", "feature", "threshold", F.desc("polarity")).limit(1)
 
 
-def _weighted_histogram(df: DataFrame, features: Sequence[str], label: str, weight: Column) -> list:
-    """(feature, value, positive weight, negative weight) per binned value, NULL value
-    included: one grouped aggregate, at most features x (bins + 1) rows back."""
-    y = F.col(label).cast("int")
-    base = df.select(weight.cast("double").alias("_w"), y.alias("_y"), F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_x")) for f in features])))
-    return base.groupBy("feature", "_x").agg(
-        F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(F.lit(0.0))).alias("wp"),
-        F.sum(F.when(F.col("_y") == 1, F.lit(0.0)).otherwise(F.col("_w"))).alias("wn")).collect()
-
-
-def _best_stump(hist: list, features: Sequence[str]) -> dict | None:
-    """The stump ``stump_search`` would pick, searched on the small histogram."""
-    best = None
-    for f in sorted(features):
-        rows = [r for r in hist if r["feature"] == f]
-        if not rows:
-            continue
-        vals = sorted((r["_x"], r["wp"], r["wn"]) for r in rows if r["_x"] is not None)
-        p_tot = sum(r["wp"] for r in rows)
-        n_tot = sum(r["wn"] for r in rows)
-        if not vals or p_tot + n_tot <= 0:
-            continue
-        x = np.array([v[0] for v in vals])
-        pos_le = np.cumsum([v[1] for v in vals])
-        neg_le = np.cumsum([v[2] for v in vals])
-        total = p_tot + n_tot
-        err_plus = (neg_le + (p_tot - pos_le)) / total
-        err_minus = (pos_le + (n_tot - neg_le)) / total
-        for errs, pol in ((err_plus, 1), (err_minus, -1)):
-            i = int(np.argmin(errs))  # first minimum = smallest threshold
-            cand = (float(errs[i]), f, float(x[i]), -pol)
-            if best is None or cand < best:
-                best = cand
-    if best is None:
-        return None
-    return {"error": best[0], "feature": best[1], "threshold": best[2], "polarity": -best[3]}
-
-
 @dataclass
 class AdaBoostModel:
     features: list[str]
@@ -383,7 +262,7 @@ class AdaBoostModel:
         """``sum_j alpha_j * h_j(x)`` as one expression (h in {-1, +1})."""
         f = F.lit(0.0)
         for s in self.stumps:
-            le = F.coalesce(F.col(s["feature"]) <= F.lit(s["threshold"]), F.lit(False))
+            le = F.coalesce(_number(s["feature"]) <= F.lit(s["threshold"]), F.lit(False))
             h = F.when(le, F.lit(float(s["polarity"]))).otherwise(F.lit(-float(s["polarity"])))
             f = f + F.lit(s["alpha"]) * h
         return f
@@ -398,14 +277,14 @@ def quantile_bins(df: DataFrame, features: Sequence[str], n_bins: int = 32, accu
     bin's upper edge; values past the last cut keep the feature maximum), so stumps
     on the binned column are stumps on the raw value. Cuts from one aggregate."""
     probs = [i / n_bins for i in range(1, n_bins)] + [1.0]
-    row = df.select(*[F.percentile_approx(F.col(f).cast("double"), probs, accuracy).alias(f"_q{i}")
+    row = df.select(*[F.percentile_approx(_number(f), probs, accuracy).alias(f"_q{i}")
                       for i, f in enumerate(features)]).first()
     cols = {}
     for i, f in enumerate(features):
         cuts = sorted({float(x) for x in (row[f"_q{i}"] or [])})
         if not cuts:
             continue
-        x = F.col(f).cast("double")
+        x = _number(f)
         expr = F.when(x.isNull(), F.lit(None).cast("double"))
         for cut in cuts[:-1]:
             expr = expr.when(x <= F.lit(cut), F.lit(cut))
@@ -415,7 +294,7 @@ def quantile_bins(df: DataFrame, features: Sequence[str], n_bins: int = 32, accu
 
 def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int = 20, n_bins: int = 32,
                  checkpoint: bool = True, fold_every: int = 50) -> AdaBoostModel:
-    """Discrete AdaBoost with stumps; each round is one Spark aggregation.
+    """Discrete AdaBoost with stumps; each round is one ``stump_search`` over binned features.
 
     The binned training table is cut from its lineage once (``materialise``);
     no column is added per round: the weight of a row is a closed form of the
@@ -440,8 +319,8 @@ def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int
             folded = len(model.stumps)
         margin = F.col("_m0") + AdaBoostModel(feats, model.stumps[folded:]).margin()
         w = F.exp(F.lit(-0.5) * y * margin)
-        best = _best_stump(_weighted_histogram(base, feats, label, w), feats)
-        if best is None:
+        best = stump_search(base, feats, label, w, n_buckets=0).first()
+        if best is None or best["error"] is None:
             break
         e = float(best["error"])
         if e >= 0.5:

@@ -50,7 +50,7 @@ def main():
     counts = {"n": F.lit(1), "buys": (F.col("event_type") == "purchase").cast("int")}
     out = {}
     knn = {"knn": lambda m: ML.knn_neighbours(m, m, 3, id_col="vec_id", vec_col="embedding",
-                                              exclude_self=True, max_cell_rows=40)}
+                                              exclude_self=True)}
     for name, fn in knn.items():
         clean = rows(fn(emb))
         retried = rows(fn(flaky(emb)))

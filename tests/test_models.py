@@ -27,8 +27,8 @@ def _brute_knn(ids, vecs, qids, qvecs, k, exclude_self):
     return out
 
 
-@pytest.mark.parametrize("cell_rows,group_queries", [(50_000, 50_000), (7, 5)])
-def test_knn_exact_matches_brute_force(spark, cell_rows, group_queries):
+@pytest.mark.parametrize("block_cells", [4_000_000, 700])
+def test_knn_exact_matches_brute_force(spark, block_cells):
     rnd = random.Random(11)
     rows = []
     for i in range(240):
@@ -38,8 +38,7 @@ def test_knn_exact_matches_brute_force(spark, cell_rows, group_queries):
             v = [rnd.random(), rnd.random(), rnd.random()]
         rows.append((i, v, i % 3))
     df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
-    nb = ML.knn_neighbours(df, df, 4, exclude_self=True, n_pivots=6, max_cell_rows=cell_rows,
-                           max_group_queries=group_queries)
+    nb = ML.knn_neighbours(df, df, 4, exclude_self=True, block_cells=block_cells)
     got = {}
     for r in nb.orderBy("qid", "rank").collect():
         got.setdefault(r.qid, []).append(r.tid)
@@ -48,15 +47,14 @@ def test_knn_exact_matches_brute_force(spark, cell_rows, group_queries):
     assert got == _brute_knn(ids, vecs, ids, vecs, 4, True)
 
 
-@pytest.mark.parametrize("cell_rows", [50_000, 20])
-def test_knn_separate_query_set(spark, cell_rows):
+def test_knn_separate_query_set(spark):
     rnd = random.Random(2)
     train = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(5)], i % 2) for i in range(150)],
                                   "id long, vec array<double>, label int")
     query = spark.createDataFrame([(1000 + i, [rnd.gauss(0, 1) for _ in range(5)]) for i in range(40)],
                                   "id long, vec array<double>")
     got = {}
-    for r in ML.knn_neighbours(train, query, 3, n_pivots=8, max_cell_rows=cell_rows).orderBy("qid", "rank").collect():
+    for r in ML.knn_neighbours(train, query, 3).orderBy("qid", "rank").collect():
         got.setdefault(r.qid, []).append(r.tid)
     t = train.collect()
     q = query.collect()
@@ -138,12 +136,12 @@ def test_read_coupons_csv(spark, tmp_path):
     assert np.isclose([r.rate_raw for r in df.collect()].count("0.9"), 1)
 
 
-@pytest.mark.parametrize("cell_rows", [50_000, 300])
-def test_knn_exact_on_embeddings_many_partitions(spark, cell_rows):
-    """2,000 x 64 embeddings: one cell, or pivot cells spread over all shuffle partitions."""
+def test_knn_exact_on_embeddings_many_tasks(spark):
+    """2,000 x 64 embeddings: the queries are spread over all shuffle partitions."""
     emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    nb = ML.knn_neighbours(emb, emb, 5, id_col="vec_id", vec_col="embedding", exclude_self=True,
-                           max_cell_rows=cell_rows)
+    nb = ML.knn_neighbours(emb, emb, 5, id_col="vec_id", vec_col="embedding", exclude_self=True)
+    tasks = nb.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = {}
     for r in nb.orderBy("qid", "rank").collect():
         got.setdefault(r.qid, []).append(r.tid)
@@ -161,15 +159,33 @@ def test_knn_exact_on_embeddings_many_partitions(spark, cell_rows):
 
 def test_adaboost_round_search_equals_stump_search(spark):
     rnd = random.Random(8)
-    rows = [(float(rnd.randint(0, 9)), float(rnd.randint(0, 4)), rnd.random() * 3, rnd.randint(0, 1))
+    rows = [(float(rnd.randint(0, 9)), float(rnd.randint(0, 4)) if rnd.random() < 0.9 else float("nan"), rnd.random() * 3, rnd.randint(0, 1))
             for _ in range(400)]
     df = spark.createDataFrame(rows, "a double, b double, w double, y int")
     want = ML.stump_search(df, ["a", "b"], "y", F.col("w")).first()
-    got = ML._best_stump(ML._weighted_histogram(df, ["a", "b"], "y", F.col("w")), ["a", "b"])
+    got = ML.stump_search(df, ["a", "b"], "y", F.col("w"), n_buckets=0).first()
     assert (got["feature"], got["threshold"], got["polarity"]) == (want.feature, want.threshold, want.polarity)
     assert got["error"] == pytest.approx(want.error, rel=1e-12)
 
 
+def test_knn_missing_vectors_and_the_training_bound(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0], 1), (2, None, 0), (3, [1.0, None], 0), (4, [float("nan"), 0.0], 0), (5, [2.0, 0.0], 0)],
+                               "id long, vec array<double>, label int")
+    got = [(r.qid, r.tid, r["rank"]) for r in ML.knn_neighbours(df, df, 3, exclude_self=True).collect()]
+    assert sorted(got) == [(1, 5, 1), (5, 1, 1)] and ML.knn_left_out(df) == 3
+    with pytest.raises(ValueError, match="max_train_rows"):
+        ML.knn_neighbours(df, df, 3, max_train_rows=1)
+
+
+def test_missing_features_are_named(spark):
+    df = spark.createDataFrame([(1.0, 0.0, 0), (None, 1.0, 1), (3.0, float("nan"), 0), (4.0, 2.0, 1)], "a double, b double, y int")
+    for fit in (ML.fit_logistic, ML.fit_forest):
+        with pytest.raises(ValueError, match="'a': 1"):
+            fit(df, ["a", "b"], "y")
+    assert ML.complete_rows(df, ["a", "b"]).count() == 2
+    assert ML.fit_logistic(ML.complete_rows(df, ["a", "b"]), ["a", "b"], "y", reg_param=0.1) is not None
+
+
 def test_read_coupons_null_token(spark, tmp_path):
     p = tmp_path / "c.csv"
     p.write_text("user_id,merchant_id,coupon_id,rate_raw,distance,date_received,date\n"
