@@ -84,3 +84,18 @@ def discount_band_report(coupons: DataFrame, bands_per_unit: int = 10) -> DataFr
         )
         .withColumn("redeem_rate", F.col("n_redeemed") / F.col("n_coupons"))
     )
+
+
+def bad_value_report(df: DataFrame, rate_col: str = "rate_raw", date_col: str = "date_raw",
+                     missing_tokens=MISSING_TOKENS) -> DataFrame:
+    """``column_name, n, n_missing, n_bad`` per parsed column, from one aggregate: missing
+    tokens, and text that is there but does not parse."""
+    r, d = clean_text(rate_col, missing_tokens), clean_text(date_col, missing_tokens)
+    pairs = {"discount_rate": (r, discount_rate(r)), "min_spend": (r, min_spend(r)), "date_int": (d, date_int(d))}
+    rows = df.select(*[x.alias(f"{k}_{i}") for k, pair in pairs.items() for i, x in enumerate(pair)])
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), *[
+        a for k in pairs for a in (F.count_if(F.col(f"{k}_0").isNull()).alias(f"{k}_missing"),
+                                   F.count_if(F.col(f"{k}_0").isNotNull() & F.col(f"{k}_1").isNull()).alias(f"{k}_bad"))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("column_name"), F.col("n"), F.col(f"{k}_missing").alias("n_missing"), F.col(f"{k}_bad").alias("n_bad"))
+        for k in pairs])))

@@ -43,9 +43,8 @@ def time_split(df: DataFrame, ts_col: str, cuts: Sequence, names: Sequence[str]
                col: str = "split") -> DataFrame:
     """Label each row with the half-open period ``[cut_i, cut_i+1)`` it falls in.
 
-    ``len(names) == len(cuts) + 1``. Plain comparisons, so a later filter on
-    ``split`` pushes down to the scan (and prunes partitions of a table
-    partitioned by date).
+    ``len(names) == len(cuts) + 1``. To read one period only, use ``split_filter``: its
+    comparisons reach the scan, a filter on the ``split`` column does not.
     """
     if len(names) != len(cuts) + 1:
         raise ValueError("need one name per period: len(cuts) + 1")

@@ -17,7 +17,7 @@ from cupola.operators import metrics as M
 from cupola.operators import models as ML
 from cupola.operators import select as S
 from cupola.operators import timeline as TL
-from cupola.operators.normalise import discount_band_report, normalise_coupons
+from cupola.operators.normalise import bad_value_report, discount_band_report, normalise_coupons
 from cupola.session import materialise
 from cupola.sources.tables import (
     coupon_view,
@@ -26,6 +26,7 @@ from cupola.sources.tables import (
     DOC_FEATURES,
     labelled_documents,
     lineitem_scores,
+    read_coupons,
     read_table,
 )
 
@@ -55,6 +56,37 @@ def q_discount_bands(spark, sf_dir):
     return discount_band_report(normalise_coupons(coupon_view(spark, sf_dir), date_col=None))
 
 
+def _messy_coupons(spark, sf_dir):
+    """The coupon view with text that does not parse, and missing tokens."""
+    view, p = coupon_view(spark, sf_dir), F.col("l_partkey")
+    rate = F.when(p % 11 == 0, F.concat("rate_raw", F.lit("f"))).when(p % 13 == 0, F.lit("0:5")) \
+        .when(p % 17 == 0, F.lit("nan")).otherwise(F.col("rate_raw"))
+    day = F.when(p % 7 == 0, F.translate("date_raw", "-", "/")).otherwise(F.col("date_raw"))
+    return view.withColumns({"rate_raw": rate, "date_raw": day})
+
+
+@register("bad_value_report")
+def q_bad_value_report(spark, sf_dir):
+    return bad_value_report(_messy_coupons(spark, sf_dir))
+
+
+@register("coupon_csv")
+def q_coupon_csv(spark, sf_dir):
+    # raw records as text files, read back by the CSV reader with its explicit schema
+    import uuid
+
+    from cupola.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/coupons-{uuid.uuid4().hex}"
+    view = coupon_view(spark, sf_dir)
+    raw = view.select(F.col("l_orderkey").cast("string").alias("user_id"), F.lit("m").alias("merchant_id"),
+                      F.col("l_partkey").cast("string").alias("coupon_id"), "rate_raw", F.lit("null").alias("distance"),
+                      F.col("date_raw").alias("date_received"), F.lit("null").alias("date"))
+    raw.write.option("header", True).csv(path)
+    got = normalise_coupons(read_coupons(spark, path, null_value="null"), date_col="date_received", with_day=False)
+    return got.select("user_id", "coupon_id", "discount_rate", "min_spend", "date_int")
+
+
 # --- data quality (A3, B3, B4, B5) -------------------------------------------------------
 
 QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
@@ -200,6 +232,25 @@ def q_roc_points(spark, sf_dir):
     return M.roc_points(lineitem_scores(spark, sf_dir))
 
 
+def _gapped_scores(spark, sf_dir):
+    """A score column with NULL and NaN (both missing)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_linenumber", "l_discount", "l_returnflag"])
+    ln = F.col("l_linenumber")
+    score = F.when(ln % 5 == 0, F.lit(None)).when(ln % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_discount"))
+    return li.select(F.lit("discount").alias("model"), score.cast("double").alias("score"),
+                     F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+
+
+@register("auc_missing")
+def q_auc_missing(spark, sf_dir):
+    return M.auc(_gapped_scores(spark, sf_dir))
+
+
+@register("roc_points_missing")
+def q_roc_points_missing(spark, sf_dir):
+    return M.roc_points(_gapped_scores(spark, sf_dir))
+
+
 # --- feature screening (B7, B8, B9) -------------------------------------------------------
 
 CHI_FEATURES = ["l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
@@ -242,6 +293,20 @@ def q_vif_three(spark, sf_dir):
     return S.vif(li, VIF3_FEATURES).withColumn("vif", F.round("vif", 6))
 
 
+@register("corr_constant")
+def q_corr_constant(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_discount"]).withColumn("three", F.lit(3.0))
+    return S.corr_pairs(li, ["l_quantity", "three", "l_discount"]).withColumn("corr", F.round("corr", 9))
+
+
+@register("vif_collinear")
+def q_vif_collinear(spark, sf_dir):
+    # the collinear pair stands last, a constant column among the others
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_discount"]).withColumn("three", F.lit(3.0)) \
+        .withColumn("twice_quantity", F.col("l_quantity") * 2 + 1)
+    return S.vif(li, ["l_discount", "three", "l_quantity", "twice_quantity"]).withColumn("vif", F.round("vif", 6))
+
+
 # --- models (B10-B14, B17) ------------------------------------------------------------------
 
 KNN_K = 5
@@ -268,22 +333,28 @@ def _docs(spark, sf_dir):
     return materialise(labelled_documents(spark, sf_dir))
 
 
-def _lr(docs):
-    return ML.score(ML.fit_logistic(docs, DOC_FEATURES, "label"), docs, "lr", "doc_id", "label")
+def _lr(docs, train=None):
+    return ML.score(ML.fit_logistic(docs if train is None else train, DOC_FEATURES, "label"), docs, "lr", "doc_id", "label")
 
 
-def _rf(docs):
-    return ML.score(ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=20), docs, "rf", "doc_id", "label")
+def _rf(docs, train=None):
+    return ML.score(ML.fit_forest(docs if train is None else train, DOC_FEATURES, "label", num_trees=20), docs, "rf", "doc_id", "label")
 
 
-def _ada(docs):
-    model = ML.adaboost_fit(docs, DOC_FEATURES, "label", rounds=8)
+def _ada(docs, train=None):
+    model = ML.adaboost_fit(docs if train is None else train, DOC_FEATURES, "label", rounds=8)
     return ML.adaboost_scores(model, docs, "adaboost", "doc_id", "label")
 
 
-def _knn(docs):
-    vec = ML.features_to_vector(docs, DOC_FEATURES)
-    nb = ML.knn_neighbours(vec, vec, 15, id_col="doc_id", vec_col="vec", exclude_self=True)
+KNN_TRAIN_ROWS = 20_000
+
+
+def _knn(docs, train=None):
+    """Scores from a bounded training set: at most KNN_TRAIN_ROWS labelled rows, by a hash of the id."""
+    known = docs if train is None else train
+    vec = ML.features_to_vector(known.withColumn("_part", F.lit(0)).unionByName(docs.withColumn("_part", F.lit(1))), DOC_FEATURES)
+    near = vec.where("_part = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(KNN_TRAIN_ROWS)
+    nb = ML.knn_neighbours(near, vec.where("_part = 1"), 15, id_col="doc_id", vec_col="vec", exclude_self=True)
     return (ML.knn_score(nb).join(docs.select(F.col("doc_id").alias("qid"), "label"), "qid")
             .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", "label"))
 
@@ -310,20 +381,50 @@ def q_knn_score(spark, sf_dir):
 
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
+    # fitted on two thirds of the labelled documents, compared on the rest
     docs = _docs(spark, sf_dir)
-    scores = _lr(docs).unionByName(_rf(docs)).unionByName(_ada(docs)).unionByName(_knn(docs))
-    return M.compare_models(scores)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    train, test = docs.where(~held), docs.where(held)
+    scores = [fit(test, train) for fit in (_lr, _rf, _ada, _knn)]
+    return M.compare_models(scores[0].unionByName(scores[1]).unionByName(scores[2]).unionByName(scores[3]))
 
 
-@register("score_sink")
-def q_score_sink(spark, sf_dir):
+def _sink(spark, scores):
+    """Write a score table to a folder of its own and read it back."""
+    import uuid
+
     from cupola.session import checkpoint_dir
 
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-lr"
-    ML.write_scores(QUERIES["lr_score"](spark, sf_dir), path)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    ML.write_scores(scores, path, mode="errorifexists")
     return spark.read.parquet(path)
 
 
+@register("score_sink")
+def q_score_sink(spark, sf_dir):
+    return _sink(spark, QUERIES["lr_score"](spark, sf_dir))
+
+
+def _fixed_scores(spark, sf_dir):
+    """Scores that are plain columns, so that sink and comparison can be checked row by row."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_discount", "l_quantity", "l_returnflag"])
+    ident = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")
+    label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label")
+    scores = {"discount": F.col("l_discount") * 10, "quantity": F.col("l_quantity") / 64}
+    return li.select(ident, label, F.inline(F.array(*[F.struct(F.lit(m).alias("model"), s.alias("score")) for m, s in scores.items()])))
+
+
+@register("score_sink_fixed")
+def q_score_sink_fixed(spark, sf_dir):
+    return _sink(spark, _fixed_scores(spark, sf_dir).select("model", "id", "score", "label"))
+
+
+@register("model_compare_fixed")
+def q_model_compare_fixed(spark, sf_dir):
+    got = M.compare_models(_fixed_scores(spark, sf_dir))
+    return got.select("model", "n", F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"), "auc_rank")
+
+
 # --- end to end (E4) --------------------------------------------------------------------------
 
 @register("redemption_forecast")
@@ -366,3 +467,38 @@ def q_coupon_feature_family(spark, sf_dir):
     # every kind from one scan of the coupons: one row per (kind, entity)
     return TL.coupon_feature_table(_coupons_with_parties(spark, sf_dir), FAMILY_KINDS, "l_shipdate",
                                    COUPON_HISTORY_END, distinct_cols=("l_partkey",))
+
+
+MATRIX_FEATURES = ("n_events", "label_rate", "min_spend_avg", "days_since_last")
+
+
+def coupon_matrix(spark, sf_dir, periods=(("train", "1996-01-01", "1996-02-01", "1997-01-01"),
+                                          ("test", "1997-01-01", "1997-02-01", "1998-01-01"))):
+    """One row per coupon of each period ``(split, history end, start, end)``: its own discount
+    features, and those of its user, merchant, part and user-merchant pair from the history
+    before the period. The gap between history end and start keeps late labels out."""
+    coupons = _coupons_with_parties(spark, sf_dir)
+    out = None
+    for split, history_end, start, end in periods:
+        table = TL.split_filter(coupons, "l_shipdate", start, end)
+        feats = TL.coupon_features(coupons, FAMILY_KINDS, "l_shipdate", history_end)
+        cols = []
+        for kind, keys in FAMILY_KINDS.items():
+            mine = [f"{kind}_{c}" for c in MATRIX_FEATURES]
+            table = TL.join_features(table, feats[kind].select(*keys, *mine), keys)
+            cols += [F.coalesce(mine[0], F.lit(0)).alias(mine[0]), *mine[1:]]
+        part = table.select(F.lit(split).alias("split"), "l_orderkey", "l_linenumber", "label", "discount_rate", "min_spend", "date_int", *cols)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("coupon_training_matrix")
+def q_coupon_training_matrix(spark, sf_dir):
+    return coupon_matrix(spark, sf_dir)
+
+
+@register("coupon_forecast")
+def q_coupon_forecast(spark, sf_dir):
+    from cupola.plans.forecast import coupon_forecast
+
+    return coupon_forecast(coupon_matrix(spark, sf_dir)).comparison

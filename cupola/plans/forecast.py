@@ -67,12 +67,16 @@ def redemption_forecast(
     checkpoint_dir(spark)
     events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     clicks = TL.split_filter(events.where(F.col("event_type") == "click"), "ts", train_start, test_end)
-    purchases = events.where(F.col("event_type") == "purchase")
+    purchases = TL.split_filter(events.where(F.col("event_type") == "purchase"), "ts", train_start,
+                                _day(test_end) + dt.timedelta(seconds=horizon_seconds + 1))
 
     # label and period
     issues = TL.redemption_label(clicks.select("event_id", "user_id", "ts"), purchases.select("user_id", "ts"),
                                  ["user_id"], "ts", horizon_seconds)
-    issues = TL.time_split(issues, "ts", [test_start], names=("train", "test"))
+    # training clicks end one horizon before the test period, so no label looks into it
+    gap_start = _day(test_start) - dt.timedelta(seconds=horizon_seconds)
+    issues = TL.split_filter(issues, "ts", None, gap_start).withColumn("split", F.lit("train")).unionByName(
+        TL.split_filter(issues, "ts", test_start, None).withColumn("split", F.lit("test")))
 
     # behaviour before each period, and before each coupon
     per_period = _period_features(events, issues.where(F.col("split") == "train"), train_start, history_days) \
@@ -107,7 +111,9 @@ def redemption_forecast(
     binned = ML.quantile_bins(train, feats, n_bins=10)
     chi = {r.feature: r.p_value for r in S.chi_square(binned, feats, "label").collect()}
     dependent = [f for f in feats if chi.get(f) is not None and chi[f] < chi_alpha]
-    feats = dependent or feats
+    if not dependent:
+        raise ValueError(f"no feature depends on the label at alpha={chi_alpha}")
+    feats = dependent
     feats, corr_dropped = S.corr_filter(train, feats, "label", corr_threshold)
     feats, vif_dropped = S.vif_select(train, feats, vif_threshold)
     screening = {"quasi_constant": quasi, "chi_square_p": chi, "corr_dropped": corr_dropped,
@@ -130,3 +136,43 @@ def redemption_forecast(
               .unionByName(ML.adaboost_scores(ada, test, "adaboost", "event_id", "label"))
               .unionByName(knn))
     return ForecastResult(M.compare_models(scores, write_once=False), scores, feats, screening)
+
+
+def coupon_forecast(matrix: DataFrame, quasi_threshold: float = 0.95, chi_alpha: float = 0.05, corr_threshold: float = 0.95,
+                    vif_threshold: float = 10.0, knn_k: int = 15, knn_train_rows: int = 2_000, ada_rounds: int = 10) -> ForecastResult:
+    """Four classifiers on a coupon matrix (``plans.catalog.coupon_matrix``): cleaning, outliers
+    and screening from the training period, comparison on the test period.
+
+    ``knn_train_rows`` bounds the labelled rows of the nearest-neighbour model (chosen by a
+    hash of the coupon); the other models see all training rows.
+    """
+    candidates = [c for c in matrix.columns if c not in ("split", "l_orderkey", "l_linenumber", "label", "date_int")]
+    table = materialise(matrix.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "split", "label",
+        *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0 if c.endswith(("rate", "avg", "last")) or c == "min_spend" else 0.0)).alias(c) for c in candidates]))
+    train = table.where(F.col("split") == "train")
+    bounds = Q.outlier_bounds(train, [c for c in candidates if c.endswith(("min_spend", "spend_avg"))], method="iqr", k=3.0)
+    table = Q.outlier_clip(table, bounds)
+    train, test = table.where(F.col("split") == "train"), table.where(F.col("split") == "test")
+    _, report = Q.quasi_constant_filter(train, candidates, quasi_threshold, report_only=True)
+    quasi = [r.feature for r in report.where("flagged").collect()]
+    feats = [c for c in candidates if c not in quasi]
+    chi = {r.feature: r.p_value for r in S.chi_square(ML.quantile_bins(train, feats, n_bins=10), feats, "label").collect()}
+    chosen = [f for f in feats if chi.get(f) is not None and chi[f] < chi_alpha]
+    screening = {"quasi_constant": quasi, "chi_square_p": chi, "no_dependent_feature": not chosen}
+    # without a dependent feature the report says so, and the strongest one is used
+    feats = chosen or sorted(feats, key=lambda f: (chi.get(f) is None, chi.get(f), f))[:1]
+    feats, screening["corr_dropped"] = S.corr_filter(train, feats, "label", corr_threshold)
+    feats, screening["vif_dropped"] = S.vif_select(train, feats, vif_threshold)
+    lr = ML.fit_logistic(train, feats, "label", reg_param=0.01)
+    rf = ML.fit_forest(train, feats, "label", num_trees=20, max_depth=5)
+    ada = ML.adaboost_fit(train, feats, "label", rounds=ada_rounds)
+    stats = train.select(*[F.avg(c).alias(f"m_{c}") for c in feats], *[F.stddev_pop(c).alias(f"s_{c}") for c in feats]).first()
+    z = F.array(*[(F.col(c) - F.lit(stats[f"m_{c}"] or 0.0)) / F.lit(stats[f"s_{c}"] or 1.0) for c in feats])
+    near = train.orderBy(F.xxhash64("id"), "id").limit(knn_train_rows).withColumn("vec", z)
+    nb = ML.knn_neighbours(near, test.withColumn("vec", z), knn_k, id_col="id", vec_col="vec", label_col="label")
+    knn = (ML.knn_score(nb).join(test.select(F.col("id").alias("qid"), "label"), "qid")
+           .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", F.col("label").cast("int")))
+    scores = materialise(ML.score(lr, test, "lr", "id", "label").unionByName(ML.score(rf, test, "rf", "id", "label"))
+                         .unionByName(ML.adaboost_scores(ada, test, "adaboost", "id", "label")).unionByName(knn))
+    return ForecastResult(M.compare_models(scores, write_once=False), scores, feats, screening)

@@ -362,7 +362,7 @@ select feature, threshold, polarity, error from e order by error, feature, thres
 # --- coupon feature family ------------------------------------------------------------------
 
 
-def _coupon_family(keys: list[str], prefix: str, source: str, distinct: list[str]) -> str:
+def _coupon_family(keys: list[str], prefix: str, source: str, distinct: list[str], end: str = "1997-01-01") -> str:
     k = ", ".join(keys)
     dist = "".join(f", count(distinct {d}) as n_distinct_{d}" for d in distinct)
     dist_out = "".join(f", n_distinct_{d} as {prefix}n_distinct_{d}" for d in distinct)
@@ -374,13 +374,13 @@ a as (
     cast(sum(cast(round(min_spend * 100) as bigint)) as bigint) as min_spend_units,
     count(min_spend) as ms_n, min(min_spend) as min_spend_min, max(min_spend) as min_spend_max{dist},
     max(l_shipdate) as last_ts
-  from s where l_shipdate < timestamp '1997-01-01 00:00:00' group by {k})
+  from s where l_shipdate < timestamp '{end} 00:00:00' group by {k})
 select {k}, n_events as {prefix}n_events, n_label as {prefix}n_label, n_active_days as {prefix}n_active_days,
   min_spend_units as {prefix}min_spend_units, min_spend_min as {prefix}min_spend_min,
   min_spend_max as {prefix}min_spend_max{dist_out}, last_ts as {prefix}last_ts,
   n_label / n_events as {prefix}label_rate,
   case when ms_n > 0 then min_spend_units / ms_n end / 100 as {prefix}min_spend_avg,
-  cast(date_diff('day', cast(last_ts as date), date '1997-01-01') as integer) as {prefix}days_since_last
+  cast(date_diff('day', cast(last_ts as date), date '{end}') as integer) as {prefix}days_since_last
 from a
 """
 
@@ -410,3 +410,96 @@ def _family_part(kind: str, keys: list[str]) -> str:
 
 
 SQL["coupon_feature_family"] = " union all ".join(_family_part(k, v) for k, v in FAMILY_KINDS.items())
+
+
+# --- coupon training matrix -------------------------------------------------------------------
+
+_MATRIX = ["n_events", "label_rate", "min_spend_avg", "days_since_last"]
+
+
+def _matrix_part(split: str, history_end: str, start: str, end: str) -> str:
+    joins, cols = "", []
+    for kind, keys in FAMILY_KINDS.items():
+        on = " and ".join(f"p.{k} is not distinct from {kind}.{k}" for k in keys)
+        joins += f" left join ({_coupon_family(keys, kind + '_', _PARTIES, [], history_end)}) {kind} on {on}"
+        cols += [f"coalesce({kind}_n_events, 0) as {kind}_n_events"] + [f"{kind}_{c}" for c in _MATRIX[1:]]
+    return (f"select '{split}' as split, l_orderkey, l_linenumber, p.label, discount_rate, min_spend, date_int, {', '.join(cols)} "
+            f"from ({_PARTIES}) p{joins} where l_shipdate >= timestamp '{start} 00:00:00' and l_shipdate < timestamp '{end} 00:00:00'")
+
+
+SQL["coupon_training_matrix"] = (
+    _matrix_part("train", "1996-01-01", "1996-02-01", "1997-01-01") + " union all "
+    + _matrix_part("test", "1997-01-01", "1997-02-01", "1998-01-01"))
+
+# --- missing, constant and collinear inputs ---------------------------------------------------
+
+_GAPPED_SCORES = """
+select 'discount' as model, case when l_linenumber % 5 = 0 then null when l_linenumber % 7 = 0 then cast('nan' as double) else l_discount end as score,
+  case when l_returnflag = 'R' then 1 else 0 end as label from lineitem
+"""
+_GAPPED_COUNTS = f"""
+select model, score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg
+from ({_GAPPED_SCORES}) where score is not null and not isnan(score) group by model, score
+"""
+SQL["auc_missing"] = SQL["auc"].replace(SCORE_COUNTS, _GAPPED_COUNTS)
+SQL["roc_points_missing"] = SQL["roc_points"].replace(SCORE_COUNTS, _GAPPED_COUNTS)
+
+SQL["corr_constant"] = """
+select 'l_quantity' as feature_a, 'three' as feature_b, cast(null as double) as corr
+union all select 'l_quantity', 'l_discount', round(corr(l_quantity, l_discount), 9) from lineitem
+union all select 'three', 'l_discount', null
+"""
+
+SQL["vif_collinear"] = """
+with r as (select corr(l_quantity, l_discount) as r from lineitem)
+select 'l_discount' as feature, round(1.0 / (1.0 - r * r), 6) as vif from r
+union all select 'three', null
+union all select 'l_quantity', cast('infinity' as double)
+union all select 'twice_quantity', cast('infinity' as double)
+"""
+
+# --- bad values and the CSV reader ------------------------------------------------------------
+
+MESSY_VIEW = """
+select *, case when l_partkey % 11 = 0 then concat(rate_raw, 'f') when l_partkey % 13 = 0 then '0:5' when l_partkey % 17 = 0 then 'nan' else rate_raw end as rate,
+  case when l_partkey % 7 = 0 then replace(date_raw, '-', '/') else date_raw end as day
+from ({view})
+"""
+
+
+def _bad(name: str, raw: str, parsed: str) -> str:
+    return (f"select '{name}' as column_name, count(*) as n, count(*) - count({raw}) as n_missing, "
+            f"count(case when {raw} is not null and {parsed} is null then 1 end) as n_bad from p")
+
+
+_MESSY = normalised_sql().replace(COUPON_VIEW_SQL, (
+    "select l_orderkey, l_linenumber, l_partkey, rate as rate_raw, day as date_raw, label from ("
+    + MESSY_VIEW.format(view=COUPON_VIEW_SQL) + ")"))
+SQL["bad_value_report"] = f"""
+with p as (select *, {clean('rate_raw')} as r, {clean('date_raw')} as d from ({_MESSY}))
+{_bad('discount_rate', 'r', 'discount_rate')} union all {_bad('min_spend', 'r', 'min_spend')} union all {_bad('date_int', 'd', 'date_int')}
+"""
+
+SQL["coupon_csv"] = f"""
+select l_orderkey as user_id, cast(l_partkey as varchar) as coupon_id, discount_rate, min_spend, date_int
+from ({NORMALISED_SQL})
+"""
+
+# --- score sink and model comparison on fixed scores ------------------------------------------
+
+_FIXED_SCORES = """
+select 'discount' as model, l_orderkey * 10 + l_linenumber as id, l_discount * 10 as score, case when l_returnflag = 'R' then 1 else 0 end as label from lineitem
+union all
+select 'quantity', l_orderkey * 10 + l_linenumber, l_quantity / 64, case when l_returnflag = 'R' then 1 else 0 end from lineitem
+"""
+SQL["score_sink_fixed"] = _FIXED_SCORES
+SQL["model_compare_fixed"] = f"""
+with f as ({_FIXED_SCORES}),
+c as (select model, score, sum(label) as pos, sum(1 - label) as neg from f group by model, score),
+r as (select *, coalesce(sum(neg) over (partition by model order by score rows between unbounded preceding and 1 preceding), 0) as neg_below from c),
+a as (select model, sum(pos * (2.0 * neg_below + neg)) / (2.0 * sum(pos) * sum(neg)) as auc from r group by model),
+b as (select model, count(*) as n, avg(case when (score >= 0.5) = (label = 1) then 1.0 else 0.0 end) as accuracy from f group by model)
+select model, n, round(accuracy, 9) as accuracy, round(auc, 9) as auc,
+  cast(dense_rank() over (order by auc desc) as integer) as auc_rank
+from a join b using (model)
+"""

@@ -43,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cupola-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before running")
