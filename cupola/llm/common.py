@@ -31,6 +31,27 @@ def text_key(text: str | Column) -> list[Column]:
     return [F.xxhash64(t), F.xxhash64(F.lit(7), t)]
 
 
+def squeeze(df: DataFrame, text_col: str = "t") -> DataFrame:
+    """``df`` with its text as zstd-compressed UTF-8 (binary ``z``, last column), for a shuffle
+    that carries whole texts."""
+    import pyarrow as pa
+
+    rest = [c for c in df.columns if c != text_col]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(rest).schema)
+
+    def run(batches):
+        import zstandard
+
+        c = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                z = [c.compress((t or "").encode("utf-8", "replace")) for t in part.column(len(rest)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(z, pa.binary())], [*rest, "z"])
+
+    return df.select(*rest, text_col).mapInArrow(run, f"{kinds}, z binary")
+
+
 def bounded_rows(docs: DataFrame, id_col: str, text_col: str, extra: list[str], max_rows: int, max_bytes: int) -> list:
     """At most ``max_rows`` rows and ``max_bytes`` of text, as a list on the driver.
 

@@ -27,21 +27,24 @@ so extra columns do not matter; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cupola.session import materialise
 
-from .common import per_worker
+from .common import per_worker, squeeze
 
 WINDOW, GRAM, DIGIT = 200, 24, 50
 #: Window starts that are looked at together.
 BLOCK = 1 << 17
-#: Context rows whose windows are ordered together (whole groups only).
+#: Runs of windows whose windows are ordered together (whole groups only).
 ROWS = 2048
+#: Runs and bytes of windows that a task packs at once; bytes of text per index bucket.
+PACK, CONTEXT_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20, 32 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -120,15 +123,54 @@ def _roll() -> Roll:
     return per_worker(("roll", BLOCK, WINDOW), Roll)
 
 
-def first_digits(src: DataFrame) -> DataFrame:
-    """Rows ``(digit, row, place, first, last, times)``; for spans that are already known to
-    repeat, ``(null, row, null, start, end, null)``."""
+def _pack(columns: list[np.ndarray], to: np.ndarray, buckets: int, squeezer) -> tuple[list[int], list[bytes]]:
+    """Per bucket, the columns' bytes one after the other, compressed."""
+    order = np.argsort(to, kind="stable")
+    columns, to = [c[order] for c in columns], to[order]
+    ends = np.searchsorted(to, np.arange(buckets + 1))
+    full = [b for b in range(buckets) if ends[b] < ends[b + 1]]
+    return full, [squeezer.compress(b"".join(c[ends[b] : ends[b + 1]].tobytes() for c in columns)) for b in full]
+
+
+def _unpack(blob: bytes, kinds: tuple, rest: int = 0) -> tuple[list[np.ndarray], int]:
+    """The columns of a packed row, and where they end (``rest`` bytes follow)."""
+    n = (len(blob) - rest) // sum(np.dtype(k).itemsize for k in kinds)
+    out, at = [], 0
+    for k in kinds:
+        out.append(np.frombuffer(blob, k, n, at))
+        at += out[-1].nbytes
+    return out, at
+
+
+def _bucket(digit: np.ndarray, buckets: int) -> np.ndarray:
+    return ((digit >> np.uint64(11)) % np.uint64(buckets)).astype(np.int32)
+
+
+#: Columns of a packed run: digit, row, place, places before it, further windows, times.
+RUN = ("<u8", "<i8", "<i4", "u1", "u1", "u1")
+#: Columns of packed contexts: the same without the place, with the first window.
+CONTEXT = ("<u8", "<i8", "<i4", "u1", "u1", "u1")
+
+
+def first_digits(src: DataFrame, buckets: int) -> DataFrame:
+    """Rows ``(bucket, z)`` of packed runs; for spans that are already known to repeat, rows
+    ``(row, first, last)`` with the span's start and end."""
     import pyarrow as pa
 
-    names = ["digit", "row", "place", "first", "last", "times"]
+    names = ["bucket", "z", "row", "first", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll = _roll()
+        import zstandard
+
+        roll, squeezer, held, size = _roll(), zstandard.ZstdCompressor(level=3), [], 0
+
+        def flush():
+            cols = [np.concatenate(c) for c in zip(*held)]
+            held.clear()
+            full, z = _pack(cols, _bucket(cols[0], buckets), buckets, squeezer)
+            none = pa.nulls(len(full), pa.int64()), pa.nulls(len(full), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(z, pa.binary()), none[0], none[1], none[1]], names)
+
         for batch in batches:
             row = batch.column(0).to_numpy(zero_copy_only=False)
             got, doc = [], []
@@ -143,8 +185,13 @@ def first_digits(src: DataFrame) -> DataFrame:
             digit, place, first, last, whole = (np.concatenate(x) for x in zip(*got))
             doc = np.concatenate(doc)
             _, one, which, times = np.unique(whole ^ digit, return_index=True, return_inverse=True, return_counts=True)
-            cols = [digit[one].view(np.int64), row[doc[one]], place[one].astype(np.int32), first[one].astype(np.int32), last[one].astype(np.int32), np.minimum(times, 2).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+            one_times = np.minimum(times, 2)
+            back, more = place - first, last - first
+            held.append([digit[one], row[doc[one]], place[one].astype("<i4"), back[one].astype("u1"), more[one].astype("u1"), one_times.astype("u1")])
+            size += len(one)
+            if size > PACK:
+                yield flush()
+                size = 0
             known = times[which] > 1
             spans = [[], [], []]
             for i in np.unique(doc[known]):
@@ -156,34 +203,81 @@ def first_digits(src: DataFrame) -> DataFrame:
                 spans[2].append(b)
             if spans[0]:
                 r, a, b = (np.concatenate(x) for x in spans)
-                none = pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.int32())
-                yield pa.RecordBatch.from_arrays([none[0], pa.array(r.astype(np.int64)), none[1], pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), none[1]], names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(r), pa.int32()), pa.nulls(len(r), pa.binary()), pa.array(r.astype(np.int64)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names
+                )
+        if held:
+            yield flush()
 
-    return src.select("row", "t").mapInArrow(run, "digit long, row long, place int, first int, last int, times int")
+    return src.select("row", "t").mapInArrow(run, "bucket int, z binary, row long, first int, last int")
 
 
-def contexts(held: DataFrame) -> DataFrame:
-    """Rows ``(digit, row, first, off, n, times, bytes)``: the bytes of a run of ``n`` windows;
-    ``off`` is the place of the digit in them."""
+def repeated_digits(packed: DataFrame, buckets: int) -> DataFrame:
+    """Rows ``(row, digit, place, first, last, times)`` of the runs whose digit occurs twice or more."""
     import pyarrow as pa
 
-    names = ["digit", "row", "first", "off", "n", "times", "bytes"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        plain, parts = zstandard.ZstdDecompressor(), []
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                out = [[] for _ in names]
-                for r, t, found in zip(*[batch.column(c).slice(k, 64).to_pylist() for c in range(3)]):
-                    data = t.encode("utf-8", "replace")
-                    for f in found:
-                        piece = data[f["first"] : f["last"] + WINDOW]
-                        for col, v in zip(out, (f["digit"], r, f["first"], f["place"] - f["first"], f["last"] - f["first"] + 1, f["times"], piece)):
-                            col.append(v)
-                if out[0]:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
+            parts += [_unpack(plain.decompress(z), RUN)[0] for z in batch.column(1).to_pylist()]
+        if not parts:
+            return
+        digit, row, place, back, more, times = (np.concatenate(c) for c in zip(*parts))
+        parts.clear()
+        order = np.argsort(digit, kind="stable")
+        at = np.flatnonzero(np.append(True, np.diff(digit[order]) != 0))
+        total = np.add.reduceat(times[order].astype(np.int64), at)
+        keep = order[np.repeat(total > 1, np.diff(np.append(at, len(order))))]
+        for k in range(0, len(keep), 1 << 16):
+            i = keep[k : k + (1 << 16)]
+            first = place[i] - back[i].astype(np.int32)
+            cols = [row[i], digit[i].view(np.int64), place[i], first, first + more[i].astype(np.int32), times[i].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["row", "digit", "place", "first", "last", "times"])
+
+    return packed.select("bucket", "z").repartition(buckets, "bucket").mapInArrow(run, "row long, digit long, place int, first int, last int, times int")
+
+
+def contexts(held: DataFrame, buckets: int) -> DataFrame:
+    """Rows ``(bucket, rest, z)``: packed runs with the bytes of their windows (``rest`` of them)."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeezer, plain, kept, size = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor(), [], 0
+
+        def flush():
+            kept.sort(key=lambda f: f[0])  # equal digits together: their bytes are alike
+            out = ([], [], [])
+            to = _bucket(np.array([f[0] for f in kept], np.int64).view(np.uint64), buckets)
+            for b in np.unique(to).tolist():
+                mine = [kept[i] for i in np.flatnonzero(to == b)]
+                cols = [np.array(c, k) for c, k in zip(list(zip(*mine))[:6], ("<i8", *CONTEXT[1:]))]
+                text = b"".join(f[6] for f in mine)
+                out[0].append(b)
+                out[1].append(len(text))
+                out[2].append(squeezer.compress(b"".join(c.tobytes() for c in cols) + text))
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], ["bucket", "rest", "z"])
 
-    return held.select("row", "t", "found").mapInArrow(run, "digit long, row long, first int, off int, n int, times int, bytes binary")
+        for batch in batches:
+            for r, z, found in zip(*[c.to_pylist() for c in batch.columns]):
+                if not found:
+                    continue
+                data = plain.decompress(z)
+                for f in found:
+                    piece = data[f["first"] : f["last"] + WINDOW]
+                    kept.append((f["digit"], r, f["first"], f["place"] - f["first"], f["last"] - f["first"], f["times"], piece))
+                    size += len(piece)
+                if size > CONTEXT_BYTES:
+                    yield flush()
+                    size = 0
+        if kept:
+            yield flush()
+
+    return held.select("row", "z", "found").mapInArrow(run, "bucket int, rest int, z binary")
 
 
 def repeated_windows(digit: np.ndarray, off: np.ndarray, n: np.ndarray, times: np.ndarray, pieces: list[bytes], roll: Roll) -> np.ndarray:
@@ -210,52 +304,45 @@ def repeated_windows(digit: np.ndarray, off: np.ndarray, n: np.ndarray, times: n
     return flags
 
 
-def repeated_spans(ctx: DataFrame) -> DataFrame:
+def repeated_spans(packed: DataFrame, buckets: int) -> DataFrame:
     """Rows ``(row, start, end)`` of bytes covered by repeated windows."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll = _roll()
+        import zstandard
 
-        def order(table: pa.Table):
-            if not table.num_rows:
-                return None
-            digit, row, first, off, n, times = (table.column(c).to_numpy() for c in range(6))
-            flags = repeated_windows(digit, off, n, times, table.column(6).to_pylist(), roll)
+        roll, plain, parts, pieces = _roll(), zstandard.ZstdDecompressor(), [], []
+        for batch in batches:
+            for rest, z in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                blob = plain.decompress(z)
+                cols, at = _unpack(blob, CONTEXT, rest)
+                parts.append(cols)
+                for n in (cols[4].astype(int) + WINDOW).tolist():
+                    pieces.append(blob[at : at + n])
+                    at += n
+        if not parts:
+            return
+        digit, row, first, off, more, times = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(digit, kind="stable")
+        ends = np.append(np.flatnonzero(np.diff(digit[order]) != 0) + 1, len(order))
+        done = 0
+        for e in ends.tolist():
+            if e - done < ROWS and e != ends[-1]:
+                continue
+            i = order[done:e]
+            done = e
+            flags = repeated_windows(digit[i], off[i].astype(np.int64), more[i].astype(np.int64) + 1, times[i].astype(np.int64), [pieces[k] for k in i.tolist()], roll)
             r, w = np.nonzero(flags)
             if not len(r):
-                return None
+                continue
             new = np.append(True, (r[1:] != r[:-1]) | (w[1:] != w[:-1] + 1))
             a = np.flatnonzero(new)
             b = np.append(a[1:] - 1, len(r) - 1)
-            start = first[r[a]] + w[a]
-            end = first[r[b]] + w[b] + WINDOW
-            return pa.RecordBatch.from_arrays([pa.array(row[r[a]]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["row", "start", "end"])
+            start = first[i][r[a]] + w[a]
+            end = first[i][r[b]] + w[b] + WINDOW
+            yield pa.RecordBatch.from_arrays([pa.array(row[i][r[a]]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["row", "start", "end"])
 
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows < ROWS:
-                continue
-            table = pa.Table.from_batches(held)
-            digit = table.column(0).to_numpy()
-            ends = np.append(np.flatnonzero(digit[1:] != digit[:-1]) + 1, 0)[:-1]  # the last group may go on
-            if not len(ends):
-                continue
-            done = 0
-            for e in ends:
-                if e - done >= ROWS or e == ends[-1]:
-                    if (out := order(table.slice(done, e - done))) is not None:
-                        yield out
-                    done = int(e)
-            held = table.slice(done).combine_chunks().to_batches()
-            rows = table.num_rows - done
-        if held and (out := order(pa.Table.from_batches(held))) is not None:
-            yield out
-
-    kept = ctx.repartition("digit").sortWithinPartitions("digit")
-    return kept.mapInArrow(run, "row long, start int, end int")
+    return packed.repartition(buckets, "bucket").mapInArrow(run, "row long, start int, end int")
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,23 +354,27 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     row = F.xxhash64(F.lit(13), F.col(id_col), F.xxhash64(text), F.xxhash64(F.lit(7), text))
     src = docs.select(F.col(id_col).alias("doc"), row.alias("row"), text.alias("t"))
     long_enough = src.where(F.octet_length("t") >= WINDOW)
-    digits = materialise(first_digits(long_enough))
-    anchors = digits.where("digit is not null")
-    twice = anchors.withColumn("all", F.sum("times").over(Window.partitionBy("digit"))).where("all > 1").drop("all")
-    found = twice.groupBy("row").agg(F.collect_list(F.struct("digit", "place", "first", "last", "times")).alias("found"))
-    known = digits.where("digit is null").select("row", F.col("first").alias("start"), F.col("last").alias("end"))
-    touched = found.unionByName(known.select("row").distinct().withColumn("found", F.lit(None).cast(found.schema["found"].dataType)))
-    touched = touched.groupBy("row").agg(F.flatten(F.collect_list(F.coalesce("found", F.expr("array()")))).alias("found"))
-    held = materialise(long_enough.select("row", "t").join(touched, "row"))
-    spans = repeated_spans(contexts(held)).unionByName(known)
+    total = long_enough.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES))
+    digits = materialise(first_digits(long_enough, buckets))
+    twice = repeated_digits(digits.where("bucket is not null"), buckets)
+    known = digits.where("bucket is null").select("row", F.col("first").alias("start"), F.col("last").alias("end"))
+    found = twice.select("row", F.struct("digit", "place", "first", "last", "times").alias("f"))
+    none = F.lit(None).cast(found.schema["f"].dataType)
+    touched = found.unionByName(known.select("row").distinct().withColumn("f", none)).groupBy("row").agg(F.collect_list("f").alias("found"))
+    held = materialise(squeeze(long_enough.select("row", "t")).join(touched, "row"))
+    spans = repeated_spans(contexts(held, buckets), buckets).unionByName(known)
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 out = []
-                for r, t, sp in zip(*[batch.column(c).slice(k, 256).to_pylist() for c in range(3)]):
-                    data = t.encode("utf-8", "replace")
+                for r, z, sp in zip(*[batch.column(c).slice(k, 256).to_pylist() for c in range(3)]):
+                    data = plain.decompress(z)
                     a, b = merged(np.array([s["start"] for s in sp]), np.array([s["end"] for s in sp]))
                     kept, at = hashlib.sha256(), 0
                     for x, y in zip(a.tolist(), b.tolist()):
@@ -295,9 +386,9 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     schema = pa.schema([("row", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                         ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-    cut = held.select("row", "t").dropDuplicates(["row"]).join(by_row, "row").mapInArrow(
+    cut = held.select("row", "z").join(by_row, "row").mapInArrow(
         run, "row long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
-    )
+    ).dropDuplicates(["row"])  # rows equal in id and text have equal results
     whole = src.select("doc", "row", F.octet_length("t").cast("long").alias("n_bytes"), F.sha2(F.col("t").cast("binary"), 256).alias("all_sha256"))
     return whole.join(cut, "row", "left").select(
         F.col("doc").alias(id_col),

@@ -48,7 +48,8 @@ def test_passages_runs_and_periods(spark):
 
 def test_small_blocks_and_batches_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK", 128)
-    monkeypatch.setattr(repeats, "ROWS", 3)
+    for k, v in {"ROWS": 3, "PACK": 20, "CONTEXT_BYTES": 3000, "BUCKET_BYTES": 2000}.items():
+        monkeypatch.setattr(repeats, k, v)
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
