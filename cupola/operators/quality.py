@@ -73,7 +73,10 @@ def _top_counts_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
-def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
+SKETCH_ACCURACY = 200
+
+
+def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """(idx, top_count, non_missing) without grouping by value: two scans, no big shuffle.
 
     A value held by more than half of the non-missing rows is the median of the
@@ -82,8 +85,8 @@ def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = 10000
     sketch, which works in doubles, holds it exactly. The second aggregate also takes
     the smallest and largest value with that hash: if they differ, distinct values
     share the hash, and that column is counted exactly by grouping instead. So
-    ``top_count`` is exact whenever the top share exceeds 0.5 + 1/accuracy; below
-    that it is the count of one frequent value, a lower bound.
+    ``top_count`` is exact whenever the top share exceeds 0.5 + 1/accuracy; where it
+    does not, the count is not proven to be the largest and is NULL.
     """
     hashes = [F.when(_value(df, c).isNotNull(), F.shiftrightunsigned(F.xxhash64(_value(df, c)), 12))
               for c in cols]
@@ -101,7 +104,8 @@ def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = 10000
         if row[f"_lo{i}"] is not None and row[f"_lo{i}"] != row[f"_hi{i}"]:
             collided.append(i)
             continue
-        rows.append((i, row[f"_t{i}"] if row[f"_m{i}"] > 0 else None, row[f"_m{i}"]))
+        proven = row[f"_m{i}"] > 0 and row[f"_t{i}"] > (0.5 + 1 / accuracy) * row[f"_m{i}"]
+        rows.append((i, row[f"_t{i}"] if proven else None, row[f"_m{i}"]))
     out = df.sparkSession.createDataFrame(rows, "idx int, top_count bigint, non_missing bigint")
     if collided:
         exact = _top_counts_exact(df, [cols[i] for i in collided])
@@ -118,14 +122,15 @@ def quasi_constant_report(df: DataFrame, cols: Sequence[str] | None = None, thre
     (NULL, and NaN in floating columns) are outside numerator and denominator; an
     all-missing feature has ratio NULL and is not flagged; the test is strict
     (``ratio > threshold``). ``method="sketch"`` avoids the shuffle by value and
-    decides flags exactly for ``threshold >= 0.5``.
+    decides flags exactly for ``threshold >= 0.5 + 1 / SKETCH_ACCURACY``; its
+    ``top_count`` and ``ratio`` are NULL for features whose top share is not above that.
     """
     cols = list(cols if cols is not None else df.columns)
     if method == "exact":
         tops = _top_counts_exact(df, cols)
     elif method == "sketch":
-        if threshold < 0.5:
-            raise ValueError("method='sketch' needs threshold >= 0.5; use method='exact'")
+        if threshold < 0.5 + 1 / SKETCH_ACCURACY:
+            raise ValueError(f"method='sketch' needs threshold >= {0.5 + 1 / SKETCH_ACCURACY}; use method='exact'")
         tops = _top_counts_sketch(df, cols)
     else:
         raise ValueError("method must be 'exact' or 'sketch'")
