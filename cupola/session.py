@@ -66,5 +66,22 @@ def materialise(df):
 
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
+    _TABLES.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_TABLES: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that ``materialise`` has written in this process and return how many.
+
+    To be called when the results that read them have been written or are no longer needed.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from cupola.session import checkpoint_dir, materialise
 
 
@@ -16,3 +18,13 @@ def test_materialise_writes_under_the_checkpoint_folder(spark):
     files = [_path(f) for f in df.inputFiles()]
     assert files and all(f.startswith(base + "/tables/") for f in files)
     assert sorted(r.twice for r in df.collect()) == [2 * i for i in range(10)]
+
+
+def test_tables_are_dropped(spark, monkeypatch):
+    from cupola import session
+
+    monkeypatch.setattr(session, "_TABLES", [])
+    df = materialise(spark.range(3).toDF("id"))
+    assert df.count() == 3 and session.drop_tables(spark) == 1 and session._TABLES == []
+    with pytest.raises(Exception):
+        spark.read.parquet(df.inputFiles()[0]).count()
