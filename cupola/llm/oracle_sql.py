@@ -27,5 +27,18 @@ SELECT doc_id, item_id, CAST(n_item AS INTEGER) AS n_item, CAST(count(*) AS INTE
 FROM sd JOIN si USING (s)
 GROUP BY doc_id, text, item_id, n_item
 HAVING count(*) >= 0.75 * n_item
+""",
+    "op8_jaccard": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN {_FIVE} WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+s AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS shared
+  FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 75 * (nx + ny - shared)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.y FROM reach AS r JOIN ways AS e ON r.b = e.x)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) AS c USING (doc_id)
 """,
 }
