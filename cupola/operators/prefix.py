@@ -89,3 +89,24 @@ def with_hot_split(
         slice_ = F.coalesce(F.floor((F.col("_hp") - F.col("_hlo")) / F.col("_hw")), slice_)
     out = b.withColumn(col, F.col("_hb") * F.lit(1 << 40) + slice_)
     return out.drop("_hb", "_hp", *(["_hlo", "_hw"] if n_hot else []))
+
+
+def with_tie_split(df: DataFrame, keys: Sequence[str], bucket: str, position: Column, id_col: str,
+                   max_bucket_rows: int = 1_000_000, broadcast_rows: int = 100_000, col: str = "_tie") -> DataFrame:
+    """``df`` plus an integer ``col`` that cuts (key, ``bucket``) groups whose rows all share one
+    ``position`` (a burst, a date-only column) by ranges of the integer ``id_col``, which orders
+    such rows. ``(bucket, col)`` stays non-decreasing along (position, id); 0 for other groups.
+    """
+    keys = list(keys)
+    b = df.withColumns({"_tp": position.cast("bigint"), "_ti": F.col(id_col).cast("bigint")})
+    hot = materialise(
+        b.groupBy(*keys, bucket)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_tp").alias("_a"), F.max("_tp").alias("_z"), F.min("_ti").alias("_tlo"), F.max("_ti").alias("_thi"))
+        .where((F.col("_n") > F.lit(max_bucket_rows)) & (F.col("_a") == F.col("_z")))
+        .select(*keys, bucket, "_tlo", F.greatest(F.lit(1.0), (F.col("_thi") - F.col("_tlo") + 1).cast("double") * F.lit(float(max_bucket_rows)) / F.col("_n")).alias("_tw")))
+    n_hot = hot.count()
+    if not n_hot:
+        return df.withColumn(col, F.lit(0).cast("bigint"))
+    b = b.join(F.broadcast(hot) if n_hot <= broadcast_rows else hot, [*keys, bucket], "left")
+    cut = F.coalesce(F.floor((F.col("_ti") - F.col("_tlo")) / F.col("_tw")), F.lit(0))
+    return b.withColumn(col, cut.cast("bigint")).drop("_tp", "_ti", "_tlo", "_tw")

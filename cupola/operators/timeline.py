@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cupola.operators.prefix import running_totals, with_hot_split
+from cupola.operators.prefix import running_totals, with_hot_split, with_tie_split
 
 
 def _lit_ts(v) -> Column:
@@ -192,7 +193,8 @@ def prior_features(
 
     Uses the two-level prefix sum with day buckets by default, so no task holds
     all rows of one entity; an (entity, day) with more than ``max_bucket_rows`` rows
-    is cut further into slices of time (``with_hot_split``; ``None`` turns that off).
+    is cut further into slices of time, and one whose rows share a timestamp by ranges of an
+    integer id (``with_hot_split``, ``with_tie_split``; ``None`` turns both off).
     """
     vals = {f"prior_{k}": v for k, v in counts.items()}
     if bucket is not None:
@@ -202,8 +204,12 @@ def prior_features(
     if max_bucket_rows is None:
         return running_totals(df, key, [F.col(ts_col), F.col(id_col)], day, vals, inclusive=False)
     split = with_hot_split(df, key, day, us, max_bucket_rows, col="_day_slice")
-    return running_totals(split, key, [F.col(ts_col), F.col(id_col)], F.col("_day_slice"), vals,
-                          inclusive=False).drop("_day_slice")
+    bucket = F.col("_day_slice")
+    if isinstance(df.schema[id_col].dataType, T.IntegralType):
+        split = with_tie_split(split, key, "_day_slice", us, id_col, max_bucket_rows)
+        bucket = F.struct("_day_slice", "_tie")
+    return running_totals(split, key, [F.col(ts_col), F.col(id_col)], bucket, vals,
+                          inclusive=False).drop("_day_slice", "_tie")
 
 
 def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], fill: dict | None = None) -> DataFrame:

@@ -379,6 +379,26 @@ def q_knn_score(spark, sf_dir):
     return _knn(_docs(spark, sf_dir))
 
 
+@register("knn_score_counts")
+def q_knn_score_counts(spark, sf_dir):
+    # the raw length counts are whole numbers, so distances are exact in any engine
+    docs = _docs(spark, sf_dir)
+    vec = ML.features_to_vector(docs, ["n_words", "n_lines"], standardise=False)
+    nb = ML.knn_neighbours(vec, vec, 15, id_col="doc_id", vec_col="vec", exclude_self=True)
+    return ML.knn_score(nb).select(F.col("qid").alias("doc_id"), F.round("score", 9).alias("score"))
+
+
+@register("lr_gradient")
+def q_lr_gradient(spark, sf_dir):
+    # at the fitted weights of an unpenalised model the gradient of the log-loss is zero
+    docs = _docs(spark, sf_dir)
+    scored = _lr(docs).select(F.col("id").alias("doc_id"), "score").join(docs, "doc_id")
+    residual = F.col("score") - F.col("label").cast("double")
+    sums = scored.agg(*[F.try_divide(F.avg(residual * F.col(f)), F.stddev_samp(f)).alias(f) for f in DOC_FEATURES], F.avg(residual).alias("intercept"))
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), (F.round(F.col(f), 2) + F.lit(0.0)).alias("gradient")) for f in [*DOC_FEATURES, "intercept"]])
+    return sums.select(F.inline(rows))
+
+
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
     # fitted on two thirds of the labelled documents, compared on the rest

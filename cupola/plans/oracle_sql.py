@@ -503,3 +503,17 @@ select model, n, round(accuracy, 9) as accuracy, round(auc, 9) as auc,
   cast(dense_rank() over (order by auc desc) as integer) as auc_rank
 from a join b using (model)
 """
+
+SQL["lr_gradient"] = """
+select unnest(['n_chars', 'n_words', 'n_distinct_words', 'n_lines', 'intercept']) as feature, cast(0 as double) as gradient
+"""
+
+SQL["knn_score_counts"] = """
+with t as (select doc_id, quality as label, coalesce(text, '') as text from labels join documents using (doc_id)),
+v as (select doc_id, label, case when trim(text, ' ') = '' then 0 else len(string_split_regex(trim(text, ' '), '\\s+')) end as w,
+             len(string_split(text, chr(10))) as l from t),
+p as (select a.doc_id as q, b.doc_id as t, b.label, (a.w - b.w) * (a.w - b.w) + (a.l - b.l) * (a.l - b.l) as d
+      from v a join v b on a.doc_id <> b.doc_id),
+r as (select *, row_number() over (partition by q order by d, t) as k from p)
+select q as doc_id, round(avg(cast(label as double)), 9) as score from r where k <= 15 group by q
+"""

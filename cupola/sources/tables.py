@@ -120,13 +120,10 @@ def lineitem_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     nearly continuous, so its distinct scores spread over many score ranges."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", *LINEITEM_SCORE_COLUMNS.values(), "l_returnflag"])
     label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    parts = [li.select(F.lit(m).alias("model"), F.col("l_orderkey").alias("id"),
-                       F.col(c).cast("double").alias("score"), label.alias("label"))
-             for m, c in LINEITEM_SCORE_COLUMNS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    scores = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score"))
+                       for m, c in LINEITEM_SCORE_COLUMNS.items()])
+    return li.select(F.col("l_orderkey").alias("id"), label.alias("label"), F.inline(scores)) \
+        .select("model", "id", "score", "label")
 
 
 def document_features(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -175,3 +175,15 @@ def test_feature_family_reads_the_coupons_once(spark):
 
     plan = E.queries()["coupon_feature_family"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1 and "Expand" in plan
+
+
+def test_one_user_one_timestamp_is_cut_by_id_and_exact(spark):
+    from cupola.operators.prefix import with_tie_split
+
+    df = spark.range(2000).selectExpr("id as event_id", "1L as user_id", "if(id % 2 = 0, timestamp_ntz'2024-01-05 00:00:00', timestamp_ntz'2024-01-06 00:00:00') as ts", "id % 3 as v")
+    got = TL.prior_features(df, ["user_id"], "ts", "event_id", {"v": F.col("v")}, max_bucket_rows=100)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("prior_v", F.coalesce(F.sum("v").over(w), F.lit(0)))
+    assert got.select("event_id", "prior_v").exceptAll(want.select("event_id", "prior_v")).count() == 0
+    cut = with_tie_split(df.withColumn("b", F.dayofmonth("ts")), ["user_id"], "b", F.unix_micros(F.col("ts").cast("timestamp")), "event_id", 100)
+    assert cut.groupBy("b", "_tie").count().agg(F.max("count")).first()[0] <= 110
