@@ -1,7 +1,7 @@
 """Write PLANS.md: the physical shape of every registered query at one scale.
 
 usage: python scripts/plan_report.py [sf_dir] > PLANS.md
-For each query: shuffles, joins by strategy, Python stages, windows with a
+For each query (of the coupon library): shuffles, joins by strategy, Python stages, windows with a
 partial group limit, and what reaches the parquet scans (pushed filters,
 read schema). Built from the executed plan, without running the query.
 """
@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from cupola.plans.catalog import QUERIES  # noqa: E402
 from cupola.session import checkpoint_dir, get_spark  # noqa: E402
 
 NODES = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
@@ -33,7 +33,7 @@ def main() -> None:
           "intermediate tables written once by `materialise` and read back.\n")
     print("| query | shuffles | joins | aggregates | windows | python | scans: pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         c = {n: len(re.findall(rf"\b{re.escape(n)}\b", plan)) for n in NODES}
         shuffles = c["Exchange"]
@@ -43,7 +43,7 @@ def main() -> None:
         wins = f"{c['Window']}" + (f" ({c['WindowGroupLimit']} group-limit)" if c["WindowGroupLimit"] else "")
         py = ", ".join(f"{c[p]} {p}" for p in ["FlatMapCoGroupsInPandas", "ArrowEvalPython", "BatchEvalPython"]
                        if c[p]) or "-"
-        pushed = sorted({m for m in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if m})
+        pushed = sorted({m for m in re.findall(r"PushedFilters: \[([^\]\n]*)\]", plan) if m})
         print(f"| `{name}` | {shuffles} | {joins or '-'} | {aggs or '-'} | {wins} | {py} | "
               f"{'; '.join(pushed) or '-'} |")
 
