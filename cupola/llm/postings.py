@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 #: Postings that a task packs at once, and that an index bucket holds about.
-PACK, BUCKET = 1 << 20, 1 << 20
+PACK, BUCKET = 1 << 18, 1 << 19
 PACKED = "bucket int, tokens binary, names binary, tags binary"
 
 
