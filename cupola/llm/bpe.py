@@ -31,7 +31,7 @@ from .common import per_worker
 ROWS_OUT = 256
 #: Texts beyond this many characters are split into pre-tokens as a stream.
 STREAM_CHARS = 1 << 20
-MEMO_PIECES = 300_000
+MEMO_PIECES = 200_000
 MEMO_PAIRS = 1_000_000
 
 

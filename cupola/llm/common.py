@@ -25,6 +25,12 @@ def per_worker(key: tuple, build: Callable[[], object]) -> object:
     return store[key]
 
 
+def values(column, step: int = 512):
+    """The values of an Arrow column one by one, taken out of it a few at a time."""
+    for k in range(0, len(column), step):
+        yield from column.slice(k, step).to_pylist()
+
+
 def text_key(text: str | Column) -> list[Column]:
     """128 bits that stand for a text: two seeded 64-bit hashes (null reads as empty)."""
     t = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

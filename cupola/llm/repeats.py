@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cupola.session import materialise
 
-from .common import per_worker, squeeze
+from .common import per_worker, squeeze, values
 
 WINDOW, GRAM, DIGIT = 200, 24, 50
 #: Window starts that are looked at together.
@@ -174,7 +174,7 @@ def first_digits(src: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             row = batch.column(0).to_numpy(zero_copy_only=False)
             got, doc = [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
+            for i, t in enumerate(values(batch.column(1))):
                 data = t.encode("utf-8", "replace")
                 if len(data) >= WINDOW:
                     for block in runs(data, roll):

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows
+from .common import bounded_rows, values
 
 # Kinds in the order of the contract, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -220,7 +220,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, added = [], []
-            for t in batch.column(1).to_pylist():
+            for t in values(batch.column(1)):
                 known = base_spans(t)
                 base.append([{"kind": KINDS[k], "start": a, "end": b, "score": None} for a, b, k in known])
                 more = []
