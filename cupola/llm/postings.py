@@ -25,11 +25,12 @@ def pack(tokens: np.ndarray, names: np.ndarray, tags: np.ndarray, buckets: int):
     return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *[pa.array(c, pa.binary()) for c in cols]], ["bucket", "tokens", "names", "tags"])
 
 
-def lists(posted: DataFrame, buckets: int, heads: bool = False) -> DataFrame:
+def lists(posted: DataFrame, buckets: int, heads: bool = False, dealt=None) -> DataFrame:
     """Rows ``(token, first, first_tag, name, tag)`` of the lists with two names or more.
 
     ``first`` is the smallest name of the list; with ``heads``, the smallest one tagged 1, and
-    lists without a tag 1 are left out.
+    lists without a tag 1 are left out. ``dealt`` replaces the postings of a bucket by others
+    (arrays in, arrays out), so that lists are split before they are read.
     """
     import pyarrow as pa
 
@@ -42,6 +43,10 @@ def lists(posted: DataFrame, buckets: int, heads: bool = False) -> DataFrame:
             return
         tok, name, tag = (np.concatenate(p) for p in parts)
         parts.clear()
+        if dealt is not None:
+            tok, name, tag = dealt(tok, name, tag)
+        if not len(tok):
+            return
         order = np.lexsort((-tag, name, tok))
         tok, name, tag = tok[order], name[order], tag[order]
         new = np.ones(len(tok), bool)

@@ -31,7 +31,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lines.report(docs, lines.find(docs))
+    return lines.report(docs, lines.find(docs, per=lines.PER))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
