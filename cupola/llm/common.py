@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +64,8 @@ def bounded_rows(docs: DataFrame, id_col: str, text_col: str, extra: list[str],
     """At most ``max_rows`` rows and ``max_bytes`` of text, as a list on the driver.
 
     For fitting a classifier only. Rows are taken in the order of a hash of the id, so the
-    sample is spread over the table and repeats from run to run. The ids are chosen from
+    sample is spread over the table and repeats from run to run; a text that does not fit into
+    what is left of ``max_bytes`` is passed over. The ids are chosen from
     the id column alone; texts are read for the chosen rows only.
     """
     h = F.xxhash64(F.lit(11), F.col(id_col))
@@ -74,13 +77,21 @@ def bounded_rows(docs: DataFrame, id_col: str, text_col: str, extra: list[str],
         F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in chosen], docs.select(id_col).schema)), id_col, "left_semi"
     )
     sizes = wanted.select(F.col(id_col), size.alias("n"), h.alias("h")).orderBy("h", id_col, "n").limit(max_rows).collect()
-    left, upto = max_bytes, None
-    for r in sizes:
-        left -= r["n"]
-        if left < 0:
-            break
-        upto = r["h"]
-    if upto is None:
+    left, fits = max_bytes, []
+    for r in sizes:  # a text that does not fit is passed over, later ones may
+        if r["n"] <= left:
+            left -= r["n"]
+            fits.append((r[0], r["n"]))
+    if not fits:
         return []
-    got = wanted.where((h <= upto) & (size <= max_bytes)).select(id_col, text_col, *extra).limit(max_rows).collect()
+    # one row for each place in fits: rows equal in id and size stand for one another
+    nth = F.row_number().over(Window.partitionBy(id_col, "__n").orderBy(F.xxhash64(F.col(text_col)), text_col))
+    times = Counter(fits)
+    small = docs.sparkSession.createDataFrame([(*k, c) for k, c in times.items()], StructType([
+        StructField("__id", docs.schema[id_col].dataType), StructField("__size", IntegerType()), StructField("__times", LongType())]))
+    got = (
+        wanted.select(id_col, text_col, *extra, size.alias("__n")).withColumn("__nth", nth)
+        .join(F.broadcast(small), (F.col(id_col) == F.col("__id")) & (F.col("__n") == F.col("__size")) & (F.col("__nth") <= F.col("__times")))  # at most max_rows
+        .select(id_col, text_col, *extra).collect()
+    )
     return sorted(got, key=lambda r: (r[0], r[1] or ""))

@@ -49,3 +49,18 @@ def test_edges(spark, edge_docs, no_docs):
     kept = quality.keep(edge_docs, quality.Constant(0.5))
     assert kept.schema == edge_docs.schema and kept.count() == edge_docs.count()
     assert quality.keep(edge_docs, quality.Constant(0.4)).count() == 0
+
+
+def test_a_long_text_does_not_end_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    from cupola.llm.common import bounded_rows
+
+    rows = [(i, "a few words") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [r[0] for r in docs.orderBy(F.xxhash64(F.lit(11), "doc_id")).collect()]
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == order[0], F.repeat(F.lit("x"), 500)).otherwise(F.col("text")))
+    assert [tuple(r) for r in bounded_rows(docs, "doc_id", "text", [], 50, 400)] == sorted((i, "a few words") for i in order[1:])
+    assert len(bounded_rows(docs.unionByName(docs), "doc_id", "text", [], 50, 100)) == 9
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    assert isinstance(quality.fit(docs, labels, max_bytes=800), quality.Network)
