@@ -110,61 +110,70 @@ def knn_neighbours(
     vec_col: str = "vec",
     label_col: str = "label",
     exclude_self: bool = False,
-    max_train_rows: int = 200_000,
+    max_train_rows: int | None = None,
+    block_rows: int = 4096,
     block_cells: int = 4_000_000,
 ) -> DataFrame:
     """The exact ``k`` nearest training rows of every query row:
     ``qid, tid, tlabel, dist2, rank`` (ties broken by training id).
 
-    One path for every size, linear in the queries. The labelled training rows are bounded
-    by ``max_train_rows``: they are counted, and a larger table is an error (sample it
-    explicitly, nothing is dropped here). They are shipped once per executor; the queries are
-    dealt over the session's shuffle partitions and stream through in Arrow batches, each
-    task keeping ``k`` rows per query, so no pair and no query vector is shuffled again.
-    Distances are sums of squares in doubles, left to right over the components.
+    One path for every size of either side. Training rows and query rows are dealt by a hash
+    of the id to blocks of about ``block_rows``; every pair of blocks is one cell, which keeps
+    ``k`` rows per query, and the ``k`` best over the cells stay. Counts alone reach the driver.
+    A caller that wants an error for a large training side sets ``max_train_rows``; there is no
+    bound otherwise. Distances are sums of squares in doubles, left to right over the components.
     Rows whose vector is missing or holds a NULL or NaN take no part (``knn_left_out``).
     """
     t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel")).where(_sound(F.col("_v")))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv")).where(_sound(F.col("_qv")))
-    spark = q.sparkSession
-    schema = f"qid {q.schema['qid'].dataType.simpleString()}, tid {t.schema['tid'].dataType.simpleString()}, " \
-             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double, rank int"
-    n_train = t.limit(max_train_rows + 1).count()
-    if n_train > max_train_rows:
+    # query rows with one id are queries of their own
+    q = q.withColumn("_qn", F.row_number().over(Window.partitionBy("qid").orderBy("_qv")))
+    tasks = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_train = t.count()
+    if max_train_rows is not None and n_train > max_train_rows:
         raise ValueError(f"more than max_train_rows={max_train_rows} labelled training rows: sample them first")
-    if n_train == 0:
-        return spark.createDataFrame([], schema)
-    rows = sorted(t.collect(), key=lambda r: r["tid"])
-    held = spark.sparkContext.broadcast((
-        np.array([r["tid"] for r in rows]), np.array([r["tlabel"] for r in rows]),
-        np.array([r["_v"] for r in rows], dtype=np.float64)))
-
-    def nearest(batches):
-        tid, tlab, tv = held.value
+    n_t = max(1, math.ceil(n_train / block_rows))
+    n_q = max(1, math.ceil(q.count() / block_rows), math.ceil(tasks / n_t))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    offered = t.withColumn("_c", F.pmod(F.xxhash64("tid"), F.lit(n_t)).cast("int")).withColumn("_q", every(n_q)).repartition(tasks, "_c", "_q")
+    asking = q.withColumn("_q", F.pmod(F.xxhash64(F.lit(3), "qid"), F.lit(n_q)).cast("int")).withColumn("_c", every(n_t)).repartition(tasks, "_c", "_q")
+    schema = f"qid {q.schema['qid'].dataType.simpleString()}, _qn int, tid {t.schema['tid'].dataType.simpleString()}, " \
+             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
+
+    def nearest(have, want):
+        if not len(have) or not len(want):
+            return pd.DataFrame({"qid": [], "_qn": [], "tid": [], "tlabel": [], "dist2": []})
+        have = have.sort_values("tid", kind="stable")
+        tid, tlab = have["tid"].to_numpy(), have["tlabel"].to_numpy()
+        tv = np.stack(have["_v"].to_numpy()).astype(np.float64)
         nt, dim = tv.shape
         step = max(1, block_cells // nt)
-        for pdf in batches:
-            for s0 in range(0, len(pdf), step):
-                qid = pdf["qid"].to_numpy()[s0:s0 + step]
-                qv = np.stack(pdf["_qv"].to_numpy()[s0:s0 + step]).astype(np.float64)
-                acc = np.zeros((len(qv), nt))
-                for j in range(dim):
-                    d = qv[:, j, None] - tv[None, :, j]
-                    acc += d * d
-                if exclude_self:
-                    acc[qid[:, None] == tid[None, :]] = np.inf
-                kk = min(k, nt)
-                kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
-                r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
-                o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (rows are id-sorted)
-                r, c = r[o], c[o]
-                rank = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-                keep = rank < kk
-                r, c, rank = r[keep], c[keep], rank[keep]
-                yield pd.DataFrame({"qid": qid[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c], "rank": (rank + 1).astype("int32")})
-
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return q.repartition(tasks, "qid").mapInPandas(nearest, schema)
+        out = []
+        for s0 in range(0, len(want), step):
+            qid, qn = want["qid"].to_numpy()[s0:s0 + step], want["_qn"].to_numpy()[s0:s0 + step]
+            qv = np.stack(want["_qv"].to_numpy()[s0:s0 + step]).astype(np.float64)
+            acc = np.zeros((len(qv), nt))
+            for j in range(dim):
+                d = qv[:, j, None] - tv[None, :, j]
+                acc += d * d
+            if exclude_self:
+                acc[qid[:, None] == tid[None, :]] = np.inf
+            kk = min(k, nt)
+            kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
+            r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
+            o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (rows are id-sorted)
+            r, c = r[o], c[o]
+            keep = np.arange(len(r)) - np.searchsorted(r, r, side="left") < kk
+            r, c = r[keep], c[keep]
+            out.append(pd.DataFrame({"qid": qid[r], "_qn": qn[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c]}))
+        return pd.concat(out)
+
+    best = offered.groupBy("_c", "_q").cogroup(asking.groupBy("_c", "_q")).applyInPandas(nearest, schema)
+    rank = F.row_number().over(Window.partitionBy("qid", "_qn").orderBy("dist2", "tid"))
+    return best.repartition(tasks, "qid", "_qn").withColumn("rank", rank).where(F.col("rank") <= k).select("qid", "tid", "tlabel", "dist2", "rank")
 
 
 def knn_vote(neighbours: DataFrame) -> DataFrame:

@@ -61,6 +61,14 @@ def test_knn_separate_query_set(spark):
     assert got == _brute_knn([r.id for r in t], [r.vec for r in t], [r.id for r in q], [r.vec for r in q], 3, False)
 
 
+def test_knn_has_no_bound_on_the_training_side(spark):
+    train = spark.range(200_001).select("id", F.array(F.col("id").cast("double")).alias("vec"), (F.col("id") % 2).alias("label"))
+    query = spark.createDataFrame([(-1, [5.2]), (-2, [200_000.0]), (-2, [200_000.0])], "id long, vec array<double>")
+    got = [tuple(r) for r in ML.knn_neighbours(train, query, 3).select("qid", "rank", "tid").collect()]
+    last = [(-2, 1, 200_000), (-2, 2, 199_999), (-2, 3, 199_998)]
+    assert sorted(got) == sorted([(-1, 1, 5), (-1, 2, 6), (-1, 3, 4), *last, *last])
+
+
 def test_knn_vote_ties_pick_smallest_label(spark):
     nb = spark.createDataFrame([(1, 10, 2), (1, 11, 1), (2, 12, 3), (2, 13, 3), (2, 14, 0)],
                                "qid long, tid long, tlabel int")
