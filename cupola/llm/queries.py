@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, jaccard, lines, quality, repeats, secrets, shards, topk
+from . import bpe, decontaminate, html_text, jaccard, lines, pieces, quality, repeats, secrets, shards, topk
 from .common import table
 
 
@@ -55,6 +55,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), path, decoded=True))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -66,4 +73,5 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_shards": op9_shards,
     "op10_repeats": op10_repeats,
+    "op13_pieces": op13_pieces,
 }
