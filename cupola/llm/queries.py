@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, jaccard, lines, pieces, quality, repeats, secrets, shards, topk
+from . import bpe, decontaminate, html_text, jaccard, lines, pieces, quality, repeats, secrets, shards, topk, whitening
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,5 +77,6 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_shards": op9_shards,
     "op10_repeats": op10_repeats,
+    "op12_whitening": op12_whitening,
     "op13_pieces": op13_pieces,
 }
