@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, jaccard, lines, pieces, quality, repeats, secrets, shards, topk, whitening
+from . import bpe, decontaminate, html_text, jaccard, lines, merkle, pieces, quality, repeats, secrets, shards, topk, whitening
 from .common import table
 
 
@@ -55,6 +55,12 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), tampered={"n_chars": more}))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +83,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_shards": op9_shards,
     "op10_repeats": op10_repeats,
+    "op11_merkle": op11_merkle,
     "op12_whitening": op12_whitening,
     "op13_pieces": op13_pieces,
 }
