@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -92,16 +91,76 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
 # ---------------------------------------------------------------------------------------
 
 def _sound(v: Column) -> Column:
-    """The vector is there and every component is a number."""
-    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")))
+    """The vector is there and every component is a finite number."""
+    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
 
 
 def knn_left_out(df: DataFrame, vec_col: str = "vec") -> int:
     """Rows that ``knn_neighbours`` leaves out on either side: the vector is NULL or holds a
-    NULL or NaN."""
+    NULL, NaN or infinite component."""
     return df.where(~_sound(F.col(vec_col))).count()
 
 
+def _classes(rows: DataFrame, vec: str) -> DataFrame:
+    """``rows`` with ``_h1, _h2``, 128 bits that name the vector."""
+    return rows.withColumns({"_h1": F.xxhash64(vec), "_h2": F.xxhash64(F.lit(7), vec)})
+
+
+def _approximations(entries: DataFrame, low: np.ndarray, step: np.ndarray, block: str, n_blocks: int, block_rows: int) -> DataFrame:
+    """One row per block of ``entries(e, v)``: ids, one byte per component, and the distance of
+    each vector from the middle of its cell."""
+    import pyarrow as pa
+
+    schema = pa.schema([(block, pa.int32()), (f"{block}_ids", pa.binary()), (f"{block}_codes", pa.binary()), (f"{block}_off", pa.binary())])
+
+    def pack(table):
+        dim, n = len(low), table.num_rows
+        ids = table.column("e").to_numpy()
+        v = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        if v.shape[1] != dim:
+            raise ValueError("vectors of different lengths")
+        codes = np.clip(np.floor((v - low) / step), 0, 255).astype(np.uint8)
+        off = np.sqrt(((v - (low + (codes + 0.5) * step)) ** 2).sum(1))
+        return pa.table([[int(table.column(block)[0].as_py())], [ids.tobytes()], [codes.tobytes()], [off.tobytes()]], schema=schema)
+
+    kind = f"{block} int, {block}_ids binary, {block}_codes binary, {block}_off binary"
+    dealt = entries.withColumn(block, F.pmod(F.xxhash64("e"), F.lit(n_blocks)).cast("int"))
+    return dealt.select(block, "e", F.transform("v", lambda x: x.cast("double")).alias("v")).groupBy(block).applyInArrow(pack, kind)
+
+
+def _survivors(cells: DataFrame, step: np.ndarray, k: int, block_cells: int) -> DataFrame:
+    """Pairs ``(q, t, low, high)`` of a cell's query and training vectors with bounds of their
+    distance, but those that the cell's ``k`` least upper bounds rule out."""
+    import pyarrow as pa
+
+    dim = len(step)
+
+    def side(row, block):
+        ids, off = np.frombuffer(row[f"{block}_ids"], np.int64), np.frombuffer(row[f"{block}_off"])
+        x = (np.frombuffer(row[f"{block}_codes"], np.uint8).reshape(len(ids), dim) - 127.5) * step
+        return ids, off, x, (x * x).sum(1)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                tid, t_off, t, tt = side(row, "c")
+                qid, q_off, q, qq = side(row, "g")
+                kk = min(k, len(tid))
+                for s in range(0, len(qid), max(1, block_cells // len(tid))):
+                    z = slice(s, s + max(1, block_cells // len(tid)))
+                    both = qq[z, None] + tt[None, :]
+                    mid = both - 2.0 * (q[z] @ t.T)
+                    slack, off = 1e-11 * both, q_off[z, None] + t_off[None, :]
+                    high = (np.sqrt(np.maximum(mid, 0.0) + slack) + off) * (1 + 1e-9)
+                    low = np.maximum(np.sqrt(np.maximum(mid - slack, 0.0)) - off, 0.0) * (1 - 1e-9)
+                    r, c = np.nonzero(~(low > np.partition(high, kk - 1, axis=1)[:, kk - 1, None]))
+                    cols = [qid[z][r], tid[c], low[r, c], high[r, c]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["q", "t", "low", "high"])
+
+    return cells.mapInArrow(run, "q long, t long, low double, high double")
+
+
 def knn_neighbours(
     train: DataFrame,
     query: DataFrame,
@@ -115,65 +174,71 @@ def knn_neighbours(
     block_cells: int = 4_000_000,
 ) -> DataFrame:
     """The exact ``k`` nearest training rows of every query row:
-    ``qid, tid, tlabel, dist2, rank`` (ties broken by training id).
-
-    One path for every size of either side. Training rows and query rows are dealt by a hash
-    of the id to blocks of about ``block_rows``; every pair of blocks is one cell, which keeps
-    ``k`` rows per query, and the ``k`` best over the cells stay. Counts alone reach the driver.
-    A caller that wants an error for a large training side sets ``max_train_rows``; there is no
-    bound otherwise. Distances are sums of squares in doubles, left to right over the components.
-    Rows whose vector is missing or holds a NULL or NaN take no part (``knn_left_out``).
+    ``qid, tid, tlabel, dist2, rank, fetched`` (ties broken by training id).
+
+    A vector-approximation file: every vector is one byte per component (its place in a grid of
+    256 steps per dimension over both sides) and its distance from the middle of its grid cell.
+    The distance of two middles, less and plus the two offsets, bounds the distance of two
+    vectors. Blocks of about ``block_rows`` approximations meet pairwise; a pair of vectors
+    survives its cell, and then its query, unless its lower bound is above the k-th least upper
+    bound. Full vectors are joined to the survivors only (``fetched`` is how many a query had),
+    and the exact distances decide: sums of squares in doubles, left to right.
+
+    Each block is copied once per block of the other side, whatever the session's settings.
+    Equal vectors are one entry with the ``k + 1`` smallest ids, which are all that a result can
+    hold; so many copies of a vector do not multiply. A caller that wants an error for a large
+    training side sets ``max_train_rows``; there is no bound otherwise. Rows whose vector is
+    missing or holds a NULL, NaN or infinite component take no part (``knn_left_out``).
     """
-    t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("_v"), F.col(label_col).alias("tlabel")).where(_sound(F.col("_v")))
-    q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("_qv")).where(_sound(F.col("_qv")))
-    # query rows with one id are queries of their own
-    q = q.withColumn("_qn", F.row_number().over(Window.partitionBy("qid").orderBy("_qv")))
-    tasks = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_train = t.count()
-    if max_train_rows is not None and n_train > max_train_rows:
+    keep = k + 1 if exclude_self else k
+    t = train.select(F.col(id_col).alias("tid"), F.col(vec_col).alias("v"), F.col(label_col).alias("tlabel")).where(_sound(F.col("v")))
+    if max_train_rows is not None and t.count() > max_train_rows:
         raise ValueError(f"more than max_train_rows={max_train_rows} labelled training rows: sample them first")
-    n_t = max(1, math.ceil(n_train / block_rows))
-    n_q = max(1, math.ceil(q.count() / block_rows), math.ceil(tasks / n_t))
+    nth = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("tid", "tlabel"))
+    entries = materialise(
+        _classes(t, "v").withColumn("_n", nth).where(F.col("_n") <= keep)  # limited before the shuffle
+        .groupBy("_h1", "_h2").agg(F.first("v").alias("v"), F.collect_list(F.struct("tid", "tlabel")).alias("rows"))
+        .select(F.monotonically_increasing_id().alias("e"), "v", "rows"))
+    q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("v")).where(_sound(F.col("v")))
+    q = materialise(_classes(q, "v"))
+    asked = materialise(q.groupBy("_h1", "_h2").agg(F.first("v").alias("v")).withColumn("e", F.monotonically_increasing_id()))
+
+    sides = entries.select("v", F.lit(0).alias("s")).unionByName(asked.select("v", F.lit(1).alias("s")))
+    x = F.col("x").cast("double")
+    ends = sides.select("s", F.posexplode("v").alias("j", "x")).groupBy("j").agg(F.min(x), F.max(x), F.count_if(F.col("s") == 0), F.count_if(F.col("s") == 1)).collect()
+    ends = sorted(tuple(r) for r in ends)  # a row per dimension
+    low = np.array([r[1] for r in ends])
+    step = np.array([(r[2] / 256 - r[1] / 256) or 1.0 for r in ends])
+    n_t, n_q = (max(1, math.ceil(ends[0][i] / block_rows)) if ends else 1 for i in (3, 4))
 
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    offered = t.withColumn("_c", F.pmod(F.xxhash64("tid"), F.lit(n_t)).cast("int")).withColumn("_q", every(n_q)).repartition(tasks, "_c", "_q")
-    asking = q.withColumn("_q", F.pmod(F.xxhash64(F.lit(3), "qid"), F.lit(n_q)).cast("int")).withColumn("_c", every(n_t)).repartition(tasks, "_c", "_q")
-    schema = f"qid {q.schema['qid'].dataType.simpleString()}, _qn int, tid {t.schema['tid'].dataType.simpleString()}, " \
-             f"tlabel {t.schema['tlabel'].dataType.simpleString()}, dist2 double"
-
-    def nearest(have, want):
-        if not len(have) or not len(want):
-            return pd.DataFrame({"qid": [], "_qn": [], "tid": [], "tlabel": [], "dist2": []})
-        have = have.sort_values("tid", kind="stable")
-        tid, tlab = have["tid"].to_numpy(), have["tlabel"].to_numpy()
-        tv = np.stack(have["_v"].to_numpy()).astype(np.float64)
-        nt, dim = tv.shape
-        step = max(1, block_cells // nt)
-        out = []
-        for s0 in range(0, len(want), step):
-            qid, qn = want["qid"].to_numpy()[s0:s0 + step], want["_qn"].to_numpy()[s0:s0 + step]
-            qv = np.stack(want["_qv"].to_numpy()[s0:s0 + step]).astype(np.float64)
-            acc = np.zeros((len(qv), nt))
-            for j in range(dim):
-                d = qv[:, j, None] - tv[None, :, j]
-                acc += d * d
-            if exclude_self:
-                acc[qid[:, None] == tid[None, :]] = np.inf
-            kk = min(k, nt)
-            kth = np.partition(acc, kk - 1, axis=1)[:, kk - 1]
-            r, c = np.nonzero((acc <= kth[:, None]) & np.isfinite(acc))
-            o = np.lexsort((c, acc[r, c], r))  # by query, distance, training id (rows are id-sorted)
-            r, c = r[o], c[o]
-            keep = np.arange(len(r)) - np.searchsorted(r, r, side="left") < kk
-            r, c = r[keep], c[keep]
-            out.append(pd.DataFrame({"qid": qid[r], "_qn": qn[r], "tid": tid[c], "tlabel": tlab[c], "dist2": acc[r, c]}))
-        return pd.concat(out)
-
-    best = offered.groupBy("_c", "_q").cogroup(asking.groupBy("_c", "_q")).applyInPandas(nearest, schema)
+    offered = materialise(_approximations(entries, low, step, "c", n_t, block_rows))
+    asking = materialise(_approximations(asked, low, step, "g", n_q, block_rows))
+    tasks = n_t * n_q if n_t * n_q <= 4096 else max(4096, int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = offered.withColumn("g", every(n_q)).repartition(tasks, "c", "g").join(asking.withColumn("c", every(n_t)).repartition(tasks, "c", "g"), ["c", "g"])
+    pairs = materialise(_survivors(cells, step, keep, block_cells))
+    by_query = Window.partitionBy("q")
+    bound = F.max(F.when(F.col("_r") <= keep, F.col("high"))).over(by_query)
+    left = (pairs.withColumn("_r", F.row_number().over(by_query.orderBy("high"))).withColumn("_bound", bound)
+            .where(~(F.col("low") > F.col("_bound"))).select("q", "t", F.count(F.lit(1)).over(by_query).alias("fetched")))
+
+    apart = F.zip_with("qv", "v", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
+    exact = (left.join(asked.select(F.col("e").alias("q"), F.col("v").alias("qv"), "_h1", "_h2"), "q")
+             .join(entries.select(F.col("e").alias("t"), "v", "rows"), "t")
+             .select("_h1", "_h2", "fetched", "rows", F.aggregate(apart, F.lit(0.0), lambda acc, x: acc + x).alias("dist2"))
+             .select("_h1", "_h2", "fetched", "dist2", F.inline("rows")))
+    first = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("dist2", "tid"))
+    best = exact.withColumn("_r", first).where(F.col("_r") <= keep).drop("_r")
+    # query rows with one id are queries of their own
+    queries = q.withColumn("_qn", F.row_number().over(Window.partitionBy("qid").orderBy("_h1", "_h2"))).select("qid", "_qn", "_h1", "_h2")
+    found = queries.join(best, ["_h1", "_h2"])
+    if exclude_self:
+        found = found.where(~F.col("qid").eqNullSafe(F.col("tid")))
     rank = F.row_number().over(Window.partitionBy("qid", "_qn").orderBy("dist2", "tid"))
-    return best.repartition(tasks, "qid", "_qn").withColumn("rank", rank).where(F.col("rank") <= k).select("qid", "tid", "tlabel", "dist2", "rank")
+    spread = found.repartition(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), "qid", "_qn")
+    return spread.withColumn("rank", rank).where(F.col("rank") <= k).select("qid", "tid", "tlabel", "dist2", "rank", "fetched")
 
 
 def knn_vote(neighbours: DataFrame) -> DataFrame:

@@ -69,6 +69,35 @@ def test_knn_has_no_bound_on_the_training_side(spark):
     assert sorted(got) == sorted([(-1, 1, 5), (-1, 2, 6), (-1, 3, 4), *last, *last])
 
 
+def test_knn_fetches_few_vectors_whatever_the_settings(spark):
+    """Approximations rule most vectors out; a third of all rows are one vector."""
+    rnd = random.Random(8)
+    rows = [(i, [0.25] * 16 if i % 3 == 0 else [rnd.gauss(0, 1) for _ in range(16)], i % 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, vec array<float>, label int")
+    vecs = {r.id: r.vec for r in df.collect()}
+    want = _brute_knn(list(vecs), list(vecs.values()), list(vecs)[::30], list(vecs.values())[::30], 4, True)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, block_rows in ((before, 4096), ("3", 100)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = ML.knn_neighbours(df, df, 4, exclude_self=True, block_rows=block_rows).collect()
+            assert len(got) == 900 * 4 and max(r.fetched for r in got) < 150
+            ranked = {}
+            for r in sorted(got, key=lambda r: r["rank"]):
+                ranked.setdefault(r.qid, []).append(r.tid)
+            assert {i: ranked[i] for i in want} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_knn_leaves_infinite_vectors_out_and_counts_them(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0], 0), (2, [float("inf"), 1.0], 0), (3, [1e200, -1e200], 1), (4, [0.0, float("-inf")], 1)],
+                               "id long, vec array<double>, label int")
+    assert ML.knn_left_out(df) == 2
+    got = ML.knn_neighbours(df, df, 2, exclude_self=True).collect()
+    assert sorted((r.qid, r.tid) for r in got) == [(1, 3), (3, 1)]
+
+
 def test_knn_vote_ties_pick_smallest_label(spark):
     nb = spark.createDataFrame([(1, 10, 2), (1, 11, 1), (2, 12, 3), (2, 13, 3), (2, 14, 0)],
                                "qid long, tid long, tlabel int")
