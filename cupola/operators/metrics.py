@@ -10,7 +10,9 @@ only split the work.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -154,3 +156,65 @@ def compare_models(scores: DataFrame, group_cols: Sequence[str] = ("model",), sc
     # one row per model here, so the unpartitioned ranking window is small
     rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last("auc")))
     return out.withColumn("auc_rank", rank).withColumn("best", F.col("auc_rank") == 1)
+
+
+def compare_auc(scores: DataFrame, model_col: str = "model", id_col: str = "id", score_col: str = "score",
+                label_col: str = "label", n_buckets: int | None = None) -> DataFrame:
+    """Whether two models' AUCs differ on the same rows (DeLong's test): one row per pair of
+    models ``a <= b`` with ``n_pos, n_neg, auc_a, auc_b, covariance, difference, std_error, z, p_value``.
+
+    The placement of a positive is the share of negatives scored below it (equal ones count
+    half), that of a negative the share of positives above it. The covariance of two AUCs is the
+    sample covariance of their positives' placements over ``n_pos`` plus that of their negatives'
+    over ``n_neg``. Placements are mid-ranks, from the running counts that the ROC uses, joined to
+    the rows by (model, score); in units of half a row they are whole numbers, their products are
+    summed as decimals, and one row per label reaches the driver, with a number per pair of
+    models. Only ids that every model scores once, with one label, are compared. With fewer than two rows of a
+    label the covariance is NULL, and with no spread of the difference ``z`` is.
+    """
+    usable = scores.where(_usable(score_col, label_col)).select(
+        F.col(model_col).alias("model"), F.col(id_col).alias("id"), F.col(score_col).cast("double").alias("score"), F.col(label_col).cast("int").alias("label"))
+    usable = materialise(usable)
+    models = sorted(r[0] for r in usable.select("model").distinct().collect())  # one row per model
+    spark, p = scores.sparkSession, len(models)
+    kind = usable.schema["model"].dataType.simpleString()
+    schema = (f"model_a {kind}, model_b {kind}, n_pos long, n_neg long, auc_a double, auc_b double, covariance double, "
+              "difference double, std_error double, z double, p_value double")
+    if not p:
+        return spark.createDataFrame([], schema)
+    whole = usable.groupBy("id").agg(
+        F.min("label").alias("label"), F.max("label").alias("_l"), F.count(F.lit(1)).alias("_n"),
+        F.array(*[F.max(F.when(F.col("model") == m, F.col("score"))) for m in models]).alias("s"))
+    whole = materialise(whole.where((F.col("_n") == p) & (F.col("label") == F.col("_l")) & ~F.exists("s", lambda x: x.isNull())).select("id", "label", "s"))
+    long = whole.select("id", "label", F.posexplode("s").alias("model", "score"))
+    ranked = _ranked(long, ["model"], "score", "label", n_buckets)
+    below = F.lit(2) * (F.col("n_neg") - F.col("fp")) + F.col("neg")  # 2 * n_neg placements of a positive
+    above = F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")
+    ranked = ranked.select("model", "score", below.cast("decimal(18,0)").alias("_below"), above.cast("decimal(18,0)").alias("_above"))
+    placed = long.join(ranked, ["model", "score"]).select("id", "label", "model", F.when(F.col("label") == 1, F.col("_below")).otherwise(F.col("_above")).alias("u"))
+    per_row = placed.groupBy("id", "label").agg(*[F.max(F.when(F.col("model") == j, F.col("u"))).alias(f"u{j}") for j in range(p)])
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    sums = per_row.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"u{j}").cast("decimal(38,0)")).alias(f"s{j}") for j in range(p)],
+        *[F.sum((F.col(f"u{i}") * F.col(f"u{j}")).cast("decimal(38,0)")).alias(f"c{i}_{j}") for i, j in pairs]).collect()
+    side = {r["label"]: r for r in sums}
+    n = {y: int(side[y]["n"]) if y in side else 0 for y in (0, 1)}
+
+    def spread(y: int, i: int, j: int) -> Fraction:  # covariance of placements of label y, over its rows
+        r, m = side[y], n[y]
+        return Fraction(m * int(r[f"c{i}_{j}"]) - int(r[f"s{i}"]) * int(r[f"s{j}"]), m * (m - 1) * 4 * n[1 - y] ** 2 * m)
+
+    def cov(i: int, j: int) -> Fraction | None:
+        i, j = min(i, j), max(i, j)
+        return spread(1, i, j) + spread(0, i, j) if min(n.values()) > 1 else None
+
+    auc_of = [float(Fraction(int(side[1][f"s{j}"]), 2 * n[0] * n[1])) if n[0] * n[1] else None for j in range(p)]
+    out = []
+    for i, j in pairs:
+        v = cov(i, i) + cov(j, j) - 2 * cov(i, j) if cov(i, j) is not None else None
+        diff = None if auc_of[i] is None else auc_of[i] - auc_of[j]
+        se = None if v is None else math.sqrt(v)
+        z = diff / se if se else None
+        out.append((models[i], models[j], n[1], n[0], auc_of[i], auc_of[j], None if v is None else float(cov(i, j)), diff, se, z,
+                    None if z is None else math.erfc(abs(z) / math.sqrt(2))))
+    return spark.createDataFrame(out, schema)

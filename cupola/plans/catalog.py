@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cupola.operators import quality as Q
+from cupola.operators import matching as MT
 from cupola.operators import metrics as M
 from cupola.operators import models as ML
 from cupola.operators import select as S
@@ -202,6 +203,13 @@ def q_redemption_label(spark, sf_dir):
     return out.select("event_id", "user_id", "ts", "label")
 
 
+@register("redemption_match")
+def q_redemption_match(spark, sf_dir):
+    clicks, purchases = _clicks_and_purchases(spark, sf_dir)
+    out = MT.redemption_match(clicks, purchases, ["user_id"], "ts", horizon=86400, id_col="event_id")
+    return out.select("event_id", "user_id", "ts", "redeem_id", "redeem_ts", "label")
+
+
 @register("entity_features")
 def q_entity_features(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
@@ -445,6 +453,18 @@ def q_model_compare_fixed(spark, sf_dir):
     return got.select("model", "n", F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"), "auc_rank")
 
 
+@register("auc_compare")
+def q_auc_compare(spark, sf_dir):
+    # an amount, an hour with heavy ties and a user number as scores of one set of events
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    scores = {"value": F.col("value"), "hour": F.hour("ts").cast("double"), "user": F.col("user_id").cast("double")}
+    rows = ev.select(F.col("event_id").alias("id"), (F.col("event_type") == "purchase").cast("int").alias("label"),
+                     F.inline(F.array(*[F.struct(F.lit(m).alias("model"), s.alias("score")) for m, s in scores.items()])))
+    got = M.compare_auc(rows)
+    return got.select("model_a", "model_b", "n_pos", "n_neg", F.round("auc_a", 9).alias("auc_a"), F.round("auc_b", 9).alias("auc_b"),
+                      F.round("covariance", 14).alias("covariance"), F.round("z", 6).alias("z"))
+
+
 # --- end to end (E4) --------------------------------------------------------------------------
 
 @register("redemption_forecast")
@@ -482,6 +502,16 @@ FAMILY_KINDS = {"customer": ["o_custkey"], "merchant": ["l_suppkey"], "part": ["
                 "customer_merchant": ["o_custkey", "l_suppkey"]}
 
 
+@register("coupon_sliding_features")
+def q_coupon_sliding_features(spark, sf_dir):
+    # what the customer did in the 7 and 30 days before each coupon's day
+    coupons = _coupons_with_parties(spark, sf_dir)
+    recent = TL.sliding_features(coupons, ["o_custkey"], "l_shipdate", (7, 30), {"n_label": F.col("label"), "min_spend_units": F.round(F.col("min_spend") * 100)},
+                                 ["l_suppkey"])
+    issued = coupons.select("l_orderkey", "l_linenumber", "o_custkey", F.col("l_shipdate").cast("date").alias("day"))
+    return issued.join(recent, ["o_custkey", "day"])
+
+
 @register("coupon_feature_family")
 def q_coupon_feature_family(spark, sf_dir):
     # every kind from one scan of the coupons: one row per (kind, entity)

@@ -517,3 +517,66 @@ p as (select a.doc_id as q, b.doc_id as t, b.label, (a.w - b.w) * (a.w - b.w) +
 r as (select *, row_number() over (partition by q order by d, t) as k from p)
 select q as doc_id, round(avg(cast(label as double)), 9) as score from r where k <= 15 group by q
 """
+
+SQL["redemption_match"] = """
+with recursive i as (
+  select event_id, user_id, ts, row_number() over (partition by user_id order by ts, event_id) as n
+  from events where event_type = 'click' and user_id is not null and ts is not null),
+r as (
+  select p.event_id, p.user_id, p.ts, row_number() over (partition by p.user_id order by p.ts, p.event_id) as j,
+         (select count(*) from i where i.user_id = p.user_id and i.ts <= p.ts) as hi,
+         (select count(*) from i where i.user_id = p.user_id and i.ts < p.ts - interval 1 day) as gone
+  from events p where p.event_type = 'purchase' and p.user_id is not null and p.ts is not null),
+s as (
+  select user_id, cast(0 as bigint) as j, cast(0 as bigint) as x, cast(null as bigint) as n, cast(null as bigint) as redeem_id, cast(null as timestamp) as redeem_ts
+  from r group by user_id
+  union all
+  select s.user_id, s.j + 1, greatest(s.x, r.gone) + case when greatest(s.x, r.gone) < r.hi then 1 else 0 end,
+         case when greatest(s.x, r.gone) < r.hi then greatest(s.x, r.gone) + 1 end, r.event_id, r.ts
+  from s join r on r.user_id = s.user_id and r.j = s.j + 1)
+select c.event_id, c.user_id, c.ts, s.redeem_id, s.redeem_ts, case when s.n is null then 0 else 1 end as label
+from events c left join i on i.event_id = c.event_id left join s on s.user_id = i.user_id and s.n = i.n
+where c.event_type = 'click'
+"""
+
+_EVENT_SCORES = " union all ".join(
+    f"select '{m}' as model, event_id as id, cast({s} as double) as score, cast(event_type = 'purchase' as integer) as label from events"
+    for m, s in (("value", "value"), ("hour", "hour(ts)"), ("user", "user_id")))
+SQL["auc_compare"] = f"""
+with f as ({_EVENT_SCORES}),
+u as (
+  select model, id, label,
+         case when label = 1 then 2 * (rank() over (partition by model order by score) - 1 - coalesce(sum(label) over below, 0)) + sum(1 - label) over same
+              else 2 * (sum(label) over (partition by model) - sum(label) over upto) + sum(label) over same end as u
+  from f
+  window below as (partition by model order by score range between unbounded preceding and current row exclude group),
+         upto as (partition by model order by score range between unbounded preceding and current row),
+         same as (partition by model, score)),
+n as (select sum(label) as n_pos, sum(1 - label) as n_neg from f where model = 'hour'),
+c as (
+  select a.model as model_a, b.model as model_b, a.label, count(*) as m,
+         sum(cast(a.u as hugeint)) as sa, sum(cast(b.u as hugeint)) as sb, sum(cast(a.u as hugeint) * cast(b.u as hugeint)) as sab
+  from u a join u b on a.id = b.id and a.model <= b.model group by a.model, b.model, a.label),
+v as (
+  select model_a, model_b, sum(case when label = 1 then cast(sa as double) / (2.0 * n_pos * n_neg) end) as auc_a,
+         sum(case when label = 1 then cast(sb as double) / (2.0 * n_pos * n_neg) end) as auc_b,
+         sum(cast(m * sab - sa * sb as double) / (cast(m as double) * (m - 1) * m * 4.0 * (case when label = 1 then n_neg * n_neg else n_pos * n_pos end))) as cov
+  from c, n group by model_a, model_b)
+select v.model_a, v.model_b, cast(n_pos as bigint) as n_pos, cast(n_neg as bigint) as n_neg, round(v.auc_a, 9) as auc_a, round(v.auc_b, 9) as auc_b,
+       round(v.cov, 14) as covariance,
+       case when v.model_a <> v.model_b then round((v.auc_a - v.auc_b) / sqrt(x.cov + y.cov - 2 * v.cov), 6) end as z
+from v join v x on x.model_a = v.model_a and x.model_b = v.model_a join v y on y.model_a = v.model_b and y.model_b = v.model_b, n
+"""
+
+
+def _sliding(w: int) -> str:
+    frame = f"over (partition by o_custkey order by day range between interval {w} days preceding and interval 1 day preceding)"
+    return f"""count(*) {frame} as n_{w}d, cast(coalesce(sum(label) {frame}, 0) as bigint) as n_label_{w}d,
+  cast(coalesce(sum(cast(round(min_spend * 100) as bigint)) {frame}, 0) as bigint) as min_spend_units_{w}d,
+  count(distinct l_suppkey) {frame} as n_distinct_l_suppkey_{w}d"""
+
+
+SQL["coupon_sliding_features"] = f"""
+with c as (select *, cast(l_shipdate as date) as day from ({_PARTIES}))
+select l_orderkey, l_linenumber, o_custkey, day, {_sliding(7)}, {_sliding(30)} from c
+"""

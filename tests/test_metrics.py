@@ -1,7 +1,9 @@
 """ROC / AUC on the edge cases of FIXTURES.md F7, against MLlib and brute force."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -96,3 +98,52 @@ def test_average_precision_matches_brute_force(spark, n_buckets):
     rows = [("m", i, float(rnd.randint(0, 30)) / 3.0, rnd.randint(0, 1)) for i in range(600)]
     got = M.average_precision(_scores(spark, rows).repartition(4), n_buckets=n_buckets).first().average_precision
     assert got == pytest.approx(_brute_ap([(s, y) for _, _, s, y in rows]), abs=1e-12)
+
+
+def _delong(rows, models):
+    """AUCs and their covariance by comparing every positive with every negative."""
+    ids = sorted({i for _, i, _, _ in rows if sum(r[1] == i for r in rows) == len(models)})
+    by = {(m, i): (s, y) for m, i, s, y in rows}
+    ids = [i for i in ids if all((m, i) in by and by[m, i][0] is not None and by[m, i][1] is not None and not math.isnan(by[m, i][0]) for m in models)]
+    pos, neg = [[i for i in ids if by[models[0], i][1] == y] for y in (1, 0)]
+    v10, v01 = {}, {}
+    for m in models:
+        wins = np.array([[(by[m, i][0] > by[m, j][0]) + 0.5 * (by[m, i][0] == by[m, j][0]) for j in neg] for i in pos])
+        v10[m], v01[m] = wins.mean(1), wins.mean(0)
+    auc = {m: v10[m].mean() for m in models}
+    cov = {(a, b): np.cov(v10[a], v10[b])[0, 1] / len(pos) + np.cov(v01[a], v01[b])[0, 1] / len(neg) for a in models for b in models}
+    return len(pos), len(neg), auc, cov
+
+
+def test_compare_auc_matches_every_pair_compared(spark):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(260):
+        y = int(rnd.random() < 0.4)
+        rows += [("a", i, rnd.gauss(y, 1), y), ("b", i, float(rnd.randint(0, 3) + y), y), ("c", i, rnd.gauss(0, 1), y)]
+    rows = [r for r in rows if r[:2] != ("c", 7)] + [("a", 900, 0.1, 1), ("b", 901, None, 1), ("a", 902, float("nan"), 0)]
+    rows += [("a", 5, 0.5, 1)]  # an id that stands twice in a model is left out
+    n_pos, n_neg, auc, cov = _delong(rows, ["a", "b", "c"])
+    df = spark.createDataFrame(rows, "model string, id long, score double, label int")
+    for n_buckets in (None, 3):
+        got = M.compare_auc(df, n_buckets=n_buckets).collect()
+        assert [(r.model_a, r.model_b) for r in got] == [("a", "a"), ("a", "b"), ("a", "c"), ("b", "b"), ("b", "c"), ("c", "c")]
+        for r in got:
+            a, b = r.model_a, r.model_b
+            assert (r.n_pos, r.n_neg) == (n_pos, n_neg) and math.isclose(r.auc_a, auc[a]) and math.isclose(r.auc_b, auc[b])
+            assert math.isclose(r.covariance, cov[a, b], rel_tol=1e-9, abs_tol=1e-15)
+            if a == b:
+                assert r.z is None and r.p_value is None
+                continue
+            se = math.sqrt(cov[a, a] + cov[b, b] - 2 * cov[a, b])
+            assert math.isclose(r.std_error, se) and math.isclose(r.z, (auc[a] - auc[b]) / se, rel_tol=1e-9)
+            assert math.isclose(r.p_value, math.erfc(abs(r.z) / math.sqrt(2)))
+
+
+def test_compare_auc_without_spread_or_rows(spark):
+    df = spark.createDataFrame([("a", 1, 0.5, 1), ("b", 1, 0.5, 1), ("a", 2, 0.1, 0), ("b", 2, 0.1, 0)], "model string, id long, score double, label int")
+    got = M.compare_auc(df).collect()
+    assert [(r.auc_a, r.covariance, r.z) for r in got] == [(1.0, None, None)] * 3
+    got = M.compare_auc(df.where("label = 1")).collect()
+    assert [(r.n_pos, r.n_neg, r.auc_a) for r in got] == [(1, 0, None)] * 3
+    assert M.compare_auc(df.where("id > 9")).count() == 0

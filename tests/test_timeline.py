@@ -187,3 +187,26 @@ def test_one_user_one_timestamp_is_cut_by_id_and_exact(spark):
     assert got.select("event_id", "prior_v").exceptAll(want.select("event_id", "prior_v")).count() == 0
     cut = with_tie_split(df.withColumn("b", F.dayofmonth("ts")), ["user_id"], "b", F.unix_micros(F.col("ts").cast("timestamp")), "event_id", 100)
     assert cut.groupBy("b", "_tie").count().agg(F.max("count")).first()[0] <= 110
+
+
+def test_sliding_features_match_brute_force(spark):
+    rnd = random.Random(21)
+    rows = [("hot" if rnd.random() < 0.35 else f"k{rnd.randint(0, 9)}", rnd.randint(0, 120), rnd.choice([None, 1, 2, 3, 4]), rnd.choice([None, 5, -2, 7]))
+            for _ in range(900)]
+    rows += [(None, 3, 1, 1), ("k0", None, 1, 1)]
+    day0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, None if d is None else day0 + dt.timedelta(days=d, hours=rnd.randint(0, 23)), c, a) for k, d, c, a in rows],
+                               "k string, ts timestamp_ntz, c int, a int")
+    for bucket_days in (32, 5):
+        got = TL.sliding_features(df, ["k"], "ts", (3, 30), {"amount": F.col("a")}, ["c"], bucket_days=bucket_days).collect()
+        keys = {(k, d) for k, d, _, _ in rows if k is not None and d is not None}
+        assert len(got) == len(keys)
+        for r in got:
+            d = (dt.datetime.combine(r["day"], dt.time()) - day0).days
+            assert (r["k"], d) in keys
+            for w in (3, 30):
+                inside = [(c, a) for k, x, c, a in rows if k == r["k"] and x is not None and d - w <= x < d]
+                assert r[f"n_{w}d"] == len(inside) and r[f"amount_{w}d"] == sum(a or 0 for _, a in inside)
+                assert r[f"n_distinct_c_{w}d"] == len({c for c, _ in inside} - {None})
+    plan = TL.sliding_features(df, ["k"], "ts", (7,), {}, ["c"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
