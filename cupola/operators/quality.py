@@ -7,6 +7,7 @@ the driver, to be applied back as literals in a projection.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +32,8 @@ def _value(df: DataFrame, c: str) -> Column:
 
 def _features_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # the feature list itself (p names), to keep empty / all-missing features in reports
-    return df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "idx int, feature string")
+    rows = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(c).alias("feature")) for i, c in enumerate(cols)])
+    return df.sparkSession.range(1, numPartitions=1).select(F.inline(rows)) if cols else df.sparkSession.createDataFrame([], "idx int, feature string")
 
 
 # ---------------------------------------------------------------------------------------
@@ -73,43 +75,51 @@ def _top_counts_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out
 
 
-SKETCH_ACCURACY = 200
+def _tracked(threshold: float) -> int:
+    """Counters with which the summary cannot miss a value of more than ``threshold``: its error
+    is at most 3.5 rows in as many as it has slots (a power of two over 4/3 of the counters)."""
+    return max(64, math.ceil(8 / threshold))
 
 
-def _top_counts_sketch(df: DataFrame, cols: Sequence[str], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """(idx, top_count, non_missing) without grouping by value: two scans, no big shuffle.
+def _top_counts_sketch(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
+    """(idx, top_count, non_missing) without grouping by value; ``top_count`` is exact for a
+    feature whose top share reaches ``threshold``, and NULL for one that is proven to be under it.
 
-    A value held by more than half of the non-missing rows is the median of the
-    value hashes, so ``percentile_approx(hash, 0.5)`` names it (rank error
-    1/accuracy); a second aggregate counts it. The hash keeps 52 bits so that the
-    sketch, which works in doubles, holds it exactly. The second aggregate also takes
-    the smallest and largest value with that hash: if they differ, distinct values
-    share the hash, and that column is counted exactly by grouping instead. So
-    ``top_count`` is exact whenever the top share exceeds 0.5 + 1/accuracy; where it
-    does not, the count is not proven to be the largest and is NULL.
+    One scan feeds the value hashes of every feature to a frequent-item summary (a bounded
+    number of counters, merged over tasks; counts are never too low, and no value over twice
+    its error is left out). Only features with a value that may reach the threshold, at most
+    ``1 / threshold`` values each, are read again, to count those values exactly; the second
+    aggregate also takes the smallest and largest value with each hash: if they differ,
+    distinct values share the hash, and that column is counted by grouping instead.
     """
-    hashes = [F.when(_value(df, c).isNotNull(), F.shiftrightunsigned(F.xxhash64(_value(df, c)), 12))
-              for c in cols]
-    cand = df.select(*[F.percentile_approx(h, 0.5, accuracy).alias(f"_h{i}") for i, h in enumerate(hashes)]).first()
+    n = _tracked(threshold)
+    hashes = [F.when(_value(df, c).isNotNull(), F.xxhash64(_value(df, c))) for c in cols]
+    row = df.select(*[F.call_function("approx_top_k", h, F.lit(n), F.lit(n)).alias(f"_k{i}") for i, h in enumerate(hashes)],
+                    *[F.count(_value(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)]).first()
+    may = [(i, k["item"]) for i in range(len(cols)) for k in row[f"_k{i}"]
+           if k["item"] is not None and k["count"] >= threshold * row[f"_m{i}"]]
     aggs = []
-    for i, (c, h) in enumerate(zip(cols, hashes)):
-        target = cand[f"_h{i}"]
-        hit = F.lit(False) if target is None else (h == F.lit(target))
-        v = F.when(hit, _value(df, c))
-        aggs += [F.count_if(hit).alias(f"_t{i}"), F.count(h).alias(f"_m{i}"),
-                 F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
-    row = df.select(*aggs).first()
-    rows, collided = [], []
-    for i, c in enumerate(cols):
-        if row[f"_lo{i}"] is not None and row[f"_lo{i}"] != row[f"_hi{i}"]:
-            collided.append(i)
-            continue
-        proven = row[f"_m{i}"] > 0 and row[f"_t{i}"] > (0.5 + 1 / accuracy) * row[f"_m{i}"]
-        rows.append((i, row[f"_t{i}"] if proven else None, row[f"_m{i}"]))
-    out = df.sparkSession.createDataFrame(rows, "idx int, top_count bigint, non_missing bigint")
+    for j, (i, target) in enumerate(may):
+        hit = hashes[i] == F.lit(target)
+        v = F.when(hit, _value(df, cols[i]))
+        aggs += [F.count_if(hit).alias(f"_t{j}"), F.min(v).alias(f"_lo{j}"), F.max(v).alias(f"_hi{j}")]
+    found = df.select(*aggs).first() if aggs else None
+    top = {i: None for i in range(len(cols))}
+    collided = set()
+    for j, (i, _) in enumerate(may):
+        if found[f"_lo{j}"] != found[f"_hi{j}"]:
+            collided.add(i)
+        elif found[f"_t{j}"] >= threshold * row[f"_m{i}"]:
+            top[i] = max(top[i] or 0, found[f"_t{j}"])
+    number = lambda x, kind: F.lit(x).cast(kind)
+    rows = [F.struct(number(i, "int").alias("idx"), number(top[i], "bigint").alias("top_count"), number(row[f"_m{i}"], "bigint").alias("non_missing"))
+            for i in top if i not in collided]
+    out = df.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*rows))) if rows \
+        else df.sparkSession.createDataFrame([], "idx int, top_count bigint, non_missing bigint")
     if collided:
-        exact = _top_counts_exact(df, [cols[i] for i in collided])
-        remap = F.element_at(F.array(*[F.lit(i) for i in collided]), F.col("idx") + 1)
+        again = sorted(collided)
+        exact = _top_counts_exact(df, [cols[i] for i in again])
+        remap = F.element_at(F.array(*[F.lit(i) for i in again]), F.col("idx") + 1)
         out = out.unionByName(exact.select(remap.alias("idx"), "top_count", "non_missing"))
     return out
 
@@ -122,16 +132,16 @@ def quasi_constant_report(df: DataFrame, cols: Sequence[str] | None = None, thre
     (NULL, and NaN in floating columns) are outside numerator and denominator; an
     all-missing feature has ratio NULL and is not flagged; the test is strict
     (``ratio > threshold``). ``method="sketch"`` avoids the shuffle by value and
-    decides flags exactly for ``threshold >= 0.5 + 1 / SKETCH_ACCURACY``; its
-    ``top_count`` and ``ratio`` are NULL for features whose top share is not above that.
+    decides flags exactly for any threshold of 0.001 or more; its ``top_count`` and
+    ``ratio`` are NULL for features whose top share is under the threshold.
     """
     cols = list(cols if cols is not None else df.columns)
     if method == "exact":
         tops = _top_counts_exact(df, cols)
     elif method == "sketch":
-        if threshold < 0.5 + 1 / SKETCH_ACCURACY:
-            raise ValueError(f"method='sketch' needs threshold >= {0.5 + 1 / SKETCH_ACCURACY}; use method='exact'")
-        tops = _top_counts_sketch(df, cols)
+        if threshold < 0.001:
+            raise ValueError("method='sketch' needs a threshold of 0.001 or more; use method='exact'")
+        tops = _top_counts_sketch(df, cols, threshold)
     else:
         raise ValueError("method must be 'exact' or 'sketch'")
     ratio = F.col("top_count") / F.col("non_missing")

@@ -110,11 +110,18 @@ def q_quasi_constant(spark, sf_dir):
 
 @register("quasi_constant_sketch")
 def q_quasi_constant_sketch(spark, sf_dir):
-    # two scans, no shuffle by value; flags are exact for a threshold of 0.5 or more
+    # one scan, and one of the columns that may be flagged; no shuffle by value
     rep = Q.quasi_constant_report(_quasi_view(spark, sf_dir), QUASI_FEATURES, 0.95, method="sketch")
     return rep.select("feature", "non_missing", "flagged")
 
 
+@register("frequent_value_features")
+def q_frequent_value_features(spark, sf_dir):
+    # the same summary far below one half: features whose most frequent value holds over a tenth
+    rep = Q.quasi_constant_report(_quasi_view(spark, sf_dir), QUASI_FEATURES, 0.1, method="sketch")
+    return rep.where("flagged").select("feature", "top_count", "non_missing")
+
+
 @register("missing_report")
 def q_missing_report(spark, sf_dir):
     return Q.missing_report(events_with_gaps(spark, sf_dir))

@@ -97,6 +97,12 @@ select feature, coalesce(non_missing, 0) as non_missing,
 from t
 """
 
+SQL["frequent_value_features"] = f"""
+with q as ({QUASI_VIEW}),
+t as ({" union all ".join(_quasi_part(c) for c in QUASI_FEATURES)})
+select feature, top_count, non_missing from t where top_count / non_missing > 0.1
+"""
+
 EVENTS_GAPS = """
 select event_id, ts, user_id,
        case when event_type <> 'error' then event_type end as event_type,

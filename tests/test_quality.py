@@ -114,3 +114,26 @@ def test_sketch_falls_back_to_exact_counts_on_hash_collisions(spark, f3, monkeyp
     exact = {r.feature: (r.top_count, r.non_missing, r.flagged)
              for r in Q.quasi_constant_report(f3, None, 0.95, method="exact").collect()}
     assert sketch == exact
+
+
+@pytest.mark.parametrize("threshold", [0.02, 0.15, 0.4, 0.8])
+def test_summary_flags_like_the_exact_counts_at_any_threshold(spark, threshold):
+    """Skewed, flat and unique columns in many partitions, with more values than counters."""
+    df = spark.range(20_000).repartition(13).selectExpr(
+        "id as u", "cast(pow(20000, rand(1)) as int) as skewed", "cast(if(rand(2) < 0.42, -1, id) as long) as one_heavy",
+        "cast(rand(3) * 5 as int) as five", "if(rand(4) < 0.17, 'x', cast(id as string)) as s", "if(rand(5) < 0.5, double('nan'), if(rand(6) < 0.5, 0.0D, -0.0D)) as z",
+        "array(cast(rand(7) * 3 as int)) as a", "cast(null as string) as none")
+    df = df.cache()
+    cols = df.columns
+    exact = {r.feature: r for r in Q.quasi_constant_report(df, cols, threshold).collect()}
+    for r in Q.quasi_constant_report(df, cols, threshold, method="sketch").collect():
+        e = exact[r.feature]
+        assert (r.flagged, r.non_missing) == (e.flagged, e.non_missing), r.feature
+        if e.flagged:
+            assert r.top_count == e.top_count
+    df.unpersist()
+
+
+def test_summary_refuses_thresholds_that_need_too_many_counters(f3):
+    with pytest.raises(ValueError):
+        Q.quasi_constant_report(f3, None, 0.0001, method="sketch")
