@@ -18,11 +18,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cupola.operators.prefix import running_totals
-from cupola.session import materialise
+from cupola.session import checkpoint_dir, materialise
 
 # ---------------------------------------------------------------------------------------
 # helpers
@@ -73,6 +73,65 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, num_trees:
     return Pipeline(stages=[*_assemble(features, False), rf]).fit(_checked(train, features, label))
 
 
+def forest_rows(model: PipelineModel) -> DataFrame:
+    """The fitted trees as rows ``(tree, node, feature, cut, left, right, counts)``: an inner node
+    sends ``feature <= cut`` to ``left`` and the rest to ``right``; a leaf has neither and holds
+    its training rows per class. Read from the files of the saved model, which go to the
+    session's checkpoint folder; at most ``num_trees * 2 ** (max_depth + 1)`` rows."""
+    import uuid
+
+    forest, names = model.stages[-1], model.stages[0].getInputCols()
+    spark = SparkSession.getActiveSession()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/forest-{uuid.uuid4().hex}"
+    forest.save(path)
+    n = "nodeData"
+    split = F.col(f"{n}.split.featureIndex")
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("node"),
+        F.when(split >= 0, F.element_at(F.array(*[F.lit(c) for c in names]), split + 1)).alias("feature"),
+        F.when(split >= 0, F.get(F.col(f"{n}.split.leftCategoriesOrThreshold"), F.lit(0))).alias("cut"),
+        F.when(split >= 0, F.col(f"{n}.leftChild")).alias("left"), F.when(split >= 0, F.col(f"{n}.rightChild")).alias("right"),
+        F.col(f"{n}.impurityStats").alias("counts"))
+
+
+def score_forest_rows(trees: DataFrame, df: DataFrame, features: Sequence[str], name: str, id_col: str, label_col: str | None = None) -> DataFrame:
+    """``model, id, score, label`` from the rows of ``forest_rows``, as one expression: every
+    tree walks level by level to a leaf, whose share of class 1 is its vote. The rows (a model,
+    not data) become a constant of the plan; scoring is a projection without a shuffle."""
+    import json
+
+    nodes = sorted((r.tree, r.node, r.feature, r.cut, r.left, r.right, r.counts) for r in trees.collect())  # bounded by the model
+    if not nodes:
+        raise ValueError("no trees")
+    where = {f: i for i, f in enumerate(features)}
+    packed = []
+    for t in sorted({r[0] for r in nodes}):
+        own = [r for r in nodes if r[0] == t]
+        if [r[1] for r in own] != list(range(len(own))):
+            raise ValueError(f"tree {t}: nodes are not numbered from 0")
+        packed.append({"f": [where[r[2]] if r[2] is not None else -1 for r in own], "c": [0.0 if r[3] is None else r[3] for r in own],
+                       "l": [-1 if r[4] is None else r[4] for r in own], "r": [-1 if r[5] is None else r[5] for r in own],
+                       "a": [r[6][0] / sum(r[6]) for r in own], "b": [r[6][1] / sum(r[6]) for r in own]})
+
+    def depth(t: dict, node: int = 0) -> int:
+        return 0 if t["l"][node] < 0 else 1 + max(depth(t, t["l"][node]), depth(t, t["r"][node]))
+
+    levels = max(depth(t) for t in packed)
+    kind = "array<struct<f:array<int>,c:array<double>,l:array<int>,r:array<int>,a:array<double>,b:array<double>>>"
+    forest = F.from_json(F.lit(json.dumps(packed)), kind)
+    x = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in features])  # NaN goes right, as in the model
+
+    def leaf(t: Column) -> Column:
+        step = lambda at, _: F.when(F.get(t["l"], at) < 0, at).otherwise(
+            F.when(F.get(F.col("_x"), F.get(t["f"], at)) <= F.get(t["c"], at), F.get(t["l"], at)).otherwise(F.get(t["r"], at)))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.lit(0), step) if levels else F.lit(0)
+
+    at = df.select("*", x.alias("_x")).withColumn("_at", F.transform(forest, lambda t: F.struct(t.alias("t"), leaf(t).alias("n"))))
+    votes = [F.aggregate(F.col("_at"), F.lit(0.0), lambda acc, v: acc + F.get(v["t"][side], v["n"])) for side in ("a", "b")]
+    return at.select(F.lit(name).alias("model"), F.col(id_col).alias("id"), (votes[1] / (votes[0] + votes[1])).alias("score"),
+                     (F.col(label_col).cast("int") if label_col else F.lit(None).cast("int")).alias("label"))
+
+
 def score(model: PipelineModel, df: DataFrame, name: str, id_col: str, label_col: str | None = None) -> DataFrame:
     """``model, id, score, label``: score is P(class 1). Row-wise, no shuffle."""
     out = model.transform(df)
@@ -407,6 +466,49 @@ def adaboost_fit(df: DataFrame, features: Sequence[str], label: str, rounds: int
     return model
 
 
+def adaboost_fit_whole(df: DataFrame, features: Sequence[str], label: str, rounds: int = 20, unit: int = 1 << 20) -> AdaBoostModel:
+    """Discrete AdaBoost on a binned table in whole numbers, so that every engine fits the same stumps.
+
+    ``features`` are whole-number columns of few values (bins). Rows equal in all of them and in the
+    label are one cell, with weight ``rows * unit``. A round takes the stump of least wrong weight
+    E of the total W (ties: feature name, threshold, polarity +1 first), then multiplies right
+    cells by ``W / 2(W - E)`` and wrong ones by ``W / 2E``, rounded down. One aggregate a round, to
+    a row per bin, and one rewrite of the cells; a row a round reaches the driver. Ends early
+    when no stump is right on more than half the weight, or one is right on all. Rows with a
+    missing feature or label are left out. Weights are held in 64 bits: ``rows * unit`` must fit.
+    """
+    feats = list(features)
+    known = F.col(label).isNotNull()
+    for f in feats:
+        known = known & F.col(f).isNotNull()
+    cells = df.where(known).groupBy(*[F.col(f).cast("bigint").alias(f) for f in feats], (F.col(label).cast("int") == 1).alias("_y")) \
+        .agg((F.count(F.lit(1)) * F.lit(unit)).alias("_w"))
+    model = AdaBoostModel(feats)
+    for _ in range(rounds):
+        cells = materialise(cells)
+        each = cells.select("_y", "_w", F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("threshold")) for f in feats])))
+        bins = each.groupBy("feature", "threshold").agg(F.sum(F.when(F.col("_y"), F.col("_w")).otherwise(0)).alias("p"),
+                                                        F.sum(F.when(F.col("_y"), F.lit(0)).otherwise(F.col("_w"))).alias("n"))
+        upto, whole = Window.partitionBy("feature").orderBy("threshold"), Window.partitionBy("feature")  # bins of a feature
+        bins = bins.select("feature", "threshold", (F.sum("n").over(upto) + F.sum("p").over(whole) - F.sum("p").over(upto)).alias("plus"),
+                           (F.sum("p").over(whole) + F.sum("n").over(whole)).alias("total"))
+        best = bins.select("feature", "threshold", "total", F.inline(F.array(
+            F.struct(F.lit(1).alias("polarity"), F.col("plus").alias("wrong")), F.struct(F.lit(-1).alias("polarity"), (F.col("total") - F.col("plus")).alias("wrong"))))) \
+            .orderBy("wrong", "feature", "threshold", F.desc("polarity")).first()
+        if best is None or 2 * best["wrong"] >= best["total"]:
+            break
+        e, w = best["wrong"], best["total"]
+        model.stumps.append({"feature": best["feature"], "threshold": float(best["threshold"]), "polarity": best["polarity"],
+                             "alpha": math.log((w - e) / max(e, w * 1e-10)), "error": e / w, "wrong": e, "total": w})
+        if not e:
+            break
+        says_one = (F.col(best["feature"]) <= best["threshold"]) == F.lit(best["polarity"] == 1)
+        share = F.when(says_one == F.col("_y"), F.lit(2 * (w - e))).otherwise(F.lit(2 * e)).cast("decimal(20,0)")
+        scaled = F.col("_w").cast("decimal(19,0)") * F.lit(w).cast("decimal(19,0)")
+        cells = cells.withColumn("_w", F.call_function("div", scaled, share).cast("bigint"))
+    return model
+
+
 def adaboost_scores(model: AdaBoostModel, df: DataFrame, name: str, id_col: str, label_col: str) -> DataFrame:
     return df.select(F.lit(name).alias("model"), F.col(id_col).alias("id"), model.score().alias("score"),
                      F.col(label_col).cast("int").alias("label"))

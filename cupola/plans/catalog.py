@@ -384,6 +384,26 @@ def q_rf_score(spark, sf_dir):
     return _rf(_docs(spark, sf_dir))
 
 
+@register("rf_tree_gap")
+def q_rf_tree_gap(spark, sf_dir):
+    # the fitted trees, walked as rows, against the library's own probabilities
+    docs = _docs(spark, sf_dir)
+    model = ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=20)
+    own = ML.score_forest_rows(ML.forest_rows(model), docs, DOC_FEATURES, "rows", "doc_id").select("id", F.col("score").alias("own"))
+    gap = F.abs(F.col("own") - F.col("score")) + F.lit(0.0)
+    return ML.score(model, docs, "rf", "doc_id").join(own, "id").select(F.col("id").alias("doc_id"), F.round(gap, 12).alias("gap"))
+
+
+@register("adaboost_rounds")
+def q_adaboost_rounds(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    bins = {"chars_bin": F.least(F.floor(F.col("n_chars") / 200), F.lit(40)), "lines_bin": F.least(F.col("n_lines"), F.lit(30)),
+            "words_bin": F.least(F.floor(F.col("n_words") / 25), F.lit(40))}
+    model = ML.adaboost_fit_whole(docs.select("label", *[c.cast("bigint").alias(n) for n, c in bins.items()]), list(bins), "label", rounds=8)
+    rows = [(i + 1, s["feature"], int(s["threshold"]), s["polarity"], s["wrong"], s["total"]) for i, s in enumerate(model.stumps)]
+    return spark.createDataFrame(rows, "round int, feature string, threshold long, polarity int, wrong_weight long, total_weight long")
+
+
 @register("adaboost_score")
 def q_adaboost_score(spark, sf_dir):
     return _ada(_docs(spark, sf_dir))

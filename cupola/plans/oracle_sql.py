@@ -586,3 +586,35 @@ SQL["coupon_sliding_features"] = f"""
 with c as (select *, cast(l_shipdate as date) as day from ({_PARTIES}))
 select l_orderkey, l_linenumber, o_custkey, day, {_sliding(7)}, {_sliding(30)} from c
 """
+
+
+SQL["rf_tree_gap"] = "select doc_id, cast(0 as double) as gap from labels join documents using (doc_id)"
+
+# AdaBoost in whole numbers: every round is replayed from the cells' weights
+_BINS = ("chars_bin", "lines_bin", "words_bin")
+
+
+def _boosting_round(r: int) -> str:
+    each = " union all ".join(f"select '{b}' as feature, {b} as threshold, y, w from c{r}" for b in _BINS)
+    value = " ".join(f"when '{b}' then {b}" for b in _BINS)
+    right = f"(((case b.feature {value} end) <= b.threshold) = (b.polarity = 1)) = (y = 1)"
+    return f"""
+g{r} as (select feature, threshold, sum(case when y = 1 then w else 0 end) as p, sum(case when y = 1 then 0 else w end) as n from ({each}) group by 1, 2),
+s{r} as (select feature, threshold, sum(n) over upto + sum(p) over (partition by feature) - sum(p) over upto as plus, sum(p + n) over (partition by feature) as total
+         from g{r} window upto as (partition by feature order by threshold)),
+b{r} as materialized (
+  select * from (select feature, threshold, 1 as polarity, plus as wrong, total from s{r} union all select feature, threshold, -1, total - plus, total from s{r})
+  where 2 * wrong < total order by wrong, feature, threshold, polarity desc limit 1),
+c{r + 1} as (
+  select {", ".join(_BINS)}, y, cast(w * total // (case when {right} then 2 * (total - wrong) else 2 * wrong end) as hugeint) as w
+  from c{r}, b{r} as b where wrong > 0)"""
+
+
+SQL["adaboost_rounds"] = f"""
+with t as (select quality as y, n_chars, coalesce(text, '') as text from labels join documents using (doc_id)),
+v as (select y, least(n_chars // 200, 40) as chars_bin, least(len(string_split(text, chr(10))), 30) as lines_bin,
+        least((case when trim(text, ' ') = '' then 0 else len(string_split_regex(trim(text, ' '), '\\s+')) end) // 25, 40) as words_bin from t),
+c0 as (select {", ".join(_BINS)}, y, cast(count(*) * 1048576 as hugeint) as w from v where y is not null and chars_bin is not null group by all),
+{",".join(_boosting_round(r) for r in range(8))}
+{" union all ".join(f"select {r + 1} as round, feature, cast(threshold as bigint) as threshold, polarity, cast(wrong as bigint) as wrong_weight, cast(total as bigint) as total_weight from b{r}" for r in range(8))}
+"""

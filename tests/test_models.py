@@ -249,3 +249,48 @@ def test_adaboost_folded_margin_gives_the_same_stumps(spark, docs):
     for a, b in zip(plain.stumps, folded.stumps):
         assert (a["feature"], a["threshold"], a["polarity"]) == (b["feature"], b["threshold"], b["polarity"])
         assert a["alpha"] == pytest.approx(b["alpha"], rel=1e-9)
+
+
+def test_forest_rows_give_the_models_probabilities(spark, docs):
+    model = ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=12, max_depth=6)
+    trees = ML.forest_rows(model)
+    assert trees.select("tree").distinct().count() == 12 and trees.where("(left is null) <> (feature is null)").count() == 0
+    wide = docs.select("doc_id", "label", *DOC_FEATURES).unionByName(
+        spark.createDataFrame([(-1, 1, float("nan"), 3.0, 2.0, 1.0)], "doc_id long, label int, n_chars double, n_words double, n_distinct_words double, n_lines double"))
+    want = {r.id: r.score for r in ML.score(model, wide, "rf", "doc_id").collect()}
+    got = {r.id: r.score for r in ML.score_forest_rows(trees, wide, DOC_FEATURES, "rows", "doc_id", "label").collect()}
+    assert got == want
+    stump = ML.fit_forest(docs, DOC_FEATURES, "label", num_trees=2, max_depth=0)
+    got = {r.score for r in ML.score_forest_rows(ML.forest_rows(stump), docs, DOC_FEATURES, "rows", "doc_id").collect()}
+    assert got == {r.score for r in ML.score(stump, docs, "rf", "doc_id").collect()}
+
+
+def _boost_in_whole_numbers(rows, names, rounds, unit):
+    weight = {}
+    for r in rows:
+        weight[r] = weight.get(r, 0) + unit
+    out = []
+    for _ in range(rounds):
+        total = sum(weight.values())
+        wrong_of = lambda i, c, p: sum(w for r, w in weight.items() if ((r[i] <= c) == (p == 1)) != (r[-1] == 1))
+        e, _, c, negp, i = min((wrong_of(i, c, p), names[i], c, -p, i) for i in range(len(names)) for c in {r[i] for r in weight} for p in (1, -1))
+        if 2 * e >= total:
+            break
+        out.append((names[i], float(c), -negp, e, total))
+        if not e:
+            break
+        right = lambda r: ((r[i] <= c) == (negp == -1)) == (r[-1] == 1)
+        weight = {r: w * total // (2 * (total - e) if right(r) else 2 * e) for r, w in weight.items()}
+    return out
+
+
+def test_boosting_in_whole_numbers_matches_a_replay(spark):
+    rnd = random.Random(17)
+    rows = [(a, b, int(rnd.random() < (0.75 if a > 3 or b == 2 else 0.2))) for a, b in ((rnd.randint(0, 6), rnd.randint(0, 4)) for _ in range(400))]
+    df = spark.createDataFrame([*rows, (None, 1, 1), (1, 1, None)], "a int, b int, y int")
+    for unit in (1 << 20, 7):
+        model = ML.adaboost_fit_whole(df, ["a", "b"], "y", rounds=7, unit=unit)
+        got = [(s["feature"], s["threshold"], s["polarity"], s["wrong"], s["total"]) for s in model.stumps]
+        assert got == _boost_in_whole_numbers(rows, ["a", "b"], 7, unit) and len(got) >= 3
+    assert ML.adaboost_fit_whole(df.where("y = 1"), ["a", "b"], "y").stumps[0]["wrong"] == 0
+    assert ML.adaboost_fit_whole(df.where("a > 99"), ["a", "b"], "y").stumps == []
