@@ -10,8 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,26 +82,77 @@ def chi_square_select(df: DataFrame, features: Sequence[str], label: str, alpha:
 # Correlation pairs; B8: variance inflation
 # ---------------------------------------------------------------------------------------
 
+def _triangle(df: DataFrame, features: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """``(n, varies, R)``: complete rows, whether each feature varies, and the triangular factor of
+    the centred features.
+
+    Tall-skinny QR in one pass: a task keeps the triangular factor of ``[1, x]`` over its rows so
+    far (p + 1 rows), factors are stacked and factored again in a tree of two levels, and the
+    constant in front takes the means out. Unlike sums of squares, this loses no digits to large
+    means or near-equal features.
+    """
+    import pyarrow as pa
+
+    p = len(features)
+    x = [F.col(f).cast("double") for f in features]
+    rows = df.select(*[F.when(~F.isnan(c), c).alias(f"x{i}") for i, c in enumerate(x)]).dropna()
+    names = ["n", "r", *[f"{k}{i}" for k in ("lo", "hi") for i in range(p)]]
+    schema = "n long, r binary, " + ", ".join(f"{c} double" for c in names[2:])
+
+    def emit(n, r, lo, hi):
+        return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([r.tobytes()], pa.binary()), *[pa.array([float(v)]) for v in (*lo, *hi)]], names)
+
+    def leaves(batches):
+        n, r, lo, hi = 0, np.zeros((0, p + 1)), np.full(p, np.inf), np.full(p, -np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                m = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
+                n, lo, hi = n + len(m), np.minimum(lo, m[:, 1:].min(0)), np.maximum(hi, m[:, 1:].max(0))
+                r = np.linalg.qr(np.vstack([r, m]), mode="r")
+        if n:
+            yield emit(n, r, lo, hi)
+
+    def stacked(parts):
+        n, r, lo, hi = 0, np.zeros((0, p + 1)), np.full(p, np.inf), np.full(p, -np.inf)
+        for q in parts:
+            n, lo, hi = n + q[0], np.minimum(lo, q[2 : 2 + p]), np.maximum(hi, q[2 + p :])
+            r = np.linalg.qr(np.vstack([r, np.frombuffer(q[1]).reshape(-1, p + 1)]), mode="r")
+        return n, r, lo, hi
+
+    def merge(batches):
+        n, r, lo, hi = stacked(list(q.values()) for batch in batches for q in batch.to_pylist())
+        if n:
+            yield emit(n, r, lo, hi)
+
+    got = rows.mapInArrow(leaves, schema).repartition(_MERGE).mapInArrow(merge, schema).collect()  # at most _MERGE small factors
+    n, r, lo, hi = stacked([q.n, q.r, *q[2:]] for q in got)
+    r = np.vstack([r, np.zeros((max(0, p + 1 - len(r)), p + 1))])
+    return n, hi > lo, r[1 : p + 1, 1:]
+
+
+#: Tasks that merge the factors before the driver does.
+_MERGE = 16
+
+
+def _unit_columns(varies: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The factor with columns of length 1; NaN for features without variance."""
+    size = np.sqrt((r * r).sum(0))
+    return np.where(varies, r / np.where(varies, size, 1.0), np.nan)
+
+
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
     """Pearson correlation of every feature pair as a p x p numpy matrix on the driver.
 
-    One pass over the rows where no feature is missing (NULL or NaN), so the matrix is
-    positive semi-definite; MLlib sums the p x p moments in partial aggregates. A feature
+    One pass over the rows where no feature is missing (NULL or NaN). A feature
     without variance (or a table without complete rows) has NaN with every other.
     """
-    feats = list(features)
-    p = len(feats)
-    x = [F.col(f).cast("double") for f in feats]
-    rows = df.select(*[F.when(~F.isnan(c), c).alias(f"x{i}") for i, c in enumerate(x)]).dropna()
-    names = [f"x{i}" for i in range(p)]
-    spread = rows.agg(F.count(F.lit(1)).alias("n"), *[(F.max(c) > F.min(c)).alias(c) for c in names]).first()
-    m = np.full((p, p), np.nan)
-    varies = [i for i in range(p) if spread["n"] and spread[names[i]]]
-    if len(varies) > 1:
-        vec = VectorAssembler(inputCols=[names[i] for i in varies], outputCol="v").transform(rows).select("v")
-        m[np.ix_(varies, varies)] = Correlation.corr(vec, "v").first()[0].toArray()
-    for i in range(p):
-        m[i, i] = 1.0
+    _, varies, r = _triangle(df, list(features))
+    return _correlations(_unit_columns(varies, r))
+
+
+def _correlations(u: np.ndarray) -> np.ndarray:
+    m = np.clip(u.T @ u, -1.0, 1.0)
+    np.fill_diagonal(m, 1.0)
     return m
 
 
@@ -139,19 +188,21 @@ def corr_filter(df: DataFrame, features: Sequence[str], label: str | None = None
     return kept, dropped
 
 
-def _vif_from_corr(m: np.ndarray, tol: float = 1e-10) -> np.ndarray:
-    """Variance inflation from a correlation matrix: infinite for exactly the features that
-    the others determine (those that take part in the null space), NaN for features without
-    variance, else the diagonal of the (pseudo-)inverse."""
-    p = m.shape[0]
+def _inflation(u: np.ndarray, tol: float = 1e-12) -> np.ndarray:
+    """Variance inflation from a factor with unit columns: infinite for exactly the features that
+    the others determine (those that take part in its null space), NaN for features without
+    variance, else the squared norms of the rows of its (pseudo-)inverse. Singular values of the
+    factor, not of its square, decide, so condition numbers up to 1 / tol are told from infinite."""
+    p = u.shape[1]
     out = np.full(p, np.nan)
-    use = [i for i in range(p) if p == 1 or not np.isnan(np.delete(m[i], i)).all()]
+    use = [i for i in range(p) if not np.isnan(u[:, i]).any()]
     if not use:
-        return out
-    w, v = np.linalg.eigh(m[np.ix_(use, use)])
-    null = w <= tol * max(1.0, w[-1])
-    values = (v[:, ~null] ** 2 / w[~null]).sum(1)
-    values[(v[:, null] ** 2).sum(1) > 1e-9] = np.inf
+        return np.ones(1) if p == 1 else out
+    _, s, vt = np.linalg.svd(u[:, use], full_matrices=True)
+    s = np.append(s, np.zeros(len(use) - len(s)))
+    null = s <= tol * max(1.0, s[0])
+    values = ((vt[~null] / s[~null, None]) ** 2).sum(0)
+    values[(vt[null] ** 2).sum(0) > 1e-9] = np.inf
     out[use] = values
     return out
 
@@ -160,8 +211,8 @@ def vif_values(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """Variance inflation factor of each feature: infinite where the other features
     determine it, NaN for a feature without variance."""
     feats = list(features)
-    v = _vif_from_corr(correlation_matrix(df, feats))
-    return {f: float(x) for f, x in zip(feats, v)}
+    _, varies, r = _triangle(df, feats)
+    return {f: float(x) for f, x in zip(feats, _inflation(_unit_columns(varies, r)))}
 
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -173,17 +224,18 @@ def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def vif_select(df: DataFrame, features: Sequence[str], threshold: float = 10.0) -> tuple[list[str], list]:
     """Stepwise removal: features without variance first, then the feature with the largest
     VIF (the later one of equals) while it exceeds ``threshold``. One pass over the table;
-    every step reuses the same matrix."""
+    every step reuses the same factor."""
     feats = list(features)
-    m = correlation_matrix(df, feats)
+    _, varies, r = _triangle(df, feats)
+    u = _unit_columns(varies, r)
     idx = list(range(len(feats)))
     removed = []
     for i in range(len(feats)):
-        if len(feats) > 1 and np.isnan(np.delete(m[i], i)).all():
+        if len(feats) > 1 and not varies[i]:
             removed.append((feats[i], float("nan")))
             idx.remove(i)
     while len(idx) > 1:
-        v = _vif_from_corr(m[np.ix_(idx, idx)])
+        v = _inflation(u[:, idx])
         k = len(v) - 1 - int(np.argmax(v[::-1]))
         if not v[k] > threshold:
             break

@@ -89,3 +89,27 @@ def test_many_features_in_one_pass(spark):
     m = S.correlation_matrix(df, feats)
     x = np.array(df.collect())
     assert np.allclose(m, np.corrcoef(x, rowvar=False), atol=1e-9)
+
+
+def test_vif_keeps_its_digits_for_large_means_and_near_equal_features(spark):
+    """Condition numbers up to 1e10: known inflation from orthogonal parts, with means of 1e6."""
+    n = 512
+    a = np.array([1.0 if i & 1 else -1.0 for i in range(n)])
+    b = np.array([1.0 if i & 2 else -1.0 for i in range(n)])
+    c = np.array([1.0 if i & 4 else -1.0 for i in range(n)])
+    for eps in (2.0**-10, 2.0**-24, 2.0**-33):
+        y = a + eps * b  # correlation 1 / sqrt(1 + eps^2), inflation 1 + 1 / eps^2 for both
+        rows = [(float(u), float(v), float(w) + 1e6) for u, v, w in zip(a, y, c)]
+        df = spark.createDataFrame(rows, "a double, y double, c double").repartition(7)
+        got = S.vif_values(df, ["a", "y", "c"])
+        want = 1 + 1 / eps**2
+        assert abs(got["a"] / want - 1) < 1e-4 and abs(got["y"] / want - 1) < 1e-4 and abs(got["c"] - 1) < 1e-6
+    exact = spark.createDataFrame([(float(u), float(3 * u + 1)) for u in a * 5 + b], "a double, y double")
+    assert set(S.vif_values(exact, ["a", "y"]).values()) == {float("inf")}
+
+
+def test_correlation_in_one_job_of_few_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (None, 3.0, 5.0)], "a double, b double, c double")
+    m = S.correlation_matrix(df, ["a", "b", "c"])
+    assert abs(m[0, 1] + 1) < 1e-12 and np.isnan(m[0, 2]) and m[2, 2] == 1
+    assert np.isnan(S.correlation_matrix(df.where("a > 9"), ["a", "b"])[0, 1])
