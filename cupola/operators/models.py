@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cupola.operators.prefix import running_totals
-from cupola.session import checkpoint_dir, materialise
+from cupola.session import materialise, table_path
 
 # ---------------------------------------------------------------------------------------
 # helpers
@@ -78,11 +78,9 @@ def forest_rows(model: PipelineModel) -> DataFrame:
     sends ``feature <= cut`` to ``left`` and the rest to ``right``; a leaf has neither and holds
     its training rows per class. Read from the files of the saved model, which go to the
     session's checkpoint folder; at most ``num_trees * 2 ** (max_depth + 1)`` rows."""
-    import uuid
-
     forest, names = model.stages[-1], model.stages[0].getInputCols()
     spark = SparkSession.getActiveSession()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/forest-{uuid.uuid4().hex}"
+    path = table_path(spark)
     forest.save(path)
     n = "nodeData"
     split = F.col(f"{n}.split.featureIndex")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cupola.operators.quantile import exact_quantiles_many
+from cupola.operators.quantile import exact_quantiles, exact_quantiles_many, group_quantiles
 from cupola.session import materialise
 
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -239,6 +239,18 @@ def fill_missing(df: DataFrame, strategies: dict, add_indicator: bool = False, e
     return df.withColumns(cols)
 
 
+def fill_missing_by_group(df: DataFrame, col: str, keys: Sequence[str], prob: float = 0.5, add_indicator: bool = False) -> DataFrame:
+    """Missing values of ``col`` replaced by the exact quantile (median) of the row's group, and by
+    that of the whole column where the group has no value or a key is NULL. One row per group is
+    joined to the data; the table keeps all its rows."""
+    groups = group_quantiles(df, keys, col, [prob]).select(*keys, F.col("q0").alias("_fill"))
+    whole = exact_quantiles(df, col, [prob])[0]
+    out = df.join(groups, list(keys), "left")
+    cols = {f"{col}_missing": _is_missing(df, col).cast("int")} if add_indicator else {}
+    cols[col] = F.coalesce(_value(df, col), F.coalesce(F.col("_fill"), F.lit(whole).cast("double")).cast(df.schema[col].dataType))
+    return out.withColumns(cols).select(*df.columns, *[c for c in cols if c != col])
+
+
 def drop_missing(df: DataFrame, cols: Sequence[str] | None = None, how: str = "any") -> DataFrame:
     """Drop rows with a missing value (``how="any"``) or all missing (``"all"``) in ``cols``."""
     cols = list(cols if cols is not None else df.columns)

@@ -19,6 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cupola.operators.prefix import running_totals
+from cupola.session import materialise
+
 
 def _clean(c: str):
     x = F.col(c).cast("double")
@@ -109,3 +112,32 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], interpolati
                     accuracy: int = 10000) -> list[float | None]:
     """Exact quantiles of one numeric column; see ``exact_quantiles_many``."""
     return exact_quantiles_many(df, {col: probs}, interpolation, accuracy)[col]
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float] = (0.5,)) -> DataFrame:
+    """Exact quantiles of ``col`` per group: the keys, ``n`` and ``q0, q1, ...`` in the order of ``probs``.
+
+    For any number of groups, and for groups of any size: rows become counts per (keys, value) in a
+    partial aggregate; ranges of (keys, value) cut them into pieces, and a two-level prefix sum
+    gives every value its ranks, so a group that holds a third of the table is spread over the
+    ranges. Linear interpolation as in ``exact_quantiles_many``. Rows with a NULL key or a
+    missing value are left out; a group without values has no row.
+    """
+    keys = list(keys)
+    known = F.col("_x").isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    counts = df.select(*keys, (_clean(col) + F.lit(0.0)).alias("_x")).where(known).groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialise(counts.repartitionByRange(*keys, "_x").withColumn("_piece", F.spark_partition_id()))
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("n"))
+    ranked = running_totals(counts, keys, ["_x"], F.col("_piece"), {"_upto": F.col("_n")}, inclusive=True).join(totals, keys)
+
+    def at(rank):
+        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_x")))
+
+    out, aggs = [], []
+    for i, p in enumerate(probs):
+        pos = (F.col("n") - 1) * F.lit(float(p))
+        aggs += [at(F.floor(pos)).alias(f"_lo{i}"), at(F.ceil(pos)).alias(f"_hi{i}")]
+        out.append((F.col(f"_lo{i}") + (pos - F.floor(pos)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}"))
+    return ranked.groupBy(*keys, "n").agg(*aggs).select(*keys, "n", *out)

@@ -19,7 +19,7 @@ from cupola.operators import models as ML
 from cupola.operators import select as S
 from cupola.operators import timeline as TL
 from cupola.operators.normalise import bad_value_report, discount_band_report, normalise_coupons
-from cupola.session import materialise
+from cupola.session import materialise, table_path
 from cupola.sources.tables import (
     coupon_view,
     events_with_gaps,
@@ -28,6 +28,7 @@ from cupola.sources.tables import (
     labelled_documents,
     lineitem_scores,
     read_coupons,
+    read_coupons_checked,
     read_table,
 )
 
@@ -74,11 +75,7 @@ def q_bad_value_report(spark, sf_dir):
 @register("coupon_csv")
 def q_coupon_csv(spark, sf_dir):
     # raw records as text files, read back by the CSV reader with its explicit schema
-    import uuid
-
-    from cupola.session import checkpoint_dir
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/coupons-{uuid.uuid4().hex}"
+    path = table_path(spark)
     view = coupon_view(spark, sf_dir)
     raw = view.select(F.col("l_orderkey").cast("string").alias("user_id"), F.lit("m").alias("merchant_id"),
                       F.col("l_partkey").cast("string").alias("coupon_id"), "rate_raw", F.lit("null").alias("distance"),
@@ -95,6 +92,21 @@ QUASI_FEATURES = ["rate_raw", "discount_rate", "min_spend", "date_int", "label",
                   "qty_le_48"]
 
 
+@register("coupon_quarantine")
+def q_coupon_quarantine(spark, sf_dir):
+    """A coupon file in which some ids are no numbers and some lines lack fields."""
+    view = coupon_view(spark, sf_dir)
+    key, part = F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")
+    whole = F.concat_ws(",", F.when(F.col("l_orderkey") % 97 == 0, F.concat(F.lit("x"), key)).otherwise(key), part, part, F.col("rate_raw"), F.lit("1"), F.col("date_raw"), F.lit("null"))
+    line = F.when(F.col("l_orderkey") % 89 == 0, F.concat_ws(",", key, part)).otherwise(whole)
+    path = table_path(spark)
+    view.select(line.alias("line")).write.text(path)
+    good, bad = read_coupons_checked(spark, path, header=False)
+    return (good.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("user_id_sum")).withColumn("part", F.lit("kept"))
+            .unionByName(bad.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("record")).alias("user_id_sum")).withColumn("part", F.lit("quarantine")))
+            .select("part", "n_rows", F.coalesce("user_id_sum", F.lit(0)).alias("checksum")))
+
+
 def _quasi_view(spark, sf_dir):
     view = coupon_view(spark, sf_dir, extra_columns=("l_returnflag", "l_linestatus", "l_quantity",
                                                      "l_discount", "l_tax", "l_shipdate"))
@@ -135,6 +147,13 @@ def q_missing_fill(spark, sf_dir):
         .select("event_id", "event_type", "value", "event_type_missing", "value_missing")
 
 
+@register("missing_fill_by_group")
+def q_missing_fill_by_group(spark, sf_dir):
+    # the median of the user's day, and of all events where that day has no value
+    ev = events_with_gaps(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    return Q.fill_missing_by_group(ev, "value", ["user_id", "day"]).select("event_id", "user_id", "day", "value")
+
+
 @register("dedup_exact")
 def q_dedup_exact(spark, sf_dir):
     return Q.dedup_exact(events_with_repeats(spark, sf_dir))
@@ -446,11 +465,7 @@ def q_model_compare(spark, sf_dir):
 
 def _sink(spark, scores):
     """Write a score table to a folder of its own and read it back."""
-    import uuid
-
-    from cupola.session import checkpoint_dir
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    path = table_path(spark)
     ML.write_scores(scores, path, mode="errorifexists")
     return spark.read.parquet(path)
 
@@ -553,8 +568,10 @@ def coupon_matrix(spark, sf_dir, periods=(("train", "1996-01-01", "1996-02-01",
                                           ("test", "1997-01-01", "1997-02-01", "1998-01-01"))):
     """One row per coupon of each period ``(split, history end, start, end)``: its own discount
     features, and those of its user, merchant, part and user-merchant pair from the history
-    before the period. The gap between history end and start keeps late labels out."""
-    coupons = _coupons_with_parties(spark, sf_dir)
+    before the period. The gap between history end and start keeps late labels out.
+
+    The parsed and joined coupons are written once; every period and kind reads that table."""
+    coupons = materialise(_coupons_with_parties(spark, sf_dir))
     out = None
     for split, history_end, start, end in periods:
         table = TL.split_filter(coupons, "l_shipdate", start, end)

@@ -152,7 +152,7 @@ def coupon_forecast(matrix: DataFrame, quasi_threshold: float = 0.95, chi_alpha:
         *[F.coalesce(F.col(c).cast("double"), F.lit(-1.0 if c.endswith(("rate", "avg", "last")) or c == "min_spend" else 0.0)).alias(c) for c in candidates]))
     train = table.where(F.col("split") == "train")
     bounds = Q.outlier_bounds(train, [c for c in candidates if c.endswith(("min_spend", "spend_avg"))], method="iqr", k=3.0)
-    table = Q.outlier_clip(table, bounds)
+    table = materialise(Q.outlier_clip(table, bounds))  # every fit and screen reads the clipped rows
     train, test = table.where(F.col("split") == "train"), table.where(F.col("split") == "test")
     _, report = Q.quasi_constant_filter(train, candidates, quasi_threshold, report_only=True)
     quasi = [r.feature for r in report.where("flagged").collect()]

@@ -618,3 +618,20 @@ c0 as (select {", ".join(_BINS)}, y, cast(count(*) * 1048576 as hugeint) as w fr
 {",".join(_boosting_round(r) for r in range(8))}
 {" union all ".join(f"select {r + 1} as round, feature, cast(threshold as bigint) as threshold, polarity, cast(wrong as bigint) as wrong_weight, cast(total as bigint) as total_weight from b{r}" for r in range(8))}
 """
+
+SQL["missing_fill_by_group"] = f"""
+with g as (select *, cast(ts as date) as day from ({EVENTS_GAPS})),
+m as (select user_id, day, quantile_cont(value, 0.5) as med from g where value is not null group by user_id, day)
+select event_id, g.user_id, g.day, coalesce(value, med, (select quantile_cont(value, 0.5) from g)) as value
+from g left join m on g.user_id = m.user_id and g.day = m.day
+"""
+
+SQL["coupon_quarantine"] = f"""
+with v as ({COUPON_VIEW_SQL}),
+f as (select l_orderkey, l_orderkey % 89 = 0 or l_orderkey % 97 = 0 as bad,
+        case when l_orderkey % 89 = 0 then concat_ws(',', l_orderkey, l_partkey)
+             else concat_ws(',', 'x' || l_orderkey, l_partkey, l_partkey, rate_raw, '1', date_raw, 'null') end as line from v)
+select 'kept' as part, count(*) as n_rows, cast(coalesce(sum(l_orderkey), 0) as bigint) as checksum from f where not bad
+union all
+select 'quarantine', count(*), cast(coalesce(sum(length(line)), 0) as bigint) from f where bad
+"""

@@ -62,11 +62,7 @@ def materialise(df):
     column pruning, pushed filters and measured size. Written files are committed
     per task, so a retried task leaves no partial output.
     """
-    import uuid
-
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
-    _TABLES.append(path)
+    path = table_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -74,8 +70,18 @@ def materialise(df):
 _TABLES: list[str] = []
 
 
+def table_path(spark: SparkSession) -> str:
+    """A fresh folder under the shared checkpoint folder, which ``drop_tables`` will delete."""
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
+
+
 def drop_tables(spark: SparkSession) -> int:
-    """Delete the tables that ``materialise`` has written in this process and return how many.
+    """Delete the folders that ``table_path`` has given in this process (all tables of
+    ``materialise`` among them) and return how many there were.
 
     To be called when the results that read them have been written or are no longer needed.
     """

@@ -37,7 +37,8 @@ def read_coupons(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Str
 
     By default text such as ``'null'`` stays text and ``normalise_coupons`` turns the
     missing tokens into NULL while it parses; ``null_value`` makes the CSV reader do
-    it for every column. A field that does not fit a typed column becomes NULL.
+    it for every column. A field that does not fit a typed column becomes NULL;
+    ``read_coupons_checked`` sets such records aside instead.
     """
     reader = spark.read.schema(schema)
     if fmt == "csv":
@@ -48,6 +49,28 @@ def read_coupons(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Str
     return reader.format(fmt).load(path)
 
 
+def read_coupons_checked(spark: SparkSession, path: str, schema: T.StructType = COUPON_SCHEMA, header: bool = True,
+                         null_value: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` of a coupon CSV file: ``bad`` has the text of every record that does not
+    fit the schema (``record``: an id that is no number, missing or surplus fields).
+
+    One pass over the file: the reader marks what it cannot parse, and both parts are written
+    to folders of one table under the session's checkpoint folder, so counting either reads
+    no CSV again. Their rows add up to the records of the file.
+    """
+    from cupola.session import table_path
+
+    mark = "_corrupt_record"
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(mark, T.StringType())])) \
+        .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", mark).option("nanValue", "NaN")
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    out = table_path(spark)
+    reader.csv(path).withColumn("_bad", F.col(mark).isNotNull()).write.partitionBy("_bad").parquet(out)
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField(mark, T.StringType()), T.StructField("_bad", T.BooleanType())])).parquet(out)
+    return table.where(~F.col("_bad")).drop(mark, "_bad"), table.where("_bad").select(F.col(mark).alias("record"))
+
+
 def coupon_view(spark: SparkSession, sf_dir: str, extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """Raw coupon records derived from ``lineitem`` (FIXTURES.md F4).
 
