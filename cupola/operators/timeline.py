@@ -67,6 +67,25 @@ def split_filter(df: DataFrame, ts_col: str, start=None, end=None) -> DataFrame:
     return df.where(cond)
 
 
+def rolling_folds(df: DataFrame, ts_col: str, origins: Sequence, history_days: int, horizon_days: int, gap_days: int = 0) -> DataFrame:
+    """Rolling-origin evaluation: ``df`` with ``fold`` (its number, from 0), ``origin`` and ``part``, a
+    row once for each fold that it belongs to.
+
+    At an origin o, ``history`` is ``[o - gap - history_days, o - gap)`` and ``target`` is ``[o, o + horizon_days)``.
+    One scan serves all folds: the fold is a column to group by. A row is repeated
+    at most once per origin whose window holds it, and rows of no fold are not kept.
+    """
+    if history_days <= 0 or horizon_days <= 0 or gap_days < 0:
+        raise ValueError("history and horizon must be positive, the gap not negative")
+    ts, day = F.col(ts_col), lambda o, n: _lit_ts(o) + F.expr(f"interval {n} days")
+    folds = []
+    for i, o in enumerate(origins):
+        past = (ts >= day(o, -gap_days - history_days)) & (ts < day(o, -gap_days))
+        ahead = (ts >= _lit_ts(o)) & (ts < day(o, horizon_days))
+        folds.append(F.when(past | ahead, F.struct(F.lit(i).alias("fold"), _lit_ts(o).alias("origin"), F.when(past, F.lit("history")).otherwise(F.lit("target")).alias("part"))))
+    return df.select("*", F.inline(F.filter(F.array(*folds), lambda f: f.isNotNull())))
+
+
 # ---------------------------------------------------------------------------------------
 # Redemption label
 # ---------------------------------------------------------------------------------------

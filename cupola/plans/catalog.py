@@ -303,6 +303,14 @@ def q_chi_square(spark, sf_dir):
     return out.withColumn("statistic", F.round("statistic", 6))
 
 
+@register("chi_merge")
+def q_chi_merge(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_discount", "l_returnflag"])
+    li = li.select("l_quantity", F.round(F.col("l_discount") * 100).alias("discount_pct"),
+                   F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+    return S.chi_merge(li, ["l_quantity", "discount_pct"], "label")
+
+
 @register("corr_pairs")
 def q_corr_pairs(spark, sf_dir):
     out = S.corr_pairs(_lineitem_labelled(spark, sf_dir, CORR_FEATURES), CORR_FEATURES)
@@ -596,3 +604,20 @@ def q_coupon_forecast(spark, sf_dir):
     from cupola.plans.forecast import coupon_forecast
 
     return coupon_forecast(coupon_matrix(spark, sf_dir)).comparison
+
+
+ROLLING_ORIGINS = ("2024-01-12", "2024-01-16", "2024-01-20", "2024-01-24")
+
+
+@register("rolling_origin_table")
+def q_rolling_origin_table(spark, sf_dir):
+    from cupola.plans.forecast import rolling_table
+
+    return rolling_table(read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"]), ROLLING_ORIGINS)
+
+
+@register("rolling_origin_auc")
+def q_rolling_origin_auc(spark, sf_dir):
+    from cupola.plans.forecast import rolling_evaluation
+
+    return rolling_evaluation(read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"]), ROLLING_ORIGINS)[1]

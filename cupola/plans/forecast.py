@@ -176,3 +176,45 @@ def coupon_forecast(matrix: DataFrame, quasi_threshold: float = 0.95, chi_alpha:
     scores = materialise(ML.score(lr, test, "lr", "id", "label").unionByName(ML.score(rf, test, "rf", "id", "label"))
                          .unionByName(ML.adaboost_scores(ada, test, "adaboost", "id", "label")).unionByName(knn))
     return ForecastResult(M.compare_models(scores, write_once=False), scores, feats, screening)
+
+
+ROLLING_FEATURES = ["n_events", "n_clicks", "n_purchases", "value_units", "days_since_last"]
+
+
+def rolling_table(events: DataFrame, origins, history_days: int = 10, horizon_days: int = 3) -> DataFrame:
+    """One row per (fold, user with history): features of the days before the fold's origin and
+    ``label``, whether the user buys in the days after it. One scan and one aggregate for all folds."""
+    f = TL.rolling_folds(events, "ts", origins, history_days, horizon_days)
+    past, of = F.col("part") == "history", lambda t: F.col("event_type") == t
+    units = F.when(past, F.round(F.col("value") * 100).cast("bigint"))
+    return f.groupBy("fold", "origin", "user_id").agg(
+        F.count_if(past).alias("n_events"), F.count_if(past & of("click")).alias("n_clicks"), F.count_if(past & of("purchase")).alias("n_purchases"),
+        F.coalesce(F.sum(units), F.lit(0)).alias("value_units"),
+        F.datediff(F.first("origin").cast("date"), F.max(F.when(past, F.col("ts"))).cast("date")).alias("days_since_last"),
+        F.max((~past & of("purchase")).cast("int")).alias("label"),
+    ).where("n_events > 0").drop("origin")
+
+
+def rolling_evaluation(events: DataFrame, origins, history_days: int = 10, horizon_days: int = 3, ada_rounds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """``(folds, spread)``: AUC of each model at each origin but the first, and per model its number of
+    folds, mean, smallest, largest and standard deviation, so that a ranking can be seen to move
+    with the time of the split. A model of a fold learns from the fold before it, whose labels end where the fold's
+    origin is or earlier. The fold table is written once."""
+    starts = sorted(str(o) for o in origins)
+    table = materialise(rolling_table(events, starts, history_days, horizon_days))
+    feats = ROLLING_FEATURES
+    parts = []
+    for i in range(1, len(starts)):
+        train, test = table.where(F.col("fold") == i - 1), table.where(F.col("fold") == i)
+        ada = ML.adaboost_fit(train, feats, "label", rounds=ada_rounds)
+        for scores in (ML.score(ML.fit_logistic(train, feats, "label", reg_param=0.01), test, "lr", "user_id", "label"),
+                       ML.score(ML.fit_forest(train, feats, "label", num_trees=20), test, "rf", "user_id", "label"),
+                       ML.adaboost_scores(ada, test, "adaboost", "user_id", "label")):
+            parts.append(scores.withColumn("fold", F.lit(i)))
+    scores = parts[0]
+    for p in parts[1:]:
+        scores = scores.unionByName(p)
+    folds = materialise(M.auc(materialise(scores), ["fold", "model"]))
+    spread = folds.groupBy("model").agg(F.count("auc").alias("n_folds"), F.avg("auc").alias("auc_mean"), F.min("auc").alias("auc_min"),
+                                        F.max("auc").alias("auc_max"), F.stddev_samp("auc").alias("auc_sd"))
+    return folds, spread

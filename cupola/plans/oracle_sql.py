@@ -635,3 +635,36 @@ select 'kept' as part, count(*) as n_rows, cast(coalesce(sum(l_orderkey), 0) as
 union all
 select 'quarantine', count(*), cast(coalesce(sum(length(line)), 0) as bigint) from f where bad
 """
+
+_CHI_OF = """(case when (s[i].p + s[i].n) * (s[i + 1].p + s[i + 1].n) * (s[i].p + s[i + 1].p) * (s[i].n + s[i + 1].n) > 0 then
+  (s[i].p + s[i].n + s[i + 1].p + s[i + 1].n) * (s[i].p * s[i + 1].n - s[i].n * s[i + 1].p) * (s[i].p * s[i + 1].n - s[i].n * s[i + 1].p)
+  / ((s[i].p + s[i].n) * (s[i + 1].p + s[i + 1].n) * (s[i].p + s[i + 1].p) * (s[i].n + s[i + 1].n)) else 0.0 end)"""
+
+SQL["chi_merge"] = f"""
+with recursive v as (
+  select 'l_quantity' as feature, l_quantity as x, l_returnflag from lineitem
+  union all select 'discount_pct', round(l_discount * 100), l_returnflag from lineitem),
+c as (select feature, x, cast(count_if(l_returnflag = 'R') as double) as p, cast(count_if(l_returnflag <> 'R') as double) as n from v where x is not null group by feature, x),
+s0 as (select feature, list(struct_pack(low := x, high := x, p := p, n := n) order by x) as s from c group by feature),
+m as (
+  select feature, s, list_transform(range(1, len(s)), lambda i: {_CHI_OF}) as chi from s0
+  union all
+  select feature, s, list_transform(range(1, len(s)), lambda i: {_CHI_OF}) as chi from (
+    select feature, list_concat(list_concat(s[:k - 1], [struct_pack(low := s[k].low, high := s[k + 1].high, p := s[k].p + s[k + 1].p, n := s[k].n + s[k + 1].n)]), s[k + 2:]) as s
+    from (select feature, s, chi, list_position(chi, list_min(chi)) as k from m
+          where len(chi) > 0 and (list_min(chi) < 3.841458820694124 or len(s) > 64)))),
+l as (select feature, s from m where len(chi) = 0 or not (list_min(chi) < 3.841458820694124 or len(s) > 64)),
+u as (select feature, unnest(range(1, len(s) + 1)) as i, s from l)
+select feature, cast(i as integer) as bin, s[i].low as low, s[i].high as high, cast(s[i].p as bigint) as n_pos, cast(s[i].n as bigint) as n_neg from u
+"""
+
+SQL["rolling_origin_table"] = """
+with o as (select * from (values (0, timestamp '2024-01-12'), (1, timestamp '2024-01-16'), (2, timestamp '2024-01-20'), (3, timestamp '2024-01-24')) t(fold, origin)),
+p as (
+  select fold, origin, user_id, count(*) as n_events, cast(count_if(event_type = 'click') as bigint) as n_clicks, cast(count_if(event_type = 'purchase') as bigint) as n_purchases,
+         cast(coalesce(sum(cast(round(value * 100) as bigint)), 0) as bigint) as value_units, max(ts) as last_ts
+  from events join o on ts >= origin - interval 10 day and ts < origin group by fold, origin, user_id)
+select fold, user_id, n_events, n_clicks, n_purchases, value_units, cast(date_diff('day', cast(last_ts as date), cast(origin as date)) as integer) as days_since_last,
+  cast(exists (select 1 from events e where e.user_id = p.user_id and e.event_type = 'purchase' and e.ts >= p.origin and e.ts < p.origin + interval 3 day) as integer) as label
+from p
+"""

@@ -113,3 +113,38 @@ def test_correlation_in_one_job_of_few_rows(spark):
     m = S.correlation_matrix(df, ["a", "b", "c"])
     assert abs(m[0, 1] + 1) < 1e-12 and np.isnan(m[0, 2]) and m[2, 2] == 1
     assert np.isnan(S.correlation_matrix(df.where("a > 9"), ["a", "b"])[0, 1])
+
+
+def _chi_merge_by_hand(pairs, threshold, max_bins):
+    bins = [[x, x, sum(y for v, y in pairs if v == x), sum(1 - y for v, y in pairs if v == x)] for x in sorted({v for v, _ in pairs})]
+    while len(bins) > 1:
+        chis = [S._chi_of_neighbours(*map(float, (a[2], a[3], b[2], b[3]))) for a, b in zip(bins, bins[1:])]
+        k = min(range(len(chis)), key=lambda i: chis[i])
+        if chis[k] >= threshold and len(bins) <= max_bins:
+            break
+        bins[k : k + 2] = [[bins[k][0], bins[k + 1][1], bins[k][2] + bins[k + 1][2], bins[k][3] + bins[k + 1][3]]]
+    return [tuple(b) for b in bins]
+
+
+def test_chi_merge_matches_merging_by_hand(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(b), int(rng.random() < (0.8 if 10 < a < 25 else 0.3))) for a, b in zip(rng.integers(0, 40, 600), rng.normal(size=600))]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1), (3.0, float("nan"), 0), (4.0, 1.0, None)], "a double, b double, y int").repartition(5)
+    sound = [*rows, (None, 1.0, 1), (3.0, None, 0)]
+    for threshold, max_bins in ((3.84, 64), (0.5, 5), (9.0, 1)):
+        got = {}
+        for r in S.chi_merge(df, ["a", "b"], "y", threshold, max_bins).orderBy("feature", "bin").collect():
+            got.setdefault(r.feature, []).append((r.low, r.high, r.n_pos, r.n_neg))
+        for j, f in enumerate("ab"):
+            assert got[f] == _chi_merge_by_hand([(r[j], r[2]) for r in sound if r[j] is not None], threshold, max_bins)
+    bins = S.chi_merge(df, ["a"], "y").cache()
+    n = {r["a_bin"]: r["count"] for r in S.apply_bins(df.where("y is not null"), bins, ["a"]).groupBy("a_bin").count().collect()}
+    assert n == {**{r.bin: r.n_pos + r.n_neg for r in bins.collect()}, None: 1}
+
+
+def test_chi_merge_starts_from_ranges_where_values_are_many(spark):
+    df = spark.range(5000).selectExpr("cast(id as double) as x", "cast(id >= 2000 and id < 3500 as int) as y")
+    got = S.chi_merge(df, ["x"], "y", start=100).orderBy("bin").collect()
+    assert len(got) == 3 and abs(got[0].high - 2000) <= 50 and abs(got[1].high - 3500) <= 50
+    assert sum(r.n_pos + r.n_neg for r in got) == 5000
+    assert S.chi_merge(df.where("x < 0"), ["x"], "y").count() == 0

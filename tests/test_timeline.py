@@ -210,3 +210,19 @@ def test_sliding_features_match_brute_force(spark):
                 assert r[f"n_distinct_c_{w}d"] == len({c for c, _ in inside} - {None})
     plan = TL.sliding_features(df, ["k"], "ts", (7,), {}, ["c"])._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_rolling_folds_repeat_rows_per_fold_without_overlap(spark, events):
+    origins = ["2024-01-10", "2024-01-14", "2024-01-18"]
+    got = TL.rolling_folds(events, "ts", origins, 6, 3, gap_days=1).toPandas()
+    for i, o in enumerate(pd.Timestamp(x) for x in origins):
+        f = got[got.fold == i]
+        past, ahead = f[f.part == "history"], f[f.part == "target"]
+        assert past.ts.min() >= o - pd.Timedelta(days=7) and past.ts.max() < o - pd.Timedelta(days=1)
+        assert ahead.ts.min() >= o and ahead.ts.max() < o + pd.Timedelta(days=3) and set(f.origin) == {o}
+        want = events.where(f"ts >= timestamp_ntz '{o - pd.Timedelta(days=7)}' and ts < timestamp_ntz '{o - pd.Timedelta(days=1)}'").count()
+        assert len(past) == want
+    plan = TL.rolling_folds(events, "ts", origins, 6, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    with pytest.raises(ValueError):
+        TL.rolling_folds(events, "ts", origins, 0, 3)
