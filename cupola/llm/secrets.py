@@ -1,16 +1,21 @@
 """Secret scan: pattern findings, widened by a character convolutional network.
 
 Three patterns give the base findings of a text (leftmost, non-overlapping per kind). A
-network then scores every other candidate, that is every run of token characters that mixes
-letters and digits, together with the characters around it. It is fitted on the base
-findings of a bounded sample (findings are positive, other candidates negative) and adds the
-candidates above a threshold; base findings always stay.
+network then scores every other candidate, that is every run of 12 token characters or more
+that touches no base span, together with the characters around it, and adds the candidates
+above a threshold; base findings always stay.
 
-The network is numpy: one-hot characters with an inside/outside plane, learned filters over
+It is fitted on the base findings of a bounded sample, in a form that no pattern takes: an
+assigned value without its key word, an access key without its prefix, a hexadecimal run with
+capitals. So it learns what secrets look like, not what the patterns look for. Negatives are the
+other candidates of the sample. ``held_out_kinds`` leaves one kind out of the fit at a time and
+says how much of it is found.
+
+The network is numpy: characters and their kinds (digit, letter, capital) one-hot with an inside/outside plane, learned filters over
 every position of the candidate and its context, ReLU, maximum over the positions inside and
 over those outside, one logistic unit. A fold of the findings is held out of the fit: Platt
-scaling on it calibrates the score, and the threshold is the largest one that keeps
-``recall`` of its findings. Without findings in the sample there is no network and the base
+scaling on it calibrates the score, and the threshold keeps ``recall`` of its findings, with
+half the gap to the other candidates to spare. Without findings in the sample there is no network and the base
 findings are the result.
 
 Spans are code point offsets, end exclusive.
@@ -41,14 +46,18 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 LEFT, RIGHT = 32, 16
 WIDTH, FILTERS = 5, 16
+#: Character codes, and after them the kinds of characters: digit, small letter, capital, other printable, the rest.
+CODES = 129
+KIND_OF = np.array([CODES + (0 if chr(c).isdecimal() else 1 if chr(c).islower() else 2 if chr(c).isupper() else 3 if 32 <= c < 127 else 4) for c in range(128)] + [CODES + 4])
 #: Positions that the network looks at together; longer windows are taken in blocks.
 BLOCK = 1 << 15
+#: Texts whose candidates are scored together.
+ROWS = 64
 
 _assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
 _access = re.compile(ACCESS)
 _hex = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # runs are maximal, so short ones may be passed over
 _candidate = re.compile(CANDIDATE)
-_digit, _letter = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -62,12 +71,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of token characters with a letter and a digit that touch no known span."""
+    """Runs of token characters that touch no known span."""
     out, k, reach = [], 0, -1
     for m in _candidate.finditer(text):
         a, b = m.span()
-        if not (_digit.search(text, a, b) and _letter.search(text, a, b)):
-            continue
         while k < len(known) and known[k][0] < b:
             reach = max(reach, known[k][1])
             k += 1
@@ -76,6 +83,25 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
+def disguised(text: str, without: int | None = None) -> list[tuple[str, int, int, int]]:
+    """``(text, start, end, kind number)`` of each base finding as no pattern would take it, in its
+    own context; none that touches a finding of kind ``without``."""
+    out, known = [], base_spans(text)
+    barred = [(a, b) for a, b, k in known if k == without]
+    for a, b, kind in known:
+        if any(a < e and s < b for s, e in barred):
+            continue
+        left, value, right = text[max(0, a - LEFT) : a], text[a:b], text[b : b + RIGHT]
+        value = _assign.match(value)[2] if kind == 0 else value[len("AKIA") :] if kind == 1 else value
+        if base_spans(value):  # a hexadecimal run: letters in both cases, or digits in groups
+            if value.isdecimal():
+                value = "-".join(value[i : i + 4] for i in range(0, len(value), 4))
+            else:
+                value = "".join(c.upper() if (i * 7 + a) % 3 == 0 or i % 8 == 7 else c for i, c in enumerate(value))
+        out.append((left + value + right, len(left), len(left) + len(value), kind))
+    return out
+
+
 def codes(text: str, a: int, b: int) -> tuple[np.ndarray, int, int]:
     """Character codes (0-127, 128 for all others) of a span with its context, and the span in it."""
     lo, hi = max(0, a - LEFT), min(len(text), b + RIGHT)
@@ -88,7 +114,8 @@ class Network:
 
     def __init__(self, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.table = rng.normal(0, 0.3, (WIDTH, 2, 129, FILTERS)).astype(np.float32)
+        self.table = rng.normal(0, 0.3, (WIDTH, 2, CODES + 5, FILTERS)).astype(np.float32)
+        self.table[:, :, :CODES] *= 0.1  # kinds lead, single characters refine
         self.bias = np.zeros(FILTERS, np.float32)
         self.out = rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32)
         self.out_bias = np.float32(0)
@@ -107,7 +134,7 @@ class Network:
                 first, last = max(lo, half - w), min(hi, n + half - w)
                 if first < last:
                     at = slice(first + w - half, last + w - half)
-                    act[first - lo : last - lo] += self.table[w, inside[at], code[at]]
+                    act[first - lo : last - lo] += self.table[w, inside[at], code[at]] + self.table[w, inside[at], KIND_OF[code[at]]]
             for side in (0, 1):
                 rows = np.flatnonzero(inside[lo:hi] == side)
                 if len(rows):
@@ -122,6 +149,49 @@ class Network:
     def margin(self, code, a, b) -> float:
         return float(self.pooled(code, a, b)[0] @ self.out + self.out_bias)
 
+    def margins(self, spans: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
+        """The margins of many spans, a block of them at a time; a span longer than a block by itself."""
+        half, out = WIDTH // 2, np.empty(len(spans))
+        zero = np.zeros((WIDTH, 2, 1, FILTERS), np.float32)
+        table = np.concatenate([self.table[:, :, :CODES] + self.table[:, :, KIND_OF], zero], 2).reshape(WIDTH, 2 * (CODES + 1), FILTERS)
+        todo: list[int] = []
+
+        def block() -> None:
+            pad = np.full(half, CODES, np.int64)
+            where = np.concatenate([pad, *[np.concatenate([spans[i][0] + np.where((np.arange(len(spans[i][0])) >= spans[i][1]) & (np.arange(len(spans[i][0])) < spans[i][2]), CODES + 1, 0), pad]) for i in todo]])
+            n = len(where) - 2 * half
+            act = np.tile(self.bias, (n, 1))
+            for w in range(WIDTH):
+                act += table[w][where[w : w + n]]
+            size = np.array([len(spans[i][0]) for i in todo])
+            start = np.cumsum(np.append(0, size[:-1] + half))
+            a, b = (start + np.array([spans[i][k] for i in todo]) for k in (1, 2))
+            ends = start + size
+            best = np.zeros((3, len(todo), FILTERS), np.float32)
+            act = np.vstack([act, np.zeros((1, FILTERS), np.float32)])
+            for k, (lo, hi) in enumerate(((start, a), (a, b), (b, ends))):
+                some = np.flatnonzero(lo < hi)
+                if len(some):
+                    cuts = np.column_stack([lo[some], hi[some]]).ravel()
+                    best[k, some] = np.maximum(np.maximum.reduceat(act, cuts)[::2], 0)
+            pooled = np.concatenate([np.maximum(best[0], best[2]), best[1]], 1)
+            out[todo] = pooled @ self.out + self.out_bias
+            todo.clear()
+
+        held = 0
+        for i, (code, a, b) in enumerate(spans):
+            if len(code) > BLOCK:
+                out[i] = self.margin(code, a, b)
+                continue
+            todo.append(i)
+            held += len(code)
+            if held > BLOCK:
+                block()
+                held = 0
+        if todo:
+            block()
+        return out
+
     def probability(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.scale * margin + self.shift, -30, 30))))
 
@@ -148,15 +218,16 @@ class Network:
                     for w in range(WIDTH):
                         q = p + w - half
                         if 0 <= q < len(code):
-                            at = (w, int(a <= q < b), code[q], f)
-                            g_table[at] += back[j] ** 2
-                            self.table[at] -= rate * back[j] / np.sqrt(g_table[at])
+                            for at in ((w, int(a <= q < b), code[q], f), (w, int(a <= q < b), KIND_OF[code[q]], f)):
+                                g_table[at] += back[j] ** 2
+                                self.table[at] -= rate * back[j] / np.sqrt(g_table[at])
 
     def probability_raw(self, best: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(best @ self.out + self.out_bias, -30, 30))))
 
     def calibrate(self, held: list[tuple[np.ndarray, int, int, int]], recall: float) -> None:
-        """Platt scaling on the held-out findings, then the largest threshold that keeps ``recall``."""
+        """Platt scaling on the held-out spans, then a threshold that keeps ``recall`` of the findings:
+        half-way (in margins) from there down to the highest other candidate where there is a gap."""
         m = np.array([self.margin(c, a, b) for c, a, b, _ in held])
         y = np.array([f[3] for f in held], float)
         n1, n0 = y.sum(), len(y) - y.sum()
@@ -167,31 +238,31 @@ class Network:
             s -= 0.05 * float(np.mean((p - goal) * m))
             t -= 0.05 * float(np.mean(p - goal))
         self.scale, self.shift = max(s, 1e-3), t
-        scores = np.sort([self.probability(x) for x in m[y == 1]])
-        self.threshold = float(scores[int(np.floor((1 - recall) * len(scores)))])
+        found = np.sort(m[y == 1])
+        least = float(found[int(np.floor((1 - recall) * len(found)))])
+        other = float(m[y == 0].max(initial=-np.inf))
+        self.threshold = self.probability(least if not np.isfinite(other) else min(least, (least + other) / 2))
+
 
+#: Negatives that the fit takes for each finding that it may take.
+NEGATIVES = 3
 
-def labelled(texts: list[str], most: int) -> list[tuple[np.ndarray, int, int, int]]:
-    """Findings (1) and other candidates (0) of the sample, at most ``most`` of each."""
+
+def labelled(texts: list[str], most: int, without: int | None = None) -> list[tuple[np.ndarray, int, int, int]]:
+    """Disguised findings (1), at most ``most`` and none that touches kind ``without``, and other candidates
+    (0), at most ``NEGATIVES`` times as many."""
     pos, neg = [], []
     for t in texts:
         known = base_spans(t)
         if len(pos) < most:
-            pos += [(*codes(t, a, b), 1) for a, b, _ in known]
-        if len(neg) < most:
+            pos += [(*codes(d, a, b), 1) for d, a, b, _ in disguised(t, without)]
+        if len(neg) < NEGATIVES * most:
             neg += [(*codes(t, a, b), 0) for a, b in candidates(t, known)]
-    return pos[:most] + neg[:most]
+    return pos[:most] + neg[: NEGATIVES * most]
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int, sample_bytes: int, findings: int, recall: float) -> Network | None:
-    """A network fitted on the findings of at most ``sample_rows`` rows; None without findings."""
-    rows = bounded_rows(docs, id_col, text_col, [], sample_rows, sample_bytes)
-    found = labelled([r[1] or "" for r in rows], findings)
-    if len(found) > 1:
-        # words that no pattern takes are the usual negatives; a few long ones stand in where mixed runs are rare
-        short = findings - sum(f[3] == 0 for f in found)
-        words = [(r[1], *m.span()) for r in rows for m in re.finditer(r"[^\s]{12,}", r[1] or "")][: max(0, short)]
-        found += [(*codes(t, a, b), 0) for t, a, b in words if not any(a < e and s < b for s, e, _ in base_spans(t[max(0, a - 80) : b + 80]))]
+def trained(found: list[tuple[np.ndarray, int, int, int]], recall: float) -> Network | None:
+    """A network fitted on three quarters of the labelled spans, with its threshold from the rest."""
     train = [f for i, f in enumerate(found) if i % 4]
     held = [f for i, f in enumerate(found) if i % 4 == 0]
     if not any(f[3] for f in train) or not any(f[3] for f in held) or all(f[3] for f in train):
@@ -202,6 +273,28 @@ def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int, sample_by
     return net
 
 
+def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int, sample_bytes: int, findings: int, recall: float) -> Network | None:
+    """A network fitted on the findings of at most ``sample_rows`` rows; None without findings."""
+    rows = bounded_rows(docs, id_col, text_col, [], sample_rows, sample_bytes)
+    return trained(labelled([r[1] or "" for r in rows], findings), recall)
+
+
+def held_out_kinds(texts: list[str], others: list[str], findings: int = 400, recall: float = 0.995) -> dict[str, tuple[int, float, float]]:
+    """For each kind, ``(findings, share found, share of other candidates added)`` in ``others`` by a
+    network that was fitted on ``texts`` without that kind."""
+    out = {}
+    for k, name in enumerate(KINDS):
+        net = trained(labelled(texts, findings, without=k), recall)
+        if net is None:
+            continue
+        hit = lambda t, a, b: net.probability(net.margin(*codes(t, a, b))) >= net.threshold  # noqa: B023, E731
+        found = [hit(d, a, b) for t in others for d, a, b, kind in disguised(t) if kind == k]
+        clean = [hit(t, a, b) for t in others for a, b in candidates(t, base_spans(t))]
+        if found:
+            out[name] = (len(found), sum(found) / len(found), sum(clean) / max(1, len(clean)))
+    return out
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1500, sample_bytes: int = 16 << 20,
          findings: int = 400, recall: float = 0.995) -> DataFrame:
     """Rows ``(id, base, added)``: arrays of ``struct(kind, start, end[, score])`` per document.
@@ -219,18 +312,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, added = [], []
-            for t in values(batch.column(1)):
-                known = base_spans(t)
-                base.append([{"kind": KINDS[k], "start": a, "end": b, "score": None} for a, b, k in known])
-                more = []
-                if net is not None:
-                    for a, b in candidates(t, known):
-                        p = net.probability(net.margin(*codes(t, a, b)))
-                        if p >= net.threshold:
-                            more.append({"kind": "network", "start": a, "end": b, "score": p})
-                added.append(more)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, arrow), pa.array(added, arrow)], [id_col, "base", "added"])
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                base, added, of, spans = [], [], [], []
+                for i, t in enumerate(values(part.column(1), 64)):
+                    known = base_spans(t)
+                    base.append([{"kind": KINDS[k], "start": a, "end": b, "score": None} for a, b, k in known])
+                    added.append([])
+                    if net is not None:
+                        more = candidates(t, known)
+                        of += [(i, a, b) for a, b in more]
+                        spans += [codes(t, a, b) for a, b in more]
+                for (i, a, b), m in zip(of, net.margins(spans).tolist() if spans else ()):
+                    if (p := net.probability(m)) >= net.threshold:
+                        added[i].append({"kind": "network", "start": a, "end": b, "score": p})
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(base, arrow), pa.array(added, arrow)], [id_col, "base", "added"])
 
     return src.mapInArrow(run, f"`{id_col}` {kind}, base {span}, added {span}")
 
