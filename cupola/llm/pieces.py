@@ -40,7 +40,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format (
 BPE = 2  # model type of the model format (fixed value)
 #: Rows per Arrow batch handed back; segments and pairs that a worker's memos hold; longest segment kept.
 ROWS_OUT = 256
-MEMO_SEGMENTS = 200_000
+MEMO_SEGMENTS = 400_000
 MEMO_PAIRS = 1_000_000
 MEMO_CHARS = 64
 
@@ -149,46 +149,50 @@ class Coder:
         self.is_byte = [t == BYTE for _, _, t in pieces]
 
     def may_follow(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        got = self.pairs.get(key)
-        if got is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            x, y = self.text[a], self.text[b]
-            got = self.pairs[key] = merged(list(x + y), self.score) == [x, y]
+        """Whether the two pieces stay apart when their characters are merged again."""
+        if len(self.pairs) >= MEMO_PAIRS:
+            self.pairs.clear()
+        x, y = self.text[a], self.text[b]
+        got = self.pairs[a << 32 | b] = merged(list(x + y), self.score) == [x, y]
         return got
 
     def tokens(self, segment: str) -> list[int]:
         """Token numbers of a segment whose characters all are tokens."""
-        n, size, shorter = len(segment), self.size, self.shorter
+        n, size, shorter, pairs = len(segment), self.size, self.shorter, self.pairs
         longest = [-1] * (n + 1)
         for end, tok in self.automaton.iter(segment):
-            at = end + 1 - size[tok]
-            if longest[at] < 0 or size[tok] > size[longest[at]]:
-                longest[at] = tok
-        failed = bytearray((n >> 3) + 1)
+            longest[end + 1 - size[tok]] = tok  # ends come in order, so the longest stays
+        failed = None  # bitfield of places, made when the first one fails
         out: list[int] = []
-        at, tok = 0, longest[0]
+        at, tok, last = 0, longest[0], -1
         while at < n:
             while tok >= 0:
                 end = at + size[tok]
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.may_follow(out[-1], tok)):
-                    break
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last << 32 | tok)
+                    if fits or (fits is None and self.may_follow(last, tok)):
+                        break
                 tok = shorter[tok]
             if tok >= 0:
                 out.append(tok)
-                at += size[tok]
-                tok = longest[at]
+                last, at, tok = tok, end, longest[end]
             else:  # nothing may follow here: give the place up, go on with a shorter piece before it
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 tok = out.pop()
                 at -= size[tok]
-                tok = shorter[tok]
+                last, tok = out[-1] if out else -1, shorter[tok]
         return out
 
     def segment(self, segment: str) -> bytes:
         """Packed ids of a segment; a character that is no token stands between the parts it leaves."""
-        ids, start, known = [], 0, self.alphabet
+        known = self.alphabet
+        if known.issuperset(segment):
+            return b"".join([self.out[k] for k in self.tokens(segment)])
+        ids, start = [], 0
         for i, c in enumerate(segment):
             if c not in known:
                 if start < i:
