@@ -52,8 +52,8 @@ def unpack(bucket: int, tokens: bytes, names: bytes, tags: bytes) -> tuple[np.nd
 def lists(posted: DataFrame, buckets: int, heads: bool = False, dealt=None) -> DataFrame:
     """Rows ``(token, first, first_tag, name, tag)`` of the lists with two names or more.
 
-    ``first`` is the smallest name of the list; with ``heads``, the smallest one with a positive
-    tag, lists without one are left out, and the tags of a name add up. ``dealt`` replaces the postings of a bucket by others
+    ``first`` is the smallest name of the list; with ``heads``, the smallest one with the largest tag,
+    lists without a positive tag are left out, and the tags of a name add up. ``dealt`` replaces the postings of a bucket by others
     (arrays in, arrays out), so that lists are split before they are read.
     """
     import pyarrow as pa
@@ -83,10 +83,10 @@ def lists(posted: DataFrame, buckets: int, heads: bool = False, dealt=None) -> D
         keep = length > 1
         first = at
         if heads:
-            tagged = np.flatnonzero(tag > 0)
-            k = np.searchsorted(tagged, at)
-            first = np.append(tagged, len(tok))[k]
-            keep &= first < at + length
+            most = np.maximum.reduceat(tag, at)
+            best = np.flatnonzero(tag == np.repeat(most, length))
+            first = best[np.searchsorted(best, at)]
+            keep &= most > 0
         head = np.repeat(first, length)
         keep = np.flatnonzero(np.repeat(keep, length))
         for k in range(0, len(keep), 1 << 16):
