@@ -163,59 +163,228 @@ def _classes(rows: DataFrame, vec: str) -> DataFrame:
     return rows.withColumns({"_h1": F.xxhash64(vec), "_h2": F.xxhash64(F.lit(7), vec)})
 
 
-def _approximations(entries: DataFrame, low: np.ndarray, step: np.ndarray, block: str, n_blocks: int, block_rows: int) -> DataFrame:
-    """One row per block of ``entries(e, v)``: ids, one byte per component, and the distance of
-    each vector from the middle of its cell."""
+def _grid(sides: DataFrame, n_dims: int) -> list[list[float]]:
+    """Cut points of the dimensions that order vectors in space: quantiles, up to 60 bits in all."""
+    bits = max(1, min(8, 60 // max(1, n_dims)))
+    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
+    x = F.col("x").cast("double")
+    cuts = sides.select(F.posexplode("v").alias("j", "x")).where(F.col("j") < 60).groupBy("j").agg(F.percentile_approx(x, probs, 2000).alias("cuts")).collect()
+    return [r["cuts"] for r in sorted(cuts, key=lambda r: r["j"])]  # a row per dimension
+
+
+def _place(entries: DataFrame, cuts: list[list[float]]) -> DataFrame:
+    """``entries`` with ``z``: the bits of their cells in all dimensions, interleaved, so that
+    near vectors mostly have near numbers."""
     import pyarrow as pa
 
-    schema = pa.schema([(block, pa.int32()), (f"{block}_ids", pa.binary()), (f"{block}_codes", pa.binary()), (f"{block}_off", pa.binary())])
+    names = entries.columns
+    bits = (len(cuts[0]) if cuts else 1).bit_length()
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            v = batch.column(names.index("v")).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
+            z = np.zeros(n, np.int64)
+            cells = [np.searchsorted(np.asarray(c), v[:, j], "right") for j, c in enumerate(cuts) if j < v.shape[1]]
+            for b in range(bits - 1, -1, -1):
+                for cell in cells:
+                    z = (z << 1) | ((cell >> b) & 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(z)], [*names, "z"])
+
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema)
+    return entries.mapInArrow(run, f"{kind}, z long")
+
+
+def _blocks(entries: DataFrame, n_blocks: int, block_rows: int, dim: int, approximate: bool) -> DataFrame:
+    """One row per block of ``entries(v, z, names...)`` that are neighbours in space: ``n``, the box
+    (``lo``, ``hi``), the names, and the vectors.
+
+    Approximate vectors are one byte per component, the nearest of 256 values that divide the
+    block's own distinct values evenly (``book``), with the distance of each from what the bytes say (``off``).
+    """
+    import pyarrow as pa
+
+    ids = [c for c in entries.columns if c not in ("v", "z")]
+    schema = pa.schema([("n", pa.int32()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())),
+                        *[(c, pa.binary()) for c in ids], ("x", pa.binary()), ("off", pa.binary()), ("book", pa.binary())])
+
+    def values(x):
+        x = np.unique(x)
+        return x[np.linspace(0, len(x) - 1, 256).round().astype(int)] if len(x) > 256 else np.append(x, np.full(256 - len(x), x[-1]))
 
     def pack(table):
-        dim, n = len(low), table.num_rows
-        ids = table.column("e").to_numpy()
+        n = table.num_rows
         v = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
         if v.shape[1] != dim:
             raise ValueError("vectors of different lengths")
-        codes = np.clip(np.floor((v - low) / step), 0, 255).astype(np.uint8)
-        off = np.sqrt(((v - (low + (codes + 0.5) * step)) ** 2).sum(1))
-        return pa.table([[int(table.column(block)[0].as_py())], [ids.tobytes()], [codes.tobytes()], [off.tobytes()]], schema=schema)
+        lo, hi, off, book, x = v.min(0), v.max(0), np.zeros(0), np.zeros(0), v
+        if approximate:
+            book = np.stack([values(v[:, j]) for j in range(dim)], 1)
+            between = book[1:] / 2 + book[:-1] / 2
+            x = np.stack([np.searchsorted(between[:, j], v[:, j]) for j in range(dim)], 1).astype(np.uint8)
+            off = np.sqrt(((v - book[x, np.arange(dim)]) ** 2).sum(1))
+        names = [[table.column(c).to_numpy().tobytes()] for c in ids]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([[n], [lo], [hi], *names, [x.tobytes()], [off.tobytes()], [book.tobytes()]], schema.types)], schema=schema)
 
-    kind = f"{block} int, {block}_ids binary, {block}_codes binary, {block}_off binary"
-    dealt = entries.withColumn(block, F.pmod(F.xxhash64("e"), F.lit(n_blocks)).cast("int"))
-    return dealt.select(block, "e", F.transform("v", lambda x: x.cast("double")).alias("v")).groupBy(block).applyInArrow(pack, kind)
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held, rows = [*held, batch], rows + batch.num_rows
+            while rows >= block_rows:
+                table = pa.Table.from_batches(held)
+                yield pack(table.slice(0, block_rows))
+                held, rows = table.slice(block_rows).to_batches(), rows - block_rows
+        if rows:
+            yield pack(pa.Table.from_batches(held))
 
+    dealt = entries.withColumn("v", F.transform("v", lambda x: x.cast("double"))).repartitionByRange(n_blocks, "z", *ids).sortWithinPartitions("z", *ids)
+    kind = f"n int, lo array<double>, hi array<double>, {', '.join(f'{c} binary' for c in ids)}, x binary, off binary, book binary"
+    return dealt.mapInArrow(run, kind)
 
-def _survivors(cells: DataFrame, step: np.ndarray, k: int, block_cells: int) -> DataFrame:
-    """Pairs ``(q, t, low, high)`` of a cell's query and training vectors with bounds of their
-    distance, but those that the cell's ``k`` least upper bounds rule out."""
-    import pyarrow as pa
 
-    dim = len(step)
+def _routes(asking: DataFrame, offered: DataFrame, k: int) -> DataFrame:
+    """``(g, c, least)``: the blocks ``c`` that may hold one of the ``k`` nearest of a vector of the
+    block ``g``, with the distance of their boxes.
 
-    def side(row, block):
-        ids, off = np.frombuffer(row[f"{block}_ids"], np.int64), np.frombuffer(row[f"{block}_off"])
-        x = (np.frombuffer(row[f"{block}_codes"], np.uint8).reshape(len(ids), dim) - 127.5) * step
-        return ids, off, x, (x * x).sum(1)
+    A block of ``k`` rows and more, all of them no further than the far corners of both boxes,
+    rules out every block whose box lies beyond. Only boxes are compared here, a pair per two blocks.
+    """
+    pairs = asking.select("g", F.col("lo").alias("glo"), F.col("hi").alias("ghi")).crossJoin(offered.select("c", F.col("n").alias("m"), "lo", "hi"))
+    near = F.zip_with(F.zip_with("lo", "ghi", lambda a, b: a - b), F.zip_with("glo", "hi", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    far = F.zip_with(F.zip_with("hi", "glo", lambda a, b: a - b), F.zip_with("ghi", "lo", lambda a, b: a - b), lambda a, b: F.greatest(a, b))
+    length = lambda x: F.sqrt(F.aggregate(x, F.lit(0.0), lambda acc, y: acc + y * y))
+    pairs = pairs.select("g", "c", "m", (length(near) * (1 - 1e-9)).alias("least"), (length(far) * (1 + 1e-9)).alias("most"))
+    bound = pairs.where(F.col("m") >= k).groupBy("g").agg(F.min("most").alias("bound"))
+    return pairs.join(bound, "g", "left").where(F.col("bound").isNull() | ~(F.col("least") > F.col("bound"))).select("g", "c", "least")
+
+
+def _nearest(hits: tuple, k: int) -> tuple:
+    """Of ``(row, high)`` the ``k`` least of every row, as ``(rows, table)``."""
+    row, high = hits
+    order = np.lexsort((high, row))
+    row, high = row[order], high[order]
+    rows, first, size = np.unique(row, return_index=True, return_counts=True)
+    place = np.arange(len(row)) - np.repeat(first, size)
+    out = np.full((len(rows), k), np.inf)
+    keep = place < k
+    out[np.repeat(np.arange(len(rows)), size)[keep], place[keep]] = high[keep]
+    return rows, out
+
+
+class _Search:
+    """The ``k`` nearest of a block of query vectors among blocks of approximations that come one
+    after another; what is kept are bounds and the names of survivors."""
+
+    def __init__(self, q: np.ndarray, k: int, block_cells: int):
+        self.q, self.k, self.cells = q, k, block_cells
+        self.top = np.full((len(q), k), np.inf)  # least upper bounds
+        self.found: list[tuple] = []  # (query, name, lower bound, upper bound)
+        self.size = self.limit = 0
+
+    def add(self, names, lo, hi, codes, off, book):
+        middle = book[len(book) // 2]
+        x = book[codes, np.arange(len(lo))] - middle
+        box = np.maximum(np.maximum(lo - self.q, self.q - hi), 0.0)
+        active = np.flatnonzero(~(np.sqrt((box * box).sum(1)) * (1 - 1e-9) > self.top[:, -1]))
+        # the few vectors far from what their bytes say meet every query one by one
+        usual = np.sort(off)[int(0.98 * len(off))]
+        tight, loose = np.flatnonzero(off <= 2 * usual), np.flatnonzero(off > 2 * usual)
+        t, xx = x[tight], (x[tight] ** 2).sum(1)
+        far, widest = np.sqrt(xx.max()), off[tight].max()
+        kind = np.float32 if len(lo) > 16 and far < 1e15 and far < 4 * np.sqrt(np.median(xx)) else np.float64
+        eps = (len(lo) + 8) * (1.2e-7 if kind is np.float32 else 3e-16)
+        # |q - x|^2 - |q|^2 in one product
+        t = np.vstack([-2.0 * t.T, xx]).astype(kind)
+        ends = max(np.abs(lo).max(), np.abs(hi).max())
+        for s in range(0, len(active), max(1, self.cells // len(names))):
+            rows = active[s : s + max(1, self.cells // len(names))]
+            q = self.q[rows] - middle
+            qq = (q * q).sum(1)
+            slack = eps * (np.sqrt(qq) + far) ** 2
+            blur = widest + self.blur(rows, ends)
+            part = np.hstack([q, np.ones((len(rows), 1))]).astype(kind) @ t
+
+            def within(bound):
+                with np.errstate(over="ignore"):
+                    edge = ((bound + blur) ** 2 - qq + slack).astype(kind)
+                return ~(part > np.nextafter(edge, kind(np.inf))[:, None])
+
+            bound = self.top[rows, -1]
+            mask = within(bound)
+            if len(tight) >= self.k and np.count_nonzero(mask) > 8 * self.k * len(rows):
+                # the k-th least in this block is a bound too
+                kth = np.partition(part, self.k - 1, axis=1)[:, self.k - 1].astype(float)
+                mine = (np.sqrt(np.maximum(kth + qq + slack, 0.0)) + blur) * (1 + 1e-9)
+                mask &= within(np.fmin(bound, np.where(np.isnan(mine), np.inf, mine)))
+            r, c = np.nonzero(mask)
+            r, c = np.append(r, np.repeat(np.arange(len(rows)), len(loose))), np.append(tight[c], np.tile(loose, len(rows)))
+            for z in range(0, len(r), 1 << 16):
+                self.meet(rows[r[z : z + (1 << 16)]], c[z : z + (1 << 16)], names, x, middle, off, ends)
+
+    def blur(self, rows, ends):
+        """What rounding may add to the distance of a vector from a cell."""
+        return 1e-15 * len(self.q[0]) ** 0.5 * (np.abs(self.q[rows]).max(1) + ends)
+
+    def meet(self, row, c, names, x, middle, off, ends):
+        d = np.sqrt((((self.q[row] - middle) - x[c]) ** 2).sum(1))
+        off = off[c] + self.blur(row, ends)
+        low, high = np.maximum(d - off, 0.0) * (1 - 1e-9), (d + off) * (1 + 1e-9)
+        high = np.where(np.isnan(high), np.inf, high)
+        mine, best = _nearest((row, high), self.k)
+        self.top[mine] = np.partition(np.hstack([self.top[mine], best]), self.k - 1, axis=1)[:, : self.k]
+        self.top[mine] = np.sort(self.top[mine], axis=1)
+        left = ~(low > self.top[row, -1])
+        self.found.append((row[left], names[c[left]], low[left], high[left]))
+        self.size += int(left.sum())
+        if self.size > max(1 << 20, 2 * self.limit):
+            self.limit = len(self.survivors()[0])
+
+    def survivors(self) -> tuple:
+        row, name, low, high = (np.concatenate(x) for x in zip(*self.found)) if self.found else [np.zeros(0, t) for t in (np.int64, np.int64, float, float)]
+        left = ~(low > self.top[row, -1])
+        self.found = [(row[left], name[left], low[left], high[left])]
+        self.size = len(self.found[0][0])
+        return self.found[0]
+
+
+def _survivors(cells: DataFrame, k: int, dim: int, block_cells: int) -> DataFrame:
+    """Rows ``(h1, h2, q, t, low, high)``: a query's name and vector, and the training vectors that
+    its ``k`` least upper bounds leave, from rows sorted by query block ``g`` and part ``s``: the
+    query block itself, then its training blocks, the nearest first. One training block is held at a time."""
+    import pyarrow as pa
+
+    schema = pa.schema([("_h1", pa.int64()), ("_h2", pa.int64()), ("qv", pa.list_(pa.float64())), ("t", pa.list_(pa.int64())),
+                        ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))])
+
+    def result(search, h1, h2):
+        row, name, low, high = search.survivors()
+        order = np.argsort(row, kind="stable")
+        row, values = row[order], [name[order], low[order], high[order]]
+        some, first = np.unique(row, return_index=True)
+        for s in range(0, len(some), 1024):
+            mine, ends = some[s : s + 1024], np.append(first, len(row))[s : s + 1025]
+            at = pa.array(ends - ends[0], pa.int32())
+            vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(mine) + 1) * dim, pa.int32()), pa.array(search.q[mine].ravel()))
+            lists = [pa.ListArray.from_arrays(at, pa.array(x[ends[0] : ends[-1]])) for x in values]
+            yield pa.RecordBatch.from_arrays([pa.array(h1[mine]), pa.array(h2[mine]), vectors, *lists], schema=schema)
 
     def run(batches):
+        search = h1 = h2 = None
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                tid, t_off, t, tt = side(row, "c")
-                qid, q_off, q, qq = side(row, "g")
-                kk = min(k, len(tid))
-                for s in range(0, len(qid), max(1, block_cells // len(tid))):
-                    z = slice(s, s + max(1, block_cells // len(tid)))
-                    both = qq[z, None] + tt[None, :]
-                    mid = both - 2.0 * (q[z] @ t.T)
-                    slack, off = 1e-11 * both, q_off[z, None] + t_off[None, :]
-                    high = (np.sqrt(np.maximum(mid, 0.0) + slack) + off) * (1 + 1e-9)
-                    low = np.maximum(np.sqrt(np.maximum(mid - slack, 0.0)) - off, 0.0) * (1 - 1e-9)
-                    r, c = np.nonzero(~(low > np.partition(high, kk - 1, axis=1)[:, kk - 1, None]))
-                    cols = [qid[z][r], tid[c], low[r, c], high[r, c]]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["q", "t", "low", "high"])
-
-    return cells.mapInArrow(run, "q long, t long, low double, high double")
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                if row["c"] is None:
+                    if search is not None:
+                        yield from result(search, h1, h2)
+                    h1, h2 = (np.frombuffer(row[x], np.int64) for x in ("_h1", "_h2"))
+                    search = _Search(np.frombuffer(row["x"]).reshape(-1, dim), k, block_cells)
+                else:
+                    search.add(np.frombuffer(row["e"], np.int64), np.array(row["lo"]), np.array(row["hi"]),
+                               np.frombuffer(row["x"], np.uint8).reshape(-1, dim), np.frombuffer(row["off"]), np.frombuffer(row["book"]).reshape(-1, dim))
+        if search is not None:
+            yield from result(search, h1, h2)
+
+    return cells.mapInArrow(run, "_h1 long, _h2 long, qv array<double>, t array<long>, low array<double>, high array<double>")
 
 
 def knn_neighbours(
@@ -233,15 +402,19 @@ def knn_neighbours(
     """The exact ``k`` nearest training rows of every query row:
     ``qid, tid, tlabel, dist2, rank, fetched`` (ties broken by training id).
 
-    A vector-approximation file: every vector is one byte per component (its place in a grid of
-    256 steps per dimension over both sides) and its distance from the middle of its grid cell.
-    The distance of two middles, less and plus the two offsets, bounds the distance of two
-    vectors. Blocks of about ``block_rows`` approximations meet pairwise; a pair of vectors
-    survives its cell, and then its query, unless its lower bound is above the k-th least upper
-    bound. Full vectors are joined to the survivors only (``fetched`` is how many a query had),
-    and the exact distances decide: sums of squares in doubles, left to right.
-
-    Each block is copied once per block of the other side, whatever the session's settings.
+    A vector-approximation file over blocks in space. Vectors are ordered by the interleaved bits of
+    their quantile cells and cut into blocks of at most ``block_rows``; a training vector is one byte
+    per component, the nearest of 256 values that divide those of its own block evenly, and its
+    distance from the vector that the bytes say. So cells are fine where vectors are dense, and a long
+    tail costs little. The distance of a query from that vector, less and plus the offset, bounds
+    the distance of two vectors. A block of queries meets the training blocks whose boxes may hold a
+    neighbour, the nearest first and one at a time; a training vector survives unless its lower
+    bound is above the query's k-th least upper bound. Full vectors are joined to the survivors
+    only (``fetched`` is how many a query had), and the exact distances decide: sums of squares
+    in doubles, left to right.
+
+    Each training block is copied once per block of queries that its box concerns, whatever the
+    session's settings, and only survivors are written.
     Equal vectors are one entry with the ``k + 1`` smallest ids, which are all that a result can
     hold; so many copies of a vector do not multiply. A caller that wants an error for a large
     training side sets ``max_train_rows``; there is no bound otherwise. Rows whose vector is
@@ -258,32 +431,44 @@ def knn_neighbours(
         .select(F.monotonically_increasing_id().alias("e"), "v", "rows"))
     q = query.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("v")).where(_sound(F.col("v")))
     q = materialise(_classes(q, "v"))
-    asked = materialise(q.groupBy("_h1", "_h2").agg(F.first("v").alias("v")).withColumn("e", F.monotonically_increasing_id()))
+    asked = materialise(q.groupBy("_h1", "_h2").agg(F.first("v").alias("v")))
 
     sides = entries.select("v", F.lit(0).alias("s")).unionByName(asked.select("v", F.lit(1).alias("s")))
-    x = F.col("x").cast("double")
-    ends = sides.select("s", F.posexplode("v").alias("j", "x")).groupBy("j").agg(F.min(x), F.max(x), F.count_if(F.col("s") == 0), F.count_if(F.col("s") == 1)).collect()
-    ends = sorted(tuple(r) for r in ends)  # a row per dimension
-    low = np.array([r[1] for r in ends])
-    step = np.array([(r[2] / 256 - r[1] / 256) or 1.0 for r in ends])
-    n_t, n_q = (max(1, math.ceil(ends[0][i] / block_rows)) if ends else 1 for i in (3, 4))
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    offered = materialise(_approximations(entries, low, step, "c", n_t, block_rows))
-    asking = materialise(_approximations(asked, low, step, "g", n_q, block_rows))
-    tasks = n_t * n_q if n_t * n_q <= 4096 else max(4096, int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cells = offered.withColumn("g", every(n_q)).repartition(tasks, "c", "g").join(asking.withColumn("c", every(n_t)).repartition(tasks, "c", "g"), ["c", "g"])
-    pairs = materialise(_survivors(cells, step, keep, block_cells))
-    by_query = Window.partitionBy("q")
-    bound = F.max(F.when(F.col("_r") <= keep, F.col("high"))).over(by_query)
-    left = (pairs.withColumn("_r", F.row_number().over(by_query.orderBy("high"))).withColumn("_bound", bound)
-            .where(~(F.col("low") > F.col("_bound"))).select("q", "t", F.count(F.lit(1)).over(by_query).alias("fetched")))
-
-    apart = F.zip_with("qv", "v", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
-    exact = (left.join(asked.select(F.col("e").alias("q"), F.col("v").alias("qv"), "_h1", "_h2"), "q")
-             .join(entries.select(F.col("e").alias("t"), "v", "rows"), "t")
+    sizes = {r["s"]: r for r in sides.groupBy("s").agg(F.count("v").alias("n"), F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).collect()}
+    dims = {r[end] for r in sizes.values() for end in ("least", "most")}
+    if len(dims) > 1:
+        raise ValueError("vectors of different lengths")
+    dim = max(dims, default=1)
+    cuts = _grid(sides, dim)
+
+    def blocks(side, s, name, approximate):
+        n = sizes[s]["n"] if s in sizes else 0
+        rows = min(block_rows, max(256, math.ceil(n / 64)))
+        return materialise(_blocks(_place(side, cuts), max(1, math.ceil(n / rows / 4)), rows, dim, approximate).withColumn(name, F.monotonically_increasing_id()))
+
+    offered = blocks(entries.select("v", "e"), 0, "c", True)
+    asking = blocks(asked, 1, "g", False)
+    n_c, n_g = offered.count(), max(1, asking.count())
+    parts = max(1, min(math.ceil(64 / n_g), math.ceil(n_c / 16)))  # of the training blocks, for few queries
+    route = _routes(asking, offered, keep).withColumn("s", F.pmod(F.xxhash64("c"), F.lit(parts)).cast("int"))
+    tasks = min(n_g * parts, max(4096, int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    none = F.lit(None).cast("binary")
+    cells = (asking.select("g", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("s"), F.lit(-1.0).alias("least"), F.lit(None).cast("long").alias("c"),
+                           "lo", "hi", "_h1", "_h2", none.alias("e"), "x", "off", "book")
+             .unionByName(route.join(offered, "c").select("g", "s", "least", "c", "lo", "hi", none.alias("_h1"), none.alias("_h2"), "e", "x", "off", "book"))
+             .repartition(tasks, "g", "s").sortWithinPartitions("g", "s", "least", "c"))
+    found = _survivors(cells, keep, dim, block_cells)
+    if parts == 1:
+        left = materialise(found.drop("low", "high")).select("_h1", "_h2", "qv", F.size("t").alias("fetched"), F.explode("t").alias("t"))
+    else:
+        by_query = Window.partitionBy("_h1", "_h2")
+        bound = F.max(F.when(F.col("_r") <= keep, F.col("high"))).over(by_query)
+        pairs = materialise(found).select("_h1", "_h2", "qv", F.inline(F.arrays_zip("t", "low", "high")))
+        left = (pairs.withColumn("_r", F.row_number().over(by_query.orderBy("high"))).withColumn("_bound", bound)
+                .where(~(F.col("low") > F.col("_bound"))).select("_h1", "_h2", "qv", "t", F.count(F.lit(1)).over(by_query).alias("fetched")))
+
+    apart = F.zip_with("qv", "v", lambda a, b: (a - b.cast("double")) * (a - b.cast("double")))
+    exact = (left.join(entries.select(F.col("e").alias("t"), "v", "rows"), "t")
              .select("_h1", "_h2", "fetched", "rows", F.aggregate(apart, F.lit(0.0), lambda acc, x: acc + x).alias("dist2"))
              .select("_h1", "_h2", "fetched", "dist2", F.inline("rows")))
     first = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("dist2", "tid"))
