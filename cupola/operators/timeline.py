@@ -314,13 +314,14 @@ def sliding_features(df: DataFrame, keys: Sequence[str], ts_col: str, windows: S
     ``sums`` (a whole-number column) and ``n_distinct_<c>_<w>d`` for each column of ``distinct``.
     The day itself is not in its windows.
 
-    A window's total is the difference of two running totals, at the day and w days before. Both
-    are taken at once: what happens on day x is added on day x + 1 and taken away on day
-    x + w + 1. A distinct value counts from its last occurrence before the day, so an occurrence
-    is taken away on the day after the next one where that is earlier; no second aggregation
-    per distinct column (Expand) and no sketch. Rows are reduced to days first, and the running
-    totals are two-level, so no task holds a key's rows. Rows with a missing time or key are left out; a
-    missing amount adds 0, a missing value is no distinct value.
+    Days are cut into buckets of ``bucket_days`` (four of the longest windows, where that is more),
+    and a day is also copied to the next bucket where a window reaches over the cut. So a window's
+    total is a range of one (key, bucket), which holds a row per day at most. A window's distinct
+    values are those of its days, less the repeats: an occurrence and the next one of the value
+    take one away on the days whose window holds both, a running total of the bucket. No second
+    aggregation per distinct column (Expand) and no sketch. Rows are written once, reduced to days
+    before they meet, and no task holds a key's rows. Rows with a missing time or key are left
+    out; a missing amount adds 0, a missing value is no distinct value.
     """
     keys, sums = list(keys), dict(sums or {})
     day = F.datediff(F.col(ts_col).cast("date"), F.lit("1970-01-01").cast("date"))
@@ -329,31 +330,53 @@ def sliding_features(df: DataFrame, keys: Sequence[str], ts_col: str, windows: S
         known = known & F.col(k).isNotNull()
     base = df.select(*keys, day.alias("_day"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(distinct)],
                      *[F.coalesce(v.cast("bigint"), F.lit(0)).alias(f"_s{i}") for i, v in enumerate(sums.values())]).where(known)
-    names = ["_n", *[f"_s{i}" for i in range(len(sums))], *[f"_d{i}" for i in range(len(distinct))]]
-    daily = base.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))])
-
-    def change(at: Column, value: dict[tuple[str, int], Column], asked: int) -> Column:
-        return F.struct(at.cast("int").alias("_at"), F.lit(asked).alias("_asked"), *[
-            value.get((m, w), F.lit(0)).cast("bigint").alias(f"{m}_{w}")
-            for w in windows for m in names])
-
-    own = [m for m in names if not m.startswith("_d")]
-    steps = [change(F.col("_day"), {}, 1), change(F.col("_day") + 1, {(m, w): F.col(m) for m in own for w in windows}, 0)]
-    steps += [change(F.col("_day") + 1 + w, {(m, w): -F.col(m) for m in own}, 0) for w in windows]
-    changes = daily.select(*keys, F.inline(F.array(*steps)))
-    for i in range(len(distinct)):
-        d = f"_d{i}"
-        seen = base.where(F.col(d).isNotNull()).select(*keys, "_day", d).distinct()
-        following = F.lead("_day").over(Window.partitionBy(*keys, d).orderBy("_day"))  # at most a row per day
-        seen = seen.withColumn("_next", following)
-        steps = [change(F.col("_day") + 1, {(d, w): F.lit(1) for w in windows}, 0)]
-        steps += [change(F.least(F.col("_day") + w, F.col("_next")) + 1, {(d, w): F.lit(-1)}, 0) for w in windows]
-        changes = changes.unionByName(seen.select(*keys, F.inline(F.array(*steps))))
-    columns = {f"{m}_{w}": f"{m}_{w}" for w in windows for m in names}
-    per_day = changes.groupBy(*keys, "_at").agg(F.max("_asked").alias("_asked"), *[F.sum(c).alias(c) for c in columns])
-    per_day = materialise(per_day)
-    total = running_totals(per_day, keys, ["_at"], F.floor(F.col("_at") / F.lit(bucket_days)), {f"_t{c}": F.col(c) for c in columns}, inclusive=True)
+    base = materialise(base)
+    span, reach = max(bucket_days, 4 * max(windows)), max(windows)
+    own = ["_n", *[f"_s{i}" for i in range(len(sums))]]
+    met = [f"_d{i}" for i in range(len(distinct))]
+    repeats = [f"_r{i}_{w}" for i in range(len(distinct)) for w in windows]
+
+    def bucket(at: Column) -> Column:
+        return F.floor(at / F.lit(span)).cast("int")
+
+    def entry(in_bucket: Column, at: Column, value: dict[str, Column], asked: int = 0) -> Column:
+        return F.struct(in_bucket.alias("_bucket"), at.cast("int").alias("_at"), F.lit(asked).alias("_asked"), *[
+            value.get(c, F.lit(0)).cast("bigint").alias(c) for c in [*own, *met, *repeats]])
+
+    parts = []
+    for i in range(max(1, len(distinct))):
+        d, day = f"_d{i}", F.col("_day")
+        if i == 0:  # the rows and sums go with the first distinct column
+            days = base.groupBy(*keys, "_day", *met[:1]).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in own[1:]])
+            value = {c: F.col(c) for c in own}
+        else:
+            days, value = base.where(F.col(d).isNotNull()).select(*keys, "_day", d).distinct(), {}
+        steps = []
+        if distinct:
+            following = F.lead("_day").over(Window.partitionBy(*keys, d).orderBy("_day"))  # at most a row per day
+            days = days.withColumn("_next", F.when(F.col(d).isNotNull(), following))
+            value[d] = F.col(d).isNotNull().cast("int")
+            for w in windows:
+                start, end, r = F.col("_next") + 1, day + w, f"_r{i}_{w}"
+                both = start <= end
+                steps += [F.when(both, entry(bucket(start), start, {r: F.lit(1)})),
+                          F.when(both & (bucket(end) > bucket(start)), entry(bucket(end), bucket(end) * span, {r: F.lit(1)})),
+                          F.when(both, entry(bucket(end), end + 1, {r: F.lit(-1)}))]
+        steps += [entry(bucket(day), day, value, 1), F.when(bucket(day + reach) > bucket(day), entry(bucket(day + reach), day, value))]
+        parts.append(days.select(*keys, F.inline(F.filter(F.array(*steps), lambda x: x.isNotNull()))))
+    entries = parts[0]
+    for p in parts[1:]:
+        entries = entries.unionByName(p)
+    per_day = entries.groupBy(*keys, "_bucket", "_at").agg(F.max("_asked").alias("_asked"), *[F.sum(c).alias(c) for c in [*own, *met, *repeats]])
+    order = Window.partitionBy(*keys, "_bucket").orderBy("_at")
+    upto = order.rangeBetween(Window.unboundedPreceding, 0)
+    total = {}
+    for w in windows:
+        before = order.rangeBetween(-w, -1)
+        total |= {f"_t{c}_{w}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in [*own, *met]}
+        for i in range(len(distinct)):
+            total[f"_t_d{i}_{w}"] = total[f"_t_d{i}_{w}"] - F.sum(f"_r{i}_{w}").over(upto)
     called = {"_n": "n", **{f"_s{i}": name for i, name in enumerate(sums)}, **{f"_d{i}": f"n_distinct_{c}" for i, c in enumerate(distinct)}}
-    return total.where(F.col("_asked") == 1).select(
+    return per_day.withColumns(total).where(F.col("_asked") == 1).select(
         *keys, F.date_add(F.lit("1970-01-01").cast("date"), F.col("_at")).alias("day"),
-        *[F.col(f"_t{m}_{w}").alias(f"{called[m]}_{w}d") for w in windows for m in names])
+        *[F.col(f"_t{m}_{w}").alias(f"{called[m]}_{w}d") for w in windows for m in [*own, *met]])

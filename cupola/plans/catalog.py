@@ -555,7 +555,7 @@ FAMILY_KINDS = {"customer": ["o_custkey"], "merchant": ["l_suppkey"], "part": ["
 @register("coupon_sliding_features")
 def q_coupon_sliding_features(spark, sf_dir):
     # what the customer did in the 7 and 30 days before each coupon's day
-    coupons = _coupons_with_parties(spark, sf_dir)
+    coupons = materialise(_coupons_with_parties(spark, sf_dir).select("l_orderkey", "l_linenumber", "o_custkey", "l_suppkey", "l_shipdate", "label", "min_spend"))
     recent = TL.sliding_features(coupons, ["o_custkey"], "l_shipdate", (7, 30), {"n_label": F.col("label"), "min_spend_units": F.round(F.col("min_spend") * 100)},
                                  ["l_suppkey"])
     issued = coupons.select("l_orderkey", "l_linenumber", "o_custkey", F.col("l_shipdate").cast("date").alias("day"))
