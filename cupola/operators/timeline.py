@@ -278,24 +278,29 @@ def coupon_feature_table(coupons: DataFrame, key_sets: dict[str, Sequence[str]],
 
 def coupon_features(coupons: DataFrame, key_sets: dict[str, Sequence[str]], ts_col: str, history_end,
                     history_start=None, label_col: str = "label", amount_cols: Sequence[str] = ("min_spend",),
-                    distinct_cols: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+                    distinct_cols: dict[str, Sequence[str]] | None = None, features: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The feature family per entity kind, with columns prefixed by the kind.
 
     One kind is one aggregate. Several kinds share one scan: the long table of
     ``coupon_feature_table`` is written once (``materialise``; it holds one row
-    per entity, not per coupon) and split by kind.
+    per entity, not per coupon) and split by kind. ``features`` names the columns that the
+    caller reads (every one by default); others are neither computed nor shuffled nor written.
     """
     from cupola.session import materialise
 
     distinct_cols = distinct_cols or {}
     if len(key_sets) == 1:
         (kind, keys), = key_sets.items()
-        return {kind: entity_features(coupons, keys, ts_col, history_end, history_start, amount_cols=amount_cols,
+        one = {kind: entity_features(coupons, keys, ts_col, history_end, history_start, amount_cols=amount_cols,
                                       distinct_cols=distinct_cols.get(kind, ()), flag_cols=(label_col,),
                                       prefix=f"{kind}_")}
+        return one if features is None else {kind: one[kind].select(*keys, *[f"{kind}_{c}" for c in features])}
     every_distinct = list(dict.fromkeys(d for ds in distinct_cols.values() for d in ds))
-    table = materialise(coupon_feature_table(coupons, key_sets, ts_col, history_end, history_start, label_col,
-                                             amount_cols, every_distinct))
+    table = coupon_feature_table(coupons, key_sets, ts_col, history_end, history_start, label_col, amount_cols, every_distinct)
+    if features is not None:
+        named = list(dict.fromkeys(c for ks in key_sets.values() for c in ks))
+        table = table.select("kind", *named, *features)
+    table = materialise(table)
     all_keys = [c for c in table.columns[1:] if any(c in ks for ks in key_sets.values())]
     out = {}
     for kind, keys in key_sets.items():

@@ -579,11 +579,11 @@ def coupon_matrix(spark, sf_dir, periods=(("train", "1996-01-01", "1996-02-01",
     before the period. The gap between history end and start keeps late labels out.
 
     The parsed and joined coupons are written once; every period and kind reads that table."""
-    coupons = materialise(_coupons_with_parties(spark, sf_dir))
+    coupons = materialise(_coupons_with_parties(spark, sf_dir).drop("rate_raw", "date_raw"))
     out = None
     for split, history_end, start, end in periods:
         table = TL.split_filter(coupons, "l_shipdate", start, end)
-        feats = TL.coupon_features(coupons, FAMILY_KINDS, "l_shipdate", history_end)
+        feats = TL.coupon_features(coupons, FAMILY_KINDS, "l_shipdate", history_end, features=MATRIX_FEATURES)
         cols = []
         for kind, keys in FAMILY_KINDS.items():
             mine = [f"{kind}_{c}" for c in MATRIX_FEATURES]
