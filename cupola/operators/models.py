@@ -277,6 +277,7 @@ class _Search:
 
     def __init__(self, q: np.ndarray, k: int, block_cells: int):
         self.q, self.k, self.cells = q, k, block_cells
+        self.reach = np.abs(q).max(1)
         self.top = np.full((len(q), k), np.inf)  # least upper bounds
         self.found: list[tuple] = []  # (query, name, lower bound, upper bound)
         self.size = self.limit = 0
@@ -286,18 +287,26 @@ class _Search:
         x = book[codes, np.arange(len(lo))] - middle
         box = np.maximum(np.maximum(lo - self.q, self.q - hi), 0.0)
         active = np.flatnonzero(~(np.sqrt((box * box).sum(1)) * (1 - 1e-9) > self.top[:, -1]))
-        # the few vectors far from what their bytes say meet every query one by one
-        usual = np.sort(off)[int(0.98 * len(off))]
-        tight, loose = np.flatnonzero(off <= 2 * usual), np.flatnonzero(off > 2 * usual)
-        t, xx = x[tight], (x[tight] ** 2).sum(1)
-        far, widest = np.sqrt(xx.max()), off[tight].max()
-        kind = np.float32 if len(lo) > 16 and far < 1e15 and far < 4 * np.sqrt(np.median(xx)) else np.float64
-        eps = (len(lo) + 8) * (1.2e-7 if kind is np.float32 else 3e-16)
+        ends = max(np.abs(lo).max(), np.abs(hi).max())
+        # the few vectors far from what their bytes say have a width of their own, so the others stay narrow
+        tight = off <= 2 * np.sort(off)[int(0.98 * len(off))]
+        self.sift(np.flatnonzero(tight), active, names, x, middle, off, ends, len(lo) > 16)
+        self.sift(np.flatnonzero(~tight), active, names, x, middle, off, ends, False)
+
+    def sift(self, cols, active, names, x, middle, off, ends, short):
+        """The active queries meet the vectors ``cols`` in one product, in short numbers where these
+        are precise enough; only pairs that its bounds leave are looked at one by one."""
+        if not len(cols):
+            return
+        t, xx = x[cols], (x[cols] ** 2).sum(1)
+        far, widest = np.sqrt(xx.max()), off[cols].max()
+        kind = np.float32 if short and far < 1e15 and far < 4 * np.sqrt(np.median(xx)) else np.float64
+        eps = (x.shape[1] + 8) * (1.2e-7 if kind is np.float32 else 3e-16)
         # |q - x|^2 - |q|^2 in one product
         t = np.vstack([-2.0 * t.T, xx]).astype(kind)
-        ends = max(np.abs(lo).max(), np.abs(hi).max())
-        for s in range(0, len(active), max(1, self.cells // len(names))):
-            rows = active[s : s + max(1, self.cells // len(names))]
+        step = max(1, self.cells // len(cols))
+        for s in range(0, len(active), step):
+            rows = active[s : s + step]
             q = self.q[rows] - middle
             qq = (q * q).sum(1)
             slack = eps * (np.sqrt(qq) + far) ** 2
@@ -311,19 +320,18 @@ class _Search:
 
             bound = self.top[rows, -1]
             mask = within(bound)
-            if len(tight) >= self.k and np.count_nonzero(mask) > 8 * self.k * len(rows):
+            if len(cols) >= self.k and np.count_nonzero(mask) > 8 * self.k * len(rows):
                 # the k-th least in this block is a bound too
                 kth = np.partition(part, self.k - 1, axis=1)[:, self.k - 1].astype(float)
                 mine = (np.sqrt(np.maximum(kth + qq + slack, 0.0)) + blur) * (1 + 1e-9)
                 mask &= within(np.fmin(bound, np.where(np.isnan(mine), np.inf, mine)))
-            r, c = np.nonzero(mask)
-            r, c = np.append(r, np.repeat(np.arange(len(rows)), len(loose))), np.append(tight[c], np.tile(loose, len(rows)))
+            r, c = np.divmod(np.flatnonzero(mask), len(cols))
             for z in range(0, len(r), 1 << 16):
-                self.meet(rows[r[z : z + (1 << 16)]], c[z : z + (1 << 16)], names, x, middle, off, ends)
+                self.meet(rows[r[z : z + (1 << 16)]], cols[c[z : z + (1 << 16)]], names, x, middle, off, ends)
 
     def blur(self, rows, ends):
         """What rounding may add to the distance of a vector from a cell."""
-        return 1e-15 * len(self.q[0]) ** 0.5 * (np.abs(self.q[rows]).max(1) + ends)
+        return 1e-15 * len(self.q[0]) ** 0.5 * (self.reach[rows] + ends)
 
     def meet(self, row, c, names, x, middle, off, ends):
         d = np.sqrt((((self.q[row] - middle) - x[c]) ** 2).sum(1))

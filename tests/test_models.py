@@ -310,3 +310,23 @@ def test_boosting_in_whole_numbers_matches_a_replay(spark):
         assert got == _boost_in_whole_numbers(rows, ["a", "b"], 7, unit) and len(got) >= 3
     assert ML.adaboost_fit_whole(df.where("y = 1"), ["a", "b"], "y").stumps[0]["wrong"] == 0
     assert ML.adaboost_fit_whole(df.where("a > 99"), ["a", "b"], "y").stumps == []
+
+
+def test_knn_looks_at_few_pairs_one_by_one(monkeypatch):
+    # one in a hundred vectors is far from what its bytes say; these are sifted like the others
+    rng = np.random.default_rng(5)
+    met = []
+    look = ML._Search.meet
+    monkeypatch.setattr(ML._Search, "meet", lambda self, row, *rest: (met.append(len(row)), look(self, row, *rest))[1])
+    q, blocks, off = rng.normal(size=(200, 64)), 10, np.where(np.arange(1000) % 100 == 0, 0.05, 0.001)
+    search = ML._Search(q, 3, 4_000_000)
+    book = np.repeat(np.linspace(-4, 4, 256)[:, None], 64, axis=1)
+    codes = [rng.integers(64, 192, (1000, 64)).astype(np.uint8) for _ in range(blocks)]
+    for i, c in enumerate(codes):
+        x = book[c, np.arange(64)]
+        search.add(np.arange(1000) + 1000 * i, x.min(0), x.max(0), c, off, book)
+    row, name, low, high = search.survivors()
+    true = np.sqrt(((q[:, None] - book[np.concatenate(codes), np.arange(64)][None]) ** 2).sum(2))
+    for i in range(len(q)):
+        assert set(np.argsort(true[i])[:3]) <= set(name[row == i])
+    assert sum(met) < blocks * len(q) * 10  # what these vectors alone would be
