@@ -80,7 +80,8 @@ def neighbours(a: int, b: int, joined: dict, left: list[int], right: list[int])
 class Codec:
     """Tables of one vocabulary; built on the driver, completed in each worker."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, left: list[int], right: list[int], prefix: list[int]):
+    def __init__(self, tokens: list[bytes], pattern: str, left: list[int], right: list[int], prefix: list[int],
+                 held: int = MEMO_PIECES):
         import ahocorasick
         import regex
 
@@ -95,7 +96,7 @@ class Codec:
         self.automaton.make_automaton()
         self.split = regex.compile(pattern)
         self.pairs: dict[int, bool] = {}
-        self.memo = Memo(self)
+        self.memo = Memo(self, held)
 
     def compatible(self, a: int, b: int) -> bool:
         key = a << 32 | b
@@ -158,16 +159,16 @@ class Memo(dict):
     """Pre-token -> packed ids. When full, it starts over and keeps the last generation to
     copy from, so frequent pre-tokens are encoded once."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, codec: Codec, held: int):
         super().__init__()
-        self.codec, self.before = codec, {}
+        self.codec, self.before, self.held = codec, {}, held
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.before.get(piece)
         if packed is None:
             packed = array("I", self.codec.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
         if len(piece) <= 64:
-            if len(self) >= MEMO_PIECES:
+            if len(self) >= self.held:
                 self.before = dict(self)
                 self.clear()
             self[piece] = packed
@@ -210,18 +211,20 @@ def build(path: str, pattern: str) -> tuple:
     return (tokens, pattern, *merge_tables(tokens))
 
 
-def _codec(shipped) -> Codec:
+def _codec(shipped, held: int = MEMO_PIECES) -> Codec:
     parts = shipped.value
-    return per_worker(("bpe", hash(tuple(parts[0])), parts[1]), lambda: Codec(*parts))
+    return per_worker(("bpe", hash(tuple(parts[0])), parts[1], held), lambda: Codec(*parts, held))
 
 
 def _parts(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast(build(path, pattern))  # one vocabulary file: about 2 MB
 
 
-def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+           held: int = MEMO_PIECES) -> DataFrame:
     """Rows ``(id, ids)``: token ids packed as little-endian unsigned 32-bit integers; with
-    ``decoded``, also ``decoded`` (binary), the bytes that the ids decode to."""
+    ``decoded``, also ``decoded`` (binary), the bytes that the ids decode to. A worker keeps the ids of at
+    most twice ``held`` pre-tokens; fewer take less memory and more time, with the same ids."""
     import pyarrow as pa
 
     shipped = _parts(df, path, pattern)
@@ -230,7 +233,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     schema = f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shipped)
+        codec = _codec(shipped, held)
         for batch in batches:
             for k in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(k, ROWS_OUT)

@@ -77,3 +77,13 @@ def test_edges_and_decode(spark, edge_docs, no_docs):
     got = sorted((r["doc_id"] or 0, bytes(r["decoded"]).decode()) for r in bpe.decode(enc, PATH, P.PATTERN).collect())
     assert got == sorted((r["doc_id"] or 0, r["text"] or "") for r in edge_docs.collect())
     assert bpe.encode(no_docs, PATH, P.PATTERN, decoded=True).count() == 0
+
+
+def test_a_worker_holds_as_few_pieces_as_asked(spark, codec):
+    small = bpe.Codec(*bpe.build(PATH, P.PATTERN), 5)
+    for i in range(60):
+        text = " ".join(f"word{i}x{j}" for j in range(9))
+        assert small.encode(text) == codec.encode(text)
+        assert len(small.memo) + len(small.memo.before) <= 10
+    df = spark.createDataFrame([(i, f"some words {i} and others") for i in range(300)], "doc_id long, text string")
+    assert sorted(bpe.encode(df, PATH, P.PATTERN, held=3).collect()) == sorted(bpe.encode(df, PATH, P.PATTERN).collect())
