@@ -1,25 +1,27 @@
 """Main text of web pages: reading of the markup, and differencing against the nearest URL.
 
 A page becomes lines: one per block element, white space folded, character references
-decoded. Markup that states its role decides first: scripts, styles, menus, footers, side
-bars, forms, notices, adverts and comments are no lines at all, and where a page marks its
-article (``article``, ``main``, role main), lines outside it are no text. An element that is
-only named like a part of the frame (``main-banner-free``) gives way to an article inside it if
-the page has no other.
-
-Lines of pages that mark no article stay open, and differencing decides them: pages are
-paired with the page of the same host whose path is nearest (the neighbour in path order that
-shares the longer beginning), the lines of both are aligned by longest common subsequence,
-and open lines that are shared are deleted as the site's frame. A neighbour that shares every
-open line is a copy of the page and says nothing about its frame; then they all stay.
+decoded; scripts, styles and form controls are no lines. Every page is paired with the page of
+the same host whose path is nearest (the neighbour in path order that shares the longer
+beginning), the lines of both are aligned by longest common subsequence, and shared lines are
+deleted as the site's frame. A neighbour that shares every line that may be text is a copy of the
+page and says nothing about those; they stay.
+
+A check against the markup follows, since articles of a site share lines and its adverts change.
+Markup that states its role (menus, footers, side bars, forms, notices, adverts and comments)
+deletes lines that differencing left, and where a page marks its article (``article``, ``main``,
+role main), its lines are restored and those outside go. An element that is only named like a
+part of the frame (``main-banner-free``) gives way to an article inside it if the page has no
+other. ``n_frame``, ``n_restored`` and ``n_marked`` count the lines that differencing deleted
+for good, those that the check restored and those that only the check deleted.
 
 Paths are compared without query, fragment, closing slash and ending; pages with one path are
 one page for the pairing. Neighbours come from a range-partitioned sort, so a host of any
-size is spread over many tasks; only line hashes are shuffled, and the pages themselves only
-where lines are open.
+size is spread over many tasks. Line hashes are shuffled, and the text that may stay once, with
+the decisions; pages are read a second time for that, which writes less than keeping it.
 
 Edge cases: null html or url count as empty (pages without a host are one host); pages alone
-in their host keep their open lines; a page cut off in the middle of markup loses the
+in their host lose only what the markup tells; a page cut off in the middle of markup loses the
 unfinished tag only, and one that leaves a button, list or text field open loses it up to the
 next block; rows that repeat get the same text; an empty table gives no rows; extra
 columns are not read.
@@ -124,21 +126,23 @@ def hides(tag: str, attrs: str, in_content: bool) -> int:
 
 
 def lines(page: str | None) -> list[tuple[str, int]]:
-    """``(line, mark)`` of the blocks outside the frame, in page order: 2 inside an article, 1
-    inside an article in an element that is named like a part of the frame, else 0."""
+    """``(line, mark)`` of the blocks, in page order: 2 inside an article, 1 inside an article in
+    an element that is named like a part of the frame, -1 in the frame, else 0."""
     page = page or ""
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, int, bool, int]] = []  # tag, what it hides, is content, names around the content
     hidden = around = content = behind = 0
     held: list[str] = []
+    frame: list[str] = []
     at = 0
 
     def close():
-        if held:
-            line = " ".join(html.unescape("".join(held)).split())
-            held.clear()
-            if line:
-                out.append((line, (1 if behind else 2) if content else 0))
+        for part, mark in ((held, (1 if behind else 2) if content else 0), (frame, -1)):
+            if part:
+                line = " ".join(html.unescape("".join(part)).split())
+                part.clear()
+                if line:
+                    out.append((line, mark))
 
     def push(tag, own, is_content):
         nonlocal hidden, around, content, behind
@@ -164,8 +168,8 @@ def lines(page: str | None) -> list[tuple[str, int]]:
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue  # inside a control
-        if m.start() > at and not hidden and not around:
-            held.append(page[at : m.start()])
+        if m.start() > at:
+            (frame if hidden or around else held).append(page[at : m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
@@ -173,6 +177,7 @@ def lines(page: str | None) -> list[tuple[str, int]]:
         tag = tag.lower()
         if tag == "br":
             held.append(" ")
+            frame.append(" ")
         elif tag in CONTROLS:
             if not m[2]:
                 end = _CONTROL[tag].search(page, at)
@@ -204,20 +209,22 @@ def lines(page: str | None) -> list[tuple[str, int]]:
             elif any(s[0] == tag for s in stack):
                 while pop() != tag:
                     pass
-    if at < len(page) and not hidden and not around:
-        held.append(page[at:])
+    if at < len(page):
+        (frame if hidden or around else held).append(page[at:])
     close()
     return out
 
 
-def choose(found: list[tuple[str, int]]) -> tuple[list[str], bool]:
-    """The lines that may be text, and whether differencing decides them."""
-    mark = max((c for _, c in found), default=0)
-    return [t for t, c in found if c == mark], bool(found) and not mark
+def choose(found: list[tuple[str, int]]) -> tuple[list[int], bool]:
+    """Places of the lines that may be text, and whether no markup says that they are."""
+    mark = max((c for _, c in found), default=-1)
+    return [i for i, (_, c) in enumerate(found) if c == mark >= 0], mark == 0
 
 
 def read(page: str | None) -> tuple[list[str], bool]:
-    return choose(lines(page))
+    found = lines(page)
+    body, is_open = choose(found)
+    return [found[i][0] for i in body], is_open
 
 
 def shared(a: list[int], b: list[int]) -> set[int]:
@@ -260,8 +267,24 @@ def _hash(line: str) -> int:
 
 
 def line_table(src: DataFrame) -> DataFrame:
-    """Rows ``(id, url, row, host, path, open, kept, lines)``: the lines that may be text, and
-    hashes of all lines of each page; every page is parsed here, once."""
+    """Rows ``(row, host, path, open, body, lines)``: hashes of all lines of each page, and the
+    places of those that may be text."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                got = [lines(h) for h in part.column(3).to_pylist()]
+                body, is_open = zip(*map(choose, got))
+                cols = [pa.array(is_open, pa.bool_()), pa.array(body, pa.list_(pa.int32())), pa.array([[_hash(t) for t, _ in l] for l in got], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *cols], ["row", "host", "path", "open", "body", "lines"])
+
+    return src.select("row", "host", "path", "html").mapInArrow(run, "row long, host string, path string, open boolean, body array<int>, lines array<long>")
+
+
+def body_table(src: DataFrame) -> DataFrame:
+    """Rows ``(id, url, row, kept)``: the lines that may be text."""
     import pyarrow as pa
 
     kind = src.schema["id"].dataType.simpleString()
@@ -270,20 +293,17 @@ def line_table(src: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                got = [lines(h) for h in part.column(5).to_pylist()]
-                kept, is_open = zip(*map(choose, got))
-                cols = [pa.array(is_open, pa.bool_()), pa.array(kept, pa.list_(pa.string())), pa.array([[_hash(t) for t, _ in l] for l in got], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:5], *cols], ["id", "url", "row", "host", "path", "open", "kept", "lines"])
+                kept = [read(h)[0] for h in part.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(kept, pa.list_(pa.string()))], ["id", "url", "row", "kept"])
 
-    return src.select("id", "url", "row", "host", "path", "html").mapInArrow(
-        run, f"id {kind}, url string, row long, host string, path string, open boolean, kept array<string>, lines array<long>")
+    return src.select("id", "url", "row", "html").mapInArrow(run, f"id {kind}, url string, row long, kept array<string>")
 
 
 def neighbours(table: DataFrame) -> DataFrame:
-    """Rows ``(host, path, before, after)``: the pages next in path order, as structs
-    ``(path, lines)``, null where the host ends; for hosts with open pages."""
-    hosts = table.where("open").select("host").distinct()
-    one = table.join(hosts, "host", "left_semi").groupBy("host", "path").agg(F.min_by("lines", "row").alias("lines"))
+    """Rows ``(host, path, near)``: the lines of the nearest page, null for a page alone in its host."""
+    import pyarrow as pa
+
+    one = table.groupBy("host", "path").agg(F.min_by("lines", "row").alias("lines"))
     ranged = materialise(one.repartitionByRange("host", "path").withColumn("pid", F.spark_partition_id()))
     me = F.struct("host", "path", "lines")
     ends = ranged.groupBy("pid").agg(F.min_by(me, F.struct("host", "path")).alias("head"), F.max_by(me, F.struct("host", "path")).alias("tail"))
@@ -294,35 +314,54 @@ def neighbours(table: DataFrame) -> DataFrame:
     def if_same_host(c):
         return F.when(c["host"] == F.col("host"), F.struct(c["path"].alias("path"), c["lines"].alias("lines")))
 
-    return (
+    both = (
         ranged.withColumn("b", F.lag(me).over(order))
         .withColumn("a", F.lead(me).over(order))
-        .join(edges, "pid")
+        .join(F.broadcast(edges), "pid")
         .select("host", "path", if_same_host(F.coalesce("b", "tail")).alias("before"), if_same_host(F.coalesce("a", "head")).alias("after"))
     )
 
+    def nearer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for path, before, after in zip(*[batch.column(c).to_pylist() for c in range(1, 4)]):
+                best = max((x for x in (before, after) if x), key=lambda x: _common(path, x["path"]), default=None)
+                near.append(best and best["lines"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(near, pa.list_(pa.int64()))], ["host", "path", "near"])
+
+    return both.mapInArrow(nearer, "host string, path string, near array<long>")
+
+
+def difference(mine: list[int], near: list[int] | None, body: list[int], is_open: bool) -> tuple[list[int], int, int, int]:
+    """What the nearest page and the check against the markup delete of a page: places in ``body``
+    of its lines that go, and ``n_frame``, ``n_restored``, ``n_marked``."""
+    same = shared(mine, near) if near else set()
+    if same.issuperset(body):
+        same.difference_update(body)  # a copy of the page
+    gone = [i for i, at in enumerate(body) if at in same]
+    n_marked = len(mine) - len(body) - len(same) + len(gone)
+    return (gone, len(same), 0, n_marked) if is_open else ([], len(same) - len(gone), len(gone), n_marked)
+
 
 def frame_lines(table: DataFrame) -> DataFrame:
-    """Rows ``(row, gone)`` for pages with open lines: places of the lines that the nearest page shares."""
+    """Rows ``(row, gone, n_frame, n_restored, n_marked)``: every page against its nearest page."""
     import pyarrow as pa
 
-    near = neighbours(table)
-    rows = table.where("open").join(near, ["host", "path"]).select("row", "path", "lines", "before", "after")
+    rows = table.join(neighbours(table), ["host", "path"]).select("row", "lines", "near", "body", "open")
+    counts = ["n_frame", "n_restored", "n_marked"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = []
-            for path, mine, before, after in zip(*[batch.column(c).to_pylist() for c in range(1, 5)]):
-                near = max((x for x in (before, after) if x), key=lambda x: _common(path, x["path"]), default=None)
-                same = shared(mine, near["lines"]) if near else set()
-                gone.append(sorted(same) if len(same) < len(mine) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["row", "gone"])
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                gone, *n = zip(*[difference(*x) for x in zip(*[part.column(c).to_pylist() for c in range(1, 5)])])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(gone, pa.list_(pa.int32())), *[pa.array(c, pa.int32()) for c in n]], ["row", "gone", *counts])
 
-    return rows.mapInArrow(run, "row long, gone array<int>")
+    return rows.mapInArrow(run, f"row long, gone array<int>, {', '.join(f'{c} int' for c in counts)}")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Rows ``(id, url, text)``, one per row of ``pages``; blocks are joined by one line feed."""
+    """Rows ``(id, url, text, n_frame, n_restored, n_marked)``, one per row of ``pages``; blocks are joined by one line feed."""
     url = F.coalesce(F.col(url_col), F.lit(""))
     where = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)"
     src = pages.select(
@@ -332,10 +371,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.regexp_replace(F.regexp_extract(url, where, 2), r"(/|\.[A-Za-z]{3,5}|/index\.[A-Za-z]{3,5})$", "").alias("path"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     ).withColumn("row", F.xxhash64("id", "url", "html"))
-    table = materialise(line_table(src))
-    gone = frame_lines(table).dropDuplicates(["row"]).withColumnRenamed("row", "r")
-    settled = table.where(~F.col("open")).select("id", "url", F.array_join("kept", "\n").alias("text"))
+    decided = frame_lines(materialise(line_table(src))).dropDuplicates(["row"])
     left = F.filter("kept", lambda t, i: ~F.array_contains(F.col("gone"), i))
-    decided = table.where("open").join(gone, F.col("row") == F.col("r"), "left").select(
-        "id", "url", F.array_join(F.when(F.col("gone").isNull(), F.col("kept")).otherwise(left), "\n").alias("text"))
-    return settled.unionByName(decided).withColumnsRenamed({"id": id_col, "url": url_col})
+    got = body_table(src).join(decided, "row").select("id", "url", F.array_join(left, "\n").alias("text"), "n_frame", "n_restored", "n_marked")
+    return got.withColumnsRenamed({"id": id_col, "url": url_col})

@@ -123,3 +123,22 @@ def test_edges(spark):
     d = {r["page_id"]: r["text"] for r in got.collect()}
     assert (d[None], d[1], d[2]) == ("", "", "plain words") and len(d[3]) == 11 * 50000 - 1
     assert html_text.extract(got.limit(0).withColumn("html", got["text"])).count() == 0
+
+
+def test_marked_pages_are_differenced_and_checked(spark):
+    head, foot = "<nav><li>Home</li><li>News</li></nav><div>Top stories</div>", "<div>All rights reserved</div>"
+    rows = [(i, f"http://h.example/news/{i}", page(f"{head}<div class='ad'>Buy {i}</div><article><p>Same words</p><p>Story {i}</p></article>{foot}"), None, 1) for i in (1, 2, 3)]
+    rows += [(4, "http://h.example/news/4", page(f"{head}<p>Same words</p><p>Unmarked</p>{foot}"), None, 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, row int")
+    got = {r["page_id"]: tuple(r)[2:] for r in html_text.extract(df).collect()}
+    # differencing deletes menu, heading and foot of every page; the check restores a shared line of the article and deletes the advert
+    assert got[1] == ("Same words\nStory 1", 4, 1, 1)
+    assert got[2] == ("Same words\nStory 2", 4, 1, 1)
+    assert got[4] == ("Unmarked", 5, 0, 0)
+
+
+def test_every_given_page_is_differenced(spark):
+    from cupola.llm.queries import op3_html
+
+    got = op3_html(spark, D).collect()
+    assert sum(r["n_frame"] for r in got) > 0 and sum(r["n_restored"] for r in got) > 0  # no line of these pages reached differencing before
