@@ -388,15 +388,11 @@ def _ada(docs, train=None):
     return ML.adaboost_scores(model, docs, "adaboost", "doc_id", "label")
 
 
-KNN_TRAIN_ROWS = 20_000
-
-
 def _knn(docs, train=None):
-    """Scores from a bounded training set: at most KNN_TRAIN_ROWS labelled rows, by a hash of the id."""
+    """Scores from the exact neighbours among all labelled rows."""
     known = docs if train is None else train
     vec = ML.features_to_vector(known.withColumn("_part", F.lit(0)).unionByName(docs.withColumn("_part", F.lit(1))), DOC_FEATURES)
-    near = vec.where("_part = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(KNN_TRAIN_ROWS)
-    nb = ML.knn_neighbours(near, vec.where("_part = 1"), 15, id_col="doc_id", vec_col="vec", exclude_self=True)
+    nb = ML.knn_neighbours(vec.where("_part = 0"), vec.where("_part = 1"), 15, id_col="doc_id", vec_col="vec", exclude_self=True)
     return (ML.knn_score(nb).join(docs.select(F.col("doc_id").alias("qid"), "label"), "qid")
             .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", "label"))
 
