@@ -16,7 +16,7 @@ import numpy as np
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,13 +64,51 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, reg_para
     return Pipeline(stages=[*_assemble(features, True), lr]).fit(_checked(train, features, label))
 
 
+#: Rows up to which MLlib looks at all of them for the places where trees may split.
+SPLIT_ROWS = 10_000
+
+
+def _split_cuts(train: DataFrame, features: Sequence[str], n: int, n_bins: int = 32) -> list[list[float]]:
+    """Per feature, quantiles of all ``n`` rows where trees may split (``<=`` goes left); between
+    two of them lie ``n / (4 * n_bins)`` rows or more."""
+    probs = [i / n_bins for i in range(1, n_bins + 1)]
+    row = train.select(*[F.percentile_approx(F.col(f).cast("double"), probs, 10000).alias(f"_q{i}") for i, f in enumerate(features)]).first()
+    cuts = [sorted(set(row[f"_q{i}"])) for i in range(len(features))]
+    place = lambda f, c: F.aggregate(F.lit(np.array(c)), F.lit(0), lambda acc, x: acc + (F.col(f).cast("double") > x).cast("int"))
+    held = train.select(F.posexplode(F.array(*[place(f, c) for f, c in zip(features, cuts)])).alias("f", "bin")).groupBy("f", "bin").count().collect()
+    out = []
+    for i, mine in enumerate(cuts):
+        size = {r["bin"]: r["count"] for r in held if r["f"] == i}
+        since, left, kept = 0, n, []
+        for j, cut in enumerate(mine):
+            since, left = since + size.get(j, 0), left - size.get(j, 0)
+            if 4 * n_bins * min(since, left) >= n:
+                kept.append(cut)
+                since = 0
+        out.append(kept or mine[-1:])
+    return out
+
+
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, num_trees: int = 50, max_depth: int = 5,
                seed: int = 42, subsampling_rate: float = 1.0) -> PipelineModel:
     """``RandomForestClassifier`` with a fixed seed: the same forest on every run over the same
-    input partitions (bagging draws per partition)."""
+    input partitions (bagging draws per partition).
+
+    MLlib takes the places where trees may split from a sample of some ``SPLIT_ROWS`` rows. A larger
+    table's features are therefore first numbered by bins between quantiles of all rows; every
+    bin holds enough rows to be in that sample, so trees may split at each of those quantiles.
+    """
     rf = RandomForestClassifier(featuresCol="_raw", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                 seed=seed, subsamplingRate=subsampling_rate)
-    return Pipeline(stages=[*_assemble(features, False), rf]).fit(_checked(train, features, label))
+    train = _checked(train, features, label)
+    n = train.count()
+    if n <= SPLIT_ROWS:
+        return Pipeline(stages=[*_assemble(features, False), rf]).fit(train)
+    splits = [[-math.inf, *np.nextafter(c, math.inf).tolist(), math.inf] for c in _split_cuts(train, features, n)]  # a bin begins above its cut
+    bins, numbers = ([f"_{x}{i}" for i in range(len(splits))] for x in ("bin", "number"))
+    number = Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=bins, handleInvalid="keep")
+    plain = SQLTransformer(statement=f"SELECT *, {', '.join(f'{b} + 0D AS {x}' for b, x in zip(bins, numbers))} FROM __THIS__")  # not categories
+    return Pipeline(stages=[number, plain, *_assemble(numbers, False), rf]).fit(train)
 
 
 def forest_rows(model: PipelineModel) -> DataFrame:
@@ -79,15 +117,20 @@ def forest_rows(model: PipelineModel) -> DataFrame:
     its training rows per class. Read from the files of the saved model, which go to the
     session's checkpoint folder; at most ``num_trees * 2 ** (max_depth + 1)`` rows."""
     forest, names = model.stages[-1], model.stages[0].getInputCols()
+    binned = isinstance(model.stages[0], Bucketizer)
     spark = SparkSession.getActiveSession()
     path = table_path(spark)
     forest.save(path)
     n = "nodeData"
     split = F.col(f"{n}.split.featureIndex")
+    cut = F.get(F.col(f"{n}.split.leftCategoriesOrThreshold"), F.lit(0))
+    if binned:  # the last bin that goes left ends at the cut
+        ends = [F.lit(np.nextafter(x[1:-1], -math.inf)) for x in model.stages[0].getSplitsArray()]
+        cut = F.get(F.get(F.array(*ends), split), F.floor(cut).cast("int"))
     return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("node"),
         F.when(split >= 0, F.element_at(F.array(*[F.lit(c) for c in names]), split + 1)).alias("feature"),
-        F.when(split >= 0, F.get(F.col(f"{n}.split.leftCategoriesOrThreshold"), F.lit(0))).alias("cut"),
+        F.when(split >= 0, cut).alias("cut"),
         F.when(split >= 0, F.col(f"{n}.leftChild")).alias("left"), F.when(split >= 0, F.col(f"{n}.rightChild")).alias("right"),
         F.col(f"{n}.impurityStats").alias("counts"))
 

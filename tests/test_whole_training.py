@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cupola.operators import models as ML
 from cupola.plans import catalog
 from cupola.sources.tables import DOC_FEATURES
 
@@ -35,3 +36,37 @@ def test_knn_score_reads_every_labelled_row(spark):
     asked = known.where("doc_id < 300")
     got = {r["id"]: r["score"] for r in catalog._knn(asked, known).collect()}
     assert got == pytest.approx(_shares(known, asked, DOC_FEATURES, 15, "doc_id"))
+
+
+def test_forest_splits_at_quantiles_of_every_row(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(30_000):
+        a, b = rnd.gauss(0, 1), rnd.choice([0.0, 0.0, 0.0, 0.0, 1.0, 2.5, 70.0])
+        rows.append((i, a, b, rnd.random(), int(a + b / 50 + rnd.gauss(0, 0.5) > 0.3)))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, label int").cache()
+    model = ML.fit_forest(df, ["a", "b", "c"], "label", num_trees=8)
+    trees = ML.forest_rows(model)
+    places = {f: df.agg(F.percentile_approx(f, [i / 32 for i in range(1, 32)], 10000)).first()[0] for f in "abc"}
+    used = {(r["feature"], r["cut"]) for r in trees.where("feature is not null").collect()}
+    assert len(used) > 20 and all(cut in places[f] for f, cut in used)
+    # missing values go right, in the model and in its rows
+    odd = df.limit(500).unionByName(spark.createDataFrame([(-1, float("nan"), 1.0, 0.5, 0), (-2, -9.0, float("nan"), 0.5, 0), (-3, float("inf"), -3.0, 2.0, 0), (-4, float("-inf"), 70.0, -1.0, 0)], df.schema))
+    own = {r["id"]: r["score"] for r in ML.score_forest_rows(trees, odd, ["a", "b", "c"], "rows", "id").collect()}
+    assert own == pytest.approx({r["id"]: r["score"] for r in ML.score(model, odd, "rf", "id").collect()})
+
+
+def test_model_compare_reads_every_training_row(spark, monkeypatch):
+    docs = _table(spark, 31_500, 8).cache()
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    train, test = docs.where(~held), docs.where(held)
+    assert train.count() > 20_000
+    seen, compare = [], catalog.M.compare_models
+    monkeypatch.setattr(catalog, "_docs", lambda spark, sf_dir: docs)
+    monkeypatch.setattr(catalog.M, "compare_models", lambda scores: seen.append(scores) or compare(scores))
+    got = {r["model"]: r["n"] for r in catalog.q_model_compare(spark, "").collect()}
+    assert set(got) == {"lr", "rf", "adaboost", "knn"} and set(got.values()) == {test.count()}
+    asked = test.where("doc_id < 900")
+    knn = {r["id"]: r["score"] for r in seen[0].where("model = 'knn' and id < 900").collect()}
+    both = _shares(train, test, DOC_FEATURES, 15, "doc_id")
+    assert knn == pytest.approx({r["doc_id"]: both[r["doc_id"]] for r in asked.collect()})
