@@ -139,12 +139,10 @@ def redemption_forecast(
 
 
 def coupon_forecast(matrix: DataFrame, quasi_threshold: float = 0.95, chi_alpha: float = 0.05, corr_threshold: float = 0.95,
-                    vif_threshold: float = 10.0, knn_k: int = 15, knn_train_rows: int = 2_000, ada_rounds: int = 10) -> ForecastResult:
+                    vif_threshold: float = 10.0, knn_k: int = 15, ada_rounds: int = 10) -> ForecastResult:
     """Four classifiers on a coupon matrix (``plans.catalog.coupon_matrix``): cleaning, outliers
-    and screening from the training period, comparison on the test period.
-
-    ``knn_train_rows`` bounds the labelled rows of the nearest-neighbour model (chosen by a
-    hash of the coupon); the other models see all training rows.
+    and screening from the training period, comparison on the test period. Every model learns
+    from all training rows.
     """
     candidates = [c for c in matrix.columns if c not in ("split", "l_orderkey", "l_linenumber", "label", "date_int")]
     table = materialise(matrix.select(
@@ -169,8 +167,7 @@ def coupon_forecast(matrix: DataFrame, quasi_threshold: float = 0.95, chi_alpha:
     ada = ML.adaboost_fit(train, feats, "label", rounds=ada_rounds)
     stats = train.select(*[F.avg(c).alias(f"m_{c}") for c in feats], *[F.stddev_pop(c).alias(f"s_{c}") for c in feats]).first()
     z = F.array(*[(F.col(c) - F.lit(stats[f"m_{c}"] or 0.0)) / F.lit(stats[f"s_{c}"] or 1.0) for c in feats])
-    near = train.orderBy(F.xxhash64("id"), "id").limit(knn_train_rows).withColumn("vec", z)
-    nb = ML.knn_neighbours(near, test.withColumn("vec", z), knn_k, id_col="id", vec_col="vec", label_col="label")
+    nb = ML.knn_neighbours(train.withColumn("vec", z), test.withColumn("vec", z), knn_k, id_col="id", vec_col="vec", label_col="label")
     knn = (ML.knn_score(nb).join(test.select(F.col("id").alias("qid"), "label"), "qid")
            .select(F.lit("knn").alias("model"), F.col("qid").alias("id"), "score", F.col("label").cast("int")))
     scores = materialise(ML.score(lr, test, "lr", "id", "label").unionByName(ML.score(rf, test, "rf", "id", "label"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cupola.operators import models as ML
 from cupola.plans import catalog
+from cupola.plans.forecast import coupon_forecast
 from cupola.sources.tables import DOC_FEATURES
 
 
@@ -70,3 +71,21 @@ def test_model_compare_reads_every_training_row(spark, monkeypatch):
     knn = {r["id"]: r["score"] for r in seen[0].where("model = 'knn' and id < 900").collect()}
     both = _shares(train, test, DOC_FEATURES, 15, "doc_id")
     assert knn == pytest.approx({r["doc_id"]: both[r["doc_id"]] for r in asked.collect()})
+
+
+def test_coupon_forecast_reads_every_training_row(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(2_900):
+        split, label = ("train" if i < 2_600 else "test"), int(rnd.random() < 0.4)
+        rows.append((split, i, 1, label, rnd.random(), 0.0, 20160101, int(1000 * rnd.random()) + 200 * label, rnd.random() + label))
+    matrix = spark.createDataFrame(rows, "split string, l_orderkey long, l_linenumber int, label int, discount_rate double, min_spend double, date_int int, customer_n_events long, part_label_rate double")
+    result = coupon_forecast(matrix)
+    known, asked = (matrix.where(F.col("split") == s).toPandas() for s in ("train", "test"))
+    t, q = (x[result.features].to_numpy(float) for x in (known, asked))
+    mu, sd = t.mean(0), t.std(0)
+    want = {}
+    for key, v in zip(asked["l_orderkey"], (q - mu) / sd):
+        d = (((t - mu) / sd - v) ** 2).sum(1)
+        want[key * 10 + 1] = known["label"].to_numpy()[np.argsort(d, kind="stable")[:15]].mean()
+    assert {r["id"]: r["score"] for r in result.scores.where("model = 'knn'").collect()} == pytest.approx(want)
