@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows
+from .common import bounded_rows, forget
 
 WIDTH, FILTERS = 5, 16
 CHUNK, OVERLAP = 4096, 64
@@ -173,6 +173,7 @@ def scorer(net: Network | Constant, at: int, names: list[str], keep_from: float
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         net.prepare()
         for batch in batches:
             for k in range(0, batch.num_rows, ROWS_OUT):
